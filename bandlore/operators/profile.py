@@ -1,5 +1,7 @@
 """Profiling of a signal table: audits, per-band statistics, plotted distributions."""
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Window
@@ -206,17 +208,17 @@ def class_density(df, wanted=None, points=K.KDE_GRID):
         "band", "label", "n", (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("h"),
         F.min("lo").over(band_wide).alias("lo"), F.max("hi").over(band_wide).alias("hi"),
     )
-    at = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
-    z = (F.col("x") - F.col("at")) / F.col("h")
+    place = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
+    z = (F.col("x") - F.col("value")) / F.col("h")
     spread = long.join(F.broadcast(scale), ["band", "label"]).select(
         "band", "label", "x", "n", "h", "lo", "hi",
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
-    sums = spread.withColumn("at", at).groupBy("band", "label", "point", "at", "n", "h").agg(
+    sums = spread.withColumn("value", place).groupBy("band", "label", "point", "value", "n", "h").agg(
         F.sum(F.exp(-0.5 * z * z)).alias("s")
     )
     return sums.select(
-        "band", "label", F.col("point").cast("bigint").alias("point"), "at",
+        "band", "label", F.col("point").cast("bigint").alias("point"), "value",
         (F.col("s") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
     )
 
@@ -257,31 +259,43 @@ def box_outliers(df, wanted=None, small_group=SMALL_GROUP):
 def correlation_matrix(df, wanted=None):
     """Pearson correlation of the listed bands, long form.
 
-    Without missing values one covariance pass gives the matrix. With missing values
-    each pair uses the rows that hold both, as one ``corr`` aggregate per pair.
+    Without missing values one covariance pass gives the matrix. With missing values each
+    pair uses the rows that hold both: every task adds up masked products of its row blocks
+    as small matrices (bands x bands), and only those are shuffled.
     """
     wanted = wanted or K.CORRELATION_BANDS
     spark = df.sparkSession
-    values = F.array(*[F.get("features", F.lit(b - 1)) for b in wanted]).alias("v")
-    chosen = df.select(values)
-    gaps = chosen.where(F.exists("v", lambda x: S.missing(x))).limit(1).count()
-    if not gaps:
+    chosen = df.select(F.array(*[F.get("features", F.lit(b - 1)) for b in wanted]).alias("v"))
+    if not chosen.where(F.exists("v", lambda x: S.missing(x))).limit(1).count():
         vectors = chosen.select(array_to_vector("v").alias("v"))
         matrix = Correlation.corr(vectors, "v", "pearson").head()[0].toArray()  # bands x bands
         cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(wanted) for j, b in enumerate(wanted)]
         return spark.createDataFrame(cells, "band_a int, band_b int, corr double")
-    pairs = [(i, j) for i in range(len(wanted)) for j in range(i, len(wanted))]
-
-    def held(i):
-        return F.when(~S.missing(F.col("v")[i]), F.col("v")[i])
-
-    row = chosen.agg(*[F.corr(held(i), held(j)).alias(f"c{i}_{j}") for i, j in pairs])
-    listed = F.array(*[
-        F.struct(F.lit(wanted[i]).alias("band_a"), F.lit(wanted[j]).alias("band_b"),
-                 F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i in range(len(wanted)) for j in range(len(wanted))
-    ])
-    return row.select(F.explode(listed).alias("s")).select("s.*")
+    centre = {r["pos"]: r["m"] for r in chosen.select(F.posexplode("v").alias("pos", "x")).where(
+        ~S.missing("x")).groupBy("pos").agg(F.avg("x").alias("m")).collect()}  # one value per band
+    shift = np.array([centre.get(i, 0.0) for i in range(len(wanted))])
+    a, b = (m.ravel() for m in np.meshgrid(wanted, wanted, indexing="ij"))
+
+    def products(batches):
+        sums = None
+        for pdf in batches:
+            x = np.stack(pdf["v"].to_numpy()).astype(float) - shift
+            held = ~np.isnan(x)
+            x, mask = np.where(held, x, 0.0), held.astype(float)
+            part = np.stack([mask.T @ mask, x.T @ mask, mask.T @ x, (x * x).T @ mask, mask.T @ (x * x), x.T @ x])
+            sums = part if sums is None else sums + part
+        if sums is not None:
+            n, sa, sb, saa, sbb, sab = (m.ravel() for m in sums)
+            yield pd.DataFrame({"band_a": a, "band_b": b, "n": n, "sa": sa, "sb": sb, "saa": saa, "sbb": sbb, "sab": sab})
+
+    parts = chosen.mapInPandas(
+        products, "band_a int, band_b int, n double, sa double, sb double, saa double, sbb double, sab double")
+    c = parts.groupBy("band_a", "band_b").agg(*[F.sum(k).alias(k) for k in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    cov = F.col("sab") - F.col("sa") * F.col("sb") / F.col("n")
+    spread_a = F.col("saa") - F.col("sa") * F.col("sa") / F.col("n")
+    spread_b = F.col("sbb") - F.col("sb") * F.col("sb") / F.col("n")
+    return c.where("n > 0").select(
+        "band_a", "band_b", F.try_divide(cov, F.sqrt(spread_a * spread_b)).alias("corr"))
 
 
 def first_of_class(df):

@@ -16,15 +16,16 @@ def order_key(seed, id_col="id"):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def rank_cuts(rows, quotas, stratum):
+def rank_cuts(rows, quotas_of, stratum):
     """Keys at given ranks.
 
-    ``rows`` holds (stratum, id, _key); ``quotas`` holds (stratum, part, upto), the rank
-    at which a part ends. Returns one row per stratum with ``cuts``, an ordered array of
-    (_key, id) structs; an empty part gets a key below every row.
+    ``rows`` holds (stratum, id, _key). ``quotas_of`` turns the row counts (stratum, c) into
+    (stratum, part, upto), the rank at which a part ends. Returns one row per stratum with
+    ``cuts``, an ordered array of (_key, id) structs; an empty part gets a key below every row.
     """
     keyed = rows.select(stratum, "id", "_key", F.substring("_key", 1, DIGITS).alias("_slot"))
     slots = keyed.groupBy(stratum, "_slot").agg(F.count(F.lit(1)).alias("c"))
+    quotas = quotas_of(slots.groupBy(stratum).agg(F.sum("c").alias("c")))
     upto = Window.partitionBy(stratum).orderBy("_slot")  # at most 16^DIGITS rows per stratum
     spans = slots.select(stratum, "_slot", F.sum("c").over(upto).alias("end"), "c")
     wanted = spans.join(F.broadcast(quotas), stratum).where(
@@ -51,10 +52,9 @@ def assign_part(df, cuts, stratum):
     ).drop("cuts")
 
 
-def _split_quotas(rows, stratum, test_size):
+def _split_quotas(counts, stratum, test_size):
     """Training rows per class by largest remainder, out of n - ceil(test_size * n)."""
     every = Window.partitionBy(F.lit(0))  # one row per class
-    counts = rows.groupBy(stratum).agg(F.count(F.lit(1)).alias("c"))
     n = F.sum("c").over(every)
     train = n - F.ceil(F.lit(float(test_size)) * n)
     shares = counts.select(
@@ -75,7 +75,7 @@ def split_rows(df, test_size=0.2, seed=42, stratify=True, label="label"):
     if not stratify:
         keyed = keyed.withColumn("_all", F.lit(0))
     slim = keyed.select(stratum, "id", "_key")
-    cuts = rank_cuts(slim, _split_quotas(slim, stratum, test_size), stratum)
+    cuts = rank_cuts(slim, lambda counts: _split_quotas(counts, stratum, test_size), stratum)
     parted = assign_part(keyed, cuts, stratum)
     side = F.when(F.col("part") == 0, "train").otherwise("test")
     return parted.select(*df.columns, side.alias("split"))
@@ -92,25 +92,22 @@ def _upto_modulo(x, i, k):
     return F.floor((x + (k - 1 - i)) / F.lit(k))
 
 
-def stratified_folds(df, k=5, seed=42, label="y"):
-    """Add ``fold`` in 0..k-1. Fold sizes are those of dealing the class-sorted rows round robin."""
-    keyed = df.withColumn("_key", order_key(seed))
-    slim = keyed.select(label, "id", "_key")
-    counts = slim.groupBy(label).agg(F.count(F.lit(1)).alias("c"))
+def _fold_quotas(counts, label, k):
     before = Window.partitionBy(F.lit(0)).orderBy(label)  # one row per class
     start = F.sum("c").over(before) - F.col("c")
     ranges = counts.select(label, start.alias("a"), F.sum("c").over(before).alias("b"))
-
-    def dealt(i):
-        return _upto_modulo(F.col("b"), i, k) - _upto_modulo(F.col("a"), i, k)
-
     ends, running = [], F.lit(0).cast("bigint")
     for i in range(k - 1):
-        running = running + dealt(i)
+        running = running + _upto_modulo(F.col("b"), i, k) - _upto_modulo(F.col("a"), i, k)
         ends.append(F.struct(F.lit(i).alias("part"), running.alias("upto")))
-    quotas = ranges.select(label, F.explode(F.array(*ends)).alias("q")).select(label, "q.part", "q.upto")
-    parted = assign_part(keyed, rank_cuts(slim, quotas, label), label)
-    return parted.select(*df.columns, F.col("part").alias("fold"))
+    return ranges.select(label, F.explode(F.array(*ends)).alias("q")).select(label, "q.part", "q.upto")
+
+
+def stratified_folds(df, k=5, seed=42, label="y"):
+    """Add ``fold`` in 0..k-1. Fold sizes are those of dealing the class-sorted rows round robin."""
+    keyed = df.withColumn("_key", order_key(seed))
+    cuts = rank_cuts(keyed.select(label, "id", "_key"), lambda c: _fold_quotas(c, label, k), label)
+    return assign_part(keyed, cuts, label).select(*df.columns, F.col("part").alias("fold"))
 
 
 def learning_prefixes(df, fractions=(0.2, 0.4, 0.6, 0.8, 1.0), k=5, seed=43):
@@ -122,14 +119,16 @@ def learning_prefixes(df, fractions=(0.2, 0.4, 0.6, 0.8, 1.0), k=5, seed=43):
     """
     others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col("fold"))
     copies = df.withColumn("held", F.explode(others)).withColumn("_key", order_key(seed))
-    first = df.where("fold <> 0").agg(F.count(F.lit(1)).alias("n"))
     ends = F.array(*[
         F.struct(F.lit(i).alias("part"), F.floor(F.lit(float(f)) * F.col("n")).alias("upto"))
         for i, f in enumerate(fractions)
     ])
-    quotas = first.select(
-        F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("held"), ends.alias("ends")
-    ).select("held", F.explode("ends").alias("q")).select("held", "q.part", "q.upto")
+
+    def quotas(counts):
+        first = F.max(F.when(F.col("held") == 0, F.col("c"))).over(Window.partitionBy(F.lit(0)))  # k rows
+        return counts.select("held", first.alias("n")).select(
+            "held", F.explode(ends).alias("q")).select("held", "q.part", "q.upto")
+
     parted = assign_part(copies, rank_cuts(copies.select("held", "id", "_key"), quotas, "held"), "held")
     return parted.select(*df.columns, "held", F.col("part").alias("step"))
 

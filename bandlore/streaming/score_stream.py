@@ -6,7 +6,6 @@ from bandlore.functions import scalar as S
 from bandlore.functions import vectors as V
 from bandlore.operators.models import with_scores
 from bandlore.operators.score import decide
-from bandlore.session import scratch_path
 from bandlore.sources.signals import split_quarantine, validate
 
 
@@ -37,11 +36,12 @@ def score_stream(source, scorer, tau):
     return decide(scorer(good), tau), bad.select("id", "reason")
 
 
-def run_available(scored, quarantine, out, spark):
-    """Process everything that has arrived, then stop. Both sinks restart from their own log."""
+def run_available(scored, quarantine, out):
+    """Process everything that has arrived, then stop. Run again with the same ``out`` it goes on
+    from its own log, which lies beside the output on the shared storage."""
     queries = [
         frame.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", scratch_path(spark, f"log-{name}"))
+        .option("checkpointLocation", f"{out}/log/{name}")
         .trigger(availableNow=True).start(f"{out}/{name}")
         for name, frame in (("scored", scored), ("quarantine", quarantine))
     ]
