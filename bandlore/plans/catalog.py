@@ -1,13 +1,13 @@
 """All registered queries; importing the query modules fills the registry."""
 
-from bandlore.plans import queries_profile  # noqa: F401
+from bandlore.plans import (  # noqa: F401
+    queries_evaluate,
+    queries_models,
+    queries_profile,
+    queries_score,
+)
 from bandlore.plans.registry import ORACLE, QUERIES
 
-try:
-    from bandlore.plans import queries_evaluate  # noqa: F401
-except ImportError:
-    pass
-
 
 def flagship(spark, sf_dir):
     return QUERIES["model_benchmark"](spark, sf_dir)

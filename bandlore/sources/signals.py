@@ -34,7 +34,8 @@ def read_signal_csv(spark, path, named=True, header=False, label=True, corrupt=F
         .option("mode", "PERMISSIVE")
     )
     if corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        # every column is parsed, whatever is selected later, or a bad value could go unseen
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
     try:
         return reader.csv(path)
     except AnalysisException as err:
@@ -44,9 +45,12 @@ def read_signal_csv(spark, path, named=True, header=False, label=True, corrupt=F
 
 
 def split_corrupt(df):
-    """(clean rows, quarantined raw lines) of a scan made with ``corrupt=True``."""
+    """(clean rows, quarantined rows) of a scan made with ``corrupt=True``.
+
+    A quarantined row keeps its raw line beside whatever could be parsed.
+    """
     bad = F.col(CORRUPT).isNotNull()
-    return df.where(~bad).drop(CORRUPT), df.where(bad).select(CORRUPT)
+    return df.where(~bad).drop(CORRUPT), df.where(bad)
 
 
 def read_batch_csv(spark, path, header=False):
