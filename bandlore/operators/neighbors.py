@@ -35,6 +35,46 @@ def _distances(a, b, metric):
     return out
 
 
+def _pair_distances(a, b, i, j, metric, step=200_000):
+    """Distances of the listed row pairs, in bounded pieces."""
+    out = np.empty(len(i))
+    for s in range(0, len(i), step):
+        diff = a[i[s:s + step]] - b[j[s:s + step]]
+        out[s:s + step] = (
+            np.sqrt(np.einsum("pd,pd->p", diff, diff)) if metric == "euclidean" else np.abs(diff).sum(axis=1)
+        )
+    return out
+
+
+def _block_top_k(q, t, ids, k, metric, step=256):
+    """(query row, training row, distance) of the k nearest rows of the block per query.
+
+    A matrix product screens the euclidean case. Its rounding error is far below the slack,
+    so every row that could be among the k nearest is measured again exactly.
+    """
+    k = min(k, len(t))
+    t_sq = np.einsum("td,td->t", t, t)
+    found = []
+    for s in range(0, len(q), step):
+        part = q[s:s + step]
+        if metric == "euclidean":
+            q_sq = np.einsum("qd,qd->q", part, part)
+            rough = q_sq[:, None] + t_sq[None, :] - 2.0 * (part @ t.T)
+            slack = 1e-9 * (q_sq + t_sq.max())
+        else:
+            rough = _distances(part, t, metric)
+            slack = 1e-9 * (1.0 + rough.max(axis=1))
+        kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
+        i, j = np.nonzero(rough <= (kth + slack)[:, None])
+        d = _pair_distances(part, t, i, j, metric)
+        order = np.lexsort((ids[j], d, i))
+        i, j, d = i[order], j[order], d[order]
+        place = np.arange(len(i)) - np.searchsorted(i, i)
+        keep = place < k
+        found.append((i[keep] + s, j[keep], d[keep]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
 def _matrix(series):
     return np.stack(series.to_numpy()).astype(float)
 
@@ -85,9 +125,11 @@ def nearest_neighbors(queries, train, k, metric="euclidean", n_pivots=N_PIVOTS,
         raise ValueError("no training rows")
     pivots = np.array([r["features"] for r in sample], dtype=float)
 
-    placed = train.select("id", "features", "y", _cell_of(pivots, metric)("features").alias("c")).select(
-        "id", "features", "y", "c.cell", "c.away"
-    )
+    # new names: both sides may come from one table, and a co-group needs distinct columns
+    placed = train.select(
+        F.col("id").alias("neighbor"), F.col("features").alias("vector"), F.col("y").cast("int").alias("y"),
+        _cell_of(pivots, metric)("features").alias("c"),
+    ).select("neighbor", "vector", "y", "c.cell", "c.away")
     # n_pivots rows of k numbers each; the k smallest per cell come from per-task minima
     ranked = placed.select("cell", "away", F.spark_partition_id().alias("task")).withColumn(
         "rn", F.row_number().over(Window.partitionBy("cell", "task").orderBy("away"))
@@ -116,24 +158,17 @@ def nearest_neighbors(queries, train, k, metric="euclidean", n_pivots=N_PIVOTS,
         .withColumn("slice", spread(query_parts, 11))
     )
     held = (
-        placed.select("id", "features", "y", "cell")
-        .withColumn("part", F.pmod(F.xxhash64("id", F.lit(13)), F.element_at(parts, F.col("cell"))).cast("int"))
+        placed.select("neighbor", "vector", "y", "cell")
+        .withColumn("part", F.pmod(F.xxhash64("neighbor", F.lit(13)), F.element_at(parts, F.col("cell"))).cast("int"))
         .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
     )
 
     def block(q, t):
         if q.empty or t.empty:
             return pd.DataFrame({"id": [], "neighbor": [], "y": [], "distance": []})
-        d = _distances(_matrix(q["features"]), _matrix(t["features"]), metric)
-        ids, ys = t["id"].to_numpy(), t["y"].to_numpy()
-        take = np.empty((len(d), min(k, d.shape[1])), dtype=int)
-        for i, row in enumerate(d):
-            take[i] = np.lexsort((ids, row))[: take.shape[1]]
-        rows = np.repeat(np.arange(len(d)), take.shape[1])
-        flat = take.ravel()
-        return pd.DataFrame({
-            "id": q["id"].to_numpy()[rows], "neighbor": ids[flat], "y": ys[flat], "distance": d[rows, flat],
-        })
+        ids, ys = t["neighbor"].to_numpy(), t["y"].to_numpy()
+        i, j, d = _block_top_k(_matrix(q["features"]), _matrix(t["vector"]), ids, k, metric)
+        return pd.DataFrame({"id": q["id"].to_numpy()[i], "neighbor": ids[j], "y": ys[j], "distance": d})
 
     keys = ["cell", "part", "slice"]
     found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(

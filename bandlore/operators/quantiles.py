@@ -1,11 +1,13 @@
 """Exact quantiles (linear interpolation) of groups of any size.
 
 Small groups use the built-in ``percentile``, whose state holds every distinct value of a
-group in one task. Beyond a row bound the quantile is found by selection: a sketch cuts
-each group into buckets, counts per bucket say which bucket holds the wanted rank, and
-only those buckets are ranked. The sketch steers the work; the result stays exact.
+group in one task. Beyond a row bound the quantile is found by selection: a sketch brackets
+each wanted rank by two close values, counts below the brackets say where the rank lies,
+and only the values inside a bracket are ranked. The sketch steers the work; the result
+stays exact, because a rank outside its bracket is looked up in the bucket that holds it.
 """
 
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Window
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 SMALL_GROUP = 1_000_000
 MAX_GROUPS = 10_000
-FANOUT = 64
+ACCURACY = 10_000
 
 
 def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP):
@@ -21,26 +23,23 @@ def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP):
 
     Rows with a missing value must be filtered out beforehand; ``by`` holds no nulls.
     """
-    # the range of buckets is fixed by literals, so every use sees the same cut points
-    sketch = (
-        df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx(
-                value, F.array(*[F.lit(i / FANOUT) for i in range(1, FANOUT)]), F.lit(20 * FANOUT)
-            ).alias("cuts"),
-        ).limit(MAX_GROUPS + 1).collect()
-    )
-    if len(sketch) > MAX_GROUPS:
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    if len(sizes) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups; group by fewer columns")
-    if not sketch or max(r["n"] for r in sketch) <= small_group:
+    if not sizes or max(r["n"] for r in sizes) <= small_group:
         listed = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n"), F.percentile(value, listed).alias("q")
         )
-    return _by_selection(df, by, value, probs, sketch)
+    margin = 2.0 / ACCURACY
+    edges = sorted({min(max(p + s * margin, 0.0), 1.0) for p in probs for s in (-1, 1)})
+    # the cut points become literals, so that every use of them sees the same values
+    sketch = df.groupBy(*by).agg(F.percentile_approx(
+        value, F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias("cuts")).collect()
+    return _by_selection(df, by, value, probs, sketch, len(edges))
 
 
-def _by_selection(df, by, value, probs, sketch):
+def _by_selection(df, by, value, probs, sketch, n_cuts):
     spark = df.sparkSession
     kinds = dict(df.dtypes)
     schema = ", ".join(chain((f"`{c}` {kinds[c]}" for c in by), ["cuts array<double>"]))
@@ -49,11 +48,10 @@ def _by_selection(df, by, value, probs, sketch):
     )
     # at most MAX_GROUPS rows, checked above
     rows = df.select(*by, F.col(value).cast("double").alias("x")).join(F.broadcast(cuts), by)
-    rows = rows.select(
-        *by, "x", F.size(F.filter("cuts", lambda c: c < F.col("x"))).alias("bucket")
-    )
+    beyond = [F.when(F.col("x") > F.col("cuts")[i], 1).otherwise(0) for i in range(n_cuts)]
+    rows = rows.select(*by, "x", reduce(lambda a, b: a + b, beyond).alias("bucket"))
     per_bucket = rows.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("c"))
-    upto = Window.partitionBy(*by).orderBy("bucket")  # at most FANOUT rows per group
+    upto = Window.partitionBy(*by).orderBy("bucket")  # one row per bracket edge
     whole = Window.partitionBy(*by)
     spans = per_bucket.select(
         *by, "bucket", F.sum("c").over(whole).alias("n"),

@@ -3,82 +3,98 @@
 Rows are ordered by md5(seed:id). Taking the first q rows of a class needs only the q-th
 key, not a full ranking: counts per leading hash digits show which short hash range holds
 it, and just that range (1/65536 of the class) is ranked. The cut keys are a few values
-per class, and every row is then labelled by a comparison.
+per class; they are looked up once, by jobs over narrow columns, and every row is then
+labelled by a comparison in its own task. The result is as stable as a written column.
 """
 
+import math
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 DIGITS = 4
+MAX_STRATA = 1000
 
 
 def order_key(seed, id_col="id"):
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def rank_cuts(rows, quotas_of, stratum):
-    """Keys at given ranks.
-
-    ``rows`` holds (stratum, id, _key). ``quotas_of`` turns the row counts (stratum, c) into
-    (stratum, part, upto), the rank at which a part ends. Returns one row per stratum with
-    ``cuts``, an ordered array of (_key, id) structs; an empty part gets a key below every row.
-    """
-    keyed = rows.select(stratum, "id", "_key", F.substring("_key", 1, DIGITS).alias("_slot"))
-    slots = keyed.groupBy(stratum, "_slot").agg(F.count(F.lit(1)).alias("c"))
-    quotas = quotas_of(slots.groupBy(stratum).agg(F.sum("c").alias("c")))
-    upto = Window.partitionBy(stratum).orderBy("_slot")  # at most 16^DIGITS rows per stratum
-    spans = slots.select(stratum, "_slot", F.sum("c").over(upto).alias("end"), "c")
-    wanted = spans.join(F.broadcast(quotas), stratum).where(
-        (F.col("upto") > F.col("end") - F.col("c")) & (F.col("upto") <= F.col("end"))
-    ).select(stratum, "_slot", "part", (F.col("upto") - F.col("end") + F.col("c")).alias("_rn"))
-    hit = keyed.join(F.broadcast(wanted.select(stratum, "_slot").distinct()), [stratum, "_slot"], "left_semi")
-    inside = Window.partitionBy(stratum, "_slot").orderBy("_key", "id")
-    found = hit.withColumn("_rn", F.row_number().over(inside)).join(
-        F.broadcast(wanted), [stratum, "_slot", "_rn"]
-    ).select(stratum, "part", F.struct("_key", "id").alias("cut"))
-    lowest = F.struct(F.lit("").alias("_key"), F.lit(-(2**63)).cast("bigint").alias("id"))
-    every = quotas.join(found, [stratum, "part"], "left").select(
-        stratum, "part", F.coalesce("cut", lowest).alias("cut")
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("part", "cut")))  # one entry per part
-    return every.groupBy(stratum).agg(F.transform(ordered, lambda s: s["cut"]).alias("cuts"))
-
+def class_counts(df, stratum):
+    """Rows per class, as a small dictionary in class order."""
+    rows = df.where(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("c"))
+    found = rows.limit(MAX_STRATA + 1).collect()
+    if len(found) > MAX_STRATA:
+        raise ValueError(f"{stratum!r} has more than {MAX_STRATA} values; it is not a class column")
+    return {r[stratum]: r["c"] for r in sorted(found, key=lambda r: r[stratum])}
 
-def assign_part(df, cuts, stratum):
-    """Add ``part``: the number of cuts a row lies beyond. ``cuts`` has one row per stratum."""
-    row = F.struct(F.col("_key"), F.col("id"))
-    return df.join(F.broadcast(cuts), stratum).withColumn(
-        "part", F.size(F.filter("cuts", lambda c: c < row))
-    ).drop("cuts")
 
+def rank_cuts(df, stratum, key, ends):
+    """Keys at given ranks: {class: [(key, id) or None for an empty part, ...]}.
 
-def _split_quotas(counts, stratum, test_size):
+    ``ends`` maps each class to the ranks at which its parts end, in rising order.
+    """
+    spark = df.sparkSession
+    asked = [(c, i, int(e)) for c, upto in ends.items() for i, e in enumerate(upto) if e > 0]
+    cuts = {c: [None] * len(upto) for c, upto in ends.items()}
+    if not asked:
+        return cuts
+    kind = dict(df.dtypes)[stratum]
+    keyed = df.where(F.col(stratum).isNotNull()).select(F.col(stratum).alias("s"), "id", key.alias("k"))
+    keyed = keyed.withColumn("slot", F.substring("k", 1, DIGITS))
+    slots = keyed.groupBy("s", "slot").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy("s").orderBy("slot")  # at most 16^DIGITS rows per class
+    spans = slots.select("s", "slot", (F.sum("c").over(upto) - F.col("c")).alias("a"), F.sum("c").over(upto).alias("b"))
+    quotas = F.broadcast(spark.createDataFrame(asked, f"s {kind}, part int, e bigint"))  # classes x parts rows
+    wanted = spans.join(quotas, "s").where("e > a AND e <= b").select("s", "slot", "part", (F.col("e") - F.col("a")).alias("rn"))
+    slot_rows = [tuple(r) for r in wanted.collect()]
+    # few rows again, now as constants
+    places = F.broadcast(spark.createDataFrame(slot_rows, f"s {kind}, slot string, part int, rn bigint"))
+    hit = keyed.join(places.select("s", "slot").distinct(), ["s", "slot"], "left_semi")
+    ranked = hit.withColumn("rn", F.row_number().over(Window.partitionBy("s", "slot").orderBy("k", "id")).cast("bigint"))
+    for r in ranked.join(places, ["s", "slot", "rn"]).select("s", "part", "k", "id").collect():
+        cuts[r["s"]][r["part"]] = (r["k"], r["id"])
+    return cuts
+
+
+def part_of(stratum, key, cuts):
+    """Column: how many cuts of its class a row lies beyond; null for a null class."""
+    def beyond(cut):
+        if cut is None:
+            return F.lit(1)
+        after = (key > cut[0]) | ((key == cut[0]) & (F.col("id") > F.lit(cut[1])))
+        return F.when(after, 1).otherwise(0)
+
+    part = F.lit(None).cast("int")
+    for value, listed in cuts.items():
+        steps = reduce(lambda a, b: a + b, (beyond(c) for c in listed), F.lit(0))
+        part = F.when(F.col(stratum) == F.lit(value), steps).otherwise(part)
+    return part
+
+
+def _train_quotas(counts, test_size):
     """Training rows per class by largest remainder, out of n - ceil(test_size * n)."""
-    every = Window.partitionBy(F.lit(0))  # one row per class
-    n = F.sum("c").over(every)
-    train = n - F.ceil(F.lit(float(test_size)) * n)
-    shares = counts.select(
-        stratum, train.alias("t"), (train * F.col("c") / n).alias("share")
-    ).select(stratum, "t", F.floor("share").alias("base"), (F.col("share") - F.floor("share")).alias("rest"))
-    place = F.row_number().over(every.orderBy(F.desc("rest"), stratum))
-    short = F.col("t") - F.sum("base").over(every)
-    return shares.select(
-        stratum, F.lit(0).alias("part"),
-        (F.col("base") + F.when(place <= short, 1).otherwise(0)).alias("upto"),
-    )
+    n = sum(counts.values())
+    train = n - math.ceil(test_size * n)
+    shares = {c: train * k / n for c, k in counts.items()}
+    quotas = {c: math.floor(s) for c, s in shares.items()}
+    by_rest = sorted(shares, key=lambda c: -(shares[c] - quotas[c]))  # classes stay in order on ties
+    for c in by_rest[: train - sum(quotas.values())]:
+        quotas[c] += 1
+    return quotas
 
 
 def split_rows(df, test_size=0.2, seed=42, stratify=True, label="label"):
     """Add ``split`` ('train' / 'test'), exact in size and, if stratified, in class shares."""
-    keyed = df.withColumn("_key", order_key(seed))
+    rows = df if stratify else df.withColumn("_all", F.lit(0))
     stratum = label if stratify else "_all"
-    if not stratify:
-        keyed = keyed.withColumn("_all", F.lit(0))
-    slim = keyed.select(stratum, "id", "_key")
-    cuts = rank_cuts(slim, lambda counts: _split_quotas(counts, stratum, test_size), stratum)
-    parted = assign_part(keyed, cuts, stratum)
-    side = F.when(F.col("part") == 0, "train").otherwise("test")
-    return parted.select(*df.columns, side.alias("split"))
+    quotas = _train_quotas(class_counts(rows, stratum), test_size)
+    cuts = rank_cuts(rows, stratum, order_key(seed), {c: [q] for c, q in quotas.items()})
+    part = part_of(stratum, F.col("_key"), cuts)
+    keyed = rows.withColumn("_key", order_key(seed)).withColumn("_part", part)
+    split = F.when(F.col("_part") == 0, "train").when(F.col("_part") == 1, "test")
+    return keyed.select(*df.columns, split.alias("split"))
 
 
 def split_rows_approx(df, test_size=0.2, seed=42):
@@ -87,27 +103,27 @@ def split_rows_approx(df, test_size=0.2, seed=42):
     return df.withColumn("split", F.when(u < test_size, "test").otherwise("train"))
 
 
-def _upto_modulo(x, i, k):
-    """How many of the positions 0..x-1 fall on ``i`` modulo ``k``."""
-    return F.floor((x + (k - 1 - i)) / F.lit(k))
+def _fold_ends(counts, k):
+    """Ranks at which the folds of each class end, all but the last.
 
+    Fold i holds as many rows of a class as dealing the class-sorted rows round robin gives it.
+    """
+    def dealt(x, i):
+        return (x + k - 1 - i) // k
 
-def _fold_quotas(counts, label, k):
-    before = Window.partitionBy(F.lit(0)).orderBy(label)  # one row per class
-    start = F.sum("c").over(before) - F.col("c")
-    ranges = counts.select(label, start.alias("a"), F.sum("c").over(before).alias("b"))
-    ends, running = [], F.lit(0).cast("bigint")
-    for i in range(k - 1):
-        running = running + _upto_modulo(F.col("b"), i, k) - _upto_modulo(F.col("a"), i, k)
-        ends.append(F.struct(F.lit(i).alias("part"), running.alias("upto")))
-    return ranges.select(label, F.explode(F.array(*ends)).alias("q")).select(label, "q.part", "q.upto")
+    ends, start = {}, 0
+    for c, n in counts.items():
+        sizes = [dealt(start + n, i) - dealt(start, i) for i in range(k)]
+        ends[c] = [sum(sizes[: i + 1]) for i in range(k - 1)]
+        start += n
+    return ends
 
 
 def stratified_folds(df, k=5, seed=42, label="y"):
-    """Add ``fold`` in 0..k-1. Fold sizes are those of dealing the class-sorted rows round robin."""
-    keyed = df.withColumn("_key", order_key(seed))
-    cuts = rank_cuts(keyed.select(label, "id", "_key"), lambda c: _fold_quotas(c, label, k), label)
-    return assign_part(keyed, cuts, label).select(*df.columns, F.col("part").alias("fold"))
+    """Add ``fold`` in 0..k-1, balanced per class and in total."""
+    cuts = rank_cuts(df, label, order_key(seed), _fold_ends(class_counts(df, label), k))
+    keyed = df.withColumn("_key", order_key(seed)).withColumn("fold", part_of(label, F.col("_key"), cuts))
+    return keyed.drop("_key")
 
 
 def learning_prefixes(df, fractions=(0.2, 0.4, 0.6, 0.8, 1.0), k=5, seed=43):
@@ -118,19 +134,13 @@ def learning_prefixes(df, fractions=(0.2, 0.4, 0.6, 0.8, 1.0), k=5, seed=43):
     the same for every fold; rows beyond the last prefix get step = len(fractions).
     """
     others = F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f != F.col("fold"))
-    copies = df.withColumn("held", F.explode(others)).withColumn("_key", order_key(seed))
-    ends = F.array(*[
-        F.struct(F.lit(i).alias("part"), F.floor(F.lit(float(f)) * F.col("n")).alias("upto"))
-        for i, f in enumerate(fractions)
-    ])
-
-    def quotas(counts):
-        first = F.max(F.when(F.col("held") == 0, F.col("c"))).over(Window.partitionBy(F.lit(0)))  # k rows
-        return counts.select("held", first.alias("n")).select(
-            "held", F.explode(ends).alias("q")).select("held", "q.part", "q.upto")
-
-    parted = assign_part(copies, rank_cuts(copies.select("held", "id", "_key"), quotas, "held"), "held")
-    return parted.select(*df.columns, "held", F.col("part").alias("step"))
+    sizes = class_counts(df, "fold")
+    first = sum(n for f, n in sizes.items() if f != 0)
+    ends = {f: [math.floor(x * first) for x in fractions] for f in range(k)}
+    copies = df.withColumn("held", F.explode(others))
+    cuts = rank_cuts(copies, "held", order_key(seed), ends)
+    keyed = copies.withColumn("_key", order_key(seed)).withColumn("step", part_of("held", F.col("_key"), cuts))
+    return keyed.drop("_key")
 
 
 def split_audit(df, label="label", tolerance_pct=1.0):

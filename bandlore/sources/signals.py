@@ -14,28 +14,17 @@ from bandlore.functions import scalar as S
 CORRUPT = "_corrupt_record"
 
 
-def signal_schema(named=True, label=True, corrupt=True):
-    """Explicit schema: 60 doubles, an optional label, an optional corrupt-record column."""
+def signal_schema(named=True, label=True):
+    """Explicit schema: 60 doubles and an optional label, by name or by position."""
     names = K.FEATURE_COLUMNS if named else [f"_c{i}" for i in range(K.N_BANDS)]
     fields = [T.StructField(n, T.DoubleType()) for n in names]
     if label:
         fields.append(T.StructField(K.LABEL_COLUMN if named else f"_c{K.N_BANDS}", T.StringType()))
-    if corrupt:
-        fields.append(T.StructField(CORRUPT, T.StringType()))
     return T.StructType(fields)
 
 
-def read_signal_csv(spark, path, named=True, header=False, label=True, corrupt=False):
-    """CSV scan with a fixed schema. A missing path is an error at once."""
-    reader = (
-        spark.read.schema(signal_schema(named, label, corrupt))
-        .option("header", header)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-    )
-    if corrupt:
-        # every column is parsed, whatever is selected later, or a bad value could go unseen
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+def _csv(reader, path):
+    """A missing path is an error at once."""
     try:
         return reader.csv(path)
     except AnalysisException as err:
@@ -44,13 +33,26 @@ def read_signal_csv(spark, path, named=True, header=False, label=True, corrupt=F
         raise
 
 
-def split_corrupt(df):
-    """(clean rows, quarantined rows) of a scan made with ``corrupt=True``.
+def read_signal_csv(spark, path, named=True, header=False, label=True):
+    """CSV scan with a fixed schema, nothing inferred."""
+    reader = spark.read.schema(signal_schema(named, label)).option("header", header)
+    return _csv(reader.option("enforceSchema", True), path)
+
+
+def read_checked_csv(spark, path, header=False):
+    """CSV scan for input that may be bad: (features, label, raw line if malformed, reason).
 
-    A quarantined row keeps its raw line beside whatever could be parsed.
+    All columns are read as text and cast here. Left to the reader, a bad value in a column
+    that the query does not select would go unseen, because the scan prunes it.
     """
-    bad = F.col(CORRUPT).isNotNull()
-    return df.where(~bad).drop(CORRUPT), df.where(bad)
+    names = [*K.FEATURE_COLUMNS, K.LABEL_COLUMN, CORRUPT]
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    raw = _csv(reader.option("columnPruning", False), path)  # else surplus values go unseen
+    whole = F.array(*[F.col(c) for c in K.FEATURE_COLUMNS])
+    rows = raw.select(F.when(F.col(CORRUPT).isNull(), whole).alias("features"), "label", F.col(CORRUPT).alias("raw"))
+    return validate(rows)
 
 
 def read_batch_csv(spark, path, header=False):
@@ -58,7 +60,7 @@ def read_batch_csv(spark, path, header=False):
 
     A 61st column (the label) is dropped; any other width is an error.
     """
-    raw = spark.read.option("header", header).csv(path)
+    raw = _csv(spark.read.option("header", header), path)
     if len(raw.columns) not in (K.N_BANDS, K.N_BANDS + 1):
         raise ValueError(f"expected {K.N_BANDS} features, found {len(raw.columns)} columns")
     kept = raw.columns[: K.N_BANDS]
