@@ -1,5 +1,7 @@
 """Classifiers as ML pipelines with one common output: prob and pred_label."""
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from bandlore import constants as K
 from bandlore.functions import vectors as V
 from bandlore.operators.neighbors import KnnClassifier
-from bandlore.operators.sampling import stratified_folds
+from bandlore.operators.sampling import order_key, stratified_folds
 
 LOGISTIC = "Logistic Regression"
 NEIGHBORS = "K-Nearest Neighbors"
@@ -78,36 +80,49 @@ class ArrayToVector(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         )
 
 
-class FourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Random Fourier features of the RBF kernel (Rahimi and Recht 2007)."""
+class KernelMap(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Features whose dot products approximate the RBF kernel, from landmark rows.
+
+    A row becomes its kernel values to the landmarks, whitened by the kernel between the
+    landmarks (Williams and Seeger 2001). With as many landmarks as training rows the
+    kernel is exact; their number bounds the work per row, whatever the table's size.
+    """
 
     inputCol = Param(Params._dummy(), "inputCol", "input vector", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "output vector", TypeConverters.toString)
     gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
-    components = Param(Params._dummy(), "components", "features made", TypeConverters.toInt)
     width = Param(Params._dummy(), "width", "features read", TypeConverters.toInt)
-    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+    landmarks = Param(Params._dummy(), "landmarks", "landmark rows, flattened", TypeConverters.toListFloat)
 
-    def __init__(self, inputCol="scaled", outputCol="kernel", gamma=1.0 / K.N_BANDS, components=256,
-                 width=K.N_BANDS, seed=42):
+    def __init__(self, landmarks=(), gamma=1.0 / K.N_BANDS, inputCol="scaled", outputCol="kernel", width=K.N_BANDS):
         super().__init__()
-        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, components=components,
-                  width=width, seed=seed)
+        self._set(inputCol=inputCol, outputCol=outputCol, gamma=gamma, width=width, landmarks=list(landmarks))
 
     def _transform(self, dataset):
-        size, width = self.getOrDefault("components"), self.getOrDefault("width")
-        gamma, seed = self.getOrDefault("gamma"), self.getOrDefault("seed")
+        marks = np.array(self.getOrDefault("landmarks")).reshape(-1, self.getOrDefault("width"))
+        gamma = self.getOrDefault("gamma")
+
+        def kernel(a, b):
+            sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+            return np.exp(-gamma * np.maximum(sq, 0.0))
 
         @F.pandas_udf("array<double>")
-        def project(features: pd.Series) -> pd.Series:
-            rng = np.random.default_rng(seed)
-            w = rng.normal(0.0, np.sqrt(2.0 * gamma), (width, size))
-            b = rng.uniform(0.0, 2.0 * np.pi, size)
-            z = np.sqrt(2.0 / size) * np.cos(np.stack(features.to_numpy()) @ w + b)
-            return pd.Series(list(z))
+        def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            values, axes = np.linalg.eigh(kernel(marks, marks))
+            use = values > 1e-10 * values[-1]
+            whiten = axes[:, use] / np.sqrt(values[use])
+            for batch in batches:
+                yield pd.Series(list(kernel(np.stack(batch.to_numpy()), marks) @ whiten))
+
+        features = project(vector_to_array(F.col(self.getOrDefault("inputCol"))))
+        return dataset.withColumn(self.getOrDefault("outputCol"), array_to_vector(features))
+
 
-        kernel = project(vector_to_array(F.col(self.getOrDefault("inputCol"))))
-        return dataset.withColumn(self.getOrDefault("outputCol"), array_to_vector(kernel))
+def landmark_rows(train, size, seed, column="scaled"):
+    """A seeded sample of distinct rows as one flat list, at most ``size`` x width numbers."""
+    rows = train.select("id", vector_to_array(column).alias("v")).orderBy(order_key(seed), "id").limit(size).collect()
+    distinct = dict.fromkeys(tuple(r["v"]) for r in rows)
+    return [x for v in distinct for x in v]
 
 
 def kernel_gamma(train, gamma="scale", column="scaled", width=K.N_BANDS):
@@ -121,7 +136,7 @@ def kernel_gamma(train, gamma="scale", column="scaled", width=K.N_BANDS):
 
 
 class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """RBF support vector classifier: Fourier features, a linear SVM, and a probability.
+    """RBF support vector classifier: a kernel map, a linear SVM over it, and a probability.
 
     The probability is a logistic curve over the margin (Platt 1999), fitted on margins of
     rows the SVM did not see, from stratified folds.
@@ -129,14 +144,14 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     c = Param(Params._dummy(), "c", "inverse penalty", TypeConverters.toFloat)
     gamma = Param(Params._dummy(), "gamma", "kernel width or rule", TypeConverters.toString)
-    components = Param(Params._dummy(), "components", "Fourier features", TypeConverters.toInt)
+    landmarks = Param(Params._dummy(), "landmarks", "landmark rows of the kernel", TypeConverters.toInt)
     folds = Param(Params._dummy(), "folds", "folds for the probability", TypeConverters.toInt)
     seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
     iterations = Param(Params._dummy(), "iterations", "SVM iterations", TypeConverters.toInt)
 
-    def __init__(self, c=1.0, gamma="scale", components=256, folds=5, seed=42, iterations=50):
+    def __init__(self, c=1.0, gamma="scale", landmarks=512, folds=5, seed=42, iterations=100):
         super().__init__()
-        self._set(c=float(c), gamma=str(gamma), components=components, folds=folds, seed=seed,
+        self._set(c=float(c), gamma=str(gamma), landmarks=landmarks, folds=folds, seed=seed,
                   iterations=iterations)
 
     def _svm(self, n_rows):
@@ -149,11 +164,13 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     def _fit(self, dataset):
         folds, seed = self.getOrDefault("folds"), self.getOrDefault("seed")
         g = kernel_gamma(dataset, self.getOrDefault("gamma"))
-        fourier = FourierFeatures(gamma=g, components=self.getOrDefault("components"), seed=seed)
         slim = dataset.select("id", "y", "scaled")
-        rows = fourier.transform(stratified_folds(slim, folds, seed)).drop("scaled").persist()
+        mapped = KernelMap(landmark_rows(slim, self.getOrDefault("landmarks"), seed + 1), g)
+        # the narrow rows are kept; the SVM keeps its own blocks of the wide ones while it runs
+        folded = stratified_folds(slim, folds, seed).persist()
+        rows = mapped.transform(folded)
         try:
-            sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+            sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
             n = sum(sizes.values())
             held_out = None
             for f in sorted(sizes):
@@ -167,9 +184,9 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             )
             svm = self._svm(n).fit(rows)
         finally:
-            rows.unpersist()
+            folded.unpersist()
         platt = PlattScaling(slope=float(curve.coefficients[0]), intercept=float(curve.intercept))
-        return PipelineModel([fourier, svm, platt])
+        return PipelineModel([mapped, svm, platt])
 
 
 class PlattScaling(Model, DefaultParamsReadable, DefaultParamsWritable):

@@ -75,7 +75,7 @@ def _(t):
 @query("m6_kernel_svm")
 def _(t):
     train, test = _prepared(t)
-    return _scores(M.KernelSvm(components=128, iterations=20).fit(train), test, M.SVM)
+    return _scores(M.KernelSvm(folds=3, iterations=30).fit(train), test, M.SVM)
 
 
 @query("m7_random_forest")
