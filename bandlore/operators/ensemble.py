@@ -1,4 +1,4 @@
-"""Soft voting over members and two-tier stacking, on DataFrames of scores."""
+"""Soft voting over members and two-tier stacking, row by row."""
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -6,12 +6,21 @@ from pyspark.sql import functions as F
 from bandlore import constants as K
 from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
-from bandlore.operators.training import _fit, out_of_fold
+from bandlore.operators.training import _fit
 
 VOTING = "Soft-Voting Ensemble"
 STACKING = "Stacking Classifier"
 
 
+def member_probabilities(df, members, out="_members"):
+    """Add the array of the members' probabilities; the rows stay where they are."""
+    scored = df
+    for i, (_, model) in enumerate(members.items()):
+        scored = M.with_scores(model, scored).drop("pred_label").withColumnRenamed("prob", f"_p{i}")
+    probs = F.array(*[F.col(f"_p{i}") for i in range(len(members))])
+    return scored.withColumn(out, probs).drop(*[f"_p{i}" for i in range(len(members))])
+
+
 class VotingModel:
     """Weighted mean of the member probabilities; members are refitted on the rows given."""
 
@@ -23,9 +32,12 @@ class VotingModel:
         return self
 
     def transform(self, df):
-        scored = M.score_models(df.select("id", "y", "scaled", "scaled_array"), self.members)
-        vote = E.soft_vote(scored, E.voting_weights(list(self.members))).select("id", "prob")
-        return df.join(vote, "id").withColumn("pred_label", (F.col("prob") >= K.DEFAULT_TAU).cast("int"))
+        names = list(self.members)
+        weights = E.voting_weights(names) or dict.fromkeys(names, 1.0)
+        parts = [F.col("_members")[i] * w for i, w in enumerate(weights.values())]
+        mean = sum(parts[1:], parts[0]) / sum(weights.values())
+        voted = member_probabilities(df, self.members).withColumn("prob", mean).drop("_members")
+        return voted.withColumn("pred_label", (F.col("prob") >= K.DEFAULT_TAU).cast("int"))
 
 
 class StackingModel:
@@ -34,23 +46,19 @@ class StackingModel:
     def __init__(self, makers, k=5):
         self.makers, self.k = makers, k
 
-    def _meta(self, scored, names):
-        probs = F.array(*[F.max(F.when(F.col("model") == n, F.col("prob"))) for n in names])
-        return scored.groupBy("id", "y").agg(array_to_vector(probs).alias("meta"))
-
     def fit(self, folded):
-        self.names = list(self.makers)
-        oof = None
-        for name, make in self.makers.items():
-            part = out_of_fold(make, folded, name, self.k).select("id", "y", "model", "prob")
-            oof = part if oof is None else oof.unionByName(part)
-        meta = self._meta(oof, self.names)
+        parts = None
+        for f in range(self.k):
+            rest = folded.where(F.col("fold") != f)
+            members = {name: _fit(make, rest) for name, make in self.makers.items()}
+            part = member_probabilities(folded.where(F.col("fold") == f), members).select("id", "y", "_members")
+            parts = part if parts is None else parts.unionByName(part)
+        meta = parts.select("id", "y", array_to_vector("_members").alias("meta")).persist()
         self.meta_model = M.logistic(meta.count(), features="meta").fit(meta)
+        meta.unpersist()
         self.members = {name: _fit(make, folded) for name, make in self.makers.items()}
         return self
 
     def transform(self, df):
-        slim = df.select("id", "y", "scaled", "scaled_array")
-        scored = M.score_models(slim, self.members).select("id", "y", "model", "prob")
-        top = M.with_scores(self.meta_model, self._meta(scored, self.names)).select("id", "prob", "pred_label")
-        return df.join(top, "id")
+        scored = member_probabilities(df, self.members).withColumn("meta", array_to_vector("_members"))
+        return M.with_scores(self.meta_model, scored).drop("meta", "_members")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bandlore import constants as K
 from bandlore.functions import scalar as S
 from bandlore.operators.ordered import ROWS_PER_RANGE, Ranged
+from bandlore.session import few
 
 
 def apply_tau(scored, tau=K.DEFAULT_TAU):
@@ -91,7 +92,7 @@ def _score_groups(scored, by, rows_per_range):
     groups = scored.groupBy(*by, "prob").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
-    return Ranged(groups, by, [F.desc("prob")], rows_per_range)
+    return Ranged(groups, by, [F.desc("prob")], rows_per_range, at_most=scored.count())
 
 
 def roc_auc(scored, by=("model",), rows_per_range=ROWS_PER_RANGE):
@@ -124,7 +125,7 @@ def roc_curve(scored, by=("model",), rows_per_range=ROWS_PER_RANGE):
         *by, F.lit(float("inf")).alias("threshold"),
         F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp"),
     )
-    points = origin.unionByName(corners).join(F.broadcast(totals), by)  # one row per model
+    points = origin.unionByName(corners).join(few(totals), by)
     return points.select(
         *by, "threshold", S.ratio("fp", "n").alias("fpr"), S.ratio("tp", "p").alias("tpr")
     )
@@ -214,7 +215,7 @@ def model_benchmark(scored, by=("model",), taus=(K.DEFAULT_TAU, K.SAFE_TAU), row
         for i, t in enumerate(taus)
     ])
     per_tau = counted.select(*by, "brier", F.explode(listed).alias("s")).select(*by, "s.*", "brier")
-    return with_metrics(per_tau).join(F.broadcast(roc_auc(scored, by, rows_per_range)), by)  # one row per model
+    return with_metrics(per_tau).join(roc_auc(scored, by, rows_per_range), by)
 
 
 def fold_summary(per_fold, by=("model", "metric")):
@@ -279,30 +280,36 @@ def probability_order(scored, tau=K.SAFE_TAU, by=("model",), rows_per_range=ROWS
     return placed.withColumn("is_error", S.is_threat("prob", tau).cast("int") != F.col("y"))
 
 
+def _extreme_rows(rows, by, value, name):
+    """The row of highest ``value`` per group, lowest id on ties.
+
+    Plain maxima and minima aggregate by hash; a maximum over whole rows would sort them all.
+    """
+    by = list(by)
+    valued = rows.withColumn("_v", value)
+    best = few(valued.groupBy(*by).agg(F.max("_v").alias("_v")))
+    ties = valued.join(best, by + ["_v"])
+    first = few(ties.groupBy(*by).agg(F.min("id").alias("id")))
+    return ties.join(first, by + ["id"]).drop("_v").withColumn("_name", F.lit(name))
+
+
 def most_confident(scored, by=("model",)):
     """Highest and lowest score; the lowest id wins ties."""
-    top = F.max_by(F.struct("id", "y", "prob"), F.struct("prob", -F.col("id")))
-    low = F.min_by(F.struct("id", "y", "prob"), F.struct("prob", "id"))
-    both = scored.groupBy(*by).agg(top.alias("positive"), low.alias("negative"))
-    listed = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("r")) for s in ("positive", "negative")])
-    return both.select(*by, F.explode(listed).alias("s")).select(*by, "s.side", "s.r.*")
+    slim = scored.select(*by, "id", "y", "prob")
+    both = _extreme_rows(slim, by, F.col("prob"), "positive").unionByName(
+        _extreme_rows(slim, by, -F.col("prob"), "negative"))
+    return both.select(*by, F.col("_name").alias("side"), "id", "y", "prob")
 
 
 def exemplars(scored, tau=K.SAFE_TAU, by=("model",)):
     """Per model and class, the surest row and the one closest to the threshold."""
-    item = F.struct("id", "prob")
+    by = [*by, "y"]
     toward = F.when(F.col("y") == 1, F.col("prob")).otherwise(-F.col("prob"))
-    picked = scored.groupBy(*by, "y").agg(
-        F.max_by(item, F.struct(toward, -F.col("id"))).alias("confident"),
-        F.min_by(item, F.struct(F.abs(S.signed_margin("prob", tau)), F.col("id"))).alias("borderline"),
-    )
-    listed = F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.col(k).alias("r")) for k in ("confident", "borderline")
-    ])
-    return picked.select(*by, "y", F.explode(listed).alias("s")).select(
-        *by, F.concat_ws("_", "s.kind", F.when(F.col("y") == 1, "mine").otherwise("rock")).alias("sample"),
-        "y", "s.r.id", "s.r.prob",
-    )
+    slim = scored.select(*by, "id", "prob")
+    both = _extreme_rows(slim, by, toward, "confident").unionByName(
+        _extreme_rows(slim, by, -F.abs(S.signed_margin("prob", tau)), "borderline"))
+    side = F.when(F.col("y") == 1, "mine").otherwise("rock")
+    return both.select(*by, F.concat_ws("_", "_name", side).alias("sample"), "id", "prob")
 
 
 def champion(metrics, order, listing="listing"):
@@ -313,7 +320,7 @@ def champion(metrics, order, listing="listing"):
 def compare_to_baseline(tuned, baseline):
     """Change of F1 and accuracy against the baseline of the same model; 0 if there is none."""
     base = baseline.select("model", F.col("f1").alias("b_f1"), F.col("accuracy").alias("b_accuracy"))
-    return tuned.join(F.broadcast(base), "model", "left").select(  # one row per model
+    return tuned.join(base, "model", "left").select(
         "model", "f1", "accuracy",
         (F.col("f1") - F.coalesce("b_f1", "f1")).alias("delta_f1"),
         (F.col("accuracy") - F.coalesce("b_accuracy", "accuracy")).alias("delta_accuracy"),

@@ -8,7 +8,7 @@ totals are carried over as offsets.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bandlore.session import stable
+from bandlore.session import few, stable
 
 ROWS_PER_RANGE = 1_000_000
 
@@ -17,14 +17,14 @@ class Ranged:
     """Rows in total order ``by + order``, cut into ranges of bounded size.
 
     ``order`` must end in a unique key if ties may be many, so that a hot value can be
-    cut too. The range id is fixed by a checkpoint: range partitioning samples its input,
+    cut too. ``at_most`` is a bound on the rows, if one is known. The range id is fixed by a checkpoint: range partitioning samples its input,
     so a recomputed range id could differ.
     """
 
-    def __init__(self, df, by, order, rows_per_range=ROWS_PER_RANGE):
+    def __init__(self, df, by, order, rows_per_range=ROWS_PER_RANGE, at_most=None):
         self.by = list(by)
         self.order = list(order)
-        n = df.count()
+        n = df.count() if at_most is None else at_most
         self.pieces = max(1, -(-n // rows_per_range))
         if self.pieces == 1:
             self.rows = df.withColumn("_range", F.lit(0))
@@ -51,7 +51,7 @@ class Ranged:
             *self.by, "_range",
             *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
         )
-        joined = out.join(F.broadcast(offsets), self.by + ["_range"])
+        joined = out.join(few(offsets), self.by + ["_range"])
         for n in sums:
             joined = joined.withColumn(n, F.col(n) + F.col(f"_o_{n}"))
         return joined.drop("_range", *[f"_o_{n}" for n in sums])
@@ -76,7 +76,7 @@ class Ranged:
             *self.by, "_range",
             *[F.lead(c).over(self._totals_window()).alias(f"_h_{c}") for c in columns],
         )
-        joined = out.join(F.broadcast(following), self.by + ["_range"])
+        joined = out.join(few(following), self.by + ["_range"])
         for c in columns:
             joined = joined.withColumn(f"{prefix}{c}", F.coalesce(f"{prefix}{c}", f"_h_{c}"))
         self.rows = joined.drop(*[f"_h_{c}" for c in columns])

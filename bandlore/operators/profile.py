@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bandlore import constants as K
 from bandlore.functions import scalar as S
 from bandlore.operators.quantiles import SMALL_GROUP, exact_quantiles
+from bandlore.session import few
 from bandlore.sources.signals import bands, present_values
 
 
@@ -52,18 +53,25 @@ def missing_audit(df, width=K.N_BANDS):
     )
 
 
+def _fingerprint():
+    """SHA-256 over all values and the label: equal for equal rows, and only for those.
+
+    Doubles print uniquely; adding 0 makes -0 and 0 the same value, as in a comparison.
+    """
+    values = F.transform("features", lambda x: F.coalesce((x + F.lit(0.0)).cast("string"), F.lit("null")))
+    label = F.when(F.col("label").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("label")))
+    return F.unhex(F.sha2(F.concat_ws(",", F.concat_ws(",", values), label), 256))
+
+
 def duplicate_rows(df):
     """Ids of rows that repeat an earlier row (lower id) in every value and the label.
 
-    A 64-bit hash finds the rows that could repeat, so only those are compared in full.
-    Copies collapse on the map side; the hot join key of a large group of copies is left
-    to the skew split of the adaptive plan (its other side is one row).
+    Rows are compared by a 32-byte fingerprint, so the wide arrays are never shuffled. Copies
+    collapse on the map side, and the only join is on the unique id: no key is ever hot.
     """
-    keyed = df.select("id", "features", "label", F.xxhash64("features", "label").alias("h"))
-    repeated = keyed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    suspects = keyed.join(repeated, "h", "left_semi")
-    kept = suspects.groupBy("features", "label").agg(F.min("id").alias("id")).select("id")
-    return suspects.select("id").join(kept, "id", "left_anti")
+    keyed = df.select("id", _fingerprint().alias("f"))
+    kept = keyed.groupBy("f").agg(F.min("id").alias("id")).select("id")
+    return df.select("id").join(kept, "id", "left_anti")
 
 
 def duplicate_audit(df):
@@ -93,16 +101,12 @@ def class_distribution(df, label="label"):
 def describe_bands(df, small_group=SMALL_GROUP):
     """Count, mean, sample sd, min, quartiles and max per band."""
     long = present_values(bands(df.select("features")))
-    moments = long.groupBy("band").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-    )
-    quartiles = exact_quantiles(long, ["band"], "x", [0.25, 0.5, 0.75], small_group)
-    quartiles = quartiles.select(
-        "band", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75")
-    )
-    return moments.join(F.broadcast(quartiles), "band").select(
-        "band", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
+    moments = [
+        F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"),
+    ]
+    return exact_quantiles(long, ["band"], "x", [0.25, 0.5, 0.75], small_group, moments).select(
+        "band", F.col("n").alias("count"), "mean", "std", "min",
+        F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
     )
 
 
@@ -177,7 +181,7 @@ def class_histogram(df, wanted=None, bins=K.HISTOGRAM_BINS):
     ranges = long.groupBy("band").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
         "band", "lo", ((F.col("hi") - F.col("lo")) / bins).alias("w")
     )
-    binned = long.join(F.broadcast(ranges), "band").select(  # one row per listed band
+    binned = long.join(few(ranges), "band").select(
         "band", "label", "lo", "w",
         F.when(F.col("w") > 0, F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1)))
         .otherwise(F.lit(0)).alias("bin"),
@@ -210,7 +214,7 @@ def class_density(df, wanted=None, points=K.KDE_GRID):
     )
     place = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
     z = (F.col("x") - F.col("value")) / F.col("h")
-    spread = long.join(F.broadcast(scale), ["band", "label"]).select(
+    spread = long.join(few(scale), ["band", "label"]).select(
         "band", "label", "x", "n", "h", "lo", "hi",
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
@@ -236,7 +240,7 @@ def _fences(long, small_group):
 def box_stats(df, wanted=None, small_group=SMALL_GROUP):
     """Quartiles, whiskers at the last datum within 1.5 IQR and the number of outliers."""
     long = _chosen(df, wanted or K.BOX_BANDS)
-    fences = _fences(long, small_group)  # one row per (band, class)
+    fences = _fences(long, small_group)  # one row per (band, class), a checked number
     inside = F.col("x").between(F.col("fence_lo"), F.col("fence_hi"))
     return long.join(F.broadcast(fences), ["band", "label"]).groupBy(
         "band", "label", "q25", "median", "q75"
@@ -299,8 +303,9 @@ def correlation_matrix(df, wanted=None):
 
 
 def first_of_class(df):
-    """The row with the lowest id of every class, by a map-side combined minimum."""
-    return df.groupBy("label").agg(F.min_by("features", "id").alias("features"), F.min("id").alias("id"))
+    """The row with the lowest id of every class; only ids are aggregated."""
+    first = few(df.groupBy("label").agg(F.min("id").alias("id")))
+    return df.join(first, ["label", "id"]).select("label", "features", "id")
 
 
 def head_preview(df, rows=5, lead=5, tail=3, width=K.N_BANDS):

@@ -18,8 +18,8 @@ MAX_GROUPS = 10_000
 ACCURACY = 10_000
 
 
-def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP):
-    """One row per group: ``by`` columns, ``n`` and ``q``, the array of quantiles in the order given.
+def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP, extra=()):
+    """One row per group: ``by`` columns, ``n``, ``q`` (the quantiles in the order given), ``extra`` aggregates.
 
     Rows with a missing value must be filtered out beforehand; ``by`` holds no nulls.
     """
@@ -29,14 +29,15 @@ def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP):
     if not sizes or max(r["n"] for r in sizes) <= small_group:
         listed = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile(value, listed).alias("q")
+            F.count(F.lit(1)).alias("n"), F.percentile(value, listed).alias("q"), *extra
         )
     margin = 2.0 / ACCURACY
     edges = sorted({min(max(p + s * margin, 0.0), 1.0) for p in probs for s in (-1, 1)})
     # the cut points become literals, so that every use of them sees the same values
     sketch = df.groupBy(*by).agg(F.percentile_approx(
         value, F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias("cuts")).collect()
-    return _by_selection(df, by, value, probs, sketch, len(edges))
+    picked = _by_selection(df, by, value, probs, sketch, len(edges))
+    return picked.join(df.groupBy(*by).agg(*extra), list(by)) if extra else picked
 
 
 def _by_selection(df, by, value, probs, sketch, n_cuts):
@@ -46,7 +47,7 @@ def _by_selection(df, by, value, probs, sketch, n_cuts):
     cuts = spark.createDataFrame(
         [(*[r[c] for c in by], [float(v) for v in r["cuts"]]) for r in sketch], schema
     )
-    # at most MAX_GROUPS rows, checked above
+    # at most MAX_GROUPS groups were let through, so all the small tables here are bounded
     rows = df.select(*by, F.col(value).cast("double").alias("x")).join(F.broadcast(cuts), by)
     beyond = [F.when(F.col("x") > F.col("cuts")[i], 1).otherwise(0) for i in range(n_cuts)]
     rows = rows.select(*by, "x", reduce(lambda a, b: a + b, beyond).alias("bucket"))

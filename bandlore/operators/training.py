@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
 from bandlore.operators.neighbors import KnnClassifier, nearest_neighbors, vote
-from bandlore.operators.sampling import learning_prefixes
+from bandlore.operators.sampling import class_counts, learning_prefixes
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
@@ -20,10 +20,10 @@ def _fit(make, rows):
     return estimator.fit(rows)
 
 
-def out_of_fold(make, folded, name, k=5):
+def out_of_fold(make, folded, name):
     """Scores of every row from the model fitted without the row's fold."""
     parts = None
-    for f in range(k):
+    for f in class_counts(folded, "fold"):
         model = _fit(make, folded.where(F.col("fold") != f))
         part = M.with_scores(model, folded.where(F.col("fold") == f), name)
         parts = part if parts is None else parts.unionByName(part)
@@ -33,15 +33,15 @@ def out_of_fold(make, folded, name, k=5):
 def fold_metrics(oof, metrics=METRICS):
     """Long (model, fold, metric, value), all folds in one pass over the scored rows."""
     by = ["model", "fold"]
-    wide = E.classification_metrics(oof, by).join(F.broadcast(E.roc_auc(oof, by)), by)  # models x folds rows
+    wide = E.classification_metrics(oof, by).join(E.roc_auc(oof, by), by)
     return E.long_metrics(wide, by, metrics)
 
 
-def cross_validate(makers, folded, k=5):
-    """Mean and population sd of five metrics per model over ``k`` folds."""
+def cross_validate(makers, folded):
+    """Mean and population sd of five metrics per model over the folds present."""
     parts = None
     for name, make in makers.items():
-        oof = out_of_fold(make, folded, name, k)
+        oof = out_of_fold(make, folded, name)
         parts = oof if parts is None else parts.unionByName(oof)
     return E.fold_summary(fold_metrics(parts))
 
@@ -90,7 +90,7 @@ def search(train, name, grid, k=5, parallelism=2, seed=42):
     if name == M.NEIGHBORS:
         return _search_neighbors(train, grid, k)
     if name == M.SVM:
-        return _search_svm(train, grid, k)
+        return _search_svm(train, grid)
     n = train.count()
     if name == M.LOGISTIC:
         estimator = M.logistic(n)
@@ -132,11 +132,11 @@ def _mean_fold_f1(oof):
     return {r["model"]: r["f1"] for r in per_fold.groupBy("model").agg(F.avg("f1").alias("f1")).collect()}
 
 
-def _search_svm(train, grid, k):
+def _search_svm(train, grid):
     listed = settings(grid)
     rows = []
     for i, s in enumerate(listed):
-        oof = out_of_fold(M.KernelSvm(**s), train, "svm", k)
+        oof = out_of_fold(M.KernelSvm(**s), train, "svm")
         rows.append((s, _mean_fold_f1(oof)["svm"], i))
     best = _best(rows)
     return best[0], best[1], M.KernelSvm(**best[0]).fit(train)
@@ -210,7 +210,7 @@ def learning_curve_sizes(folded, fractions=(0.2, 0.4, 0.6, 0.8, 1.0), k=5):
     return reached.groupBy("held", F.col("upto").alias("step")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def train_and_compare(train, test, makers, k=5):
+def train_and_compare(train, test, makers):
     """Fit every model on ``train``; CV summary, test metrics and the champion.
 
     ``test`` is whatever rows the choice is to be made on; a validation fold keeps the real
@@ -219,11 +219,11 @@ def train_and_compare(train, test, makers, k=5):
     fitted = {name: _fit(make, train) for name, make in makers.items()}
     scored = M.score_models(test, fitted)
     by = ["model"]
-    test_metrics = E.classification_metrics(scored, by).join(F.broadcast(E.roc_auc(scored, by)), by)
-    cv = cross_validate(makers, train, k)
+    test_metrics = E.classification_metrics(scored, by).join(E.roc_auc(scored, by), by)
+    cv = cross_validate(makers, train)
     cv_f1 = cv.where("metric = 'f1'").select("model", F.col("mean").alias("cv_f1"))
     names = list(makers)
     listing = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("model"))
-    table = test_metrics.join(F.broadcast(cv_f1), "model").withColumn("listing", listing)
+    table = test_metrics.join(cv_f1, "model").withColumn("listing", listing)
     best = E.champion(table, ["f1", "cv_f1"]).head()["model"]
     return fitted, table.withColumn("is_champion", F.col("model") == best), best

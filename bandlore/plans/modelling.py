@@ -39,7 +39,7 @@ def run_training(prepared, makers=None, k=5, path=None, choose_on="validation"):
         rows, judge = folded.where("fold <> 0"), folded.where("fold = 0")
     else:
         rows, judge = folded, test
-    _, table, best = T.train_and_compare(rows, judge, makers, k)
+    _, table, best = T.train_and_compare(rows, judge, makers)
     fitted = {name: T._fit(make, folded) for name, make in makers.items()}
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/model_metrics")
@@ -65,7 +65,7 @@ def run_tuning(prepared, baseline=None, size="coarse", k=5, names=None, path=Non
         [(n, str(f[0]), float(f[1]), i) for i, (n, f) in enumerate(found.items())],
         "model string, best_params string, cv_best_f1 double, listing int",
     )
-    table = metrics.join(F.broadcast(cv), "model")  # one row per model
+    table = metrics.join(cv, "model")
     gain = E.compare_to_baseline(metrics, baseline if baseline is not None else metrics)
     best = E.champion(table, ["recall", "f1", "accuracy"]).head()["model"]
     sweep = E.threshold_sweep(scored.where(F.col("model") == best))
@@ -78,10 +78,10 @@ def run_tuning(prepared, baseline=None, size="coarse", k=5, names=None, path=Non
             "operating_points": points, "calibration": E.calibration_curve(scored), "brier": E.brier(scored)}
 
 
-def run_ensemble(prepared, k=5, path=None, mlp_iterations=600, trees=200):
+def run_ensemble(prepared, k=5, path=None, mlp_iterations=600, trees=200, svm=None):
     """Perceptron, soft voting and stacking beside the tuned SVM and forest."""
     folded, test = folds_of(prepared, k)
-    svm = M.KernelSvm()
+    svm = svm or M.KernelSvm()
     rf = M.forest(trees=trees, min_leaf=2, subset="log2")
     mlp = M.perceptron(iterations=mlp_iterations)
     members = {M.SVM: svm, M.FOREST: rf, M.MLP: mlp, M.LOGISTIC: lambda n: M.logistic(n, 0.05)}

@@ -143,7 +143,7 @@ def _(t):
 def _(t):
     train, _ = _prepared(t)
     makers = {M.LOGISTIC: M.logistic, M.FOREST: M.forest(trees=20, depth=5)}
-    _, table, _ = T.train_and_compare(train.where("fold <> 0"), train.where("fold = 0"), makers, 2)
+    _, table, _ = T.train_and_compare(train.where("fold <> 0"), train.where("fold = 0"), makers)
     return table
 
 

@@ -3,8 +3,10 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
+from pyspark.sql import functions as F
 
+FEW = 100_000
 _local_fallback = {}
 
 
@@ -48,6 +50,16 @@ def scratch_path(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def few(df, limit=FEW):
+    """Broadcast hint for a table that has to stay small; the job fails if it has grown."""
+    rows = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
+    grown = F.raise_error(F.lit(f"more than {limit} rows to broadcast; group by fewer columns"))
+    checked = df.withColumn("_rows", rows).where(
+        F.when(F.col("_rows") > limit, grown.cast("boolean")).otherwise(F.lit(True))
+    )
+    return F.broadcast(checked.drop("_rows"))
+
+
 def stable(df):
     """Cut the lineage of ``df`` into the shared folder (survives executor loss)."""
     spark = df.sparkSession

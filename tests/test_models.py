@@ -196,6 +196,6 @@ def test_explanation_job(sides, tmp_path):
 
 
 def test_ensemble_job(prepared):
-    out = J.run_ensemble(prepared, k=2, mlp_iterations=15, trees=5)
+    out = J.run_ensemble(prepared, k=2, mlp_iterations=15, trees=5, svm=M.KernelSvm(landmarks=50, folds=2, iterations=5))
     assert out["metrics"].count() == 10
     assert out["loss"].count() > 1
