@@ -43,11 +43,7 @@ def run_training(prepared, makers=None, k=5, path=None, choose_on="validation"):
     fitted = {name: T._fit(make, folded) for name, make in makers.items()}
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/model_metrics")
-        writable = {n: m for n, m in fitted.items() if hasattr(m, "write")}
-        sinks.save_models(writable, f"{path}/models", best if best in writable else None)
-        for n, m in fitted.items():
-            if n not in writable:
-                m.save(f"{path}/models/{n.lower().replace(' ', '_')}")
+        sinks.save_models(fitted, f"{path}/models", best)
     return {"models": fitted, "metrics": table, "champion": best,
             "test": E.model_benchmark(M.score_models(test, fitted))}
 

@@ -1,8 +1,10 @@
 """Writers: splits, metric tables, reports, scored rows, fitted models."""
 
-from pyspark.ml import PipelineModel
+from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import functions as F
 
+from bandlore.operators.neighbors import KnnModel
+
 
 def write_splits(df, path):
     """One folder per split, so that reading a split prunes the other."""
@@ -48,15 +50,19 @@ def write_scored(df, path, fmt="csv"):
 
 def save_models(models, path, champion=None):
     """Every fitted model in its own folder, and the champion a second time as ``best``."""
-    saved = {}
-    for name, model in models.items():
-        saved[name] = f"{path}/{name.lower().replace(' ', '_')}"
-        model.write().overwrite().save(saved[name])
+    def save(model, target):
+        model.write().overwrite().save(target) if hasattr(model, "write") else model.save(target)
+        return target
+
+    saved = {name: save(m, f"{path}/{name.lower().replace(' ', '_')}") for name, m in models.items()}
     if champion is not None:
-        saved["best"] = f"{path}/best"
-        models[champion].write().overwrite().save(saved["best"])
+        saved["best"] = save(models[champion], f"{path}/best")
     return saved
 
 
-def load_model(path):
-    return PipelineModel.load(path)
+def load_model(spark, path):
+    """Any saved model. Saved metadata names its class; the neighbour model is a plain table."""
+    metadata = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
+    if metadata.getFileSystem(spark._jsc.hadoopConfiguration()).exists(metadata):
+        return DefaultParamsReader.loadParamsInstance(path, spark)
+    return KnnModel.load(spark, path)

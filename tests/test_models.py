@@ -99,7 +99,10 @@ def test_neighbors_model_saves_and_loads(spark, sides, tmp_path):
     folded, test = sides
     model = N.KnnClassifier(k=9, features="scaled_array").fit(folded)
     assert _auc(model, test) > 0.7
-    again = N.KnnModel.load(spark, model.save(str(tmp_path / "knn")))
+    from bandlore.sources import sinks
+
+    saved = sinks.save_models({M.NEIGHBORS: model}, str(tmp_path), champion=M.NEIGHBORS)
+    again = sinks.load_model(spark, saved["best"])
     a = model.transform(test).select("id", "prob", "pred_label")
     assert a.exceptAll(again.transform(test).select("id", "prob", "pred_label")).count() == 0
 
