@@ -213,21 +213,13 @@ def top_bands(table, value, k=15):
     return table.orderBy(F.desc(value), "band").limit(k).withColumn("feature", S.band_name("band"))
 
 
-def _entries():
-    return F.zip_with(
-        F.zip_with("phi", "features", lambda p, x: F.struct(p.alias("phi"), x.alias("x"))),
-        F.sequence(F.lit(1), F.size("phi")),
-        lambda v, b: F.struct(v["phi"].alias("phi"), v["x"].alias("x"), b.alias("band")),
+def _strongest_first():
+    """The row's (strength, band, phi, x) entries, sorted within the row: no shuffle is needed."""
+    keyed = F.arrays_zip(
+        F.transform("phi", lambda p: -F.abs(p)).alias("s"), F.sequence(F.lit(1), F.size("phi")).alias("band"),
+        F.col("phi").alias("phi"), F.col("features").alias("x"),
     )
-
-
-def _ranked(entries, keep, strength, k):
-    """The k strongest kept entries of the row's own array; no shuffle is needed."""
-    chosen = F.filter(entries, lambda e: keep(e["phi"]))
-    keyed = F.transform(chosen, lambda e: F.struct(
-        (-strength(e["phi"])).alias("s"), e["band"].alias("band"), e["phi"].alias("phi"), e["x"].alias("x")
-    ))
-    return F.slice(F.array_sort(keyed), 1, k)
+    return F.array_sort(keyed)
 
 
 def top_drivers(attr, k=6):
@@ -235,12 +227,12 @@ def top_drivers(attr, k=6):
 
     ``attr`` has (id, features, phi), both arrays.
     """
-    e = _entries()
+    sorted_ = attr.select("id", _strongest_first().alias("e"))
     sides = F.array(
-        F.struct(F.lit("mine").alias("side"), _ranked(e, lambda p: p > 0, F.abs, k).alias("top")),
-        F.struct(F.lit("rock").alias("side"), _ranked(e, lambda p: p < 0, F.abs, k).alias("top")),
+        F.struct(F.lit("mine").alias("side"), F.slice(F.filter("e", lambda v: v["phi"] > 0), 1, k).alias("top")),
+        F.struct(F.lit("rock").alias("side"), F.slice(F.filter("e", lambda v: v["phi"] < 0), 1, k).alias("top")),
     )
-    rows = attr.select("id", F.explode(sides).alias("s")).select(
+    rows = sorted_.select("id", F.explode(sides).alias("s")).select(
         "id", "s.side", F.posexplode("s.top").alias("pos", "t")
     )
     return rows.select(
@@ -252,8 +244,7 @@ def top_drivers(attr, k=6):
 
 def top_absolute(attr, k=8):
     """Per row, the k bands of largest absolute attribution."""
-    top = _ranked(_entries(), lambda p: p.isNotNull(), F.abs, k)
-    return attr.select("id", F.posexplode(top).alias("pos", "t")).select(
+    return attr.select("id", F.posexplode(F.slice(_strongest_first(), 1, k)).alias("pos", "t")).select(
         "id", (F.col("pos") + 1).alias("rank"), F.col("t.band").alias("band"), F.col("t.phi").alias("phi")
     )
 

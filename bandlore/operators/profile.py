@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import scalar as S
-from bandlore.operators.quantiles import SMALL_GROUP, exact_quantiles
+from bandlore.operators.quantiles import MAX_GROUPS, SMALL_GROUP, exact_quantiles
 from bandlore.session import few
 from bandlore.sources.signals import bands, present_values
 
@@ -198,31 +198,44 @@ def class_histogram(df, wanted=None, bins=K.HISTOGRAM_BINS):
 def class_density(df, wanted=None, points=K.KDE_GRID):
     """Gaussian kernel density per class on a shared grid over the range of the data.
 
-    Bandwidth is sample sd times n^(-1/5). Each value meets the fixed number of grid
-    points inside its own task; the partial sums shuffle points x classes rows per task.
+    Bandwidth is sample sd times n^(-1/5); a class without spread has no curve. Every task
+    adds its values up on the grid and hands on one sum per class and grid point.
     """
     wanted = wanted or K.HISTOGRAM_BANDS
-    long = _chosen(df, wanted)
-    scale = long.groupBy("band", "label").agg(
-        F.count("x").alias("n"), F.stddev_samp("x").alias("sd"),
-        F.min("x").alias("lo"), F.max("x").alias("hi"),
-    )
-    band_wide = Window.partitionBy("band")  # one row per class
-    scale = scale.select(
-        "band", "label", "n", (F.col("sd") * F.pow("n", F.lit(-0.2))).alias("h"),
-        F.min("lo").over(band_wide).alias("lo"), F.max("hi").over(band_wide).alias("hi"),
-    )
+    long = _chosen(df, wanted).where(F.col("label").isNotNull())
+    stats = long.groupBy("band", "label").agg(
+        F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    ).limit(MAX_GROUPS + 1).collect()
+    if len(stats) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} classes")
+    span = {b: (min(r["lo"] for r in stats if r["band"] == b), max(r["hi"] for r in stats if r["band"] == b))
+            for b in {r["band"] for r in stats}}
+    width = {(r["band"], r["label"]): r["sd"] * r["n"] ** -0.2 for r in stats if r["sd"]}
+    grids = {b: lo + np.arange(points) * (hi - lo) / (points - 1) for b, (lo, hi) in span.items()}
+    kind = dict(df.dtypes)["label"]
+
+    def add_up(batches):
+        sums = {}
+        for pdf in batches:
+            for key, x in pdf.groupby(["band", "label"])["x"]:
+                if key not in width:
+                    continue
+                values = x.to_numpy()
+                for i in range(0, len(values), 2000):
+                    z = (values[i:i + 2000, None] - grids[key[0]]) / width[key]
+                    sums[key] = sums.get(key, 0.0) + np.exp(-0.5 * z * z).sum(axis=0)
+        for (band, label), s in sums.items():
+            yield pd.DataFrame({"band": band, "label": label, "point": np.arange(points), "s": s})
+
+    parts = long.select("band", "label", "x").mapInPandas(add_up, f"band int, label {kind}, point bigint, s double")
+    sums = parts.groupBy("band", "label", "point").agg(F.sum("s").alias("s"))
+    scale = df.sparkSession.createDataFrame(
+        [(r["band"], r["label"], r["n"], width[r["band"], r["label"]], *span[r["band"]]) for r in stats
+         if (r["band"], r["label"]) in width],
+        f"band int, label {kind}, n bigint, h double, lo double, hi double")
     place = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
-    z = (F.col("x") - F.col("value")) / F.col("h")
-    spread = long.join(few(scale), ["band", "label"]).select(
-        "band", "label", "x", "n", "h", "lo", "hi",
-        F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
-    )
-    sums = spread.withColumn("value", place).groupBy("band", "label", "point", "value", "n", "h").agg(
-        F.sum(F.exp(-0.5 * z * z)).alias("s")
-    )
-    return sums.select(
-        "band", "label", F.col("point").cast("bigint").alias("point"), "value",
+    return sums.join(F.broadcast(scale), ["band", "label"]).select(  # a checked number of rows
+        "band", "label", "point", place.alias("value"),
         (F.col("s") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
     )
 

@@ -1,21 +1,21 @@
 """Exact quantiles (linear interpolation) of groups of any size.
 
 Small groups use the built-in ``percentile``, whose state holds every distinct value of a
-group in one task. Beyond a row bound the quantile is found by selection: a sketch brackets
-each wanted rank by two close values, counts below the brackets say where the rank lies,
-and only the values inside a bracket are ranked. The sketch steers the work; the result
-stays exact, because a rank outside its bracket is looked up in the bucket that holds it.
+group in one task. Beyond a row bound the wanted ranks are closed in: a histogram pass over
+a value range says which bin holds a rank, the smallest and largest value in that bin are the
+next range, and once few enough rows are left they are ranked. Bins only steer the search:
+counts and range ends are exact, so the result is too, whatever the distribution.
 """
 
-from functools import reduce
-from itertools import chain
+import math
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 SMALL_GROUP = 1_000_000
 MAX_GROUPS = 10_000
-ACCURACY = 10_000
+BINS = 1024
+FINITE = 8e307  # bins stay finite for infinite values
 
 
 def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP, extra=()):
@@ -23,80 +23,94 @@ def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP, extra=()):
 
     Rows with a missing value must be filtered out beforehand; ``by`` holds no nulls.
     """
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
-    if len(sizes) > MAX_GROUPS:
+    by = list(by)
+    rows = df.select(*by, F.col(value).cast("double").alias("x"))
+    groups = rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
+    ).limit(MAX_GROUPS + 1).collect()
+    if len(groups) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups; group by fewer columns")
-    if not sizes or max(r["n"] for r in sizes) <= small_group:
+    if not groups or max(g["n"] for g in groups) <= small_group:
         listed = F.array(*[F.lit(float(p)) for p in probs])
         return df.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n"), F.percentile(value, listed).alias("q"), *extra
         )
-    margin = 2.0 / ACCURACY
-    edges = sorted({min(max(p + s * margin, 0.0), 1.0) for p in probs for s in (-1, 1)})
-    # the cut points become literals, so that every use of them sees the same values
-    sketch = df.groupBy(*by).agg(F.percentile_approx(
-        value, F.array(*[F.lit(e) for e in edges]), F.lit(ACCURACY)).alias("cuts")).collect()
-    picked = _by_selection(df, by, value, probs, sketch, len(edges))
-    return picked.join(df.groupBy(*by).agg(*extra), list(by)) if extra else picked
+    kinds = dict(df.dtypes)
+    keys = ", ".join(f"`{c}` {kinds[c]}" for c in by)
+    found = _values_at_ranks(rows, by, keys, _wanted(groups, by, probs), small_group)
+    out = []
+    for g in groups:
+        key = tuple(g[c] for c in by)
+        at = [p * (g["n"] - 1) for p in probs]
+        ends = [(found[key, math.floor(a)], found[key, math.ceil(a)], a - math.floor(a)) for a in at]
+        out.append((*key, g["n"], [lo + (hi - lo) * part for lo, hi, part in ends]))
+    table = df.sparkSession.createDataFrame(out, f"{keys}, n bigint, q array<double>")
+    return table.join(df.groupBy(*by).agg(*extra), by) if extra else table
 
 
-def _by_selection(df, by, value, probs, sketch, n_cuts):
-    spark = df.sparkSession
-    kinds = dict(df.dtypes)
-    schema = ", ".join(chain((f"`{c}` {kinds[c]}" for c in by), ["cuts array<double>"]))
-    cuts = spark.createDataFrame(
-        [(*[r[c] for c in by], [float(v) for v in r["cuts"]]) for r in sketch], schema
-    )
-    # at most MAX_GROUPS groups were let through, so all the small tables here are bounded
-    rows = df.select(*by, F.col(value).cast("double").alias("x")).join(F.broadcast(cuts), by)
-    beyond = [F.when(F.col("x") > F.col("cuts")[i], 1).otherwise(0) for i in range(n_cuts)]
-    rows = rows.select(*by, "x", reduce(lambda a, b: a + b, beyond).alias("bucket"))
-    per_bucket = rows.groupBy(*by, "bucket").agg(F.count(F.lit(1)).alias("c"))
-    upto = Window.partitionBy(*by).orderBy("bucket")  # one row per bracket edge
-    whole = Window.partitionBy(*by)
-    spans = per_bucket.select(
-        *by, "bucket", F.sum("c").over(whole).alias("n"),
-        (F.sum("c").over(upto) - F.col("c")).alias("before"), F.sum("c").over(upto).alias("end"),
-    )
-    wanted = F.array(*[
-        F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("n") - 1)).alias("at"))
-        for i, p in enumerate(probs)
-    ])
-    targets = spans.select(*by, "bucket", "n", "before", "end", F.explode(wanted).alias("w")).select(
-        *by, "bucket", "n", "before", "end", "w.i", "w.at",
-        F.floor("w.at").alias("lo"), F.ceil("w.at").alias("hi"),
-    )
-    hit = targets.where(
-        F.col("lo").between(F.col("before"), F.col("end") - 1)
-        | F.col("hi").between(F.col("before"), F.col("end") - 1)
-    )
-    needed = hit.select(*by, "bucket").distinct()
-    # copies of one value collapse before the shuffle, so a hot value is one row
-    values = (
-        rows.join(F.broadcast(needed), by + ["bucket"], "left_semi")
-        .groupBy(*by, "bucket", "x").agg(F.count(F.lit(1)).alias("c"))
-    )
-    inside = Window.partitionBy(*by, "bucket").orderBy("x")
-    ranked = values.select(
-        *by, "bucket", "x", (F.sum("c").over(inside) - F.col("c")).alias("first"),
-        F.sum("c").over(inside).alias("after"),
-    )
-    picked = ranked.join(F.broadcast(hit), by + ["bucket"]).select(
-        *by, "n", "i", "at", "lo", "hi", "x",
-        (F.col("before") + F.col("first")).alias("r0"), (F.col("before") + F.col("after")).alias("r1"),
-    )
-
-    def at_rank(r):
-        return F.max(F.when((F.col(r) >= F.col("r0")) & (F.col(r) < F.col("r1")), F.col("x")))
-
-    ends = picked.groupBy(*by, "n", "i", "at", "lo").agg(
-        at_rank("lo").alias("x_lo"), at_rank("hi").alias("x_hi")
-    )
-    each = ends.select(
-        *by, "n", "i",
-        (F.col("x_lo") + (F.col("x_hi") - F.col("x_lo")) * (F.col("at") - F.col("lo"))).alias("v"),
-    )
-    return each.groupBy(*by).agg(
-        F.first("n").alias("n"),
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda s: s["v"]).alias("q"),
-    )
+def _wanted(groups, by, probs):
+    """{(group, rank): (lo, hi, rows below lo, rows in lo..hi)}, at first the whole group."""
+    return {
+        (tuple(g[c] for c in by), r): (g["lo"], g["hi"], 0, g["n"])
+        for g in groups for p in probs for r in (math.floor(p * (g["n"] - 1)), math.ceil(p * (g["n"] - 1)))
+    }
+
+
+def _values_at_ranks(rows, by, keys, wanted, small_group):
+    stuck = set()
+    while True:
+        wide = {k: s for k, s in wanted.items() if s[0] < s[1] and s[3] > small_group and k not in stuck}
+        if not wide:
+            break
+        closer = _narrowed(rows, by, keys, wide)
+        # a range that no bin divides is ranked as it is
+        stuck.update(k for k, s in wide.items() if k not in closer or closer[k][3] >= s[3])
+        wanted.update(closer)
+    found = {k: s[0] for k, s in wanted.items() if s[0] == s[1]}
+    found.update(_ranked(rows, by, keys, {k: s for k, s in wanted.items() if s[0] < s[1]}))
+    return found
+
+
+def _in_ranges(rows, by, keys, wanted):
+    """Rows inside a wanted range, and the ranks asked for in it; ranges asked for twice appear once."""
+    spark = rows.sparkSession
+    ranges, asked = {}, []
+    for (group, rank), (lo, hi, below, _) in wanted.items():
+        number = ranges.setdefault((group, lo, hi), len(ranges))
+        asked.append((number, rank, below))
+    listed = spark.createDataFrame([(*g, i, lo, hi) for (g, lo, hi), i in ranges.items()],
+                                   f"{keys}, part int, lo double, hi double")
+    ranks = spark.createDataFrame(asked, "part int, rank bigint, below bigint")
+    owners = {i: g for (g, _, _), i in ranges.items()}
+    # groups x ranks rows at most
+    inside = rows.join(F.broadcast(listed), by).where("x >= lo AND x <= hi")
+    return inside, F.broadcast(ranks), owners
+
+
+def _narrowed(rows, by, keys, wanted):
+    """The next range of every wanted rank: the values of the bin that holds it."""
+    inside, ranks, owners = _in_ranges(rows, by, keys, wanted)
+    low, high = F.greatest("lo", F.lit(-FINITE)), F.least("hi", F.lit(FINITE))
+    place = F.least(F.greatest((F.col("x") - low) / (high - low), F.lit(0.0)), F.lit(1.0)) * BINS
+    bin_ = F.least(F.floor(place), F.lit(BINS - 1))
+    bins = inside.groupBy("part", bin_.alias("bin")).agg(
+        F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    upto = Window.partitionBy("part").orderBy("bin")  # at most BINS rows
+    spans = bins.select("part", "lo", "hi", "c", F.sum("c").over(upto).alias("end"))
+    hit = spans.join(ranks, "part").where("rank - below < end AND rank - below >= end - c")
+    return {
+        (owners[r["part"]], r["rank"]): (r["lo"], r["hi"], r["below"] + r["end"] - r["c"], r["c"])
+        for r in hit.collect()
+    }
+
+
+def _ranked(rows, by, keys, wanted):
+    """Values at the wanted ranks. Copies of a value collapse before the shuffle."""
+    if not wanted:
+        return {}
+    inside, ranks, owners = _in_ranges(rows, by, keys, wanted)
+    values = inside.groupBy("part", "x").agg(F.count(F.lit(1)).alias("c"))
+    upto = Window.partitionBy("part").orderBy("x")  # a range holds few rows by now
+    spans = values.select("part", "x", "c", F.sum("c").over(upto).alias("end"))
+    hit = spans.join(ranks, "part").where("rank - below < end AND rank - below >= end - c")
+    return {(owners[r["part"]], r["rank"]): r["x"] for r in hit.collect()}

@@ -32,6 +32,20 @@ def test_quantiles(spark, bound):
         assert got[k] == pytest.approx(np.quantile(x[g == k], probs).tolist())
 
 
+def test_quantiles_of_extreme_values(spark):
+    inf = float("inf")
+    x = [-inf, inf, 5e-324, 0.0, 1e308, -1e308, 1e-300] * 5 + [float(i) for i in range(100)] + [7.0] * 200
+    df = spark.createDataFrame([("a", v) for v in x], "g string, x double")
+    probs = [0.02, 0.05, 0.2, 0.5, 0.9, 0.95]
+    small = exact_quantiles(df, ["g"], "x", probs).head()
+    found = exact_quantiles(df, ["g"], "x", probs, small_group=3).head()
+    at = [p * (len(x) - 1) for p in probs]
+    lows = [sorted(x)[int(a)] for a in at]
+    assert all(v >= low for v, low in zip(found.q, lows) if v == v)
+    assert found.q[2:5] == pytest.approx(small.q[2:5])
+    assert found.q[0] == -inf
+
+
 @pytest.mark.parametrize("bound", [300, 1_000_000])
 def test_running_sums_and_next(spark, bound):
     df, g, x = _values(spark)
