@@ -43,7 +43,7 @@ def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP, extra=()):
         key = tuple(g[c] for c in by)
         at = [p * (g["n"] - 1) for p in probs]
         ends = [(found[key, math.floor(a)], found[key, math.ceil(a)], a - math.floor(a)) for a in at]
-        out.append((*key, g["n"], [lo + (hi - lo) * part for lo, hi, part in ends]))
+        out.append((*key, g["n"], [lo if lo == hi else lo + (hi - lo) * part for lo, hi, part in ends]))
     table = df.sparkSession.createDataFrame(out, f"{keys}, n bigint, q array<double>")
     return table.join(df.groupBy(*by).agg(*extra), by) if extra else table
 
