@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from bandlore import constants as K
 from bandlore.functions import vectors as V
 from bandlore.operators.neighbors import KnnClassifier
-from bandlore.operators.sampling import order_key, stratified_folds
+from bandlore.operators.sampling import class_counts, order_key, stratified_folds
 
 LOGISTIC = "Logistic Regression"
 NEIGHBORS = "K-Nearest Neighbors"
@@ -139,7 +139,8 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """RBF support vector classifier: a kernel map, a linear SVM over it, and a probability.
 
     The probability is a logistic curve over the margin (Platt 1999), fitted on margins of
-    rows the SVM did not see, from stratified folds.
+    rows the SVM did not see, from stratified folds. ``folds=0`` leaves the curve at its
+    standard form, for uses that only read the hard label.
     """
 
     c = Param(Params._dummy(), "c", "inverse penalty", TypeConverters.toFloat)
@@ -163,31 +164,35 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset):
         folds, seed = self.getOrDefault("folds"), self.getOrDefault("seed")
-        g = kernel_gamma(dataset, self.getOrDefault("gamma"))
         slim = dataset.select("id", "y", "scaled")
-        mapped = KernelMap(landmark_rows(slim, self.getOrDefault("landmarks"), seed + 1), g)
-        # the narrow rows are kept; the SVM keeps its own blocks of the wide ones while it runs
-        folded = stratified_folds(slim, folds, seed).persist()
-        rows = mapped.transform(folded)
-        try:
-            sizes = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
-            n = sum(sizes.values())
-            held_out = None
-            for f in sorted(sizes):
-                fitted = self._svm(n - sizes[f]).fit(rows.where(F.col("fold") != f))
-                part = fitted.transform(rows.where(F.col("fold") == f)).select(
-                    "y", F.array(vector_to_array("raw_svm")[1]).alias("m")
-                )
-                held_out = part if held_out is None else held_out.unionByName(part)
-            curve = LogisticRegression(featuresCol="v", labelCol="y", maxIter=100).fit(
-                held_out.select("y", array_to_vector("m").alias("v"))
-            )
-            svm = self._svm(n).fit(rows)
-        finally:
-            folded.unpersist()
-        platt = PlattScaling(slope=float(curve.coefficients[0]), intercept=float(curve.intercept))
+        mapped = KernelMap(
+            landmark_rows(slim, self.getOrDefault("landmarks"), seed + 1),
+            kernel_gamma(slim, self.getOrDefault("gamma")),
+        )
+        platt = PlattScaling()
+        if folds:
+            # the narrow rows are kept; the SVM keeps its own blocks of the wide ones while it runs
+            folded = stratified_folds(slim, folds, seed).persist()
+            try:
+                platt = self._probability(mapped.transform(folded), class_counts(folded, "fold"))
+            finally:
+                folded.unpersist()
+        svm = self._svm(dataset.count()).fit(mapped.transform(slim))
         return PipelineModel([mapped, svm, platt])
 
+    def _probability(self, rows, sizes):
+        held_out = None
+        for f, size in sizes.items():
+            fitted = self._svm(sum(sizes.values()) - size).fit(rows.where(F.col("fold") != f))
+            part = fitted.transform(rows.where(F.col("fold") == f)).select(
+                "y", F.array(vector_to_array("raw_svm")[1]).alias("m")
+            )
+            held_out = part if held_out is None else held_out.unionByName(part)
+        curve = LogisticRegression(featuresCol="v", labelCol="y", maxIter=100).fit(
+            held_out.select("y", array_to_vector("m").alias("v"))
+        )
+        return PlattScaling(slope=float(curve.coefficients[0]), intercept=float(curve.intercept))
+
 
 class PlattScaling(Model, DefaultParamsReadable, DefaultParamsWritable):
     slope = Param(Params._dummy(), "slope", "slope over the margin", TypeConverters.toFloat)

@@ -17,6 +17,7 @@ from bandlore.functions import scalar as S
 from bandlore.operators.sampling import order_key
 
 METRICS = ("euclidean", "manhattan")
+WEIGHTS = ("uniform", "distance")
 N_PIVOTS = 32
 TRAIN_BLOCK = 20_000
 QUERY_BLOCK = 20_000
@@ -178,22 +179,34 @@ def nearest_neighbors(queries, train, k, metric="euclidean", n_pivots=N_PIVOTS,
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def vote(neighbors, k, weights="distance"):
-    """Probability of the positive class per query from its k nearest rows.
+def vote_all(neighbors, sizes, kinds=WEIGHTS):
+    """Probability of the positive class per query, neighbourhood size and kind of vote, in one pass.
 
     uniform: share of positives. distance: weights 1/d; if any d is 0 only those rows vote.
     """
-    if weights not in ("uniform", "distance"):
-        raise ValueError(f"unknown weights {weights!r}")
-    near = neighbors.where(F.col("rank") <= k)
-    if weights == "uniform":
-        return near.groupBy("id").agg(F.avg("y").alias("prob"))
-    exact = F.col("distance") == 0.0
+    unknown = set(kinds) - set(WEIGHTS)
+    if unknown:
+        raise ValueError(f"unknown weights {sorted(unknown)}; use {WEIGHTS}")
+    exact, positive = F.col("distance") == 0.0, F.col("y") == 1
     w = F.try_divide(F.lit(1.0), F.col("distance"))
-    return near.groupBy("id").agg(
-        F.count_if(exact).alias("e"), F.count_if(exact & (F.col("y") == 1)).alias("e1"),
-        F.sum(w).alias("w"), F.sum(F.when(F.col("y") == 1, w).otherwise(0.0)).alias("w1"),
-    ).select("id", F.when(F.col("e") > 0, S.ratio("e1", "e")).otherwise(S.ratio("w1", "w")).alias("prob"))
+    sums, entries = [], []
+    for k in sizes:
+        near = F.col("rank") <= k
+        sums += [
+            F.avg(F.when(near, F.col("y"))).alias(f"u{k}"),
+            F.count_if(near & exact).alias(f"e{k}"), F.count_if(near & exact & positive).alias(f"f{k}"),
+            F.sum(F.when(near, w)).alias(f"w{k}"), F.sum(F.when(near & positive, w)).alias(f"v{k}"),
+        ]
+        by_distance = F.when(F.col(f"e{k}") > 0, S.ratio(f"f{k}", f"e{k}")).otherwise(
+            S.ratio(F.coalesce(f"v{k}", F.lit(0.0)), f"w{k}"))
+        probs = {"uniform": F.col(f"u{k}"), "distance": by_distance}
+        entries += [F.struct(F.lit(k).alias("k"), F.lit(n).alias("weights"), probs[n].alias("prob")) for n in kinds]
+    per_query = neighbors.where(F.col("rank") <= max(sizes)).groupBy("id").agg(*sums)
+    return per_query.select("id", F.explode(F.array(*entries)).alias("s")).select("id", "s.*")
+
+
+def vote(neighbors, k, weights="distance"):
+    return vote_all(neighbors, [k], [weights]).select("id", "prob")
 
 
 class KnnClassifier:

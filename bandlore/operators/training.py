@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
-from bandlore.operators.neighbors import KnnClassifier, nearest_neighbors, vote
+from bandlore.operators.neighbors import KnnClassifier, nearest_neighbors, vote_all
 from bandlore.operators.sampling import class_counts, learning_prefixes
 
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
@@ -136,35 +136,31 @@ def _search_svm(train, grid):
     listed = settings(grid)
     rows = []
     for i, s in enumerate(listed):
-        oof = out_of_fold(M.KernelSvm(**s), train, "svm")
+        # hard labels decide, so the probability curve is left out of the search
+        oof = out_of_fold(M.KernelSvm(folds=0, **s), train, "svm")
         rows.append((s, _mean_fold_f1(oof)["svm"], i))
     best = _best(rows)
     return best[0], best[1], M.KernelSvm(**best[0]).fit(train)
 
 
 def _search_neighbors(train, grid, k):
-    """One neighbour join per (metric, fold) serves every k and both votes."""
-    largest = max(grid["k"])
-    tried, joins = None, []
+    """One neighbour join per (metric, fold), and one pass over it, serve every k and both votes."""
+    largest, counts = max(grid["k"]), None
     for metric in grid["metric"]:
         for f in range(k):
             held = train.where(F.col("fold") == f)
+            rest = train.where(F.col("fold") != f)
             near = nearest_neighbors(
                 held.select("id", F.col("scaled_array").alias("features")),
-                train.where(F.col("fold") != f).select("id", F.col("scaled_array").alias("features"), "y"),
-                largest, metric,
-            ).persist()
-            joins.append(near)
-            for size, weights in product(grid["k"], grid["weights"]):
-                part = held.select("id", "y", "fold").join(vote(near, size, weights), "id").select(
-                    "y", "fold", (F.col("prob") > 0.5).cast("int").alias("pred_label"),
-                    F.lit(f"{size}/{weights}/{metric}").alias("model"),
-                )
-                counts = E.confusion(part, ["model", "fold"])
-                tried = counts if tried is None else tried.unionByName(counts)
-    per_model = E.with_metrics(tried).groupBy("model").agg(F.avg("f1").alias("f1")).collect()
-    for near in joins:
-        near.unpersist()
+                rest.select("id", F.col("scaled_array").alias("features"), "y"), largest, metric,
+            )
+            votes = held.select("id", "y", "fold").join(vote_all(near, grid["k"], grid["weights"]), "id").select(
+                "y", "fold", (F.col("prob") > 0.5).cast("int").alias("pred_label"),
+                F.concat_ws("/", "k", "weights", F.lit(metric)).alias("model"),
+            )
+            part = E.confusion(votes, ["model", "fold"])
+            counts = part if counts is None else counts.unionByName(part)
+    per_model = E.with_metrics(counts).groupBy("model").agg(F.avg("f1").alias("f1")).collect()
     scores = {r["model"]: r["f1"] for r in per_model}
     rows = [
         (s, scores[f"{s['k']}/{s['weights']}/{s['metric']}"], i) for i, s in enumerate(settings(grid))

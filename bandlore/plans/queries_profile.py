@@ -70,7 +70,7 @@ UNION ALL SELECT s.id + 2000000000, f.features, f.label FROM sig s, (SELECT feat
 def _with_copies(t):
     """Signals, a copy of every positive one, and one signal repeated as often as there are rows."""
     s = t.signals()
-    first = s.agg(F.min_by(F.struct("features", "label"), "id").alias("f"))
+    first = s.where(F.col("id") == s.agg(F.min("id")).scalar()).select(F.struct("features", "label"))
     hot = s.select((F.col("id") + 2000000000).alias("id")).withColumn("f", first.scalar()).select("id", "f.*")
     again = s.where("label = 'M'").withColumn("id", F.col("id") + 1000000000)
     return s.unionByName(again).unionByName(hot)

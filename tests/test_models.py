@@ -125,6 +125,8 @@ def test_search(sides):
     folded, test = sides
     best, f1, model = T.search(folded, M.NEIGHBORS, {"k": [1, 9], "weights": ["uniform", "distance"], "metric": ["euclidean"]}, 5)
     assert best["k"] == 9 and 0.5 < f1 < 1
+    best, f1, model = T.search(folded, M.SVM, {"c": [1.0], "gamma": ["scale"]}, 5)
+    assert best == {"c": 1.0, "gamma": "scale"} and f1 > 0.6
     best, f1, model = T.search(folded, M.FOREST, {"trees": [10], "depth": [3], "min_split": [2, 5], "min_leaf": [1], "subset": ["sqrt"]}, 5)
     assert "min_split" not in best and _auc(model, test) > 0.6
 
@@ -138,7 +140,7 @@ def test_learning_curve(sides):
 
 def test_training_job(prepared, tmp_path):
     makers = {M.LOGISTIC: M.logistic, M.FOREST: M.forest(trees=10, depth=5), M.NEIGHBORS: N.KnnClassifier(features="scaled_array")}
-    out = J.run_training(prepared, makers, path=str(tmp_path), k=5)
+    out = J.run_training(prepared, makers, path=str(tmp_path), k=3)
     assert out["champion"] in makers
     assert out["metrics"].where("is_champion").count() == 1
     spark = prepared.sparkSession
