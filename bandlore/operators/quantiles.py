@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 1_000_000
+SMALL_GROUP = 250_000
 MAX_GROUPS = 10_000
 BINS = 1024
 FINITE = 8e307  # bins stay finite for infinite values
