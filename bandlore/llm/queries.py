@@ -27,3 +27,19 @@ def op1(spark, sf_dir):
 
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op8_bpe_round_trip")
+def op8(spark, sf_dir):
+    """doc_id, n_tokens and digests of ids and decoded text of every document."""
+    from bandlore.llm.bpe import round_trip_digests
+
+    return round_trip_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op6_token_counts")
+def op6(spark, sf_dir):
+    """doc_id, n_bytes, n_tokens, over_limit of every document. Every call starts with an empty cache."""
+    from bandlore.llm.token_cache import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"))
