@@ -43,3 +43,46 @@ def op6(spark, sf_dir):
     from bandlore.llm.token_cache import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ring_shards")
+def op4(spark, sf_dir):
+    """Shard and slot of every document on a bounded-load ring without slack: row counts at most one apart."""
+    from bandlore.llm.ring import shard
+
+    placed = shard(table(spark, sf_dir, "documents"), shards=16)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+WORDS_SQL = """regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"""
+
+
+@query("op7_line_quality", f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+  {WORDS_SQL} AS w FROM documents),
+win AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) > 3),
+rep AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i+1], w[i+2]) AS c FROM win) WHERE c > 1),
+cov AS (SELECT r, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) v(k) GROUP BY r),
+lines AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+said AS (SELECT r, l, regexp_extract_all(l, '[^\\x20\\x09-\\x0D]+') AS w FROM lines),
+judged AS (SELECT r, l, w, len(w) > 0 AS spoken, (
+  len(list_filter(w, lambda x: regexp_matches(x, '!!|\\?\\?|##|\\*\\*|\\$\\$|%%|&&|\\|\\||<<|>>|~~|==|__|\\^\\^|[#*$%&<>~^]$')))
+    > 0.3::DOUBLE*len(w)
+  OR (len(list_filter(w, lambda x: regexp_matches(x, '^[|»›>·•]+$'))) >= 3
+    AND len(list_filter(w, lambda x: regexp_matches(x, '^[|»›>·•]+$'))) >= 0.25::DOUBLE*len(w))
+  OR (len(w) <= 30 AND regexp_matches(l, '(?i)\\b(all rights reserved|copyright \\(c\\)|cookie policy|privacy policy|terms of (use|service)|(licensed|released) under|subscribe to our|sign up for|log in to|enable javascript|click here|read more|share this|follow us|skip to content|back to top)\\b'))
+  ) AS bad FROM said),
+per AS (SELECT r, count(*) FILTER (WHERE spoken) - count(DISTINCT l) FILTER (WHERE spoken) AS dup,
+  coalesce(sum(len(w)) FILTER (WHERE NOT bad), 0) AS words_left FROM judged GROUP BY r),
+base AS (SELECT doc_id, len(d.w)::BIGINT AS n_words, length(array_to_string(d.w, ''))::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, dup::BIGINT AS n_dup_lines,
+  coalesce(cov.n, 0)::BIGINT AS n_repeat_words, words_left FROM d JOIN per USING (r) LEFT JOIN cov USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100*n_repeat_words > 50*n_words AS base_failed,
+  NOT (n_words < 50 OR 100*n_repeat_words > 50*n_words) AND words_left >= 0.5::DOUBLE*n_words AS kept FROM base""")
+def op7(spark, sf_dir):
+    """Base measures and the verdict of line-first cleaning of every document."""
+    from bandlore.llm.quality import cleaned
+
+    return cleaned(table(spark, sf_dir, "documents")).drop("text", "words_left")
