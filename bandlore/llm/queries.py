@@ -86,3 +86,32 @@ def op7(spark, sf_dir):
     from bandlore.llm.quality import cleaned
 
     return cleaned(table(spark, sf_dir, "documents")).drop("text", "words_left")
+
+
+@query("op5_benchmark_overlap", """WITH
+iw AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, w[i:i+9] AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i
+  FROM iw WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
+  lambda x: x <> '') AS w FROM documents),
+sizes AS (SELECT DISTINCT len(win) AS n FROM win),
+dw AS (SELECT r, i, n, w[i:i+n-1] AS win FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+  FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, i, n, item_id FROM dw JOIN win USING (win)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+its AS (SELECT r, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s
+  FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN its USING (r)""")
+def op5(spark, sf_dir):
+    """Benchmark windows in every document."""
+    from bandlore.llm.decontaminate import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
