@@ -115,3 +115,15 @@ def op5(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op10_repeated_passages")
+def op10(spark, sf_dir):
+    """Every document without the passages that stand earlier elsewhere, and the removed offsets."""
+    from bandlore.llm.repeats import without_repeats
+
+    found = without_repeats(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s.start, s.end)), ",")
+    return found.select(
+        "doc_id", "n_units", "n_removed", "removed_chars", (F.col("n_removed") > 0).alias("has_repeats"),
+        spans.alias("removed_spans"), "text")
