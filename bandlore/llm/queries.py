@@ -127,3 +127,30 @@ def op10(spark, sf_dir):
     return found.select(
         "doc_id", "n_units", "n_removed", "removed_chars", (F.col("n_removed") > 0).alias("has_repeats"),
         spans.alias("removed_spans"), "text")
+
+
+def remainder(divisor):
+    """crc32 of doc_id as text, modulo ``divisor``; null for a null doc_id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
+
+
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    """Language of every document, learned from the documents whose checksum modulo 4 is not 2."""
+    from bandlore.llm.language import identify, train
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    model = train(docs.where(remainder(4) != 2))
+    return identify(docs.select("doc_id", "text", held_out.alias("held_out")), model, "held_out")
+
+
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    """Toxicity score of every document, learned from the labelled documents whose checksum modulo 3 is not 1."""
+    from bandlore.llm.toxicity import scored, train
+
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels").where(remainder(3) != 1))
+    held_out = F.coalesce(remainder(3) == 1, F.lit(False))
+    return scored(docs.select("doc_id", "text", held_out.alias("held_out")), model, "held_out")
