@@ -5,7 +5,7 @@ intersected with the Levenshtein automata of its words: a state is a set of (tri
 are numbered once, which gives one deterministic table for the whole lexicon. All words of a batch run through the table
 letter by letter, together.
 
-A hit counts in full, less if misspelled, and less inside a quotation or after a reporting word. The sum of a document
+A hit counts by how strongly its term speaks for the label, less if misspelled, and less inside a quotation or after a reporting word. The sum of a document
 and its densest window of words go into a logistic regression fitted on the labels.
 """
 
@@ -20,9 +20,11 @@ from bandlore.llm.common import rows_read, sampled
 #: Most labelled training documents (by hash of doc_id) and most lexicon terms.
 TRAINING, TERMS = 20_000, 300
 #: A term is taken from this many toxic documents and this share of them on, if it is this much likelier there.
-SUPPORT, SHARE, RATIO = 3, 0.02, 40.0
+SUPPORT, SHARE, RATIO = 3, 0.02, 10.0
+#: How much likelier a term is that counts in full; others count by their logarithm.
+FULL = 200.0
 #: Lengths of word beginnings; shortest word that may be misspelled by one edit.
-STEMS, FUZZY = (4, 5, 6), 5
+STEMS, FUZZY = (3, 4, 5, 6, 7, 8), 5
 #: Words in a window; what a misspelled, a quoted and a reported hit counts.
 WINDOW, MISSPELLED, QUOTED, REPORTED = 40, 0.6, 0.3, 0.5
 #: Words before a hit among which a reporting word is looked for. The reporting words.
@@ -56,12 +58,13 @@ def _letter_table():
 class Automaton:
     """The lexicon trie crossed with one-edit Levenshtein automata, as a table of numbered state sets.
 
-    ``terms``: words, or word beginnings written with a final ``*``. A beginning must match exactly; a word of FUZZY
+    ``terms``: words, or word beginnings written with a final ``*``, and what a hit of each counts (else 1). A beginning must match exactly; a word of FUZZY
     letters or more also matches with one letter changed, added or left out, unless it is among ``strict``.
     """
 
     def __init__(self, terms, strict=(), fuzzy=FUZZY):
         self.terms = sorted(terms)
+        self.worth = np.array([terms[t] if isinstance(terms, dict) else 1.0 for t in self.terms])
         may_fail = {t for t in self.terms if len(t) >= fuzzy and t not in strict}
         children, ends, stems, may_err = [{}], {}, {}, {}
         for i, term in enumerate(self.terms):
@@ -167,16 +170,16 @@ class Automaton:
         return hit, term[hit], wrong[hit]
 
 
-def _context(text, codes, starts, lengths, hits, wrong):
-    """What each hit counts, from its spelling and the text before it."""
+def _context(text, codes, starts, lengths, hits, wrong, worth):
+    """What each hit counts, from its term, its spelling and the text before it."""
     marks = np.isin(codes, [ord(q) for q in QUOTES])
     before = np.concatenate(([0], np.cumsum(marks)))
     lines = np.concatenate(([0], np.flatnonzero(codes == 10) + 1))
     out = []
-    for hit, bad in zip(hits.tolist(), wrong.tolist()):
+    for hit, bad, full in zip(hits.tolist(), wrong.tolist(), worth.tolist()):
         at = starts[hit]
         line = lines[np.searchsorted(lines, at, "right") - 1]
-        weight = MISSPELLED if bad else 1.0
+        weight = MISSPELLED * full if bad else full
         if (before[at] - before[line]) % 2:
             weight *= QUOTED
         elif any(text[starts[w]:starts[w] + lengths[w]] in REPORTING for w in range(max(0, hit - NEAR), hit)):
@@ -189,10 +192,10 @@ def evidence(automaton, text):
     """Sum of what the hits count, the largest sum in a window of WINDOW words, and the number of hits."""
     lowered = (text or "").lower()
     codes, starts, lengths = _words(lowered)
-    hits, _, wrong = automaton.match(codes, starts, lengths)
+    hits, terms, wrong = automaton.match(codes, starts, lengths)
     if not len(hits):
         return 0.0, 0.0, 0
-    weights = _context(lowered, codes, starts, lengths, hits, wrong)
+    weights = _context(lowered, codes, starts, lengths, hits, wrong, automaton.worth[terms])
     total = np.concatenate(([0.0], np.cumsum(weights)))
     ahead = np.searchsorted(hits, hits + WINDOW, "left")
     return float(total[-1]), float((total[ahead] - total[:-1]).max()), len(hits)
@@ -219,30 +222,33 @@ def _terms(docs):
 
 
 def lexicon(rows, most=TERMS):
-    """Terms for the automaton from labelled ``rows`` (toxic, text). Beginnings stand for words that share them."""
+    """Terms for the automaton and what a hit of each counts, from labelled ``rows`` (toxic, text).
+
+    A beginning stands for the words that share it. Of terms that begin alike the one with the strongest evidence, its
+    toxic documents times the logarithm of the ratio, is taken; of equals the longer one.
+    """
     of_label = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = of_label.get(1, 0), of_label.get(0, 0)
     if not toxic:
-        return []
+        return {}
     counts = _terms(rows).groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
-    likelier = (F.col("a") / toxic) / ((F.col("b") + 0.5) / max(clean, 1))
-    strong = counts.where((F.col("a") >= max(SUPPORT, SHARE * toxic)) & (likelier >= RATIO)).orderBy(F.desc("a"), "term").limit(20 * most)
-    found = {r.term: r.a for r in strong.collect()}
-    words = {t: n for t, n in found.items() if not t.endswith("*")}
-    chosen = {}
-    for term in sorted((t for t in found if t.endswith("*")), key=lambda t: (len(t), t)):
-        stem = term[:-1]
-        if any(stem.startswith(s[:-1]) for s in chosen):
-            continue
-        # A beginning that nearly all its documents share as one word is that word.
-        if max([n for w, n in words.items() if w.startswith(stem)], default=0) < 0.8 * found[term]:
-            chosen[term] = found[term]
-    for word, n in words.items():
-        if not any(word.startswith(s[:-1]) for s in chosen):
-            chosen[word] = n
-    return sorted(sorted(chosen, key=lambda t: (-chosen[t], t))[:most])
+    ratio = (F.col("a") / toxic) / ((F.col("b") + 0.5) / max(clean, 1))
+    strong = counts.withColumn("ratio", ratio).where((F.col("a") >= max(SUPPORT, SHARE * toxic)) & (ratio >= RATIO))
+    strong = strong.withColumn("evidence", F.col("a") * F.log("ratio"))
+    found = strong.orderBy(F.desc("evidence"), F.desc(F.length("term")), "term").limit(20 * most).collect()
+    found.sort(key=lambda r: (-r.evidence, -len(r.term.removesuffix("*")), r.term.endswith("*"), r.term))
+    chosen, stems, begun = {}, set(), set()
+    for r in found:
+        word = r.term.removesuffix("*")
+        beginnings = {word[:n] for n in range(1, len(word) + 1)}
+        if len(chosen) < most and not stems & beginnings and not (r.term.endswith("*") and word in begun):
+            chosen[r.term] = min(1.0, math.log(r.ratio) / math.log(FULL))
+            begun |= beginnings
+            if r.term.endswith("*"):
+                stems.add(word)
+    return chosen
 
 
 def _misread(rows, automaton):
@@ -294,7 +300,7 @@ def train(docs, labels, limit=TRAINING, most=TERMS):
         F.col("toxic").cast("int").alias("toxic"), "text")
     terms = lexicon(rows, most)
     if not terms:
-        return Model(Automaton([]), [0.0, 0.0], -60.0)
+        return Model(Automaton({}), [0.0, 0.0], -60.0)
     automaton = Automaton(terms)
     automaton = Automaton(terms, _misread(rows, automaton))
 

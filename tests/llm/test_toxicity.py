@@ -63,7 +63,7 @@ def test_held_out_labels(spark, small):
         if r.held_out and labels.get(r.doc_id) is not None and docs[r.doc_id]:
             seen.append((labels[r.doc_id], r.predicted))
     assert sum(y for y, _ in seen) >= 50
-    assert sum(p for y, p in seen if y) >= 0.9 * sum(y for y, _ in seen)
+    assert sum(p for y, p in seen if y) >= 0.8 * sum(y for y, _ in seen)
     assert sum(p for y, p in seen if not y) <= 0.005 * len(seen)
 
 
