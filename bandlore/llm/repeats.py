@@ -16,7 +16,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import binary_text
+from bandlore.llm.common import binary_text, stable
 
 #: Fewest words of a removed run of units.
 RUN_WORDS = 20
@@ -92,6 +92,8 @@ def marks(docs):
     first = _exploded(docs).groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("f")).where("n > 1")
     first = first.select("d1", "d2", F.col("f.row_hash").alias("fh"), F.col("f.row_check").alias("fc"),
                          F.col("f.at").alias("fa"))
+    # Written, so that the join shuffles both sides anew and a hot digest can be split.
+    first = stable(first)
     later = _exploded(docs).drop("doc_id").join(first, ["d1", "d2"]).where(
         "row_hash <> fh or row_check <> fc or at <> fa")
     return later.groupBy("row_hash", "row_check").agg(F.sort_array(F.collect_set("at")).alias("marked"))
