@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import LOWER, binary_text, tokenizer_path, written
+from bandlore.llm.common import LOWER, binary_text, stable, tokenizer_path, written
 from bandlore.session import scratch_path
 
 #: Words whose count a worker remembers.
@@ -139,5 +139,6 @@ def token_counts(docs, cache=None, path=None, limit=2048):
         missing.alias("m"), F.expr("t.doc_id <=> m.doc_id and t.digest = m.digest"), "left_semi").select("digest", "text")
     _encoded(one_each, vocabulary).write.mode("append").parquet(stored)
     known = spark.read.schema(CACHE).parquet(stored).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    return digests.join(known, "digest").select(
+    # Written, so that the join shuffles both sides anew and a hot digest can be split.
+    return digests.join(stable(known), "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
