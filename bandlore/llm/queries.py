@@ -154,3 +154,23 @@ def op3(spark, sf_dir):
     model = train(docs, table(spark, sf_dir, "labels").where(remainder(3) != 1))
     held_out = F.coalesce(remainder(3) == 1, F.lit(False))
     return scored(docs.select("doc_id", "text", held_out.alias("held_out")), model, "held_out")
+
+
+@query("op9_personal_data")
+def op9(spark, sf_dir):
+    """Counts and digest of the pattern spans of every document, and all spans."""
+    from bandlore.llm.personal import KINDS, found_spans, train
+
+    docs = table(spark, sf_dir, "documents")
+    found = found_spans(docs, train(docs))
+    base = F.filter("spans", lambda s: s.base)
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    def counted(kind):
+        return F.size(F.filter("spans", lambda s: s.base & (s.kind == kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"))
