@@ -1,11 +1,11 @@
 """Near-duplicates by 64-bit SimHash and a self-join of the binary trie of all distinct fingerprints.
 
-Two fingerprints link if at most two bits differ. The trie is walked in pairs of nodes: a pair adds the differing bits
-of its two prefixes and is dropped as soon as they exceed the budget. The walk starts at three rotations of the
-fingerprints and below a common top block: of three disjoint blocks one must be equal in every linking pair. So the
-pairs of nodes at the top need no listing, and each start node is an independent piece of work for one task. A piece
-with too many members is cut into pairs of child nodes, again within the budget, before it reaches a task; at full
-depth a node holds one fingerprint, so every piece becomes small enough, however the fingerprints are spread.
+Two fingerprints link if at most ``budget`` bits differ, two by default. The trie is walked in pairs of nodes: a pair
+adds the differing bits of its two prefixes and is dropped as soon as they exceed the budget. The walk starts at budget +
+1 rotations of the fingerprints and below a common top block: of budget + 1 disjoint blocks one must be equal in every
+linking pair. So the pairs of nodes at the top need no listing, and each start node is an independent piece of work for
+one task. A piece with too many members is cut into pairs of child nodes, again within the budget, before it reaches a
+task; at full depth a node holds one fingerprint, so every piece becomes small enough, however they are spread.
 
 A task returns a spanning forest of the links it found, never all pairs. Components come from star contraction.
 """
@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from bandlore.llm.common import LOWER, binary_text, stable, written
 
 BUDGET = 2
-#: Rotation to the left and width of the block that must be equal.
-BLOCKS = ((0, 22), (22, 21), (43, 21))
 #: Most members of a piece of the trie in one task.
-PIECE = 32_768
+PIECE = 1 << 18
 #: Bits by which a large piece is cut.
 STEP = 8
+#: Pairs of nodes that a task holds at once, and pairs of members below which two nodes are compared directly.
+FRONT, DIRECT = 1 << 20, 64
 PIECE_KEY = ["turn", "depth", "left", "right"]
 
 
@@ -63,27 +63,32 @@ def _rotated(fp, turn):
     return fp if turn == 0 else F.shiftleft(fp, turn).bitwiseOR(F.shiftrightunsigned(fp, 64 - turn))
 
 
-def _pieces(nodes):
+def blocks(budget):
+    """(rotation to the left, width) of disjoint blocks, one more than ``budget``: one is equal in every linking pair."""
+    edges = [round(64 * k / (budget + 1)) for k in range(budget + 2)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:])]
+
+
+def _pieces(nodes, budget):
     """Every fingerprint below its start node in each rotation."""
-    fp = F.col("fp")
     starts = F.array(*[
-        F.struct(F.lit(turn).alias("turn"), F.lit(width).alias("depth"), _rotated(fp, turn).alias("key"))
-        for turn, width in BLOCKS
+        F.struct(F.lit(turn).alias("turn"), F.lit(width).alias("depth"), _rotated(F.col("fp"), turn).alias("key"))
+        for turn, width in blocks(budget)
     ])
     rows = nodes.select(F.explode(starts).alias("s")).select("s.*")
     top = F.expr("shiftrightunsigned(key, 64 - depth)")
     return rows.select("turn", "depth", top.alias("left"), top.alias("right"), "key")
 
 
-def _cut(pieces, step=STEP):
+def _cut(pieces, budget, step=STEP):
     """Members of large pieces, sent to the pairs of child nodes that the budget still allows."""
     bits = f"least({step}, 64 - depth)"
     child = pieces.withColumn("bits", F.expr(bits)).withColumn(
         "node", F.expr("shiftrightunsigned(key, 64 - depth - bits)")
     ).withColumn("is_left", F.expr("shiftrightunsigned(key, 64 - depth) = left"))
-    masks = F.array(*[F.lit(m).cast("long") for m in range(1 << step) if m.bit_count() <= BUDGET])
+    masks = F.array(*[F.lit(m).cast("long") for m in range(1 << step) if m.bit_count() <= budget])
     rows = child.withColumn("mask", F.explode(masks)).where(
-        "bit_count(mask) + bit_count(left ^ right) <= 2 and mask < shiftleft(1L, bits)")
+        f"bit_count(mask) + bit_count(left ^ right) <= {budget} and mask < shiftleft(1L, bits)")
     other = F.expr(
         "shiftleft(if(is_left, right, left), bits) | ((node & (shiftleft(1L, bits) - 1)) ^ mask)")
     rows = rows.withColumn("other", other)
@@ -108,38 +113,63 @@ def _roots(n, a, b):
         root = new
 
 
-def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used):
+def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
     """Links between members of pairs of trie nodes, each node a range of the sorted array ``key``.
 
-    All pairs of one call share ``depth``. Returns index arrays a, b.
+    All pairs of one call share ``depth``. Returns index arrays a, b. Pairs of nodes wait on a stack in bounded parts.
     """
-    found = []
-    while len(lo_a):
-        single = (hi_a - lo_a == 1) & (hi_b - lo_b == 1)
-        a, b = lo_a[single], lo_b[single]
-        close = (np.bitwise_count(key[a] ^ key[b]) <= BUDGET) & (a != b)
+    found, ones = [], {}
+    todo = [(depth, (lo_a, hi_a, lo_b, hi_b, used))]
+    while todo:
+        depth, front = todo.pop()
+        if len(front[0]) > FRONT:
+            todo += [(depth, tuple(x[k:k + FRONT] for x in front)) for k in range(0, len(front[0]), FRONT)]
+            continue
+        lo_a, hi_a, lo_b, hi_b, used = front
+        few = (hi_a - lo_a) * (hi_b - lo_b) <= (DIRECT if depth < 64 else key.size ** 2)
+        a, b = _members(lo_a[few], hi_a[few], lo_b[few], hi_b[few])
+        close = (np.bitwise_count(key[a] ^ key[b]) <= budget) & (a != b)
         found.append((a[close], b[close]))
-        lo_a, hi_a, lo_b, hi_b, used = (x[~single] for x in (lo_a, hi_a, lo_b, hi_b, used))
-        if depth == 64 or not len(lo_a):
-            break
-        ones = np.concatenate(([0], np.cumsum((key >> np.uint64(63 - depth)) & np.uint64(1)))).astype(np.int64)
-        mid_a, mid_b = hi_a - (ones[hi_a] - ones[lo_a]), hi_b - (ones[hi_b] - ones[lo_b])
+        lo_a, hi_a, lo_b, hi_b, used = (x[~few] for x in front)
+        if not len(lo_a):
+            continue
+        if depth not in ones:
+            bits = (key >> np.uint64(63 - depth)) & np.uint64(1)
+            ones[depth] = np.concatenate(([0], np.cumsum(bits))).astype(np.int64)
+        count = ones[depth]
+        mid_a, mid_b = hi_a - (count[hi_a] - count[lo_a]), hi_b - (count[hi_b] - count[lo_b])
         same = lo_a == lo_b
-        parts = []
         for start_a, end_a, start_b, end_b, add, twice in (
             (lo_a, mid_a, lo_b, mid_b, 0, False), (mid_a, hi_a, mid_b, hi_b, 0, False),
             (lo_a, mid_a, mid_b, hi_b, 1, False), (mid_a, hi_a, lo_b, mid_b, 1, True),
         ):
-            keep = (end_a > start_a) & (end_b > start_b) & (used + add <= BUDGET)
+            keep = (end_a > start_a) & (end_b > start_b) & (used + add <= budget)
             if twice:
                 keep &= ~same
-            parts.append([x[keep] for x in (start_a, end_a, start_b, end_b, used + add)])
-        lo_a, hi_a, lo_b, hi_b, used = (np.concatenate(x) for x in zip(*parts))
-        depth += 1
+            if keep.any():
+                todo.append((depth + 1, tuple(x[keep] for x in (start_a, end_a, start_b, end_b, used + add))))
+        todo = _joined(todo)
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
 
 
-def _forest(rows):
+def _joined(todo):
+    """The last parts of the stack as one, while they share a depth and stay below the bound."""
+    while len(todo) > 1 and todo[-1][0] == todo[-2][0] and len(todo[-1][1][0]) + len(todo[-2][1][0]) <= FRONT:
+        depth, last = todo.pop()
+        todo[-1] = depth, tuple(np.concatenate(x) for x in zip(todo[-1][1], last))
+    return todo
+
+
+def _members(lo_a, hi_a, lo_b, hi_b):
+    """All pairs of members of pairs of small nodes."""
+    wide = hi_b - lo_b
+    n = (hi_a - lo_a) * wide
+    pair = np.repeat(np.arange(len(n)), n)
+    at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+    return lo_a[pair] + at // wide[pair], lo_b[pair] + at % wide[pair]
+
+
+def _forest(rows, budget=BUDGET):
     """Spanning links of sorted member rows (turn, depth, left, right, key) that hold whole pieces."""
     turn, depth, left, right, key = rows
     out_a, out_b = [], []
@@ -157,7 +187,7 @@ def _forest(rows):
         lo_a, hi_a = start, np.where(single, end, mid)
         lo_b, hi_b = np.where(single, start, mid), end
         live = np.where(single, end - start > 1, (hi_a > lo_a) & (hi_b > lo_b))
-        a, b = _walk(own, lo_a[live], hi_a[live], lo_b[live], hi_b[live], d, used[live])
+        a, b = _walk(own, lo_a[live], hi_a[live], lo_b[live], hi_b[live], d, used[live], budget)
         root = _roots(len(own), a, b)
         leaf = np.flatnonzero(root != np.arange(len(own)))
         back = [(own << np.uint64(64 - t)) | (own >> np.uint64(t)) if t else own][0]
@@ -168,36 +198,36 @@ def _forest(rows):
     return np.concatenate(out_a).view(np.int64), np.concatenate(out_b).view(np.int64)
 
 
-def _links(batches):
-    """Walk the pieces of a sorted partition; whole pieces are taken together, about PIECE rows at a time."""
+def _links(batches, budget=BUDGET):
+    """Walk the pieces of a sorted partition; whole pieces are taken together, some 65,536 rows or one piece at a time."""
     held = None
     for batch in batches:
         got = [batch.column(c).to_numpy(zero_copy_only=False) for c in (*PIECE_KEY, "key")]
         got[4] = got[4].view(np.uint64)
         held = got if held is None else [np.concatenate(x) for x in zip(held, got)]
-        if len(held[0]) < 2 * PIECE:
+        if len(held[0]) < 1 << 16:
             continue
         last = np.ones(len(held[0]), bool)
         for column in held[:4]:
             last &= column == column[-1]
         cut = int(np.flatnonzero(last)[0])
         if cut:
-            yield _linked(*_forest([x[:cut] for x in held]))
+            yield _linked(*_forest([x[:cut] for x in held], budget))
             held = [x[cut:] for x in held]
     if held is not None:
-        yield _linked(*_forest(held))
+        yield _linked(*_forest(held, budget))
 
 
 def _linked(a, b):
     return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def links(nodes, piece=PIECE):
+def links(nodes, piece=PIECE, budget=BUDGET):
     """Links a-b between distinct fingerprints ``fp`` of ``nodes``; together they connect what a full join connects.
 
     ``piece`` bounds the members of one piece of work, not the result: larger pieces are cut, with no row left out.
     """
-    todo, ready = _pieces(nodes), []
+    todo, ready = _pieces(nodes, budget), []
     while True:
         is_left = F.expr("int(shiftrightunsigned(key, 64 - depth) = left)")
         large = stable(todo.groupBy(*PIECE_KEY).agg(F.count("*").alias("n"), F.sum(is_left).alias("n_left")).where(
@@ -207,12 +237,12 @@ def links(nodes, piece=PIECE):
             break
         ready.append(todo.join(large, PIECE_KEY, "left_anti"))
         two_sided = large.where("left = right or n_left between 1 and n - 1")
-        todo = stable(_cut(todo.join(two_sided, PIECE_KEY, "left_semi")))
+        todo = stable(_cut(todo.join(two_sided, PIECE_KEY, "left_semi"), budget))
     found = None
     for rows in ready:
         dealt = rows.select(*PIECE_KEY, "key").repartition(*PIECE_KEY).sortWithinPartitions(
             *PIECE_KEY, F.expr("shiftrightunsigned(key, 1)"), F.expr("key & 1"))
-        part = dealt.mapInArrow(_links, "a long, b long")
+        part = dealt.mapInArrow(lambda batches: _links(batches, budget), "a long, b long")
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -234,24 +264,24 @@ def components(edges):
         pairs = stable(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct())
 
 
-def near_duplicates(docs, size=3, piece=PIECE):
+def near_duplicates(docs, size=3, budget=BUDGET, piece=PIECE):
     """One row per document: doc_id, fp, component_id (smallest doc_id linked to it over any chain, itself included),
     and two hashes of doc_id and text (row_hash, row_check) that find the row again.
 
     Null, empty and wordless texts share fingerprint 0 and so one component. Rows with equal doc_id stay separate rows.
     A component whose doc_ids are all null has a null component_id. An empty table gives no rows.
     """
-    return _classed(docs, size, piece).drop("root")
+    return _classed(docs, size, budget, piece).drop("root")
 
 
 def _row_keys():
     return F.xxhash64("doc_id", "text").alias("row_hash"), F.hash("doc_id", "text").alias("row_check")
 
 
-def _classed(docs, size, piece):
+def _classed(docs, size, budget, piece):
     prints = written(fingerprints(docs, size), "fingerprints")
     nodes = stable(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    stars = components(links(nodes, piece))
+    stars = components(links(nodes, piece, budget))
     classed = nodes.join(stars.withColumnRenamed("a", "fp"), "fp", "left").select(
         "fp", "low", F.coalesce("b", "fp").alias("root"))
     least = classed.groupBy("root").agg(F.min("low").alias("component_id"))
@@ -259,13 +289,13 @@ def _classed(docs, size, piece):
         "doc_id", "fp", "component_id", "root", "row_hash", "row_check")
 
 
-def one_per_group(docs, size=3, piece=PIECE):
+def one_per_group(docs, size=3, budget=BUDGET, piece=PIECE):
     """``docs`` without near copies: of every component the row with the smallest doc_id stays (null doc_ids last).
 
     Between rows of one doc_id a hash of the text decides; of wholly equal rows one stays. Other columns are untouched.
     """
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "row_check")
-    first = _classed(docs, size, piece).groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check")
+    first = _classed(docs, size, budget, piece).groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check")
     first = first.toDF("_row_hash", "_row_check").distinct()
     row_hash, row_check = _row_keys()
     rows = docs.withColumn("_row_hash", row_hash).withColumn("_row_check", row_check)

@@ -1,18 +1,45 @@
 """A training corpus from raw documents, in five stages of the text operators."""
 
+from bandlore.llm import bpe, decontaminate, language, personal, simhash
 from bandlore.llm.common import written
-from bandlore.llm.simhash import one_per_group
 
 #: No SQL states these stages; the tests hold them against brute-force versions.
 ORACLE_SQL = None
 
+#: Shingle words and differing bits of the near-duplicate stage. Two words and six bits find copies that share four
+#: fifths or more of their five-word shingles; README has the figures.
+NEAR_WORDS, NEAR_BITS = 2, 6
+
+
+def language_id(spark, docs, sf_dir):
+    """Documents in a recognisable language stay. Learns from the languages that the documents state."""
+    return language.recognised(docs, language.train(docs))
+
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near copies stays."""
-    return one_per_group(docs)
+    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    return simhash.one_per_group(docs, NEAR_WORDS, NEAR_BITS)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark, docs, sf_dir):
+    """Personal data in the texts is replaced by the name of its kind."""
+    return personal.masked(docs, personal.train(docs))
+
+
+def encoding(spark, docs, sf_dir):
+    """doc_id, token ids and their number."""
+    return bpe.encode(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [
+    ("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination),
+    ("personal_data", personal_data), ("encoding", encoding),
+]
 
 
 def run(spark, sf_dir):

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import types as T
 
@@ -19,7 +20,7 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints):
+def brute_components(prints, budget=2):
     group = {p: p for p in prints}
 
     def root(p):
@@ -29,7 +30,7 @@ def brute_components(prints):
 
     for p in prints:
         for q in prints:
-            if (p ^ q).bit_count() <= 2:
+            if (p ^ q).bit_count() <= budget:
                 group[max(root(p), root(q))] = min(root(p), root(q))
     return {p: root(p) for p in prints}
 
@@ -62,19 +63,22 @@ def test_cut_pieces_lose_no_link(spark):
                 p ^= 1 << random.choice([0, 1, 20, 21, 22, 23, 42, 43, 44, 62, 63, random.randrange(64)])
             prints.add(p)
     nodes = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
-    for piece in (4, M.PIECE):
-        found = M.links(nodes, piece).collect()
+    for piece, budget in ((4, 2), (M.PIECE, 2), (30, 4), (M.PIECE, 6)):
+        found = M.links(nodes, piece, budget).collect()
         stars = {r.a: r.b for r in M.components(spark.createDataFrame(found, "a long, b long")).collect()}
         got = {}
         for p in prints:
             got.setdefault(stars.get(signed(p), signed(p)), set()).add(p)
         want = {}
-        for p, r in brute_components(prints).items():
+        for p, r in brute_components(prints, budget).items():
             want.setdefault(r, set()).add(p)
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
-def test_walk_finds_all_pairs():
+@pytest.mark.parametrize("front, direct", [(M.FRONT, M.DIRECT), (16, 1), (50, 4)])
+def test_walk_finds_all_pairs(monkeypatch, front, direct):
+    monkeypatch.setattr(M, "FRONT", front)
+    monkeypatch.setattr(M, "DIRECT", direct)
     rng = np.random.default_rng(3)
     key = np.unique(rng.integers(0, 1 << 9, 200, dtype=np.uint64) << np.uint64(40))
     n = len(key)
