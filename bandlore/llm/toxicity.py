@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import rows_read, sampled
+from bandlore.llm.common import rows_read, sampled, written
 
 #: Most labelled training documents (by hash of doc_id) and most lexicon terms.
 TRAINING, TERMS = 20_000, 300
@@ -296,8 +296,10 @@ def train(docs, labels, limit=TRAINING, most=TERMS):
     from pyspark.ml.functions import array_to_vector
 
     marked = sampled(labels.where("toxic in (0, 1)").select("doc_id", "toxic").distinct(), limit)
-    rows = docs.where("text is not null").select("doc_id", "text").join(marked, "doc_id").select(
+    # About ``limit`` ids at most, whatever the table: small enough to send, so that no text is shuffled.
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(marked), "doc_id").select(
         F.col("toxic").cast("int").alias("toxic"), "text")
+    rows = written(rows, "toxicity-sample")
     terms = lexicon(rows, most)
     if not terms:
         return Model(Automaton({}), [0.0, 0.0], -60.0)
