@@ -59,14 +59,16 @@ def prepared(spark, out):
 
 def predict(spark, out, source, header=False, tau=K.SAFE_TAU, model="best"):
     """Score an unlabelled batch with a saved model; returns the summary row."""
-    rows = G.to_features(G.read_batch_csv(spark, source, header)).withColumn("id", F.monotonically_increasing_id())
-    good, bad = G.split_quarantine(G.validate(rows))
+    rows = G.read_batch_csv(spark, source, header).withColumn("id", F.monotonically_increasing_id())
+    # Ids are fixed by writing them; files are read and checked once.
+    rows.write.mode("overwrite").parquet(f"{out}/predictions_input")
+    good, bad = G.split_quarantine(spark.read.schema(rows.schema).parquet(f"{out}/predictions_input"))
     scaled = BandScalerModel.load(f"{out}/prepared/scaler").transform(good)
     scaled = scaled.withColumn("scaled_array", vector_to_array("scaled"))
     scored, summary = score_batch(sinks.load_model(spark, f"{out}/trained/models/{model}"), scaled, tau)
     written = G.to_columns(scored, keep=("id", "Probability_Mine", "Probability_Rock", "Prediction"))
     sinks.write_scored(written, f"{out}/predictions")
-    bad.select("id", "reason").write.mode("overwrite").parquet(f"{out}/predictions_quarantine")
+    bad.select("id", "raw", "reason").write.mode("overwrite").parquet(f"{out}/predictions_quarantine")
     return summary.head()
 
 

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import scalar as S
-from bandlore.operators.ordered import ROWS_PER_RANGE, Ranged
-from bandlore.session import few
+from bandlore.operators.ordered import Ranged
 
 
 def apply_tau(scored, tau=K.DEFAULT_TAU):
@@ -87,17 +86,17 @@ def calibration_curve(scored, by=("model",), bins=K.CALIBRATION_BINS):
     )
 
 
-def _score_groups(scored, by, rows_per_range):
+def _score_groups(scored, by, ranges):
     """Distinct scores from high to low with their positives and negatives."""
     groups = scored.groupBy(*by, "prob").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
     )
-    return Ranged(groups, by, [F.desc("prob")], rows_per_range, at_most=scored.count())
+    return Ranged(groups, by, [F.desc("prob")], ranges)
 
 
-def roc_auc(scored, by=("model",), rows_per_range=ROWS_PER_RANGE):
+def roc_auc(scored, by=("model",), ranges=None):
     """Exact area under the ROC curve, ties count half; 0.5 if a class is absent."""
-    run = _score_groups(scored, by, rows_per_range).running({"pos_upto": "pos"})
+    run = _score_groups(scored, by, ranges).running({"pos_upto": "pos"})
     won = F.col("neg") * (F.col("pos_upto") - F.col("pos") + 0.5 * F.col("pos"))
     sums = run.groupBy(*by).agg(F.sum(won).alias("w"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     return sums.select(
@@ -105,27 +104,26 @@ def roc_auc(scored, by=("model",), rows_per_range=ROWS_PER_RANGE):
     )
 
 
-def roc_curve(scored, by=("model",), rows_per_range=ROWS_PER_RANGE):
+def roc_curve(scored, by=("model",), ranges=None):
     """Curve points in order of falling score, corners only, with the origin first.
 
     A point is dropped if both counts of the next score equal its own: it then lies on the
     straight line between its neighbours. First and last score always stay.
     """
     by = list(by)
-    ranged = _score_groups(scored, by, rows_per_range).add_next(["pos", "neg"])
+    ranged = _score_groups(scored, by, ranges)
+    totals = ranged.rows.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    ranged = ranged.add_next(["pos", "neg"])
     run = ranged.running({"tp": "pos", "fp": "neg"})
     last = F.col("next_pos").isNull()
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-    totals = scored.groupBy(*by).agg(
-        F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") != 1).alias("n")
-    )
     corners = run.where(last | first | bends).select(*by, F.col("prob").alias("threshold"), "tp", "fp")
     origin = totals.select(
         *by, F.lit(float("inf")).alias("threshold"),
         F.lit(0).cast("bigint").alias("tp"), F.lit(0).cast("bigint").alias("fp"),
     )
-    points = origin.unionByName(corners).join(few(totals), by)
+    points = origin.unionByName(corners).join(totals, by)
     return points.select(
         *by, "threshold", S.ratio("fp", "n").alias("fpr"), S.ratio("tp", "p").alias("tpr")
     )
@@ -199,7 +197,7 @@ def operating_points(sweep, by=("model",)):
     return picked.select(*by, F.explode(listed).alias("s")).select(*by, "s.point", "s.r.*")
 
 
-def model_benchmark(scored, by=("model",), taus=(K.DEFAULT_TAU, K.SAFE_TAU), rows_per_range=ROWS_PER_RANGE):
+def model_benchmark(scored, by=("model",), taus=(K.DEFAULT_TAU, K.SAFE_TAU), ranges=None):
     """One row per model and threshold: counts, metrics, AUC and Brier score."""
     by = list(by)
     # every threshold is counted in the same pass over the scores
@@ -215,7 +213,7 @@ def model_benchmark(scored, by=("model",), taus=(K.DEFAULT_TAU, K.SAFE_TAU), row
         for i, t in enumerate(taus)
     ])
     per_tau = counted.select(*by, "brier", F.explode(listed).alias("s")).select(*by, "s.*", "brier")
-    return with_metrics(per_tau).join(roc_auc(scored, by, rows_per_range), by)
+    return with_metrics(per_tau).join(roc_auc(scored, by, ranges), by)
 
 
 def fold_summary(per_fold, by=("model", "metric")):
@@ -273,31 +271,34 @@ def error_features(signals, errors):
     return signals.join(errors.select("id"), "id", "left_semi")
 
 
-def probability_order(scored, tau=K.SAFE_TAU, by=("model",), rows_per_range=ROWS_PER_RANGE):
+def probability_order(scored, tau=K.SAFE_TAU, by=("model",), ranges=None):
     """Rows by rising score with their 0-based position; errors are marked."""
     slim = scored.select(*by, "id", "y", "prob")
-    placed = Ranged(slim, by, [F.col("prob"), F.col("id")], rows_per_range).positions()
+    placed = Ranged(slim, by, [F.col("prob"), F.col("id")], ranges).positions()
     return placed.withColumn("is_error", S.is_threat("prob", tau).cast("int") != F.col("y"))
 
 
-def _extreme_rows(rows, by, value, name):
-    """The row of highest ``value`` per group, lowest id on ties.
+def _extreme_rows(rows, by, values):
+    """For each name in ``values`` the row of the highest value per group, lowest id on ties.
 
-    Plain maxima and minima aggregate by hash; a maximum over whole rows would sort them all.
+    One pass finds all maxima, one pass over the rows finds the lowest id at each; plain maxima and minima aggregate by
+    hash, where a maximum over whole rows would sort them all.
     """
     by = list(by)
-    valued = rows.withColumn("_v", value)
-    best = few(valued.groupBy(*by).agg(F.max("_v").alias("_v")))
-    ties = valued.join(best, by + ["_v"])
-    first = few(ties.groupBy(*by).agg(F.min("id").alias("id")))
-    return ties.join(first, by + ["id"]).drop("_v").withColumn("_name", F.lit(name))
+    named = list(values)
+    valued = rows.select("*", *[v.alias(f"_v{i}") for i, v in enumerate(values.values())])
+    best = valued.groupBy(*by).agg(*[F.max(f"_v{i}").alias(f"_m{i}") for i in range(len(named))])
+    kept = [c for c in rows.columns if c not in by]
+    hits = F.array(*[F.when(F.col(f"_v{i}") == F.col(f"_m{i}"), F.lit(n)) for i, n in enumerate(named)])
+    ties = valued.join(best, by).select(*by, *kept, F.explode(F.array_compact(hits)).alias("_name"))
+    first = ties.groupBy(*by, "_name").agg(F.min_by(F.struct(*kept), "id").alias("_row"))
+    return first.select(*by, "_name", "_row.*")
 
 
 def most_confident(scored, by=("model",)):
     """Highest and lowest score; the lowest id wins ties."""
     slim = scored.select(*by, "id", "y", "prob")
-    both = _extreme_rows(slim, by, F.col("prob"), "positive").unionByName(
-        _extreme_rows(slim, by, -F.col("prob"), "negative"))
+    both = _extreme_rows(slim, by, {"positive": F.col("prob"), "negative": -F.col("prob")})
     return both.select(*by, F.col("_name").alias("side"), "id", "y", "prob")
 
 
@@ -306,8 +307,7 @@ def exemplars(scored, tau=K.SAFE_TAU, by=("model",)):
     by = [*by, "y"]
     toward = F.when(F.col("y") == 1, F.col("prob")).otherwise(-F.col("prob"))
     slim = scored.select(*by, "id", "prob")
-    both = _extreme_rows(slim, by, toward, "confident").unionByName(
-        _extreme_rows(slim, by, -F.abs(S.signed_margin("prob", tau)), "borderline"))
+    both = _extreme_rows(slim, by, {"confident": toward, "borderline": -F.abs(S.signed_margin("prob", tau))})
     side = F.when(F.col("y") == 1, "mine").otherwise("rock")
     return both.select(*by, F.concat_ws("_", "_name", side).alias("sample"), "id", "prob")
 

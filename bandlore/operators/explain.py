@@ -11,45 +11,72 @@ from bandlore.functions import scalar as S
 from bandlore.functions import vectors as V
 from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
+from bandlore.operators.ordered import Ranged
 from bandlore.operators.sampling import order_key
 
-BLOCK_ROWS = 4_000
+#: Rows that one task permutes together. The permutation itself spans the table; this only cuts the work.
+BLOCK_ROWS = 4_096
 
 
-def _with_block(df, seed, block_rows):
-    """Hash-ordered blocks of bounded size; a permutation then stays inside its block."""
-    blocks = max(1, df.count() // block_rows)
-    key = order_key(seed)
-    number = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")
-    return df.withColumn("_key", key).withColumn("_block", F.pmod(number, F.lit(blocks)).cast("int"))
+def shift_of(repeat, rows):
+    """Cyclic shift of the hash order of a table by a repeat (1-based).
+
+    Never the identity for two rows or more, and no shift comes twice while the rows allow it.
+    """
+    return 1 + (repeat - 1) % (rows - 1) if rows > 1 else 0
 
 
-def shift_of(repeat, size):
-    """Cyclic shift of the hash order used by a repeat (1-based); never the identity for size > 1."""
-    return 1 + (repeat * 7 - 7) % (size - 1) if size > 1 else 0
+def _in_blocks(df, seed, repeats, block_rows=BLOCK_ROWS):
+    """The rows in hash order, dealt to blocks: ``_block``, ``_pos`` (place in the whole table), and the number of rows.
+
+    The donor of a row is the one ``shift`` places further on. So each block also gets the first rows of the next one,
+    the last block those of the first, marked ``_lent``.
+    """
+    block_rows = max(block_rows, repeats)
+    keyed = df.withColumn("_key", order_key(seed))
+    placed = Ranged(keyed, [], [F.col("_key"), F.col("id")]).positions("_pos").drop("_key")
+    rows = placed.count()
+    blocks = max(1, rows // block_rows)
+    size = max(1, rows // blocks)
+    block = F.least(F.floor(F.col("_pos") / size), F.lit(blocks - 1))
+    own = placed.withColumn("_block", block.cast("bigint")).withColumn("_lent", F.lit(False))
+    if blocks == 1:
+        return own, rows
+    lent = own.where(F.col("_pos") - F.col("_block") * size < repeats).withColumn("_lent", F.lit(True)).withColumn(
+        "_pos", F.when(F.col("_block") == 0, F.col("_pos") + rows).otherwise(F.col("_pos"))).withColumn(
+        "_block", F.pmod(F.col("_block") - 1, F.lit(blocks)))
+    return own.unionByName(lent), rows
+
+
+def _donor(pdf, repeat, rows):
+    """For the own rows of a block in order the index of the donor among all its rows."""
+    own = int((~pdf["_lent"]).sum())
+    at = np.arange(own) + shift_of(repeat, rows)
+    return at % rows if own == rows else at
 
 
 def linear_permutation_importance(df, fitted, n_repeats=15, seed=42, block_rows=BLOCK_ROWS, cut=0.0):
     """F1 drop of the mean-difference scorer when one band takes another row's value.
 
-    Rows stand in random (hash) order inside blocks and a repeat shifts that order, which is
-    a bijection. Only one term of the margin changes per band, so each block updates its
-    margins in place and hands on four counts per (band, repeat).
+    Rows stand in random (hash) order and a repeat shifts that order, which is a bijection of the whole table. Only
+    one term of the margin changes per band, so each block updates its margins in place and hands on four counts per
+    (band, repeat).
     """
     from bandlore.operators.linear import margin
 
     scored = margin(df.select("id", "features", "y"), fitted)
     weights = fitted.select(F.col("p.weight").alias("w")).head()["w"]  # one value per band
     w = np.array(weights, dtype=float)
-    blocked = _with_block(scored, seed, block_rows)
+    blocked, rows = _in_blocks(scored, seed, n_repeats, block_rows)
 
     def counts(pdf):
-        pdf = pdf.sort_values(["_key", "id"])
-        x = np.stack(pdf["features"].to_numpy()).astype(float)
-        base, y = pdf["margin"].to_numpy(), pdf["y"].to_numpy() == 1
+        pdf = pdf.sort_values("_pos").reset_index(drop=True)
+        every = np.stack(pdf["features"].to_numpy()).astype(float)
+        own = ~pdf["_lent"].to_numpy()
+        x, base, y = every[own], pdf["margin"].to_numpy()[own], pdf["y"].to_numpy()[own] == 1
         out = []
         for r in range(0, n_repeats + 1):
-            donor = np.roll(x, -shift_of(r, len(x)), axis=0) if r else x
+            donor = every[_donor(pdf, r, rows)] if r else x
             hit = (base[:, None] + (donor - x) * w) >= cut
             out.append(pd.DataFrame({
                 "repeat": r, "band": np.arange(1, x.shape[1] + 1),
@@ -78,14 +105,13 @@ def _drops(cells):
 
 def permuted_pairs(df, n_repeats=15, seed=42, block_rows=BLOCK_ROWS):
     """Every row with its donor row per repeat: (id, y, repeat, features, donor)."""
-    blocked = _with_block(df.select("id", "y", "features"), seed, block_rows)
+    blocked, rows = _in_blocks(df.select("id", "y", "features"), seed, n_repeats, block_rows)
 
     def pairs(pdf):
-        pdf = pdf.sort_values(["_key", "id"]).reset_index(drop=True)
-        parts = []
+        pdf = pdf.sort_values("_pos").reset_index(drop=True)
+        own, parts = pdf[~pdf["_lent"]][["id", "y", "features"]], []
         for r in range(1, n_repeats + 1):
-            at = np.roll(np.arange(len(pdf)), -shift_of(r, len(pdf)))
-            parts.append(pdf[["id", "y", "features"]].assign(repeat=r, donor=pdf["features"].to_numpy()[at]))
+            parts.append(own.assign(repeat=r, donor=pdf["features"].to_numpy()[_donor(pdf, r, rows)]))
         return pd.concat(parts)
 
     return blocked.groupBy("_block").applyInPandas(

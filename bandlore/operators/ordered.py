@@ -1,48 +1,39 @@
 """Order-dependent operators that never sort everything in one task.
 
-A window without a partition, or one over a hot group, runs in a single task. Here the
-rows are range-partitioned once, each range is worked on alone, and the small per-range
-totals are carried over as offsets.
+A window without a partition, or one over a hot group, runs in a single task. Here the rows are always
+range-partitioned once, each range is worked on alone, and the per-range totals are carried over as offsets.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from bandlore.session import few, stable
-
-ROWS_PER_RANGE = 1_000_000
+from bandlore.session import stable
 
 
 class Ranged:
-    """Rows in total order ``by + order``, cut into ranges of bounded size.
+    """Rows in total order ``by + order``, cut into ranges.
 
-    ``order`` must end in a unique key if ties may be many, so that a hot value can be
-    cut too. ``at_most`` is a bound on the rows, if one is known. The range id is fixed by a checkpoint: range partitioning samples its input,
-    so a recomputed range id could differ.
+    ``order`` must end in a unique key if ties may be many, so that a hot value can be cut too. ``ranges`` sets the
+    number of ranges; left out, Spark takes its shuffle partitions and merges small ones. It changes no result. The
+    range id is fixed by a checkpoint: range partitioning samples its input, so a recomputed range id could differ.
     """
 
-    def __init__(self, df, by, order, rows_per_range=ROWS_PER_RANGE, at_most=None):
+    def __init__(self, df, by, order, ranges=None):
         self.by = list(by)
         self.order = list(order)
-        n = df.count() if at_most is None else at_most
-        self.pieces = max(1, -(-n // rows_per_range))
-        if self.pieces == 1:
-            self.rows = df.withColumn("_range", F.lit(0))
-        else:
-            parted = df.repartitionByRange(self.pieces, *[F.col(c) for c in self.by], *self.order)
-            self.rows = stable(parted.withColumn("_range", F.spark_partition_id()))
+        keys = [*[F.col(c) for c in self.by], *self.order]
+        parted = df.repartitionByRange(ranges, *keys) if ranges else df.repartitionByRange(*keys)
+        self.rows = stable(parted.withColumn("_range", F.spark_partition_id()))
         self.local = Window.partitionBy(*self.by, "_range").orderBy(*self.order)
 
     def _totals_window(self):
-        # one row per (group, range): a few thousand at most
+        # one row per (group, range): a group has as many rows as there are shuffle partitions, whatever the data
         return Window.partitionBy(*self.by, F.lit(0)).orderBy("_range")
 
     def running(self, sums):
         """Inclusive running sums. ``sums`` maps a new column to the column it adds up."""
         upto = self.local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = self.rows.select("*", *[F.sum(c).over(upto).alias(n) for n, c in sums.items()])
-        if self.pieces == 1:
-            return out.drop("_range")
         totals = self.rows.groupBy(*self.by, "_range").agg(
             *[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()]
         )
@@ -51,7 +42,7 @@ class Ranged:
             *self.by, "_range",
             *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
         )
-        joined = out.join(few(offsets), self.by + ["_range"])
+        joined = out.join(offsets, self.by + ["_range"])
         for n in sums:
             joined = joined.withColumn(n, F.col(n) + F.col(f"_o_{n}"))
         return joined.drop("_range", *[f"_o_{n}" for n in sums])
@@ -65,9 +56,6 @@ class Ranged:
         """Carry columns of the following row in the group, null for the last row."""
         lead = [F.lead(c).over(self.local).alias(f"{prefix}{c}") for c in columns]
         out = self.rows.select("*", *lead)
-        if self.pieces == 1:
-            self.rows = out
-            return self
         heads = (
             self.rows.withColumn("_rn", F.row_number().over(self.local)).where("_rn = 1")
             .select(*self.by, "_range", *columns)
@@ -76,7 +64,7 @@ class Ranged:
             *self.by, "_range",
             *[F.lead(c).over(self._totals_window()).alias(f"_h_{c}") for c in columns],
         )
-        joined = out.join(few(following), self.by + ["_range"])
+        joined = out.join(following, self.by + ["_range"])
         for c in columns:
             joined = joined.withColumn(f"{prefix}{c}", F.coalesce(f"{prefix}{c}", f"_h_{c}"))
         self.rows = joined.drop(*[f"_h_{c}" for c in columns])

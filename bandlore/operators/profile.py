@@ -2,30 +2,42 @@
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import scalar as S
-from bandlore.operators.quantiles import MAX_GROUPS, SMALL_GROUP, exact_quantiles
-from bandlore.session import few
+from bandlore.operators.quantiles import exact_quantiles
 from bandlore.sources.signals import bands, present_values
 
 
-def dataset_summary(df, width=K.N_BANDS):
-    """Shape, column kinds and the global range, mean and population sd of all values."""
-    long = bands(df.select("features"))
-    held = F.when(~S.missing("x"), F.col("x"))
-    return long.agg(
-        F.count_if(F.col("band") == 1).alias("num_rows"),
-        F.min(held).alias("global_min"), F.max(held).alias("global_max"),
-        F.avg(held).alias("global_mean"), F.stddev_pop(held).alias("global_std"),
+def _kinds(df):
+    """Numbers of double and of text columns besides the id and the feature array, from the schema."""
+    kinds = [kind for name, kind in df.dtypes if name not in ("id", "features")]
+    return F.lit(kinds.count("double")), F.lit(kinds.count("string")), F.lit(len(kinds))
+
+
+def dataset_summary(df, width=None):
+    """Shape, column kinds and the global range, mean and population sd of all values.
+
+    Every row counts, with a null or short array too. The number of features is ``width`` or that of the longest row.
+    """
+    values = F.filter("features", lambda x: ~S.missing(x))
+    count, total = F.coalesce(F.size(values), F.lit(0)), F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    rows = df.select(
+        F.greatest(F.size("features"), F.lit(0)).alias("w"), F.array_min(values).alias("lo"), F.array_max(values).alias("hi"),
+        F.greatest(count, F.lit(0)).alias("n"), total.alias("s"), values.alias("v"))
+    centre = rows.agg((F.sum("s") / F.sum("n")).alias("m")).scalar()
+    spread = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x - F.col("m")) * (x - F.col("m")))
+    features = F.max("w") if width is None else F.lit(width)
+    doubles, texts, others = _kinds(df)
+    return rows.withColumn("m", centre).agg(
+        F.count(F.lit(1)).alias("num_rows"), F.coalesce(features, F.lit(0)).cast("bigint").alias("num_features"),
+        F.min("lo").alias("global_min"), F.max("hi").alias("global_max"), F.first("m").alias("global_mean"),
+        F.sqrt(F.sum(spread) / F.sum("n")).alias("global_std"),
     ).select(
-        "num_rows", F.lit(width + 1).cast("bigint").alias("num_cols"),
-        F.lit(width).cast("bigint").alias("num_features"),
-        F.lit(width).cast("bigint").alias("double_cols"), F.lit(1).cast("bigint").alias("string_cols"),
+        "num_rows", (F.col("num_features") + others).cast("bigint").alias("num_cols"), "num_features",
+        (F.col("num_features") + doubles).cast("bigint").alias("double_cols"), texts.cast("bigint").alias("string_cols"),
         "global_min", "global_max", "global_mean", "global_std",
     )
 
@@ -39,9 +51,15 @@ def column_kinds(df):
     return spark.createDataFrame(sorted(counts.items()), "kind string, columns bigint")
 
 
-def missing_audit(df, width=K.N_BANDS):
-    """Missing values per column, their total and whether there are any."""
-    per_band = bands(df.select("features")).groupBy("band").agg(
+def missing_audit(df, width=None):
+    """Missing values per column, their total and whether there are any.
+
+    Places that a row lacks against ``width``, or against the longest row, are missing too.
+    """
+    rows = df.select("features")
+    longest = rows.agg(F.max(F.size("features")).alias("w")) if width is None else None
+    rows = rows.withColumn("_width", F.lit(width) if longest is None else longest.scalar())
+    per_band = bands(rows, width=F.col("_width")).groupBy("band").agg(
         F.count_if(S.missing("x")).alias("missing")
     ).select(F.concat(F.lit("freq_"), F.col("band").cast("string")).alias("column_name"), "missing")
     label = df.agg(F.count_if(F.col("label").isNull()).alias("missing")).select(
@@ -75,7 +93,9 @@ def duplicate_rows(df):
 
 
 def duplicate_audit(df):
-    return duplicate_rows(df).agg(F.count(F.lit(1)).alias("num_duplicates")).select(
+    """Rows less distinct rows: one aggregation over fingerprints, no join."""
+    copies = df.select(_fingerprint().alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("num_duplicates")).select(
         "num_duplicates", (F.col("num_duplicates") > 0).alias("has_duplicates")
     )
 
@@ -98,13 +118,13 @@ def class_distribution(df, label="label"):
     )
 
 
-def describe_bands(df, small_group=SMALL_GROUP):
+def describe_bands(df, ranges=None):
     """Count, mean, sample sd, min, quartiles and max per band."""
     long = present_values(bands(df.select("features")))
     moments = [
         F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"),
     ]
-    return exact_quantiles(long, ["band"], "x", [0.25, 0.5, 0.75], small_group, moments).select(
+    return exact_quantiles(long, ["band"], "x", [0.25, 0.5, 0.75], moments, ranges).select(
         "band", F.col("n").alias("count"), "mean", "std", "min",
         F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max",
     )
@@ -181,7 +201,7 @@ def class_histogram(df, wanted=None, bins=K.HISTOGRAM_BINS):
     ranges = long.groupBy("band").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
         "band", "lo", ((F.col("hi") - F.col("lo")) / bins).alias("w")
     )
-    binned = long.join(few(ranges), "band").select(
+    binned = long.join(ranges, "band").select(
         "band", "label", "lo", "w",
         F.when(F.col("w") > 0, F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1)))
         .otherwise(F.lit(0)).alias("bin"),
@@ -204,44 +224,36 @@ def class_density(df, wanted=None, points=K.KDE_GRID):
     wanted = wanted or K.HISTOGRAM_BANDS
     long = _chosen(df, wanted).where(F.col("label").isNotNull())
     stats = long.groupBy("band", "label").agg(
-        F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(stats) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} classes")
-    span = {b: (min(r["lo"] for r in stats if r["band"] == b), max(r["hi"] for r in stats if r["band"] == b))
-            for b in {r["band"] for r in stats}}
-    width = {(r["band"], r["label"]): r["sd"] * r["n"] ** -0.2 for r in stats if r["sd"]}
-    grids = {b: lo + np.arange(points) * (hi - lo) / (points - 1) for b, (lo, hi) in span.items()}
+        F.count("x").alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    span = stats.groupBy("band").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    scale = stats.where("sd > 0").select(
+        "band", "label", "n", (F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).alias("h")).join(span, "band")
     kind = dict(df.dtypes)["label"]
 
     def add_up(batches):
         sums = {}
         for pdf in batches:
-            for key, x in pdf.groupby(["band", "label"])["x"]:
-                if key not in width:
-                    continue
-                values = x.to_numpy()
+            for key, rows in pdf.groupby(["band", "label"]):
+                lo, hi, h = rows[["lo", "hi", "h"]].iloc[0]
+                grid, values = lo + np.arange(points) * (hi - lo) / (points - 1), rows["x"].to_numpy()
                 for i in range(0, len(values), 2000):
-                    z = (values[i:i + 2000, None] - grids[key[0]]) / width[key]
+                    z = (values[i:i + 2000, None] - grid) / h
                     sums[key] = sums.get(key, 0.0) + np.exp(-0.5 * z * z).sum(axis=0)
         for (band, label), s in sums.items():
             yield pd.DataFrame({"band": band, "label": label, "point": np.arange(points), "s": s})
 
-    parts = long.select("band", "label", "x").mapInPandas(add_up, f"band int, label {kind}, point bigint, s double")
+    scaled = long.join(scale, ["band", "label"]).select("band", "label", "x", "lo", "hi", "h")
+    parts = scaled.mapInPandas(add_up, f"band int, label {kind}, point bigint, s double")
     sums = parts.groupBy("band", "label", "point").agg(F.sum("s").alias("s"))
-    scale = df.sparkSession.createDataFrame(
-        [(r["band"], r["label"], r["n"], width[r["band"], r["label"]], *span[r["band"]]) for r in stats
-         if (r["band"], r["label"]) in width],
-        f"band int, label {kind}, n bigint, h double, lo double, hi double")
     place = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (points - 1)
-    return sums.join(F.broadcast(scale), ["band", "label"]).select(  # a checked number of rows
+    return sums.join(scale, ["band", "label"]).select(
         "band", "label", "point", place.alias("value"),
         (F.col("s") / (F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi()))).alias("density"),
     )
 
 
-def _fences(long, small_group):
-    boxes = exact_quantiles(long, ["band", "label"], "x", [0.25, 0.5, 0.75], small_group)
+def _fences(long, ranges):
+    boxes = exact_quantiles(long, ["band", "label"], "x", [0.25, 0.5, 0.75], (), ranges)
     iqr = F.col("q")[2] - F.col("q")[0]
     return boxes.select(
         "band", "label", F.col("q")[0].alias("q25"), F.col("q")[1].alias("median"),
@@ -250,12 +262,12 @@ def _fences(long, small_group):
     )
 
 
-def box_stats(df, wanted=None, small_group=SMALL_GROUP):
+def box_stats(df, wanted=None, ranges=None):
     """Quartiles, whiskers at the last datum within 1.5 IQR and the number of outliers."""
     long = _chosen(df, wanted or K.BOX_BANDS)
-    fences = _fences(long, small_group)  # one row per (band, class), a checked number
+    fences = _fences(long, ranges)  # one row per (band, class)
     inside = F.col("x").between(F.col("fence_lo"), F.col("fence_hi"))
-    return long.join(F.broadcast(fences), ["band", "label"]).groupBy(
+    return long.join(fences, ["band", "label"]).groupBy(
         "band", "label", "q25", "median", "q75"
     ).agg(
         F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
@@ -264,11 +276,11 @@ def box_stats(df, wanted=None, small_group=SMALL_GROUP):
     )
 
 
-def box_outliers(df, wanted=None, small_group=SMALL_GROUP):
+def box_outliers(df, wanted=None, ranges=None):
     """The values outside the fences, with the fence they cross."""
     long = _chosen(df, wanted or K.BOX_BANDS)
-    fences = _fences(long, small_group)
-    return long.join(F.broadcast(fences), ["band", "label"]).where(
+    fences = _fences(long, ranges)
+    return long.join(fences, ["band", "label"]).where(
         ~F.col("x").between(F.col("fence_lo"), F.col("fence_hi"))
     ).select("band", "label", "x", F.when(F.col("x") > F.col("median"), "high").otherwise("low").alias("side"))
 
@@ -276,18 +288,11 @@ def box_outliers(df, wanted=None, small_group=SMALL_GROUP):
 def correlation_matrix(df, wanted=None):
     """Pearson correlation of the listed bands, long form.
 
-    Without missing values one covariance pass gives the matrix. With missing values each
-    pair uses the rows that hold both: every task adds up masked products of its row blocks
-    as small matrices (bands x bands), and only those are shuffled.
+    Each pair uses the rows that hold both: every task adds up masked products of its row blocks as small matrices
+    (bands x bands), and only those are shuffled.
     """
     wanted = wanted or K.CORRELATION_BANDS
-    spark = df.sparkSession
     chosen = df.select(F.array(*[F.get("features", F.lit(b - 1)) for b in wanted]).alias("v"))
-    if not chosen.where(F.exists("v", lambda x: S.missing(x))).limit(1).count():
-        vectors = chosen.select(array_to_vector("v").alias("v"))
-        matrix = Correlation.corr(vectors, "v", "pearson").head()[0].toArray()  # bands x bands
-        cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(wanted) for j, b in enumerate(wanted)]
-        return spark.createDataFrame(cells, "band_a int, band_b int, corr double")
     centre = {r["pos"]: r["m"] for r in chosen.select(F.posexplode("v").alias("pos", "x")).where(
         ~S.missing("x")).groupBy("pos").agg(F.avg("x").alias("m")).collect()}  # one value per band
     shift = np.array([centre.get(i, 0.0) for i in range(len(wanted))])
@@ -317,7 +322,7 @@ def correlation_matrix(df, wanted=None):
 
 def first_of_class(df):
     """The row with the lowest id of every class; only ids are aggregated."""
-    first = few(df.groupBy("label").agg(F.min("id").alias("id")))
+    first = df.groupBy("label").agg(F.min("id").alias("id"))
     return df.join(first, ["label", "id"]).select("label", "features", "id")
 
 
@@ -352,8 +357,9 @@ def label_domain_check(df, known=None):
 def raw_table_check(df, width=K.N_BANDS):
     """Rows, columns, malformed rows and class counts in one pass."""
     return df.agg(
-        F.count(F.lit(1)).alias("num_rows"), F.lit(width + 1).cast("bigint").alias("num_cols"),
-        F.count_if(F.size("features") != width).alias("bad_width"),
+        F.count(F.lit(1)).alias("num_rows"),
+        (F.coalesce(F.max(F.size("features")), F.lit(0)) + _kinds(df)[2]).cast("bigint").alias("num_cols"),
+        F.count_if(F.coalesce(F.size("features"), F.lit(-1)) != width).alias("bad_width"),
         F.count_if(F.col("label") == K.POSITIVE).alias("positives"),
         F.count_if(F.col("label") == K.NEGATIVE).alias("negatives"),
     )

@@ -1,116 +1,38 @@
-"""Exact quantiles (linear interpolation) of groups of any size.
+"""Exact quantiles (linear interpolation) of groups of any size, by one path for every size.
 
-Small groups use the built-in ``percentile``, whose state holds every distinct value of a
-group in one task. Beyond a row bound the wanted ranks are closed in: a histogram pass over
-a value range says which bin holds a rank, the smallest and largest value in that bin are the
-next range, and once few enough rows are left they are ranked. Bins only steer the search:
-counts and range ends are exact, so the result is too, whatever the distribution.
+Copies of a value collapse first, before any shuffle. The distinct values are range-partitioned by group and value,
+so a hot group is spread over tasks, and counted up; a row whose count passes a wanted rank is that rank's value. The
+number of passes depends neither on the rows nor on how the values are spread.
 """
 
-import math
-
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 250_000
-MAX_GROUPS = 10_000
-BINS = 1024
-FINITE = 8e307  # bins stay finite for infinite values
+from bandlore.operators.ordered import Ranged
 
 
-def exact_quantiles(df, by, value, probs, small_group=SMALL_GROUP, extra=()):
+def exact_quantiles(df, by, value, probs, extra=(), ranges=None):
     """One row per group: ``by`` columns, ``n``, ``q`` (the quantiles in the order given), ``extra`` aggregates.
 
-    Rows with a missing value must be filtered out beforehand; ``by`` holds no nulls.
+    Rows with a missing value must be filtered out beforehand; ``by`` holds no nulls. ``ranges`` only sets the number
+    of ranges, see ``Ranged``.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("x"))
-    groups = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; group by fewer columns")
-    if not groups or max(g["n"] for g in groups) <= small_group:
-        listed = F.array(*[F.lit(float(p)) for p in probs])
-        return df.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile(value, listed).alias("q"), *extra
-        )
-    kinds = dict(df.dtypes)
-    keys = ", ".join(f"`{c}` {kinds[c]}" for c in by)
-    found = _values_at_ranks(rows, by, keys, _wanted(groups, by, probs), small_group)
-    out = []
-    for g in groups:
-        key = tuple(g[c] for c in by)
-        at = [p * (g["n"] - 1) for p in probs]
-        ends = [(found[key, math.floor(a)], found[key, math.ceil(a)], a - math.floor(a)) for a in at]
-        out.append((*key, g["n"], [lo if lo == hi else lo + (hi - lo) * part for lo, hi, part in ends]))
-    table = df.sparkSession.createDataFrame(out, f"{keys}, n bigint, q array<double>")
-    return table.join(df.groupBy(*by).agg(*extra), by) if extra else table
-
-
-def _wanted(groups, by, probs):
-    """{(group, rank): (lo, hi, rows below lo, rows in lo..hi)}, at first the whole group."""
-    return {
-        (tuple(g[c] for c in by), r): (g["lo"], g["hi"], 0, g["n"])
-        for g in groups for p in probs for r in (math.floor(p * (g["n"] - 1)), math.ceil(p * (g["n"] - 1)))
-    }
-
-
-def _values_at_ranks(rows, by, keys, wanted, small_group):
-    stuck = set()
-    while True:
-        wide = {k: s for k, s in wanted.items() if s[0] < s[1] and s[3] > small_group and k not in stuck}
-        if not wide:
-            break
-        closer = _narrowed(rows, by, keys, wide)
-        # a range that no bin divides is ranked as it is
-        stuck.update(k for k, s in wide.items() if k not in closer or closer[k][3] >= s[3])
-        wanted.update(closer)
-    found = {k: s[0] for k, s in wanted.items() if s[0] == s[1]}
-    found.update(_ranked(rows, by, keys, {k: s for k, s in wanted.items() if s[0] < s[1]}))
-    return found
-
-
-def _in_ranges(rows, by, keys, wanted):
-    """Rows inside a wanted range, and the ranks asked for in it; ranges asked for twice appear once."""
-    spark = rows.sparkSession
-    ranges, asked = {}, []
-    for (group, rank), (lo, hi, below, _) in wanted.items():
-        number = ranges.setdefault((group, lo, hi), len(ranges))
-        asked.append((number, rank, below))
-    listed = spark.createDataFrame([(*g, i, lo, hi) for (g, lo, hi), i in ranges.items()],
-                                   f"{keys}, part int, lo double, hi double")
-    ranks = spark.createDataFrame(asked, "part int, rank bigint, below bigint")
-    owners = {i: g for (g, _, _), i in ranges.items()}
-    # groups x ranks rows at most
-    inside = rows.join(F.broadcast(listed), by).where("x >= lo AND x <= hi")
-    return inside, F.broadcast(ranks), owners
-
-
-def _narrowed(rows, by, keys, wanted):
-    """The next range of every wanted rank: the values of the bin that holds it."""
-    inside, ranks, owners = _in_ranges(rows, by, keys, wanted)
-    low, high = F.greatest("lo", F.lit(-FINITE)), F.least("hi", F.lit(FINITE))
-    place = F.least(F.greatest((F.col("x") - low) / (high - low), F.lit(0.0)), F.lit(1.0)) * BINS
-    bin_ = F.least(F.floor(place), F.lit(BINS - 1))
-    bins = inside.groupBy("part", bin_.alias("bin")).agg(
-        F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    upto = Window.partitionBy("part").orderBy("bin")  # at most BINS rows
-    spans = bins.select("part", "lo", "hi", "c", F.sum("c").over(upto).alias("end"))
-    hit = spans.join(ranks, "part").where("rank - below < end AND rank - below >= end - c")
-    return {
-        (owners[r["part"]], r["rank"]): (r["lo"], r["hi"], r["below"] + r["end"] - r["c"], r["c"])
-        for r in hit.collect()
-    }
-
-
-def _ranked(rows, by, keys, wanted):
-    """Values at the wanted ranks. Copies of a value collapse before the shuffle."""
-    if not wanted:
-        return {}
-    inside, ranks, owners = _in_ranges(rows, by, keys, wanted)
-    values = inside.groupBy("part", "x").agg(F.count(F.lit(1)).alias("c"))
-    upto = Window.partitionBy("part").orderBy("x")  # a range holds few rows by now
-    spans = values.select("part", "x", "c", F.sum("c").over(upto).alias("end"))
-    hit = spans.join(ranks, "part").where("rank - below < end AND rank - below >= end - c")
-    return {(owners[r["part"]], r["rank"]): r["x"] for r in hit.collect()}
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *extra)
+    values = rows.groupBy(*by, "x").agg(F.count(F.lit(1)).alias("c"))
+    counted = Ranged(values, by, [F.col("x")], ranges).running({"end": "c"})
+    # 0-based ranks on both sides of every wanted place
+    places = F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probs])
+    ranks = F.array_distinct(F.flatten(F.transform(places, lambda a: F.array(F.floor(a), F.ceil(a)))))
+    wanted = groups.select(*by, ranks.alias("ranks"))
+    here = F.filter("ranks", lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("c")))
+    at = counted.join(wanted, by).withColumn("here", here).where(F.size("here") > 0)
+    found = at.select(*by, "x", F.explode("here").alias("rank")).groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at"))  # two ranks per quantile
+
+    def between(a):
+        low, high = F.try_element_at("at", F.floor(a)), F.try_element_at("at", F.ceil(a))
+        return F.when(low == high, low).otherwise(low + (high - low) * (a - F.floor(a)))
+
+    others = [c for c in groups.columns if c not in (*by, "n")]
+    return groups.join(found, by).select(*by, "n", F.transform(places, between).alias("q"), *others)

@@ -163,7 +163,7 @@ def _(t):
 @query("w1_roc_curve_ranges", _ROC.format(base=_LINE_SCORES))
 def _(t):
     # the path for more scores than one task can order, forced by a low bound
-    return rounded(E.roc_curve(_line_scores(t), rows_per_range=10_000).select("model", "fpr", "tpr"))
+    return rounded(E.roc_curve(_line_scores(t), ranges=7).select("model", "fpr", "tpr"))
 
 
 @query("w2_roc_auc", f"WITH {ZONES}, {_AUC} SELECT model, round(roc_auc, 6) AS roc_auc FROM auc")
@@ -178,7 +178,7 @@ def _(t):
 
 @query("w2_roc_auc_ranges", f"WITH {_LINE_SCORES}, {_AUC} SELECT model, round(roc_auc, 6) AS roc_auc FROM auc")
 def _(t):
-    return rounded(E.roc_auc(_line_scores(t), rows_per_range=10_000))
+    return rounded(E.roc_auc(_line_scores(t), ranges=7))
 
 
 def _sweep(source):
@@ -252,7 +252,7 @@ def _(t):
     # one score for every row, ordered in ranges cut by id
     rows = t.table("labels").select(
         F.col("quality").alias("model"), F.col("doc_id").alias("id"), F.col("toxic").alias("y"), F.lit(0.5).alias("prob"))
-    return E.probability_order(rows, rows_per_range=100)
+    return E.probability_order(rows, ranges=5)
 
 
 @query("w11_exemplars", f"""WITH {ZONES}, o AS (

@@ -36,15 +36,21 @@ def _(t):
     return rounded(rows.select("freq_1", "freq_30", "freq_60", "label"))
 
 
-@query("s1_csv_quarantine", f"""WITH {SIGNALS} SELECT CASE WHEN id % 4 = 0 THEN 'non-numeric feature' WHEN id % 4 = 1 THEN 'no features' END AS reason,
-count(*) AS rows FROM sig GROUP BY 1""")
-def _(t):
-    # a word among the values, one value too many
+def _text_lines(t, label):
+    """Signals as lines of text: a word among the values, one value or 15 too many, one too few, by the id's remainder."""
     path = scratch_path(t.spark, "signals-text")
-    kind = F.col("id") % 4
+    kind = F.col("id") % 7
     values = F.transform("features", lambda x, i: F.when((kind == 0) & (i == 5), F.lit("abc")).otherwise(x.cast("string")))
-    line = F.concat_ws(",", values, F.when(kind == 1, F.lit("0.5")), "label")
-    t.signals().select(line).write.text(path)
+    values = F.when(kind == 3, F.slice(values, 1, K.N_BANDS - 1)).otherwise(values)
+    more = F.when(kind == 1, F.lit("0.5")).when(kind == 2, F.lit(",".join(["0.5"] * 15)))
+    t.signals().select(F.concat_ws(",", values, more, *(["label"] if label else []))).write.text(path)
+    return path
+
+
+@query("s1_csv_quarantine", f"""WITH {SIGNALS} SELECT CASE id % 7 WHEN 0 THEN 'non-numeric feature' WHEN 1 THEN 'expected 61 columns, got 62'
+WHEN 2 THEN 'expected 61 columns, got 76' WHEN 3 THEN 'expected 61 columns, got 60' END AS reason, count(*) AS rows FROM sig GROUP BY 1""")
+def _(t):
+    path = _text_lines(t, label=True)
     return G.read_checked_csv(t.spark, path).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -59,15 +65,34 @@ def _(t):
     return sinks.read_split(t.spark, path, "train").select("id", "label", "y")
 
 
+@query("s4_batch_quarantine", f"""WITH {SIGNALS} SELECT CASE id % 7 WHEN 0 THEN 'non-numeric feature'
+WHEN 2 THEN 'expected 60 features, got 75' WHEN 3 THEN 'expected 60 features, got 59' END AS reason, count(*) AS rows FROM sig GROUP BY 1""")
+def _(t):
+    return G.read_batch_csv(t.spark, _text_lines(t, label=False)).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("s6_json_quarantine", f"""WITH {SIGNALS} SELECT CASE id % 4 WHEN 0 THEN 'non-numeric feature' WHEN 1 THEN 'expected 60 features, got 61'
+WHEN 2 THEN 'no features' END AS reason, count(*) AS rows FROM sig GROUP BY 1""")
+def _(t):
+    path = scratch_path(t.spark, "signals-json")
+    kind, text = F.col("id") % 4, F.transform("features", lambda x, i: x.cast("string"))
+    odd = F.when(kind == 0, F.concat(F.array(F.lit("abc")), F.slice(text, 2, K.N_BANDS - 1))).when(
+        kind == 1, F.concat(text, F.array(F.lit("0.5")))).when(kind == 3, text)
+    # to_json leaves nulls out; a null inner array is written as it is
+    body = F.coalesce(F.to_json(odd), F.lit("null"))
+    t.signals().select(F.concat(F.lit('{"signals": ['), body, F.lit("]}"))).write.text(path)
+    return G.read_checked_json(t.spark, path).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("s4_batch_csv", f"""WITH {LONG} SELECT band, count(*) AS n, round(avg(x), 6) AS mean FROM long GROUP BY band""")
 def _(t):
-    rows = G.to_features(G.read_batch_csv(t.spark, _csv(t)))
+    rows = G.read_batch_csv(t.spark, _csv(t))
     return rounded(G.bands(rows).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean")))
 
 
 @query("s5_batch_csv_header", f"""WITH {LONG} SELECT band, count(*) AS n, round(avg(x), 6) AS mean FROM long GROUP BY band""")
 def _(t):
-    rows = G.to_features(G.read_batch_csv(t.spark, _csv(t, header=True, label=False), header=True))
+    rows = G.read_batch_csv(t.spark, _csv(t, header=True, label=False), header=True)
     return rounded(G.bands(rows).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean")))
 
 
@@ -86,12 +111,15 @@ def _(t):
 _CELLS = f"""cf AS (SELECT model, {_COUNTS.format(p="pred_label = 1")} FROM scored GROUP BY model), m AS (SELECT *, {METRICS} FROM cf)"""
 
 
-@query("s7_json_report", f"""WITH {ZONES}, {_CELLS} SELECT model, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy, round(f1 - f1, 6) AS delta_f1 FROM m""")
+@query("s7_json_report", f"""WITH {ZONES}, {_CELLS} SELECT model, round(f1, 6) AS f1, round(accuracy, 6) AS accuracy, round(f1 - coalesce(b_f1, f1), 6) AS delta_f1
+FROM m LEFT JOIN (SELECT model AS bm, 2*count(*) FILTER (WHERE y = 1 AND prob >= 0.43)/nullif(count(*) FILTER (WHERE y = 1) +
+count(*) FILTER (WHERE prob >= 0.43), 0)::DOUBLE AS b_f1 FROM scored GROUP BY model) ON bm = model""")
 def _(t):
-    # an earlier report is read back as the baseline of a comparison
+    # the report of the safe threshold is read back as the baseline of a comparison
     metrics = E.classification_metrics(t.zones())
+    earlier = E.classification_metrics(E.apply_tau(t.zones(), K.SAFE_TAU))
     path = sinks.write_report_json(
-        metrics.agg(F.collect_list(F.struct("model", "f1", "accuracy")).alias("results")),  # one entry per model
+        earlier.agg(F.collect_list(F.struct("model", "f1", "accuracy")).alias("results")),  # one entry per model
         scratch_path(t.spark, "report"))
     schema = "results array<struct<model string, f1 double, accuracy double>>"
     baseline = G.read_json_report(t.spark, path, schema).select(F.inline("results"))
@@ -371,10 +399,9 @@ def _(t):
 
 
 _PERM = f"""WITH {SCORED},
-bl AS (SELECT sp.id, sp.h, sp.y, (('0x' || substr(sp.h, 1, 8))::UBIGINT % greatest(1, (SELECT count(*) FROM scored)//4000))::BIGINT AS block FROM sp WHERE split = 'test'),
-po AS (SELECT id, y, block, row_number() OVER (PARTITION BY block ORDER BY h, id) - 1 AS pos, count(*) OVER (PARTITION BY block) AS n FROM bl),
-rp AS (SELECT po.*, r, CASE WHEN n > 1 THEN (pos + 1 + (r*7 - 7) % (n - 1)) % n ELSE 0 END AS dpos FROM po, (SELECT unnest(range(1, 16)) AS r)),
-dn AS (SELECT rp.id, rp.y, rp.r, d.id AS donor FROM rp JOIN po d ON d.block = rp.block AND d.pos = rp.dpos),
+po AS (SELECT id, y, row_number() OVER (ORDER BY h, id) - 1 AS pos, count(*) OVER () AS n FROM sp WHERE split = 'test'),
+rp AS (SELECT po.*, r, CASE WHEN n > 1 THEN (pos + 1 + (r - 1) % (n - 1)) % n ELSE 0 END AS dpos FROM po, (SELECT unnest(range(1, 16)) AS r)),
+dn AS (SELECT rp.id, rp.y, rp.r, d.id AS donor FROM rp JOIN po d ON d.pos = rp.dpos),
 ms AS (SELECT dn.y, dn.r, a.band, sc.m + (b.x - a.x)*(mm - mr) AS m FROM dn JOIN scored sc ON sc.id = dn.id JOIN slong a ON a.id = dn.id
   JOIN slong b ON b.id = dn.donor AND b.band = a.band JOIN mu ON mu.band = a.band),
 fr AS (SELECT band, r, 2*sum(CASE WHEN y = 1 AND m >= 0 THEN 1 ELSE 0 END)/nullif(sum(y) + sum(CASE WHEN m >= 0 THEN 1 ELSE 0 END), 0)::DOUBLE AS f1 FROM ms GROUP BY band, r),

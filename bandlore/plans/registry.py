@@ -55,6 +55,14 @@ _kept = {}
 _stages = {}
 
 
+def forget():
+    """Drop what queries of this session share: kept score relations and written stages."""
+    for frame in _kept.values():
+        frame.unpersist()
+    _kept.clear()
+    _stages.clear()
+
+
 class Tables:
     """The test tables as signal frames. Score relations are kept for the queries that share them."""
 

@@ -1,27 +1,29 @@
 """Session set-up and the shared scratch folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-FEW = 100_000
 _local_fallback = {}
 
 
-def build_session(cores="*", app="bandlore", **extra):
+def build_session(cores=None, app="bandlore", **extra):
+    """A session with the settings that the library relies on. Master, memory and partitions are the launcher's.
+
+    ``cores`` makes it a local session, as in tests; ``extra`` holds further settings, dots written as ``__``.
+    """
     builder = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
+        SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
     )
+    if cores is not None:
+        builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", "8").config(
+            "spark.driver.memory", "12g").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
@@ -32,7 +34,7 @@ def build_session(cores="*", app="bandlore", **extra):
 def shared_dir(spark):
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a local master may fall back to a folder of this machine, which goes when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -42,6 +44,7 @@ def shared_dir(spark):
     app = spark.sparkContext.applicationId
     if app not in _local_fallback:
         _local_fallback[app] = tempfile.mkdtemp(prefix="bandlore-")
+        atexit.register(shutil.rmtree, _local_fallback[app], ignore_errors=True)
     return _local_fallback[app]
 
 
@@ -50,16 +53,6 @@ def scratch_path(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def few(df, limit=FEW):
-    """Broadcast hint for a table that has to stay small; the job fails if it has grown."""
-    rows = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0)))
-    grown = F.raise_error(F.lit(f"more than {limit} rows to broadcast; group by fewer columns"))
-    checked = df.withColumn("_rows", rows).where(
-        F.when(F.col("_rows") > limit, grown.cast("boolean")).otherwise(F.lit(True))
-    )
-    return F.broadcast(checked.drop("_rows"))
-
-
 def stable(df):
     """Cut the lineage of ``df`` into the shared folder (survives executor loss)."""
     spark = df.sparkSession

@@ -39,33 +39,59 @@ def read_signal_csv(spark, path, named=True, header=False, label=True):
     return _csv(reader.option("enforceSchema", True), path)
 
 
+def _lines(spark, path, header):
+    """Every line of CSV files as its values, all as text: a line of any width stays visible."""
+    reader = spark.read.schema("raw string").option("header", header).option("sep", "\u0001").option("quote", "")
+    return _csv(reader.option("enforceSchema", True), path).select("raw", F.split("raw", ",").alias("values"))
+
+
+def _place(values, i):
+    return F.nullif(F.trim(F.get(values, F.lit(i))), F.lit(""))
+
+
 def read_checked_csv(spark, path, header=False):
     """CSV scan for input that may be bad: (features, label, raw line if malformed, reason).
 
-    All columns are read as text and cast here. Left to the reader, a bad value in a column
-    that the query does not select would go unseen, because the scan prunes it.
+    A line of another width than features and label goes to quarantine under the width found.
     """
-    names = [*K.FEATURE_COLUMNS, K.LABEL_COLUMN, CORRUPT]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    reader = spark.read.schema(schema).option("header", header).option("enforceSchema", True)
-    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    raw = _csv(reader.option("columnPruning", False), path)  # else surplus values go unseen
-    whole = F.array(*[F.col(c) for c in K.FEATURE_COLUMNS])
-    rows = raw.select(F.when(F.col(CORRUPT).isNull(), whole).alias("features"), "label", F.col(CORRUPT).alias("raw"))
-    return validate(rows)
+    lines = _lines(spark, path, header)
+    width = F.size("values")
+    rows = lines.select(
+        F.transform(F.slice("values", 1, K.N_BANDS), lambda v: F.trim(v)).alias("features"),
+        F.when(width == K.N_BANDS + 1, _place("values", K.N_BANDS)).alias("label"),
+        F.when(width != K.N_BANDS + 1, F.col("raw")).alias("raw"), width.alias("_found"))
+    wrong = F.concat(F.lit(f"expected {K.N_BANDS + 1} columns, got "), F.col("_found").cast("string"))
+    checked = validate(rows)
+    return checked.withColumn("reason", F.when(F.col("_found") != K.N_BANDS + 1, wrong).otherwise(F.col("reason"))).drop("_found")
 
 
 def read_batch_csv(spark, path, header=False):
-    """Unlabelled batch scan: reads every column as text, keeps the first 60.
+    """Unlabelled batch scan: (features, raw line if malformed, reason).
+
+    A 61st value (the label) is dropped. A line of any other width than 60 or 61 is rejected, wherever in the file it
+    stands, as is one with a value that is no number.
+    """
+    lines = _lines(spark, path, header)
+    width = F.size("values")
+    fits = width.isin(K.N_BANDS, K.N_BANDS + 1)
+    rows = lines.select(
+        F.transform(F.slice("values", 1, K.N_BANDS), lambda v: F.trim(v)).alias("features"),
+        F.when(~fits, F.col("raw")).alias("raw"), fits.alias("_fits"), width.alias("_found"))
+    wrong = F.concat(F.lit(f"expected {K.N_BANDS} features, got "), F.col("_found").cast("string"))
+    return validate(rows).withColumn("reason", F.when(~F.col("_fits"), wrong).otherwise(F.col("reason"))).drop("_fits", "_found")
+
+
+def read_checked_json(spark, path, width=K.N_BANDS):
+    """JSON documents {"signals": [[...], ...]}, one row per inner array: (position, features, raw, reason).
 
-    A 61st column (the label) is dropped; any other width is an error.
+    Values are read as text, so a word among them is seen; a document that is no JSON or has no signals is one row with
+    its text in ``raw``.
     """
-    raw = _csv(spark.read.option("header", header), path)
-    if len(raw.columns) not in (K.N_BANDS, K.N_BANDS + 1):
-        raise ValueError(f"expected {K.N_BANDS} features, found {len(raw.columns)} columns")
-    kept = raw.columns[: K.N_BANDS]
-    return raw.select(*[F.col(f"`{c}`").try_cast("double").alias(n)
-                        for c, n in zip(kept, K.FEATURE_COLUMNS)])
+    schema = f"signals array<array<string>>, {CORRUPT} string"
+    docs = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    rows = docs.select(CORRUPT, F.posexplode_outer("signals").alias("position", "features"))
+    checked = validate(rows.select("position", "features", F.col(CORRUPT).alias("raw")), width)
+    return checked.withColumn("reason", F.when(F.col("raw").isNotNull(), F.lit("malformed document")).otherwise(F.col("reason")))
 
 
 def read_signal_json(spark, path):
@@ -101,10 +127,18 @@ def to_columns(df, keep=("id", "label"), width=K.N_BANDS):
     return df.select(*present, *[F.col("features")[i].alias(f"freq_{i + 1}") for i in range(width)])
 
 
-def bands(df, keep=("id", "label")):
-    """Long form: one row per (signal, band), band counted from 1."""
+def bands(df, keep=("id", "label"), width=None):
+    """Long form: one row per (signal, band), band counted from 1.
+
+    With ``width`` (a number or a column) every signal has that many rows; places that its array lacks, or all of a null array, hold null.
+    """
     present = [c for c in keep if c in df.columns]
-    return df.select(*present, F.posexplode("features").alias("pos", "x")).select(
+    values = F.col("features")
+    if width is not None:
+        width = F.lit(width) if isinstance(width, int) else width
+        places = F.when(width > 0, F.sequence(F.lit(0), width - 1))
+        values = F.transform(places, lambda i: F.get("features", i))
+    return df.select(*present, F.posexplode(values).alias("pos", "x")).select(
         *present, (F.col("pos") + 1).alias("band"), "x"
     )
 

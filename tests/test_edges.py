@@ -174,9 +174,35 @@ def test_preprocessor_artifacts(spark, signals, tmp_path):
 
 def test_batch_width(spark, tmp_path):
     path = str(tmp_path / "narrow")
-    spark.range(3).selectExpr("1.0 AS a", "2.0 AS b").write.csv(path)
-    with pytest.raises(ValueError):
-        G.read_batch_csv(spark, path)
+    full = ",".join(["0.5"] * 60)
+    lines = ["1.0,2.0", full, full + ",M", full + ",1" * 15, full[:-4], full.replace("0.5", "x", 1)]
+    spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path)
+    rows = G.read_batch_csv(spark, path).collect()
+    assert sorted(str(r.reason) for r in rows) == sorted([
+        "expected 60 features, got 2", "None", "None", "expected 60 features, got 75", "expected 60 features, got 59",
+        "non-numeric feature"])
+    assert all(len(r.features) == 60 and r.raw is None for r in rows if r.reason is None)
+
+
+def test_checked_json(spark, tmp_path):
+    path = str(tmp_path / "json")
+    good = "[" + ",".join(["0.5"] * 60) + "]"
+    docs = [f'{{"signals": [{good}, [1, 2], null]}}', f'{{"signals": [{good.replace("0.5", chr(34) + "x" + chr(34), 1)}]}}',
+            "{broken", '{"other": 1}']
+    spark.createDataFrame([(v,) for v in docs], "value string").coalesce(1).write.text(path)
+    reasons = sorted(str(r.reason) for r in G.read_checked_json(spark, path).collect())
+    assert reasons == sorted(["None", "expected 60 features, got 2", "no features", "non-numeric feature", "malformed document",
+                              "no features"])
+
+
+def test_summary_counts_rows_without_values(spark):
+    rows = [(1, None, "M"), (2, [1.0] * 10, "R"), (3, [2.0] * 60, None)]
+    df = spark.createDataFrame(rows, "id bigint, features array<double>, label string")
+    got = P.dataset_summary(df).head()
+    assert (got.num_rows, got.num_features, got.num_cols, got.global_max) == (3, 60, 61, 2.0)
+    missing = {r.column_name: r.missing for r in P.missing_audit(df).collect()}
+    assert (missing["freq_10"], missing["freq_11"], missing["freq_60"], missing["label"]) == (1, 2, 2, 1)
+    assert P.dataset_summary(df.where("false")).head().num_rows == 0
 
 
 def test_batch_preview_and_columns(spark):
@@ -215,5 +241,5 @@ def test_checked_csv(spark, tmp_path):
     lines = [good + ",M", good + ",R", "x" + good[3:] + ",M", good, good + ",0.5,M"]
     spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(path)
     got = G.read_checked_csv(spark, path).select("reason").collect()
-    assert sum(r.reason is None for r in got) == 2
-    assert len(got) == 5
+    assert sorted(str(r.reason) for r in got) == sorted([
+        "None", "None", "non-numeric feature", "expected 61 columns, got 60", "expected 61 columns, got 62"])
