@@ -4,10 +4,10 @@ python -m bandlore.jobs ingest     --input signals.csv --out work
 python -m bandlore.jobs profile    --out work
 python -m bandlore.jobs preprocess --out work [--scaler minmax]
 python -m bandlore.jobs train      --out work
-python -m bandlore.jobs tune       --out work [--grid full]
+python -m bandlore.jobs tune       --out work [--grid coarse]
 python -m bandlore.jobs ensemble   --out work
 python -m bandlore.jobs explain    --out work
-python -m bandlore.jobs predict    --out work --input batch.csv [--header] [--tau 0.43]
+python -m bandlore.jobs predict    --out work --input batch.csv [--header] [--tau 0.43] [--model tuned/best]
 """
 
 import argparse
@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from bandlore import constants as K
 from bandlore.operators.scaling import BandScalerModel
 from bandlore.operators.score import score_batch
 from bandlore.plans import modelling
@@ -57,15 +56,21 @@ def prepared(spark, out):
     return scaler.transform(rows).withColumn("scaled_array", vector_to_array("scaled"))
 
 
-def predict(spark, out, source, header=False, tau=K.SAFE_TAU, model="best"):
-    """Score an unlabelled batch with a saved model; returns the summary row."""
+def predict(spark, out, source, header=False, tau=None, model="trained/best"):
+    """Score an unlabelled batch with a saved model; returns the summary row.
+
+    ``model`` is a job's folder and a model's, as in ``tuned/best`` or ``ensemble/soft-voting-ensemble``. Without
+    ``tau`` the threshold that tuning stored is used, else the safe default.
+    """
+    tau = sinks.stored_threshold(spark, f"{out}/tuned/threshold", tau)
+    job, name = model.split("/", 1)
     rows = G.read_batch_csv(spark, source, header).withColumn("id", F.monotonically_increasing_id())
     # Ids are fixed by writing them; files are read and checked once.
     rows.write.mode("overwrite").parquet(f"{out}/predictions_input")
     good, bad = G.split_quarantine(spark.read.schema(rows.schema).parquet(f"{out}/predictions_input"))
     scaled = BandScalerModel.load(f"{out}/prepared/scaler").transform(good)
     scaled = scaled.withColumn("scaled_array", vector_to_array("scaled"))
-    scored, summary = score_batch(sinks.load_model(spark, f"{out}/trained/models/{model}"), scaled, tau)
+    scored, summary = score_batch(sinks.load_model(spark, f"{out}/{job}/models/{name}"), scaled, tau)
     written = G.to_columns(scored, keep=("id", "Probability_Mine", "Probability_Rock", "Prediction"))
     sinks.write_scored(written, f"{out}/predictions")
     bad.select("id", "raw", "reason").write.mode("overwrite").parquet(f"{out}/predictions_quarantine")
@@ -79,8 +84,9 @@ def main(argv=None):
     parser.add_argument("--input")
     parser.add_argument("--header", action="store_true")
     parser.add_argument("--scaler", default="standard")
-    parser.add_argument("--grid", default="coarse", choices=["coarse", "full"])
-    parser.add_argument("--tau", type=float, default=K.SAFE_TAU)
+    parser.add_argument("--grid", default="full", choices=["coarse", "full"])
+    parser.add_argument("--tau", type=float)
+    parser.add_argument("--model", default="trained/best")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"bandlore-{args.job}").getOrCreate()
     out = args.out.rstrip("/")
@@ -100,7 +106,7 @@ def main(argv=None):
         model = sinks.load_model(spark, f"{out}/trained/models/best")
         modelling.run_explanation(prepared(spark, out), model, path=f"{out}/explained")
     else:
-        print(predict(spark, out, args.input, args.header, args.tau).asDict())
+        print(predict(spark, out, args.input, args.header, args.tau, args.model).asDict())
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ from bandlore.operators.training import _fit
 
 VOTING = "Soft-Voting Ensemble"
 STACKING = "Stacking Classifier"
+ENSEMBLE = "ensemble"  # the folder that marks a saved ensemble
 
 
 def member_probabilities(df, members, out="_members"):
@@ -39,6 +40,15 @@ class VotingModel:
         voted = member_probabilities(df, self.members).withColumn("prob", mean).drop("_members")
         return voted.withColumn("pred_label", (F.col("prob") >= K.DEFAULT_TAU).cast("int"))
 
+    def save(self, path):
+        return _save(self.members, path)
+
+    @classmethod
+    def load(cls, spark, path):
+        model = cls({})
+        model.members, _ = _load(spark, path)
+        return model
+
 
 class StackingModel:
     """Logistic meta-model over out-of-fold member probabilities; members refitted on all rows."""
@@ -62,3 +72,46 @@ class StackingModel:
     def transform(self, df):
         scored = member_probabilities(df, self.members).withColumn("meta", array_to_vector("_members"))
         return M.with_scores(self.meta_model, scored).drop("meta", "_members")
+
+    def save(self, path):
+        return _save(self.members, path, self.meta_model)
+
+    @classmethod
+    def load(cls, spark, path):
+        model = cls({})
+        model.members, model.meta_model = _load(spark, path)
+        return model
+
+
+def _save(members, path, meta=None):
+    """A folder per member, numbered in listing order, the meta model, and the names as a small table."""
+    from pyspark.sql import SparkSession
+
+    from bandlore.sources import sinks
+
+    spark = SparkSession.getActiveSession()
+    for i, model in enumerate(members.values()):
+        sinks.save_model(model, f"{path}/member_{i}")
+    if meta is not None:
+        sinks.save_model(meta, f"{path}/meta")
+    rows = [(i, name, meta is not None) for i, name in enumerate(members)]
+    table = spark.createDataFrame(rows, "number int, name string, stacked boolean")
+    table.coalesce(1).write.mode("overwrite").json(f"{path}/{ENSEMBLE}")
+    return path
+
+
+def _load(spark, path):
+    from bandlore.sources import sinks
+
+    rows = _listed(spark, path).orderBy("number").collect()
+    members = {r["name"]: sinks.load_model(spark, f"{path}/member_{r['number']}") for r in rows}
+    return members, sinks.load_model(spark, f"{path}/meta") if rows[0]["stacked"] else None
+
+
+def _listed(spark, path):
+    return spark.read.schema("number int, name string, stacked boolean").json(f"{path}/{ENSEMBLE}")
+
+
+def load_ensemble(spark, path):
+    """A saved voting or stacking model; its table of names tells which."""
+    return (StackingModel if _listed(spark, path).head()["stacked"] else VotingModel).load(spark, path)

@@ -77,6 +77,16 @@ def grids(size="coarse"):
     }
 
 
+def maker(name, best, seed=42):
+    """An estimator of a model with the settings that a search found."""
+    best = dict(best)
+    if name == M.LOGISTIC:
+        return lambda n: M.logistic(n, best["c"])
+    if name == M.SVM:
+        return M.KernelSvm(**best)
+    return KnnClassifier(features="scaled_array", **best) if name == M.NEIGHBORS else M.forest(seed=seed, **best)
+
+
 def settings(grid):
     names = list(grid)
     return [dict(zip(names, values)) for values in product(*grid.values())]

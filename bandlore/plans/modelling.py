@@ -14,6 +14,7 @@ from bandlore.operators import explain as X
 from bandlore.operators import models as M
 from bandlore.operators import training as T
 from bandlore.operators.sampling import stratified_folds
+from bandlore.session import stable
 from bandlore.sources import sinks
 
 
@@ -48,28 +49,43 @@ def run_training(prepared, makers=None, k=5, path=None, choose_on="validation"):
             "test": E.model_benchmark(M.score_models(test, fitted))}
 
 
-def run_tuning(prepared, baseline=None, size="coarse", k=5, names=None, path=None):
-    """Grid search per model, gain over the baseline, champion, sweep and operating points."""
+def run_tuning(prepared, baseline=None, size="full", k=5, names=None, path=None):
+    """Grid search per model, gain over the baseline, champion, sweep and operating points.
+
+    Champion and operating points are chosen on out-of-fold scores of the training rows, so the test rows only report.
+    Without ``baseline`` metrics the untuned models of the same names are fitted and compared with on the test rows.
+    """
     folded, test = folds_of(prepared, k)
     space = T.grids(size)
     found = {n: T.search(folded, n, space[n], k) for n in (names or list(space))}
     fitted = {n: f[2] for n, f in found.items()}
     scored = M.score_models(test, fitted)
     metrics = E.classification_metrics(scored)
+    if baseline is None:
+        plain = {n: T._fit(make, folded) for n, make in baseline_makers().items() if n in fitted}
+        baseline = E.classification_metrics(M.score_models(test, plain))
     spark = prepared.sparkSession
+    unseen = None
+    for n, f in found.items():
+        part = T.out_of_fold(T.maker(n, f[0]), folded, n).select("model", "id", "y", "prob", "pred_label")
+        unseen = part if unseen is None else unseen.unionByName(part)
+    unseen = stable(unseen)
     cv = spark.createDataFrame(
         [(n, str(f[0]), float(f[1]), i) for i, (n, f) in enumerate(found.items())],
         "model string, best_params string, cv_best_f1 double, listing int",
     )
     table = metrics.join(cv, "model")
-    gain = E.compare_to_baseline(metrics, baseline if baseline is not None else metrics)
-    best = E.champion(table, ["recall", "f1", "accuracy"]).head()["model"]
-    sweep = E.threshold_sweep(scored.where(F.col("model") == best))
+    gain = E.compare_to_baseline(metrics, baseline)
+    judged = E.classification_metrics(unseen).join(cv.select("model", "listing"), "model")
+    best = E.champion(judged, ["recall", "f1", "accuracy"]).head()["model"]
+    sweep = E.threshold_sweep(unseen.where(F.col("model") == best))
     points = E.operating_points(sweep)
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/tuning_metrics")
         sinks.write_table_csv(sweep, f"{path}/threshold_analysis")
         sinks.write_table_csv(points, f"{path}/operating_points")
+        sinks.write_threshold(points, f"{path}/threshold")
+        sinks.save_models(fitted, f"{path}/models", best)
     return {"models": fitted, "metrics": table, "gain": gain, "champion": best, "sweep": sweep,
             "operating_points": points, "calibration": E.calibration_curve(scored), "brier": E.brier(scored)}
 
@@ -90,10 +106,11 @@ def run_ensemble(prepared, k=5, path=None, mlp_iterations=600, trees=200, svm=No
     table = E.model_benchmark(scored)
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/ensemble_metrics")
+        sinks.save_models(fitted, f"{path}/models")
     return {"models": fitted, "scored": scored, "metrics": table, "loss": M.training_loss(fitted[M.MLP])}
 
 
-def run_explanation(prepared, model, tau=K.SAFE_TAU, repeats=15, background=8, permutations=2, path=None):
+def run_explanation(prepared, model, tau=K.SAFE_TAU, repeats=15, background=40, permutations=100, path=None):
     """Permutation importance, Shapley ranking and error list of a fitted model on the test rows."""
     test = prepared.where("split = 'test'")
     train = prepared.where("split = 'train'")

@@ -1,8 +1,12 @@
 """Writers: splits, metric tables, reports, scored rows, fitted models."""
 
+import re
+
 from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import functions as F
 
+from bandlore import constants as K
+from bandlore.functions import scalar as S
 from bandlore.operators.neighbors import KnnModel
 
 
@@ -48,21 +52,52 @@ def write_scored(df, path, fmt="csv"):
     return path
 
 
+def save_model(model, path):
+    """Any fitted model: an ML model by its writer, the neighbour model and the ensembles by their own."""
+    model.write().overwrite().save(path) if hasattr(model, "write") else model.save(path)
+    return path
+
+
+def slug(name):
+    """A folder name for a model name."""
+    return re.sub("[^a-z0-9]+", "-", name.casefold()).strip("-")
+
+
 def save_models(models, path, champion=None):
     """Every fitted model in its own folder, and the champion a second time as ``best``."""
-    def save(model, target):
-        model.write().overwrite().save(target) if hasattr(model, "write") else model.save(target)
-        return target
-
-    saved = {name: save(m, f"{path}/{name.lower().replace(' ', '_')}") for name, m in models.items()}
+    saved = {name: save_model(m, f"{path}/{slug(name)}") for name, m in models.items()}
     if champion is not None:
-        saved["best"] = save(models[champion], f"{path}/best")
+        saved["best"] = save_model(models[champion], f"{path}/best")
     return saved
 
 
 def load_model(spark, path):
-    """Any saved model. Saved metadata names its class; the neighbour model is a plain table."""
-    metadata = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata")
-    if metadata.getFileSystem(spark._jsc.hadoopConfiguration()).exists(metadata):
+    """Any saved model. Saved metadata names an ML model's class, a table of names marks an ensemble; the neighbour
+    model is a plain table."""
+    def there(name):
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+    if there("metadata"):
         return DefaultParamsReader.loadParamsInstance(path, spark)
+    if there("ensemble"):
+        from bandlore.operators.ensemble import load_ensemble
+
+        return load_ensemble(spark, path)
     return KnnModel.load(spark, path)
+
+
+def write_threshold(points, path, point="high_recall_safe"):
+    """The threshold of one operating point as a JSON document {"point": .., "threshold": ..}."""
+    chosen = points.where(F.col("point") == point).select("model", "point", "threshold")
+    return write_report_json(chosen, path)
+
+
+def stored_threshold(spark, path, explicit=None):
+    """The explicit threshold, else the one stored at ``path``, else the safe default."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if explicit is None and at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        text = spark.read.text(path, wholetext=True).where(F.length(F.trim("value")) > 0)
+        stored = text.select(S.json_number("value", "$.threshold", K.SAFE_TAU).alias("t")).head()
+        explicit = stored["t"] if stored else None
+    return S.check_tau(K.SAFE_TAU if explicit is None else explicit)

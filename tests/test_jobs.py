@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from bandlore import jobs
+from bandlore.operators import ensemble as EN
 from bandlore.operators import models as M
 from bandlore.plans import modelling
 from bandlore.sources import signals as G
+from bandlore.sources import sinks
 
 
 def test_jobs_in_order(spark, signals, tmp_path):
@@ -29,6 +31,26 @@ def test_jobs_in_order(spark, signals, tmp_path):
     assert scored.count() == 40 and {"Probability_Mine", "Probability_Rock", "Prediction", "freq_60"} <= set(scored.columns)
     assert scored.where((F.col("Probability_Mine") >= 0.43) != (F.col("Prediction") == "Mine")).count() == 0
 
+    modelling.run_tuning(rows, size="coarse", names=[M.LOGISTIC], path=f"{out}/tuned")
+    voting = EN.VotingModel({"a": M.logistic, "b": lambda n: M.logistic(n, 0.1)}).fit(rows.where("split = 'train'"))
+    stacked = EN.StackingModel({"a": M.logistic}, 2).fit(modelling.folds_of(rows, 2)[0])
+    sinks.save_models({EN.VOTING: voting, EN.STACKING: stacked}, f"{out}/ensemble/models")
+    test = rows.where("split = 'test'")
+    for model in (voting, stacked):
+        name = EN.VOTING if model is voting else EN.STACKING
+        again = sinks.load_model(spark, f"{out}/ensemble/models/{sinks.slug(name)}")
+        a, b = (M.with_scores(m, test).select("id", F.round("prob", 9)) for m in (model, again))
+        assert type(again) is type(model) and a.exceptAll(b).count() == 0
+    for name in ("tuned/best", "tuned/logistic-regression", "ensemble/soft-voting-ensemble"):
+        assert jobs.predict(spark, out, batch, header=True, model=name).total_signals == 40
+    hits = []
+    for tau in (0.05, 0.95):  # the stored threshold decides
+        point = spark.createDataFrame([("m", "high_recall_safe", tau)], "model string, point string, threshold double")
+        sinks.write_threshold(point, f"{out}/tuned/threshold")
+        hits.append(jobs.predict(spark, out, batch, header=True).threats_detected)
+    assert hits[0] > hits[1]
+    assert jobs.predict(spark, out, batch, header=True, tau=0.95).threats_detected == hits[1]
+
 
 def test_command_line(spark, signals, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
