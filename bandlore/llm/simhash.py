@@ -99,8 +99,10 @@ def _cut(pieces, budget, step=STEP):
         F.when(first, F.col("other")).otherwise(F.col("node")).alias("right"), "key")
 
 
-def _roots(n, a, b):
-    """Smallest index reachable from each of n indices over the links a-b."""
+def _roots(label, a, b):
+    """Smallest index of everything linked by a-b, given what ``label`` holds together already."""
+    n = len(label)
+    a, b = np.concatenate((a, np.arange(n))), np.concatenate((b, label))
     root = np.arange(n)
     while True:
         low = np.minimum(root[a], root[b])
@@ -113,12 +115,19 @@ def _roots(n, a, b):
         root = new
 
 
-def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
-    """Links between members of pairs of trie nodes, each node a range of the sorted array ``key``.
+def _walk(key, label, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
+    """Join what links below pairs of trie nodes, each node a range of the sorted array ``key``.
 
-    All pairs of one call share ``depth``. Returns index arrays a, b. Pairs of nodes wait on a stack in bounded parts.
+    All pairs of one call share ``depth``. ``label`` holds the smallest index of what is joined so far, and is returned
+    with what the links add. Pairs of nodes whose members are all joined already are passed over, so a dense ball of
+    fingerprints costs about its size and not its pairs. Pairs of nodes wait on a stack in bounded parts.
     """
-    found, ones = [], {}
+    ones, links, waiting = {}, [], 0
+
+    def changes():
+        return np.concatenate(([0], np.cumsum(label[1:] != label[:-1]))) if len(label) else np.zeros(0, np.int64)
+
+    turns = changes()
     todo = [(depth, (lo_a, hi_a, lo_b, hi_b, used))]
     while todo:
         depth, front = todo.pop()
@@ -126,11 +135,18 @@ def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
             todo += [(depth, tuple(x[k:k + FRONT] for x in front)) for k in range(0, len(front[0]), FRONT)]
             continue
         lo_a, hi_a, lo_b, hi_b, used = front
+        one_a, one_b = turns[hi_a - 1] == turns[lo_a], turns[hi_b - 1] == turns[lo_b]
+        apart = ~(one_a & one_b & (label[lo_a] == label[lo_b]))
+        lo_a, hi_a, lo_b, hi_b, used = (x[apart] for x in (lo_a, hi_a, lo_b, hi_b, used))
         few = (hi_a - lo_a) * (hi_b - lo_b) <= (DIRECT if depth < 64 else key.size ** 2)
         a, b = _members(lo_a[few], hi_a[few], lo_b[few], hi_b[few])
-        close = (np.bitwise_count(key[a] ^ key[b]) <= budget) & (a != b)
-        found.append((a[close], b[close]))
-        lo_a, hi_a, lo_b, hi_b, used = (x[~few] for x in front)
+        close = (label[a] != label[b]) & (np.bitwise_count(key[a] ^ key[b]) <= budget)
+        links.append((a[close], b[close]))
+        waiting += len(links[-1][0])
+        if waiting > FRONT:
+            label, links, waiting = _roots(label, *(np.concatenate(x) for x in zip(*links))), [], 0
+            turns = changes()
+        lo_a, hi_a, lo_b, hi_b, used = (x[~few] for x in (lo_a, hi_a, lo_b, hi_b, used))
         if not len(lo_a):
             continue
         if depth not in ones:
@@ -140,8 +156,8 @@ def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
         mid_a, mid_b = hi_a - (count[hi_a] - count[lo_a]), hi_b - (count[hi_b] - count[lo_b])
         same = lo_a == lo_b
         for start_a, end_a, start_b, end_b, add, twice in (
-            (lo_a, mid_a, lo_b, mid_b, 0, False), (mid_a, hi_a, mid_b, hi_b, 0, False),
             (lo_a, mid_a, mid_b, hi_b, 1, False), (mid_a, hi_a, lo_b, mid_b, 1, True),
+            (lo_a, mid_a, lo_b, mid_b, 0, False), (mid_a, hi_a, mid_b, hi_b, 0, False),
         ):
             keep = (end_a > start_a) & (end_b > start_b) & (used + add <= budget)
             if twice:
@@ -149,7 +165,7 @@ def _walk(key, lo_a, hi_a, lo_b, hi_b, depth, used, budget=BUDGET):
             if keep.any():
                 todo.append((depth + 1, tuple(x[keep] for x in (start_a, end_a, start_b, end_b, used + add))))
         todo = _joined(todo)
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
+    return _roots(label, *(np.concatenate(x) for x in zip(*links))) if links else label
 
 
 def _joined(todo):
@@ -187,8 +203,11 @@ def _forest(rows, budget=BUDGET):
         lo_a, hi_a = start, np.where(single, end, mid)
         lo_b, hi_b = np.where(single, start, mid), end
         live = np.where(single, end - start > 1, (hi_a > lo_a) & (hi_b > lo_b))
-        a, b = _walk(own, lo_a[live], hi_a[live], lo_b[live], hi_b[live], d, used[live], budget)
-        root = _roots(len(own), a, b)
+        root = np.arange(len(own))
+        # Close links first: they join dense balls, which the wider budgets then pass over.
+        for near in sorted({min(BUDGET, budget), *range(budget, BUDGET, -2)}):
+            fit = live & (used <= near)
+            root = _walk(own, root, lo_a[fit], hi_a[fit], lo_b[fit], hi_b[fit], d, used[fit], near)
         leaf = np.flatnonzero(root != np.arange(len(own)))
         back = [(own << np.uint64(64 - t)) | (own >> np.uint64(t)) if t else own][0]
         out_a.append(back[leaf])

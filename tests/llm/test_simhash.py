@@ -1,6 +1,7 @@
 """SimHash near-duplicates against a brute-force version."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -76,15 +77,27 @@ def test_cut_pieces_lose_no_link(spark):
 
 
 @pytest.mark.parametrize("front, direct", [(M.FRONT, M.DIRECT), (16, 1), (50, 4)])
-def test_walk_finds_all_pairs(monkeypatch, front, direct):
+def test_walk_joins_all_links(monkeypatch, front, direct):
     monkeypatch.setattr(M, "FRONT", front)
     monkeypatch.setattr(M, "DIRECT", direct)
     rng = np.random.default_rng(3)
     key = np.unique(rng.integers(0, 1 << 9, 200, dtype=np.uint64) << np.uint64(40))
     n = len(key)
-    a, b = M._walk(key, *[np.array([x]) for x in (0, n, 0, n)], 0, np.array([0]))
-    want = {(i, j) for i in range(n) for j in range(i) if int(key[i] ^ key[j]).bit_count() <= 2}
-    assert {(max(i, j), min(i, j)) for i, j in zip(a.tolist(), b.tolist())} == want
+    label = M._walk(key, np.arange(n), *[np.array([x]) for x in (0, n, 0, n)], 0, np.array([0]))
+    root = brute_components([int(k) for k in key])
+    assert [int(key[i]) for i in label] == [root[int(k)] for k in key]
+
+
+def test_dense_ball_costs_its_size():
+    """Fingerprints that differ from one by some of 16 bits: nearly all pairs are within six bits."""
+    rng = np.random.default_rng(7)
+    key = np.unique(rng.integers(0, 1 << 16, 12_000, dtype=np.uint64) << np.uint64(20))
+    rows = [np.zeros(len(key), np.int64)] * 2 + [np.zeros(len(key), np.int64)] * 2
+    rows[1] = rows[1] + 9
+    start = time.process_time()
+    a, b = M._forest([*rows, key], 6)
+    assert len(a) == len(key) - 1 and len(set(b.tolist())) == 1
+    assert time.process_time() - start < 20
 
 
 def test_edges(spark):
