@@ -179,28 +179,28 @@ class Encoder:
         return b" ".join([blob[offsets[i]:offsets[i + 1]] for i in ids])
 
     def _entry(self, piece):
-        """Count, decimal ids and decoded bytes of a piece. A word before one comma or stop is looked up by itself."""
+        """Count, decimal ids, decoded bytes and ids of a piece. A word before one comma or stop is looked up by itself."""
         entry = self.known.get(piece)
         if entry is None:
             if piece[-1:] in (b",", b".") and _lower(piece[:-1].decode("utf-8", "replace")).isalpha():
                 word, mark = self._entry(piece[:-1]), self._entry(piece[-1:])
-                entry = (word[0] + mark[0], word[1] + b" " + mark[1], word[2] + b" " + mark[2])
+                entry = (word[0] + mark[0], word[1] + b" " + mark[1], word[2] + b" " + mark[2], word[3] + mark[3])
             else:
                 ids = self._piece(piece)
-                entry = (len(ids), b" ".join([b"%d" % i for i in ids]), self.decode(ids))
+                entry = (len(ids), b" ".join([b"%d" % i for i in ids]), self.decode(ids), tuple(ids))
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[piece] = entry
         return entry
 
     def pieces(self, text):
-        """(count, decimal ids, decoded bytes) of each piece of a text that has any token."""
+        """(count, decimal ids, decoded bytes, ids) of each piece of a text that has any token."""
         get, other = self.known.get, self._entry
         parts = (text if b"<|" in text else text.translate(LOWER)).split()
         return [e for e in [get(p) or other(p) for p in parts] if e[0]]
 
     def ids(self, text):
-        return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split()]
+        return [i for entry in self.pieces(text) for i in entry[3]]
 
 
 def encoder(text):

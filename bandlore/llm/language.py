@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import rows_read, sampled
+from bandlore.llm.common import rows_read, sampled, written
 
 #: Most training documents, chosen by the hash of doc_id, and most words and letter runs of a model.
 TRAINING, WORDS, RUNS = 20_000, 60_000, 60_000
@@ -89,7 +89,7 @@ class Model:
     def predict(self, text):
         """Language and its share of the evidence, 0 to 1."""
         words = LETTERS.findall((text or "").lower())
-        if not words or not self.langs:
+        if not self.langs or not any(c.isalpha() for w in words for c in w):
             return UNDECIDED, 0.0
         if self.rows is None or len(self.known) + len(words) > REMEMBERED:
             self.known, self.rows = {}, np.zeros((1024, len(self.langs)))
@@ -112,7 +112,7 @@ def train(docs, limit=TRAINING, words=WORDS, runs=RUNS):
     The most frequent ``words`` words and ``runs`` letter runs are kept. Without any language the model has none.
     """
     rows = sampled(docs.where("text is not null and lang is not null").select("doc_id", "lang", "text"), limit)
-    counts = _counted(rows)
+    counts = written(_counted(rows), "language-counts")
     totals = F.struct("lang", "n")
     kept = {}
     for kind, most in (("word", words), ("run", runs)):

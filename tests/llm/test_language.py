@@ -54,7 +54,7 @@ def test_bounded_memory_changes_nothing(rows, monkeypatch):
 
 def test_edges(spark, rows):
     model = M.train(rows)
-    odd = [(None, None, 1), (1, "", 1), (2, "12 34 !? ___", 1), (3, "the " * 50_000, 1), (3, "the " * 50_000, 1), (4, "漢字", 1)]
+    odd = [(None, None, 1), (1, "", 1), (2, "12 34 !? ___ ½ ²", 1), (3, "the " * 50_000, 1), (3, "the " * 50_000, 1), (4, "漢字", 1)]
     docs = spark.createDataFrame(odd, "doc_id long, text string, score int")
     got = {r.doc_id: r for r in M.identify(docs, model).collect()}
     assert M.identify(docs, model).count() == 6
