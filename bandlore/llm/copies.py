@@ -1,0 +1,206 @@
+"""Near copies by the exact Jaccard similarity of word shingles: candidates, verification, components.
+
+Candidates come from the trie join of SimHash fingerprints and, so that none is missed, from prefixes: if the shingles of
+all texts are put in one order, two texts of similarity 0.8 or more share one of the first fifth (and one) of each. The
+order is rare before common as far as a sample tells, else by hash; it changes the number of candidates, not the result.
+Length and position bounds hold too. Every candidate pair is verified on the whole shingle sets before it counts.
+
+Only links that join something are wanted. So texts that share a prefix shingle are first compared with a few pivots of
+their group, and only pairs that are not joined then, without pairs inside the group's largest component, are listed.
+"""
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from bandlore.llm.common import LOWER, binary_text, sampled, stable, written
+from bandlore.llm.simhash import _row_keys, _simhash, components, first_of_groups, links
+
+#: Words of a shingle. Two texts are near copies from PART / WHOLE of their shingles on.
+SHINGLE, PART, WHOLE = 5, 4, 5
+#: Most sampled documents and most common shingles for the order, and how often one stands in the sample at least.
+DOCUMENTS, COMMON, OFTEN = 20_000, 100_000, 3
+#: Pivots of a group of texts with a common prefix shingle.
+PIVOTS = 3
+
+
+def shingles(text, size=SHINGLE):
+    """Sorted distinct hashes of the shingles of a text; a shorter text is one shingle, a wordless one has none."""
+    from itertools import repeat
+
+    import xxhash
+
+    words = text.translate(LOWER).split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    found = zip(*(words[i:] for i in range(size))) if len(words) >= size else [words]
+    count = max(len(words) - size + 1, 1)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, found), repeat(7)), np.uint64, count))
+
+
+def prefix(own, common, often):
+    """The first shingles of a set, rare before common: one of them is shared by every set that is similar enough."""
+    length = len(own) - -(-PART * len(own) // WHOLE) + 1 if len(own) else 0
+    rank = np.zeros(len(own), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+        rank = np.where(common[at] == own, often[at], 0)
+    return own[np.lexsort((own, rank))[:length]]
+
+
+def similar(a, b):
+    """Whether two sorted shingle sets share PART / WHOLE of their union or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return WHOLE * both >= PART * (len(a) + len(b) - both)
+
+
+def _common(docs):
+    """Hashes and counts of shingles that stand in several documents of a sample, by hash."""
+
+    def run(batches):
+        for batch in batches:
+            found = [shingles(t.as_py()) for t in batch.column("text")]
+            yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64) if found else [], pa.int64())], ["h"])
+
+    texts = sampled(docs.where("text is not null").select("doc_id", "text"), DOCUMENTS)
+    counts = binary_text(texts).mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n"))
+    rows = counts.where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(COMMON).collect()
+    known = sorted((r.h & (1 << 64) - 1, r.n) for r in rows)
+    return np.array([h for h, _ in known], np.uint64), np.array([n for _, n in known], np.int64)
+
+
+def _described(docs, words):
+    """Per document its keys, the hash ``sid`` of its shingle set (0 without words), fingerprint, set size and prefix."""
+    import xxhash
+
+    common, often = _common(docs)
+
+    def run(batches):
+        for batch in batches:
+            sids, fps, sizes, prefixes = [], [], [], []
+            for value in batch.column("text"):
+                text = value.as_py() or b""
+                own = shingles(text)
+                sids.append(xxhash.xxh64_intdigest(own.tobytes(), 11) if len(own) else 0)
+                fps.append(_simhash(text, words))
+                sizes.append(len(own))
+                prefixes.append(prefix(own, common, often).view(np.int64))
+            keys = [batch.column(c) for c in ("doc_id", "row_hash", "row_check")]
+            yield pa.record_batch(
+                [*keys, pa.array(np.array(sids, np.uint64).view(np.int64)), pa.array(fps, pa.int64()),
+                 pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
+                ["doc_id", "row_hash", "row_check", "sid", "fp", "size", "prefix"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return binary_text(docs, "doc_id", *_row_keys()).mapInArrow(
+        run, f"doc_id {kind}, row_hash long, row_check int, sid long, fp long, size int, prefix array<long>")
+
+
+def _sets(docs, wanted):
+    """sid and sorted shingles of the rows ``wanted`` (row_hash, row_check, sid)."""
+
+    def run(batches):
+        for batch in batches:
+            found = [shingles(t.as_py() or b"").view(np.int64) for t in batch.column("text")]
+            yield pa.record_batch([batch.column("sid"), pa.array(found, pa.list_(pa.int64()))], ["sid", "own"])
+
+    rows = binary_text(docs, *_row_keys()).join(wanted, ["row_hash", "row_check"]).select("sid", "text")
+    return rows.mapInArrow(run, "sid long, own array<long>")
+
+
+def _verified(pairs, sets):
+    """The pairs a-b of sids whose sets are similar."""
+
+    def run(batches):
+        for batch in batches:
+            left, right = ([x.values.to_numpy().view(np.uint64) if x.is_valid else [] for x in batch.column(c)]
+                           for c in ("left", "right"))
+            good = pa.array([similar(x, y) for x, y in zip(left, right)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    # Written, so that the joins shuffle anew and a hot pivot can be split.
+    pairs = stable(pairs)
+    rows = pairs.join(sets.select(F.col("sid").alias("a"), F.col("own").alias("left")), "a").join(
+        sets.select(F.col("sid").alias("b"), F.col("own").alias("right")), "b")
+    return stable(rows.select("a", "b", "left", "right").mapInArrow(run, "a long, b long"))
+
+
+def _labelled(members, edges):
+    """``members`` with the component ``label`` of their sid."""
+    stars = components(edges).select(F.col("a").alias("sid"), F.col("b").alias("label"))
+    return members.join(stars, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+
+
+def _close(left, right):
+    """Length and position bounds of two members of a group; the pair's first common shingle fulfils them."""
+    least, most = (f(f"{left}.size", f"{right}.size") for f in (F.least, F.greatest))
+    ahead = F.least(F.expr(f"{left}.size - {left}.at"), F.expr(f"{right}.size - {right}.at"))
+    return (WHOLE * least >= PART * most) & ((PART + WHOLE) * ahead >= PART * F.expr(f"{left}.size + {right}.size"))
+
+
+def _groups(nodes):
+    """(h, sid, size, at) of every prefix shingle that several texts have, without the pairs."""
+    postings = nodes.select("sid", "size", F.posexplode("prefix").alias("at", "h"))
+    several = stable(postings.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"))
+    return stable(postings.join(several, "h"))
+
+
+def _pivot_pairs(groups):
+    """Every member of a group with each pivot of the group; groups share pivots where they share members."""
+    member = F.struct("sid", "size", "at")
+    pivots = stable(groups.groupBy("h").agg(F.array_distinct(F.array(*[
+        F.min_by(member, F.xxhash64(F.lit(turn), "sid")) for turn in range(PIVOTS)])).alias("ps")))
+    rows = groups.select("h", member.alias("m")).join(pivots, "h").select("m", F.explode("ps").alias("p"))
+    return _pairs(rows.where((F.col("m.sid") != F.col("p.sid")) & _close("m", "p")), "m", "p")
+
+
+def _left_pairs(groups):
+    """All pairs of a group that are not joined; of the group's largest component no pair is listed."""
+    member = F.struct("sid", "size", "at", "label")
+    parts = groups.groupBy("h", "label").agg(F.count("*").alias("n"))
+    most = stable(parts.groupBy("h").agg(F.max_by("label", F.struct("n", "label")).alias("main"),
+                                         F.count("*").alias("parts")).where("parts > 1").drop("parts"))
+    some = stable(groups.join(most, "h"))
+    few = some.where("label <> main").select("h", member.alias("m"))
+    rows = few.join(some.select("h", member.alias("p"), (F.col("label") == F.col("main")).alias("is_main")), "h").where(
+        "m.label <> p.label and (is_main or m.sid < p.sid)")
+    return _pairs(rows.where(_close("m", "p")), "m", "p")
+
+
+def _pairs(rows, m, p):
+    a, b = F.col(f"{m}.sid"), F.col(f"{p}.sid")
+    return rows.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+
+
+def _trie_pairs(nodes, budget):
+    """Texts of one fingerprint with one of them, and the texts that stand for linked fingerprints."""
+    prints = stable(nodes.groupBy("fp").agg(F.min("sid").alias("s")))
+    same = nodes.join(prints, "fp").where("sid <> s").select(F.col("s").alias("a"), F.col("sid").alias("b"))
+    found = links(prints.select("fp"), budget=budget).where("a <> b").distinct()
+    far = found.join(prints.toDF("a", "x"), "a").join(prints.toDF("b", "y"), "b").select("x", "y").toDF("a", "b")
+    return same.unionByName(far)
+
+
+def grouped(docs, words, budget):
+    """doc_id, row_hash, row_check and ``root`` of every document: equal for all that verified links connect."""
+    rows = written(_described(docs, words), "shingles")
+    nodes = stable(rows.where("size > 0").groupBy("sid").agg(
+        F.min_by(F.struct("row_hash", "row_check", "fp", "size", "prefix"), F.struct("row_hash", "row_check")).alias("r")
+    ).select("sid", "r.*"))
+    groups, trie = _groups(nodes), stable(_trie_pairs(nodes, budget))
+    used = groups.select("sid").union(trie.select("a")).union(trie.select("b")).distinct()
+    wanted = nodes.join(used, "sid").select("row_hash", "row_check", "sid")
+    # Equal rows come several times; one is enough.
+    sets = stable(_sets(docs, wanted).dropDuplicates(["sid"]))
+    edges = _verified(trie.unionByName(_pivot_pairs(groups)).distinct(), sets)
+    edges = edges.unionByName(_verified(_left_pairs(stable(_labelled(groups, edges))), sets))
+    return _labelled(rows.select("doc_id", "row_hash", "row_check", "sid"), edges).withColumnRenamed("label", "root")
+
+
+def one_per_group(docs, words, budget):
+    """``docs`` without near copies: of every group the row with the smallest doc_id stays (null doc_ids last).
+
+    Null, empty and wordless texts are one group. ``words`` and ``budget`` are those of the fingerprints, which only
+    propose pairs. Between rows of one doc_id a hash of the text decides; of wholly equal rows one stays.
+    """
+    return first_of_groups(docs, grouped(docs, words, budget))

@@ -313,8 +313,13 @@ def one_per_group(docs, size=3, budget=BUDGET, piece=PIECE):
 
     Between rows of one doc_id a hash of the text decides; of wholly equal rows one stays. Other columns are untouched.
     """
+    return first_of_groups(docs, _classed(docs, size, budget, piece))
+
+
+def first_of_groups(docs, classed):
+    """Of the rows of ``docs`` the first of each ``root`` in ``classed`` (doc_id, root, row_hash, row_check)."""
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "row_check")
-    first = _classed(docs, size, budget, piece).groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check")
+    first = classed.groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check")
     first = first.toDF("_row_hash", "_row_check").distinct()
     row_hash, row_check = _row_keys()
     rows = docs.withColumn("_row_hash", row_hash).withColumn("_row_check", row_check)

@@ -1,0 +1,67 @@
+"""Near copies of the pipeline against all pairs compared by their whole shingle sets."""
+
+import random
+
+import corpus_pipeline as P
+from bandlore.llm import copies as M
+
+
+def brute(rows):
+    """rows: {doc_id: text}. The smallest doc_id of every component of pairs that share 0.8 of five-word shingles."""
+    def own(text):
+        words = "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
+        return frozenset(zip(*(words[k:] for k in range(5)))) if len(words) >= 5 else frozenset([tuple(words)] if words else [])
+
+    sets, root, holders = {i: own(t) for i, t in rows.items()}, {i: i for i in rows}, {}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sorted(sets):
+        mates = {j for s in sets[i] or ["none"] for j in holders.setdefault(s, [])}
+        for j in mates:
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+        for s in sets[i] or ["none"]:
+            holders[s].append(i)
+    return {find(i) for i in rows}
+
+
+def kept(df):
+    return {r.doc_id for r in df.collect()}
+
+
+def test_stage_over_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = brute({r.doc_id: r.text for r in docs.collect()})
+    assert kept(P.near_dedup(spark, docs, small)) == want
+
+
+def changed(rng, words, n):
+    words = list(words)
+    for at in rng.sample(range(len(words)), n):
+        words[at] = f"new{rng.randrange(10 ** 6)}"
+    return words
+
+
+def test_clean_texts_stay_and_all_copies_go(spark):
+    """Few words shared at random, chains of copies, a hot group, and texts with half of a common passage."""
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(("red", "blue", "green")) for _ in range(3 + k % 4)) for k in range(80)]
+    base = [f"w{rng.randrange(900)}" for _ in range(120)]
+    for _ in range(150):
+        texts.append(" ".join(changed(rng, base, rng.randint(0, 4))))
+    for _ in range(10):
+        words = [f"w{rng.randrange(900)}" for _ in range(60)]
+        for _ in range(6):
+            words = changed(rng, words, 1)
+            texts.append(" ".join(words))
+    texts += [" ".join(base[:60] + [f"w{rng.randrange(900)}" for _ in range(60)]) for _ in range(30)]
+    texts += [None, "", " \n"]
+    rows = dict(enumerate(texts))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert kept(M.one_per_group(docs, P.NEAR_WORDS, P.NEAR_BITS)) == brute(rows)
