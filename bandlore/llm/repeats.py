@@ -3,8 +3,9 @@
 A unit is a line or a part of one: lines are also cut after a sentence end and before a capitalised word, so that a
 passage pasted into the middle of a line has units of its own. Units are normalised (lower case, single spaces, no marks
 at the ends) and digested; units of one or two words are digested together with the unit before them. Of every digest
-the earliest unit, by doc_id and position, is kept wherever it stands. The others are marked, and marked units that
-follow each other are removed if together they have at least ``run_words`` words; offsets into the original text stay.
+the earliest unit, by doc_id and position, is kept wherever it stands. The others are marked. A line goes if all its
+units are marked, however short it is; other marked units that follow each other go if together they have at least
+``run_words`` words, where two letters of a script without spaces count as a word. Offsets into the original text stay.
 
 Only digests and positions are grouped, after a partial count per task; a digest held by very many documents sends one
 row per task. The join back is an inner join that Spark may split at hot digests.
@@ -13,26 +14,48 @@ row per task. The join back is an inner join that Spark may split at hot digests
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bandlore.llm.common import binary_text, stable
 
-#: Fewest words of a removed run of units.
+#: Fewest words of a removed run of units that is no whole line.
 RUN_WORDS = 20
-#: Units with fewer words are digested with the one before.
+#: Units with fewer words are digested with the one before, unless they begin a line.
 SHORT = 3
+#: Letters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 BORDER = re.compile(r"\s*\n\s*|(?<=[.!?])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
 SPANS = "array<struct<start:int,end:int>>"
 
 
+class Units(list):
+    """(start, end, words, normalised bytes) of units, and beside them their ``sizes`` in words and ``lines``."""
+
+    def __init__(self):
+        self.sizes, self.lines = [], []
+
+
+def _size(text, words):
+    """Words of a unit; two letters of a script without spaces count as one at least."""
+    return len(words) if text.isascii() else max(len(words), len(UNSPACED.findall(text)) // 2)
+
+
 def units(text):
-    """(start, end, words, normalised bytes) of the units of a text with words; offsets are code points."""
-    out, at = [], 0
+    """The units of a text with words; offsets are code points. A unit that begins a line has SHORT words or more, so
+    that it is digested without the line before."""
+    out, at, line, last = Units(), 0, 0, -1
     for cut in [*((m.start(), m.end()) for m in BORDER.finditer(text)), (len(text), len(text))]:
         words = text[at:cut[0]].lower().split()
         if words:
-            out.append((at, cut[0], len(words), " ".join(words).strip(".,;:!?\"'()").encode("utf-8", "replace")))
+            size = _size(text[at:cut[0]], words)
+            out.append((at, cut[0], size if line == last else max(size, SHORT),
+                        " ".join(words).strip(".,;:!?\"'()").encode("utf-8", "replace")))
+            out.sizes.append(size)
+            out.lines.append(line)
+            last = line
+        line += "\n" in text[cut[0]:cut[1]]
         at = cut[1]
     return out
 
@@ -48,16 +71,21 @@ def digests(found):
 
 
 def runs(found, marked, run_words=RUN_WORDS):
-    """Spans (start, end) of runs of marked units with enough words."""
-    out, at = [], 0
+    """Spans (start, end) of marked units: whole lines, and runs with enough words."""
+    out, at, lines = [], 0, found.lines
     marked = sorted(marked)
     while at < len(marked):
         end = at
         while end + 1 < len(marked) and marked[end + 1] == marked[end] + 1:
             end += 1
-        run = found[marked[at]:marked[end] + 1]
-        if sum(u[2] for u in run) >= run_words:
-            out.append((run[0][0], run[-1][1]))
+        first, last = marked[at], marked[end]
+        if sum(found.sizes[first:last + 1]) < run_words:
+            while first <= last and first and lines[first - 1] == lines[first]:
+                first += 1
+            while first <= last and last + 1 < len(found) and lines[last + 1] == lines[last]:
+                last -= 1
+        if first <= last:
+            out.append((found[first][0], found[last][1]))
         at = end + 1
     return out
 
@@ -100,7 +128,7 @@ def marks(docs):
 
 
 def without_repeats(docs, run_words=RUN_WORDS):
-    """One row per document: doc_id, text without repeated runs, n_units, n_removed (units), removed_chars, and spans
+    """One row per document: doc_id, text without repeated lines and runs, n_units, n_removed (units), removed_chars, and spans
     (start, end) of what was removed, in code points of the original text.
 
     Null text stays null, without units. Documents are ranked by doc_id, null last, then by a hash; rows equal in doc_id
@@ -120,7 +148,9 @@ def without_repeats(docs, run_words=RUN_WORDS):
                     at = end
                 texts.append(text if not cut else "".join([*kept, text[at:]]))
                 counts.append(len(found))
-                gone.append(sum(any(a <= u[0] < b for a, b in cut) for u in found) if cut else 0)
+                ends = np.array(cut, np.int64).reshape(-1, 2)
+                before = np.searchsorted([u[0] for u in found], ends)
+                gone.append(int((before[:, 1] - before[:, 0]).sum()))
                 chars.append(sum(b - a for a, b in cut))
                 spans.append([{"start": a, "end": b} for a, b in cut])
             yield pa.record_batch(
