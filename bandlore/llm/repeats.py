@@ -1,7 +1,9 @@
 """Repeated passages, by global hashing of lines cut at sentence starts.
 
-A unit is a line or a part of one: lines are also cut after a sentence end and before a capitalised word, so that a
-passage pasted into the middle of a line has units of its own. Units are normalised (lower case, single spaces, no marks
+A unit is a line or a part of one: lines are also cut after a sentence end and before a capitalised word of any script,
+so that a passage pasted into the middle of a line has units of its own. A unit of more than LONG words is cut further
+after words that a hash picks, and scripts without spaces after pairs of letters that it picks, so that equal passages
+are cut alike wherever they begin. Units are normalised (lower case, single spaces, no marks
 at the ends) and digested; units of one or two words are digested together with the unit before them. Of every digest
 the earliest unit, by doc_id and position, is kept wherever it stands. The others are marked. A line goes if all its
 units are marked, however short it is; other marked units that follow each other go if together they have at least
@@ -13,6 +15,7 @@ row per task. The join back is an inner join that Spark may split at hot digests
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,22 @@ RUN_WORDS = 20
 SHORT = 3
 #: Letters of scripts without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
-BORDER = re.compile(r"\s*\n\s*|(?<=[.!?])\s+|\s+(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ])")
+#: Units of more words are cut after one word in PICKED, or one pair of letters in PAIRS without spaces.
+LONG, PICKED, PAIRS = 20, 8, 16
+
+
+def _letters(kind):
+    """The letters of a kind as ranges of a character class."""
+    points = [c for c in range(0x80, 0x1EA00) if kind(chr(c))]
+    starts = [c for c, before in zip(points, [-1, *points]) if c != before + 1]
+    ends = [c for c, after in zip(points, [*points[1:], -1]) if c + 1 != after]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+BORDER = re.compile(
+    r"\s*\n\s*|(?<=[.!?…।॥؟۔։።])\s+|(?<=[。！？｡．])\s*"
+    rf"|\s+(?=[A-Z{_letters(str.isupper)}][a-z{_letters(str.islower)}])")
+WORD, INK = re.compile(r"\S+"), re.compile(r"\S")
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -42,11 +60,38 @@ def _size(text, words):
     return len(words) if text.isascii() else max(len(words), len(UNSPACED.findall(text)) // 2)
 
 
+def _picked(part):
+    """Offsets in a long unit after which its content says to cut it."""
+    out = []
+    for m in WORD.finditer(part):
+        word = m.group().lower()
+        if not word.isascii() and UNSPACED.search(word):
+            out += [m.start() + k for k in range(2, len(m.group())) if not zlib.crc32(
+                part[m.start() + k - 2:m.start() + k].lower().encode("utf-8", "replace")) % PAIRS]
+        if not zlib.crc32(word.encode("utf-8", "replace")) % PICKED:
+            out.append(m.end())
+    return out
+
+
+def _cuts(text):
+    """(end of a unit, start of the next) at all borders and at the end."""
+    at = 0
+    for start, end in [*((m.start(), m.end()) for m in BORDER.finditer(text)), (len(text), len(text))]:
+        part = text[at:start]
+        if len(part) > LONG and _size(part, part.split()) > LONG:
+            for k in _picked(part):
+                after = INK.search(part, k)
+                if after:
+                    yield at + k, at + after.start()
+        yield start, end
+        at = end
+
+
 def units(text):
     """The units of a text with words; offsets are code points. A unit that begins a line has SHORT words or more, so
     that it is digested without the line before."""
     out, at, line, last = Units(), 0, 0, -1
-    for cut in [*((m.start(), m.end()) for m in BORDER.finditer(text)), (len(text), len(text))]:
+    for cut in _cuts(text):
         words = text[at:cut[0]].lower().split()
         if words:
             size = _size(text[at:cut[0]], words)
