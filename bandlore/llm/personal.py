@@ -3,7 +3,8 @@
 The field scores whole segments of up to LONGEST tokens: shape, length, digit sums, separators and the words beside the
 segment are features of the span, not of single tokens. Dynamic programming over segment ends, bounded by LONGEST,
 chooses boundaries and kinds together; training sums over all segmentations in the same way. A segment of a kind holds a
-digit or an at sign, so a text falls into islands around these, and solving each island solves the text.
+digit, an at sign, or the word "at" before a host with a dot, so a text falls into islands around these, each with as
+many tokens to both sides as a segment has, and solving each island solves the text.
 
 The field learns from spans that the patterns find in a bounded sample, with their surface varied (marks spelled out,
 prefixes and separators changed), so that it also finds forms that the patterns miss. Spans of the patterns always stay;
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 from bandlore.llm.common import binary_text, sampled
 
 KINDS = ("email", "ip", "card", "phone")
-#: Longest segment in tokens; tokens of context around an island.
-LONGEST, AROUND = 7, 3
+#: Longest segment in tokens; whole tokens to both sides of what starts an island.
+LONGEST = AROUND = 7
 #: Training: most documents (by hash of doc_id) and most islands, passes, step; number of hashed features.
 DOCUMENTS, ISLANDS, PASSES, STEP, WIDTH = 20_000, 500, 10, 0.3, 1 << 13
 
@@ -30,7 +31,13 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-SEED = re.compile(r"[0-9@]|[\[(] ?at ?[\])]")
+DOT = r"(?:\.(?=[a-z])|\s?[\[(] ?dot ?[\])]\s?|\sdot\s)"
+SEED = re.compile(rf"[0-9@]|[\[(] ?at ?[\])]|(?<=\s)at\s+[a-z0-9-]+{DOT}[a-z]", re.IGNORECASE)
+#: An address whose at sign or dots are spelled out, and the rest of a host in this form.
+SPELLED = re.compile(
+    rf"[a-z0-9]\s*(?:(?:@|[\[(] ?at ?[\])])\s*[a-z0-9-]+\s*(?:\.|[\[(] ?dot ?[\])]|\sdot\s)\s*[a-z]"
+    rf"|\sat\s+[a-z0-9-]+{DOT}[a-z])")
+MORE = re.compile(rf"(?:{DOT}[a-z0-9-]+)+", re.IGNORECASE)
 NOT_DIGIT = re.compile(r"[^0-9]")
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
@@ -77,13 +84,13 @@ def base_spans(text):
 
 
 def islands(text):
-    """(start, end) of the stretches around digits and at signs, with some tokens of context; disjoint, in order."""
+    """(start, end) of the stretches around seeds, with AROUND whole tokens to both sides; disjoint, in order."""
     out, done = [], 0
     for seed in SEED.finditer(text):
         if seed.start() < done:
             continue
         start, end = seed.start(), seed.end()
-        for _ in range(AROUND):
+        for _ in range(AROUND + 1):
             while start > 0 and not text[start - 1].isspace():
                 start -= 1
             while start > 0 and text[start - 1].isspace() and text[start - 1] != "\n":
@@ -126,14 +133,14 @@ def _hashed(name):
 def features(text, start, end, before, after, n):
     """Hashed features of one segment: of its whole text and of the tokens beside it."""
     start, end = _trimmed(text, start, end)
-    seg = text[start:end][:80]
+    seg = text[start:end]
     shape = re.sub(r"[A-Za-z]+", "a", seg)
     digits = NOT_DIGIT.sub("", seg)
     groups = re.sub(r"[0-9]+", lambda m: str(min(len(m.group()), 9)), shape)
     kinds = re.sub(r"[0-9]+", "0", shape)
     names = [
-        "bias", f"n={n}", f"groups={groups[:40]}", f"kinds={kinds[:40]}", f"first={shape[:1]}", f"digits={min(len(digits), 20)}",
-        f"signs={''.join(sorted(set(re.sub(r'[a0-9]', '', kinds))))[:8]}", f"before={before.lower()[-12:]}",
+        "bias", f"n={n}", f"groups={groups}", f"kinds={kinds}", f"first={shape[:1]}", f"digits={min(len(digits), 20)}",
+        f"signs={''.join(sorted(set(re.sub(r'[a0-9]', '', kinds))))}", f"before={before.lower()[-12:]}",
         f"after={after.lower()[:12]}", f"at={'@' in seg or 'at' in re.findall('[a-z]+', seg.lower())}",
         f"dot={seg.lower().count('dot') + seg.count('.')}",
         f"luhn={13 <= len(digits) <= 19 and luhn(digits)}", f"ip={bool(IP.fullmatch(seg)) and _is_ip(seg)}",
@@ -247,7 +254,7 @@ def looks_like(kind, text):
     """Whether a span that the field found can be of its kind."""
     digits, lowered = NOT_DIGIT.sub("", text), text.lower()
     if kind == "email":
-        return bool(re.search(r"[a-z0-9]\s*(@|[\[(] ?at ?[\])]|\sat\s)\s*[a-z0-9-]+\s*(\.|[\[(]dot[\])]|\sdot\s)\s*[a-z]", lowered))
+        return bool(SPELLED.search(lowered))
     letters = re.sub(r"dot", "", lowered)
     if re.search(r"[a-z@=%$#]", letters):
         return False
@@ -274,6 +281,8 @@ class Model:
                 for label, a, b in (island := Island(text, start, end)).best(self.weights):
                     s, e = _trimmed(text, island.tokens[a][0], island.tokens[b - 1][1])
                     kind = KINDS[label - 1]
+                    if kind == "email" and (more := MORE.match(text, e)):
+                        e = more.end()
                     if s < e and not any(s <= y and x <= e for x, y in taken) and looks_like(kind, text[s:e]):
                         out.append((kind, s, e, False))
         return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1]))
