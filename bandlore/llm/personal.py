@@ -6,25 +6,28 @@ chooses boundaries and kinds together; training sums over all segmentations in t
 digit, an at sign, or the word "at" before a host with a dot, so a text falls into islands around these, each with as
 many tokens to both sides as a segment has, and solving each island solves the text.
 
-The field learns from spans that the patterns find in a bounded sample, with their surface varied (marks spelled out,
+The field learns from a bounded number of the spans of each kind that the patterns find, with their surface varied (marks spelled out,
 prefixes and separators changed), so that it also finds forms that the patterns miss. Spans of the patterns always stay;
 spans of the field are added where they touch none of them and still look like their kind.
 """
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import binary_text, sampled
+from bandlore.llm.common import binary_text, stable
 
 KINDS = ("email", "ip", "card", "phone")
 #: Longest segment in tokens; whole tokens to both sides of what starts an island.
 LONGEST = AROUND = 7
-#: Training: most documents (by hash of doc_id) and most islands, passes, step; number of hashed features.
-DOCUMENTS, ISLANDS, PASSES, STEP, WIDTH = 20_000, 500, 10, 0.3, 1 << 13
+#: Training: most islands of each kind and, of those without spans, as many as of all kinds; longest text of an island
+#: without spans, passes, step; number of hashed features.
+ISLANDS, PLAIN, PASSES, STEP, WIDTH = 125, 160, 10, 0.3, 1 << 13
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -288,20 +291,54 @@ class Model:
         return sorted(out, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 
-def train(docs, documents=DOCUMENTS, most=ISLANDS):
-    """A model from about ``documents`` texts of ``docs``, at most ``most`` islands of them. No islands: patterns only."""
+def _around(text, start, end):
+    """The whole tokens of a span and AROUND more to both sides on its line."""
+    low, high = text.rfind("\n", 0, start) + 1, text.find("\n", end)
+    before = list(re.finditer(r"\S+", text[max(low, start - PLAIN):start]))[-AROUND - 1:]
+    after = re.compile(r"\S*(?:[^\S\n]+\S+){0,%d}" % AROUND).match(text, end, len(text) if high < 0 else high)
+    return text[max(low, start - PLAIN) + before[0].start() if before else start:after.end()]
+
+
+def _examples(text):
+    """(kind, text) of the surroundings of each span, and of islands without one as kind ''."""
+    spans = base_spans(text)
+    for kind, start, end in spans:
+        yield kind, _around(text, start, end)
+    starts = sorted((s, e) for _, s, e in spans)
+    lows, highs = [s for s, _ in starts], list(accumulate((e for _, e in starts), max))
+    for start, end in islands(text):
+        # Spans that start before the island's end; one of them ends behind its start or none does.
+        before = bisect_left(lows, end)
+        if not before or highs[before - 1] <= start:
+            yield "", text[start:end] if end - start <= PLAIN else text[start:start + PLAIN].rsplit(None, 1)[0]
+
+
+def train(docs, most=ISLANDS):
+    """A model from the spans of the patterns in all texts of ``docs``: the surroundings of at most ``most`` spans of each
+    kind, and islands without spans, as many as of all kinds, all chosen by hash.
+
+    Kinds that no text holds are not learned. If no text at all holds a span, the field is off: patterns only.
+    """
 
     def run(batches):
+        # The smallest hashes of a task; they hold the smallest of all.
+        best = {kind: {} for kind in ("", *KINDS)}
         for batch in batches:
-            found = []
             for value in batch.column("text"):
-                text = value.as_py().decode("utf-8", "replace")
-                found += [text[s:e] for s, e in islands(text) if e - s <= 400]
-            yield pa.record_batch([pa.array(found, pa.string())], ["island"])
-
-    texts = sampled(docs.where("text is not null").select("doc_id", "text"), documents)
-    found = binary_text(texts).mapInArrow(run, "island string").distinct()
-    rows = found.orderBy(F.xxhash64("island"), "island").limit(most).collect()
+                for kind, part in _examples((value.as_py() or b"").decode("utf-8", "replace")):
+                    best[kind].setdefault(hashlib.blake2b(part.encode("utf-8", "replace"), digest_size=8).hexdigest(), part)
+                    if len(best[kind]) > 8 * most * len(KINDS):
+                        best[kind] = dict(sorted(best[kind].items())[:bound(kind)])
+        rows = [(kind, h, part) for kind, own in best.items() for h, part in sorted(own.items())[:bound(kind)]]
+        yield pa.record_batch([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "hash", "island"])
+
+    def bound(kind):
+        return most if kind else most * len(KINDS)
+
+    found = stable(binary_text(docs).mapInArrow(run, "kind string, hash string, island string").distinct())
+    rows = [r for kind in (*KINDS, "")
+            for r in found.where(F.col("kind") == kind).orderBy("hash", "island").limit(bound(kind)).collect()]
+    rows = {r.island: r for r in rows}.values()
     lessons = []
     for r in rows:
         base = base_spans(r.island)
