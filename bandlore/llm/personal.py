@@ -225,7 +225,7 @@ def varied(text, spans):
         if kind == "email":
             user, host = old.rsplit("@", 1)
             new = (f"{user} [at] {host}", f"{user} at {host.replace('.', ' dot ')}", f"{user}(at){host}",
-                   f"{user} @ {host}")[turn]
+                   f"{user} @ {host}", f"{user} [at] {host.replace('.', ' dot ')}")[_hashed(old) % 5]
         elif kind == "card":
             parts = [digits[i:i + 4] for i in range(0, len(digits), 4)]
             new = (".".join(parts), "/".join(parts), " - ".join(parts), "  ".join(parts))[turn]
