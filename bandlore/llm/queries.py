@@ -174,3 +174,22 @@ def op9(spark, sf_dir):
     counts = [counted(kind) for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
+
+
+@query("op11_periodic_runs")
+def op11(spark, sf_dir):
+    """Runs of every document after planting, the run with the most periods, and digests of runs and collapsed text."""
+    from bandlore.llm.runs import periodic_runs, with_periods
+
+    found = periodic_runs(with_periods(table(spark, sf_dir, "documents")))
+    # Most periods first: length / period compared exactly, by cross products. Ties: smallest start, then period.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(
+        r.length.cast("long") * b.period > b.length.cast("long") * r.period, r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r.start, r.length, r.period), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{name}").cast("long").alias(name) for name in ("start", "length", "period")],
+        F.expr("1000L * best.length div best.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
