@@ -193,3 +193,11 @@ def op11(spark, sf_dir):
         F.expr("1000L * best.length div best.period").alias("exponent_milli"),
         F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op12_prefix_trie")
+def op12(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations, with its subtree's totals."""
+    from bandlore.llm.prefix_trie import prefix_trie, rebuilt
+
+    return prefix_trie(table(spark, sf_dir, "conversations"), rebuilt)
