@@ -201,3 +201,11 @@ def op12(spark, sf_dir):
     from bandlore.llm.prefix_trie import prefix_trie, rebuilt
 
     return prefix_trie(table(spark, sf_dir, "conversations"), rebuilt)
+
+
+@query("op13_pitman_yor")
+def op13(spark, sf_dir):
+    """log10 probability of every document, learned from the documents whose checksum modulo 7 is not 2."""
+    from bandlore.llm.pitman_yor import scored
+
+    return scored(table(spark, sf_dir, "documents"), remainder(7) == 2)
