@@ -311,18 +311,14 @@ def _classed(docs, size, budget, piece):
 def one_per_group(docs, size=3, budget=BUDGET, piece=PIECE):
     """``docs`` without near copies: of every component the row with the smallest doc_id stays (null doc_ids last).
 
-    Between rows of one doc_id a hash of the text decides; of wholly equal rows one stays. Other columns are untouched.
+    Between rows of one doc_id a hash of the text decides; of wholly equal rows one stays. Null, empty and wordless texts
+    are one component. Other columns, whatever their names, are untouched; texts of any length count whole; an empty table
+    stays empty.
     """
-    return first_of_groups(docs, _classed(docs, size, budget, piece))
-
-
-def first_of_groups(docs, classed):
-    """Of the rows of ``docs`` the first of each ``root`` in ``classed`` (doc_id, root, row_hash, row_check)."""
+    classed = _classed(docs.select("doc_id", "text"), size, budget, piece)
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "row_check")
-    first = classed.groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check")
-    first = first.toDF("_row_hash", "_row_check").distinct()
-    row_hash, row_check = _row_keys()
-    rows = docs.withColumn("_row_hash", row_hash).withColumn("_row_check", row_check)
-    kept = rows.join(first, ["_row_hash", "_row_check"], "left_semi")
-    same = Window.partitionBy("_row_hash", "_row_check").orderBy("_row_hash")
-    return kept.withColumn("_copy", F.row_number().over(same)).where("_copy = 1").select(*docs.columns)
+    first = classed.groupBy("root").agg(F.min(rank).alias("r")).select("r.row_hash", "r.row_check").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    kept = docs.select(row, *_row_keys()).join(first, ["row_hash", "row_check"], "left_semi")
+    same = Window.partitionBy("row_hash", "row_check").orderBy("row_hash")
+    return kept.withColumn("copy", F.row_number().over(same)).where("copy = 1").select("row.*")

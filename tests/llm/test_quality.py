@@ -47,8 +47,9 @@ def test_lines(spark):
     prose = [prose_line(i) for i in range(8)]
     page = ["Home | About | News | Contact", prose[0], "", "All rights reserved.", "WHAT!! A!! LINE!!", *prose[1:4],
             "Prices rose 5% while A & B fell; \"stop!\" they said."]
-    junk = ["a### b*** c$$$ d%%% e&&& f### g h"] * 3 + prose[:2]
-    rows = [(1, "\n".join(page)), (2, "\n".join(f"{j} {i}" for i, j in enumerate(junk * 3))), (3, None), (4, ""), (5, " \n\t"),
+    junk = [" ".join(f"{w}{i}x{k}{m}" for k, (w, m) in enumerate(zip("abcdefgh", ("##", "**", "$$", "%%", "&&", "##", "", ""))))
+            for i in range(9)]
+    rows = [(1, "\n".join(page)), (2, "\n".join(junk + prose[:2])), (3, None), (4, ""), (5, " \n\t"),
             (None, "\n".join(prose)), (6, "\n".join(prose)), (6, "\n".join(prose)), (7, "w " * 20_000)]
     docs = spark.createDataFrame([(*r, [1], "x") for r in rows], "doc_id long, text string, words array<int>, kept string")
     got = {r.doc_id: r for r in M.cleaned(docs).collect()}
