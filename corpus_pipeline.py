@@ -1,13 +1,13 @@
 """A training corpus from raw documents, in five stages of the text operators."""
 
-from bandlore.llm import bpe, copies, decontaminate, language, personal
+from bandlore.llm import bpe, decontaminate, language, personal, simhash
 from bandlore.llm.common import written
 
 #: No SQL states these stages; the tests hold them against brute-force versions.
 ORACLE_SQL = None
 
-#: Shingle words and differing bits of the fingerprints that propose near copies; copies.py finds the rest by prefixes.
-NEAR_WORDS, NEAR_BITS = 2, 6
+#: Words of a shingle, and most bits in which the fingerprints of near copies differ.
+NEAR_WORDS, NEAR_BITS = 3, 2
 
 
 def language_id(spark, docs, sf_dir):
@@ -16,11 +16,8 @@ def language_id(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """One document of each group of near copies stays: the one with the smallest doc_id.
-
-    Near copies share four fifths or more of their five-word shingles; every link is verified.
-    """
-    return copies.one_per_group(docs, NEAR_WORDS, NEAR_BITS)
+    """One document of each group that links of fingerprints connect stays: the one with the smallest doc_id."""
+    return simhash.one_per_group(docs, NEAR_WORDS, NEAR_BITS)
 
 
 def decontamination(spark, docs, sf_dir):
