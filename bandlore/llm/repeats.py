@@ -1,16 +1,20 @@
-"""Repeated passages, by global hashing of lines cut at sentence starts.
+"""Repeated passages, by global hashing of lines and of their parts.
 
 A unit is a line or a part of one: lines are also cut after a sentence end and before a capitalised word of any script,
 so that a passage pasted into the middle of a line has units of its own. A unit of more than LONG words is cut further
 after words that a hash picks, and scripts without spaces after pairs of letters that it picks, so that equal passages
-are cut alike wherever they begin. Units are normalised (lower case, single spaces, no marks
-at the ends) and digested; units of one or two words are digested together with the unit before them. Of every digest
-the earliest unit, by doc_id and position, is kept wherever it stands. The others are marked. A line goes if all its
-units are marked, however short it is; other marked units that follow each other go if together they have at least
-``run_words`` words, where two letters of a script without spaces count as a word. Offsets into the original text stay.
-
-Only digests and positions are grouped, after a partial count per task; a digest held by very many documents sends one
-row per task. The join back is an inner join that Spark may split at hot digests.
+are cut alike wherever they begin. Units are normalised (lower case, single spaces, no marks at the ends) and digested;
+units of one or two words are digested together with the unit before them. A line of several units also has a digest of
+its own.
+
+Of every digest the earliest place, by doc_id and position, is kept. A line goes if its own digest stands earlier, however
+short it is. Other units that follow each other go if together they have at least ``run_words`` words (two letters of a
+script without spaces count as one) and stand earlier together: each unit knows the first and the last place before its
+own, and a run needs one earlier text in which all its units follow each other.
+
+Digests are found once and written. They are then sorted by digest and place in ranges, so that a digest which very many
+documents hold is spread over tasks; a range is read as a stream, and takes over what it needs of the ranges before. Only
+the marks found are grouped by document. Texts are read again for the documents' own rows.
 """
 
 import hashlib
@@ -21,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from bandlore.llm.common import binary_text, stable
+from bandlore.llm.common import binary_text, written
 
 #: Fewest words of a removed run of units that is no whole line.
 RUN_WORDS = 20
@@ -49,11 +53,17 @@ SPANS = "array<struct<start:int,end:int>>"
 
 
 class Units(list):
-    """(start, end, words, normalised bytes) of units, and beside them their ``sizes`` in words and ``lines``."""
+    """(start, end, words, normalised bytes) of units, and beside them their ``sizes`` in words, ``lines``, and the
+    ``spans`` (first unit, last unit) of lines of several units."""
 
     def __init__(self):
         self.sizes, self.lines = [], []
 
+    @property
+    def spans(self):
+        firsts = [k for k, line in enumerate(self.lines) if not k or self.lines[k - 1] != line]
+        return [(a, b - 1) for a, b in zip(firsts, [*firsts[1:], len(self)]) if b - a > 1]
+
 
 def _size(text, words):
     """Words of a unit; two letters of a script without spaces count as one at least."""
@@ -106,78 +116,152 @@ def units(text):
 
 
 def digests(found):
-    """128-bit digests of units, two signed words each."""
+    """16-byte digests of units, then of lines of several units."""
     out, before = [], b""
     for _, _, n, form in found:
-        digest = hashlib.blake2b(before + b"\n" + form if n < SHORT else form, digest_size=16).digest()
-        out.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)))
+        out.append(hashlib.blake2b(before + b"\n" + form if n < SHORT else form, digest_size=16).digest())
         before = form
+    for a, b in found.spans:
+        line = b" ".join(form for _, _, _, form in found[a:b + 1])
+        out.append(hashlib.blake2b(line, digest_size=16, person=b"line").digest())
     return out
 
 
-def runs(found, marked, run_words=RUN_WORDS):
-    """Spans (start, end) of marked units: whole lines, and runs with enough words."""
-    out, at, lines = [], 0, found.lines
-    marked = sorted(marked)
-    while at < len(marked):
-        end = at
-        while end + 1 < len(marked) and marked[end + 1] == marked[end] + 1:
-            end += 1
-        first, last = marked[at], marked[end]
-        if sum(found.sizes[first:last + 1]) < run_words:
-            while first <= last and first and lines[first - 1] == lines[first]:
-                first += 1
-            while first <= last and last + 1 < len(found) and lines[last + 1] == lines[last]:
-                last -= 1
-        if first <= last:
-            out.append((found[first][0], found[last][1]))
+def runs(found, marks, run_words=RUN_WORDS):
+    """Spans (start, end) to remove. ``marks``: by digest number the (earlier text, place) of its first and last."""
+    gone = set()
+    for k, (a, b) in enumerate(found.spans):
+        if len(found) + k in marks:
+            gone.update(range(a, b + 1))
+    alone = {a for a, line in enumerate(found.lines) if (a == 0 or found.lines[a - 1] != line)
+             and (a + 1 == len(found) or found.lines[a + 1] != line)}
+    gone.update(k for k in alone if k in marks)
+    at = 0
+    while at < len(found):
+        if at not in marks:
+            at += 1
+            continue
+        end, common = at, {(text, place - at) for text, place in marks[at]}
+        while end + 1 < len(found) and end + 1 in marks:
+            both = common & {(text, place - end - 1) for text, place in marks[end + 1]}
+            if not both:
+                break
+            end, common = end + 1, both
+        if sum(found.sizes[at:end + 1]) >= run_words:
+            gone.update(range(at, end + 1))
         at = end + 1
-    return out
+    out = []
+    for k in sorted(gone):
+        if out and out[-1][1] == k - 1:
+            out[-1][1] = k
+        else:
+            out.append([k, k])
+    return [(found[a][0], found[b][1]) for a, b in out]
 
 
 def _keys():
     return F.xxhash64("doc_id", "text").alias("row_hash"), F.hash("doc_id", "text").alias("row_check")
 
 
-def _exploded(docs):
-    """One row per unit: the document's keys, the unit's position and digest. Rebuilt from the text wherever read."""
+def _digested(docs):
+    """Per document its keys and the digests, as two arrays of words."""
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 part = batch.slice(low, 1000)
-                found = [digests(units((t.as_py() or b"").decode("utf-8", "replace"))) for t in part.column("text")]
-                of_row = pa.array([i for i, d in enumerate(found) for _ in d], pa.int64())
-                at = pa.array([k for d in found for k in range(len(d))], pa.int32())
-                high = pa.array([x for d in found for x, _ in d], pa.int64())
-                low_word = pa.array([y for d in found for _, y in d], pa.int64())
-                keys = [part.column(c).take(of_row) for c in ("doc_id", "row_hash", "row_check")]
-                yield pa.record_batch([*keys, at, high, low_word], ["doc_id", "row_hash", "row_check", "at", "d1", "d2"])
+                found = [np.frombuffer(b"".join(digests(units((t.as_py() or b"").decode("utf-8", "replace")))), np.int64)
+                         for t in part.column("text")]
+                keys = [part.column(c) for c in ("doc_id", "row_hash", "row_check")]
+                words = [pa.array([f[k::2] for f in found], pa.list_(pa.int64())) for k in (0, 1)]
+                yield pa.record_batch([*keys, *words], ["doc_id", "row_hash", "row_check", "high", "low"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return binary_text(docs, "doc_id", *_keys()).mapInArrow(
-        run, f"doc_id {kind}, row_hash long, row_check int, at int, d1 long, d2 long")
+        run, f"doc_id {kind}, row_hash long, row_check int, high array<long>, low array<long>")
+
+
+PLACE = ["row_hash", "row_check", "at"]
+MARK = [*PLACE, "first_row", "first_at", "last_row", "last_at"]
+
+
+def _sorted_marks(units, order):
+    """Units that are not the first of their digest, with the first place and the last one before their own.
+
+    Ranges of the sorted units are worked on alone, and every unit of a range's first digest is kept; what ranges before it
+    hold of that digest is one row per range, and is filled in by ``marks``. Equal rows share one place.
+    """
+    import pyspark
+
+    def result(kind, part, head, *columns):
+        *columns, edge = columns
+        n = len(head)
+        return pa.record_batch(
+            [pa.array([kind] * n, pa.int32()), pa.array([part] * n, pa.int32()), pa.array(head), *map(pa.array, columns),
+             pa.array([edge] * n, pa.list_(pa.int64()))], ["kind", "part", "head", *MARK, "edge"])
+
+    def run(batches):
+        part, batches = pyspark.TaskContext.get().partitionId(), list(batches)
+        rows = pa.Table.from_batches(batches) if batches else None
+        if rows is None or not rows.num_rows:
+            return
+        d1, d2, row, check, at = (rows.column(c).to_numpy() for c in ("d1", "d2", *PLACE))
+        here = np.arange(len(d1))
+        fresh, moved = np.ones(len(d1), bool), np.ones(len(d1), bool)
+        fresh[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+        moved[1:] = fresh[1:] | (row[1:] != row[:-1]) | (check[1:] != check[:-1]) | (at[1:] != at[:-1])
+        first = np.maximum.accumulate(np.where(fresh, here, 0))
+        place = np.maximum.accumulate(np.where(moved, here, 0))
+        last = np.where(fresh[place], -1, place - 1)
+        head = first == 0
+        for low in range(0, len(d1), 1 << 18):
+            kept = low + np.flatnonzero((head | (last >= 0))[low:low + (1 << 18)])
+            alone = last[kept] < 0
+            yield result(0, part, head[kept], row[kept], check[kept], at[kept], row[first[kept]], at[first[kept]],
+                         pa.array(row[last[kept]], mask=alone), pa.array(at[last[kept]], mask=alone), None)
+        end = [-1]
+        yield result(1, part, head[end], row[end], check[end], at[end], row[first[end]], at[first[end]], row[end], at[end],
+                     [d1[0], d2[0], d1[-1], d2[-1]])
+
+    dealt = units.repartitionByRange(*order).sortWithinPartitions(*order).select("d1", "d2", *PLACE)
+    return written(dealt.mapInArrow(
+        run, "kind int, part int, head boolean, row_hash long, row_check int, at int, first_row long, first_at int, "
+             "last_row long, last_at int, edge array<long>"), "sorted_marks")
 
 
 def marks(docs):
-    """Units that stand earlier elsewhere: per document (row_hash, row_check) the positions ``marked``."""
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash", "row_check", "at")
-    first = _exploded(docs).groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min(rank).alias("f")).where("n > 1")
-    first = first.select("d1", "d2", F.col("f.row_hash").alias("fh"), F.col("f.row_check").alias("fc"),
-                         F.col("f.at").alias("fa"))
-    # Written, so that the join shuffles both sides anew and a hot digest can be split.
-    first = stable(first)
-    later = _exploded(docs).drop("doc_id").join(first, ["d1", "d2"]).where(
-        "row_hash <> fh or row_check <> fc or at <> fa")
-    return later.groupBy("row_hash", "row_check").agg(F.sort_array(F.collect_set("at")).alias("marked"))
+    """Digests that stand earlier: per document (row_hash, row_check) their numbers ``at`` with the first and the last
+    earlier place."""
+    rows = written(_digested(docs), "digests")
+    units = rows.select("doc_id", "row_hash", "row_check", F.posexplode(F.arrays_zip("high", "low")).alias("at", "d")).select(
+        F.col("d.high").alias("d1"), F.col("d.low").alias("d2"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", *PLACE)
+    found = _sorted_marks(units, ["d1", "d2", "unnamed", "doc_id", *PLACE])
+    carried, held = [], None  # one row per range
+    for r in found.where("kind = 1").orderBy("part").collect():
+        goes_on = held is not None and held[:2] == tuple(r.edge[:2])
+        if goes_on:
+            carried.append((r.part, *held[2:]))
+        first = held[2:4] if goes_on and r.edge[:2] == r.edge[2:] else (r.first_row, r.first_at)
+        held = (*r.edge[2:], *first, r.last_row, r.last_at)
+    before = docs.sparkSession.createDataFrame(carried, "part int, f_row long, f_at int, l_row long, l_at int")
+    full = found.where("kind = 0").join(F.broadcast(before), "part", "left")
+    goes_on = F.col("head") & F.col("f_row").isNotNull()
+    full = full.select(
+        "row_hash", "row_check", "at",
+        *[F.when(goes_on, F.col(f"f_{c}")).otherwise(F.col(f"first_{c}")).alias(f"first_{c}") for c in ("row", "at")],
+        *[F.coalesce(f"last_{c}", F.when(goes_on, F.col(f"l_{c}"))).alias(f"last_{c}") for c in ("row", "at")],
+    ).where("last_at is not null")
+    return full.groupBy("row_hash", "row_check").agg(F.collect_set(F.struct(*MARK[2:])).alias("marked"))
 
 
 def without_repeats(docs, run_words=RUN_WORDS):
     """One row per document: doc_id, text without repeated lines and runs, n_units, n_removed (units), removed_chars, and spans
     (start, end) of what was removed, in code points of the original text.
 
-    Null text stays null, without units. Documents are ranked by doc_id, null last, then by a hash; rows equal in doc_id
-    and text are one document, and all keep what it keeps. A unit repeated inside a document is kept at its first place.
+    Null text stays null, without units; empty texts stay empty. Documents are ranked by doc_id, null last, then by a
+    hash; rows equal in doc_id and text are one document, and all keep what it keeps. A unit repeated inside a document is
+    kept at its first place. Texts of any length are cut whole, each in one task. Columns other than doc_id and text are
+    not returned; an empty table gives no rows.
     """
 
     def run(batches):
@@ -186,7 +270,8 @@ def without_repeats(docs, run_words=RUN_WORDS):
             for value, marked in zip(batch.column("text"), batch.column("marked").to_pylist()):
                 text = None if value.as_py() is None else value.as_py().decode("utf-8", "replace")
                 found = units(text or "")
-                cut = runs(found, marked or [], run_words)
+                cut = runs(found, {m["at"]: ((m["first_row"], m["first_at"]), (m["last_row"], m["last_at"]))
+                                   for m in marked or []}, run_words)
                 kept, at = [], 0
                 for start, end in cut:
                     kept.append(text[at:start])
