@@ -1,26 +1,38 @@
-"""Exact k-nearest-neighbour join and the vote over it.
+"""k-nearest-neighbour joins, exact and by buckets, and the vote over them.
 
-Training rows are cut into cells around a few pivot rows. The k smallest pivot distances of
-each cell bound the distance of a query's k-th neighbour from above, and the triangle
-inequality bounds every cell from below, so a query only visits cells that could hold a
-neighbour. Cells and queries are cut into blocks of bounded size; a block pair is worked on
-in one task and hands on k rows per query, never its pairs.
+The exact join has two phases over blocks of the training rows, each with the centre and radius of its own rows. First
+every query is compared with the blocks around it, enough to hold k rows: the distance of the k-th found is a true bound.
+Then a block is asked for a query only if the triangle inequality allows a row within that bound. Blocks and their queries
+are cut into pieces of bounded size; a training row is sent to as many pieces as its own block's queries fill, whatever
+other blocks are asked. A piece hands on k rows per query, never its pairs.
+
+The approximate join compares rows that fall into one bucket of a few random projections, in several tables, and in the
+buckets next to the query's own. Distances are exact, so only neighbours can be missed; ``recall`` measures how many.
 """
 
+import math
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import scalar as S
 from bandlore.operators.sampling import order_key
+from bandlore.session import stable
 
 METRICS = ("euclidean", "manhattan")
 WEIGHTS = ("uniform", "distance")
-N_PIVOTS = 32
+#: Fewest and most blocks of the exact join; between, one for TRAIN_BLOCK rows.
+N_PIVOTS, MOST_PIVOTS = 32, 1_024
 TRAIN_BLOCK = 20_000
 QUERY_BLOCK = 20_000
+#: Tables of the approximate join, buckets probed beside the own in each, rows of a bucket, rows sampled for the cuts.
+TABLES, PROBES, BUCKET, SAMPLE = 16, 2, 400, 10_000
+FOUND = "id bigint, neighbor bigint, y int, distance double"
 
 
 def _distances(a, b, metric):
@@ -92,91 +104,207 @@ def _cell_of(pivots, metric):
     return nearest
 
 
-def _cells_to_visit(pivots, metric, reach, radius, k):
-    """``reach[c]``: the up to k smallest pivot distances in cell c; ``radius[c]``: (min, max)."""
-    flat = np.array([(c, a) for c in reach for a in reach[c]], dtype=float).reshape(-1, 2)
-    known = sorted(radius)
-    near = np.array([radius[c][0] for c in known])
-    far = np.array([radius[c][1] for c in known])
+class Blocks:
+    """Training rows in blocks around sampled pivots, and what the driver knows of each: size, centre, radius, and the
+    range of distances to its pivot. Their number is bounded by MOST_PIVOTS."""
+
+    def __init__(self, train, metric, n_pivots=None, train_block=TRAIN_BLOCK):
+        if metric not in METRICS:
+            raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
+        if n_pivots is None:
+            n_pivots = min(MOST_PIVOTS, max(N_PIVOTS, train.count() // train_block))
+        sample = train.select("id", "features").orderBy(order_key(7), "id").limit(n_pivots).collect()
+        if not sample:
+            raise ValueError("no training rows")
+        self.metric, self.train_block = metric, train_block
+        self.pivots = np.array([r["features"] for r in sample], dtype=float)
+        # New names: both sides may come from one table, and a co-group needs distinct columns.
+        self.rows = train.select(
+            F.col("id").alias("neighbor"), F.col("features").alias("vector"), F.col("y").cast("int").alias("y"),
+            _cell_of(self.pivots, metric)("features").alias("c"),
+        ).select("neighbor", "vector", "y", "c.cell", "c.away")
+        found = self.rows.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("away").alias("near"), F.max("away").alias("far"),
+            Summarizer.mean(array_to_vector("vector")).alias("centre")).orderBy("cell").collect()
+        self.cells = np.array([r["cell"] for r in found])
+        self.sizes = np.array([r["n"] for r in found])
+        self.near, self.far = (np.array([r[c] for r in found]) for c in ("near", "far"))
+        self.centres = np.array([r["centre"].toArray() for r in found])
+        radii = {r["cell"]: r["radius"] for r in self.rows.groupBy("cell").agg(
+            F.max(self._to_own_centre()("vector", "cell")).alias("radius")).collect()}
+        self.radii = np.array([radii[c] for c in self.cells.tolist()])
+
+    def _to_own_centre(self):
+        centres, cells, metric = self.centres, self.cells, self.metric
+
+        @F.pandas_udf("double")
+        def away(vector: pd.Series, cell: pd.Series) -> pd.Series:
+            diff = _matrix(vector) - centres[np.searchsorted(cells, cell.to_numpy())]
+            return pd.Series(np.sqrt((diff * diff).sum(1)) if metric == "euclidean" else np.abs(diff).sum(1))
+
+        return away
+
+    def home(self, k):
+        """The cells nearest to a query, until they hold ``k`` rows."""
+        pivots, cells, sizes, metric = self.pivots[self.cells], self.cells, self.sizes, self.metric
+
+        @F.pandas_udf("array<int>")
+        def nearest(features: pd.Series) -> pd.Series:
+            order = np.argsort(_distances(_matrix(features), pivots, metric), axis=1, kind="stable")
+            held = np.cumsum(sizes[order], axis=1)
+            return pd.Series([cells[row[:1 + np.searchsorted(n, k)]].tolist() for row, n in zip(order, held)])
+
+        return nearest
+
+    def beyond(self):
+        """The cells outside ``home`` that may hold a row within ``bound`` of a query."""
+        pivots, cells, metric = self.pivots[self.cells], self.cells, self.metric
+        centres, radii, near, far = self.centres, self.radii, self.near, self.far
+
+        @F.pandas_udf("array<int>")
+        def within(features: pd.Series, bound: pd.Series, home: pd.Series) -> pd.Series:
+            rows = _matrix(features)
+            d = _distances(rows, pivots, metric)
+            low = np.maximum(np.maximum(d - far, near - d), _distances(rows, centres, metric) - radii)
+            reach = bound.to_numpy()[:, None] * (1 + 1e-9) + 1e-12
+            for k, own in enumerate(home):
+                low[k, np.searchsorted(cells, np.asarray(own))] = np.inf
+            return pd.Series([cells[row].tolist() for row in low <= reach])
+
+        return within
+
+    def compared(self, asked, k, query_block):
+        """The k nearest rows of every piece of the cells asked: ``asked`` has id, features, cell."""
+        wanted = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = dict(zip(self.cells.tolist(), self.sizes.tolist()))
+        pieces = [(c, -(-sizes[c] // self.train_block), -(-n // query_block)) for c, n in sorted(wanted.items())]
+        if not pieces:
+            return self.rows.sparkSession.createDataFrame([], FOUND)
+        parts, slices = (F.create_map(*[F.lit(v) for row in pieces for v in (row[0], row[i])]) for i in (1, 2))
+
+        def spread(column, salt, pieces):
+            return F.pmod(F.xxhash64(column, F.lit(salt)), pieces).cast("int")
+
+        part_count, slice_count = (F.element_at(m, F.col("cell")) for m in (parts, slices))
+        left = asked.withColumn("part", F.explode(F.sequence(F.lit(0), part_count - 1))).withColumn(
+            "slice", spread("id", 11, slice_count))
+        right = self.rows.select("neighbor", "vector", "y", "cell").where(F.col("cell").isin([c for c, _, _ in pieces]))
+        right = right.withColumn("part", spread("neighbor", 13, part_count)).withColumn(
+            "slice", F.explode(F.sequence(F.lit(0), slice_count - 1)))
+        return _compared(left, right, ["cell", "part", "slice"], k, self.metric)
+
+
+def _compared(asked, held, keys, k, metric):
+    """Per group of ``keys`` the k nearest of its rows ``held`` for every row ``asked``."""
 
-    @F.pandas_udf("array<int>")
-    def visit(features: pd.Series) -> pd.Series:
-        d = _distances(_matrix(features), pivots, metric)
-        upper = d[:, flat[:, 0].astype(int)] + flat[:, 1]
-        kth = min(k, upper.shape[1]) - 1
-        bound = np.partition(upper, kth, axis=1)[:, kth] * (1 + 1e-9) + 1e-12
-        low = np.maximum(d[:, known] - far, near - d[:, known])
-        chosen = low <= bound[:, None]
-        return pd.Series([[known[j] for j in np.flatnonzero(row)] for row in chosen])
+    def block(q, t):
+        if q.empty or t.empty:
+            return pd.DataFrame({"id": [], "neighbor": [], "y": [], "distance": []})
+        ids, ys = t["neighbor"].to_numpy(), t["y"].to_numpy()
+        i, j, d = _block_top_k(_matrix(q["features"]), _matrix(t["vector"]), ids, k, metric)
+        return pd.DataFrame({"id": q["id"].to_numpy()[i], "neighbor": ids[j], "y": ys[j], "distance": d})
 
-    return visit
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(block, FOUND)
 
 
-def nearest_neighbors(queries, train, k, metric="euclidean", n_pivots=N_PIVOTS,
-                      train_block=TRAIN_BLOCK, query_block=QUERY_BLOCK):
+def _ranked(found, k):
+    order = Window.partitionBy("id").orderBy("distance", "neighbor")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _phases(queries, blocks, k, query_block):
+    """(found in the home cells, requests beyond them): the requests are (id, features, cell)."""
+    asked = queries.select("id", "features", blocks.home(k)("features").alias("home"))
+    near = blocks.compared(asked.select("id", "features", F.explode("home").alias("cell")), k, query_block)
+    near = stable(_ranked(near, k).drop("rank"))
+    bounds = near.groupBy("id").agg(F.max("distance").alias("bound"), F.count(F.lit(1)).alias("n"))
+    bounds = bounds.select("id", F.when(F.col("n") < k, float("inf")).otherwise(F.col("bound")).alias("bound"))
+    beyond = asked.join(bounds, "id").select(
+        "id", "features", F.explode(blocks.beyond()("features", "bound", "home")).alias("cell"))
+    return near, beyond
+
+
+def nearest_neighbors(queries, train, k, metric="euclidean", n_pivots=None, train_block=TRAIN_BLOCK,
+                      query_block=QUERY_BLOCK):
     """The k nearest training rows of every query row, nearest first, lower id on ties.
 
-    ``queries`` has (id, features); ``train`` has (id, features, y). Returns one row per
+    ``queries`` has (id, features), ids without repeats; ``train`` has (id, features, y). Returns one row per
     pair: query id, rank from 1, neighbour id, neighbour y, distance.
     """
-    if metric not in METRICS:
-        raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
-    sample = train.select("id", "features").orderBy(order_key(7), "id").limit(n_pivots).collect()
-    if not sample:
-        raise ValueError("no training rows")
-    pivots = np.array([r["features"] for r in sample], dtype=float)
+    blocks = Blocks(train, metric, n_pivots, train_block)
+    near, beyond = _phases(queries, blocks, k, query_block)
+    beyond = stable(beyond)
+    return _ranked(near.unionByName(blocks.compared(beyond, k, query_block)), k)
 
-    # new names: both sides may come from one table, and a co-group needs distinct columns
-    placed = train.select(
-        F.col("id").alias("neighbor"), F.col("features").alias("vector"), F.col("y").cast("int").alias("y"),
-        _cell_of(pivots, metric)("features").alias("c"),
-    ).select("neighbor", "vector", "y", "c.cell", "c.away")
-    # n_pivots rows of k numbers each; the k smallest per cell come from per-task minima
-    ranked = placed.select("cell", "away", F.spark_partition_id().alias("task")).withColumn(
-        "rn", F.row_number().over(Window.partitionBy("cell", "task").orderBy("away"))
-    ).where(F.col("rn") <= k)
-    reach = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("cell").orderBy("away"))).where(
-        F.col("rn") <= k
-    ).groupBy("cell").agg(F.collect_list("away").alias("reach"))
-    cells = placed.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("away").alias("near"), F.max("away").alias("far")
-    ).join(reach, "cell").collect()
-    visit = _cells_to_visit(
-        pivots, metric, {r["cell"]: r["reach"] for r in cells},
-        {r["cell"]: (r["near"], r["far"]) for r in cells}, k,
-    )
-    query_parts = max(1, -(-queries.count() // query_block))
-    parts = F.create_map(*[
-        F.lit(v) for r in cells for v in (r["cell"], max(1, -(-r["n"] // train_block)))
-    ])
-
-    def spread(rows, salt):
-        return F.pmod(F.xxhash64(F.col("id"), F.lit(salt)), F.lit(rows)).cast("int")
-
-    asked = (
-        queries.select("id", "features", F.explode(visit("features")).alias("cell"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cell")) - 1)))
-        .withColumn("slice", spread(query_parts, 11))
-    )
-    held = (
-        placed.select("neighbor", "vector", "y", "cell")
-        .withColumn("part", F.pmod(F.xxhash64("neighbor", F.lit(13)), F.element_at(parts, F.col("cell"))).cast("int"))
-        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
-    )
 
-    def block(q, t):
-        if q.empty or t.empty:
-            return pd.DataFrame({"id": [], "neighbor": [], "y": [], "distance": []})
-        ids, ys = t["neighbor"].to_numpy(), t["y"].to_numpy()
-        i, j, d = _block_top_k(_matrix(q["features"]), _matrix(t["vector"]), ids, k, metric)
-        return pd.DataFrame({"id": q["id"].to_numpy()[i], "neighbor": ids[j], "y": ys[j], "distance": d})
+def visited_share(queries, train, k, metric="euclidean", n_pivots=None, train_block=TRAIN_BLOCK):
+    """Mean share of the blocks that a query is compared with: how much the bounds save on these rows."""
+    blocks = Blocks(train, metric, n_pivots, train_block)
+    _, beyond = _phases(queries, blocks, k, QUERY_BLOCK)
+    home = queries.agg(F.sum(F.size(blocks.home(k)("features")))).head()[0]
+    return (home + beyond.count()) / (queries.count() * len(blocks.cells))
 
-    keys = ["cell", "part", "slice"]
-    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-        block, "id bigint, neighbor bigint, y int, distance double"
-    )
-    order = Window.partitionBy("id").orderBy("distance", "neighbor")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+class Projections:
+    """``bits`` random projections in each of ``tables`` tables, every one cut at the median of a bounded sample."""
+
+    def __init__(self, train, tables, bits, seed=42):
+        rows = train.select("id", "features").orderBy(order_key(seed), "id").limit(SAMPLE).collect()
+        if not rows:
+            raise ValueError("no training rows")
+        rows = np.array([r["features"] for r in rows], dtype=float)
+        axes = np.random.default_rng(seed).normal(size=(rows.shape[1], tables * bits))
+        self.axes, self.cuts, self.shape = axes, np.median(rows @ axes, axis=0), (tables, bits)
+
+    def buckets(self, probes=0):
+        """Per row the (table, key) buckets: its own, and in each table those across the ``probes`` nearest cuts."""
+        axes, cuts, (tables, bits) = self.axes, self.cuts, self.shape
+
+        @F.pandas_udf("array<struct<table:int,key:bigint>>")
+        def of(features: pd.Series) -> pd.Series:
+            margins = (_matrix(features) @ axes - cuts).reshape(-1, tables, bits)
+            powers = np.int64(1) << np.arange(bits)
+            keys = ((margins > 0) * powers).sum(axis=2)
+            nearest = np.argsort(np.abs(margins), axis=2)[:, :, :probes]
+            every = np.concatenate((keys[:, :, None], keys[:, :, None] ^ powers[nearest]), axis=2)
+            return pd.Series([[{"table": t, "key": int(key)} for t in range(tables) for key in row[t]] for row in every])
+
+        return of
+
+
+def approximate_neighbors(queries, train, k, metric="euclidean", tables=TABLES, bits=None, probes=PROBES, seed=42,
+                          train_block=TRAIN_BLOCK, query_block=QUERY_BLOCK):
+    """About the k nearest training rows of every query row, like ``nearest_neighbors``; fewer if its buckets hold fewer.
+
+    ``bits`` is chosen so that a bucket holds some BUCKET rows if left out. Hot buckets are cut by id on both sides.
+    """
+    if metric not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
+    if bits is None:
+        bits = max(1, math.ceil(math.log2(max(2, train.count() / BUCKET))))
+    cuts = Projections(train, tables, bits, seed)
+    bucket = ["table", "key"]
+    held = train.select(
+        F.col("id").alias("neighbor"), F.col("features").alias("vector"), F.col("y").cast("int").alias("y"),
+        F.explode(cuts.buckets()("features")).alias("b")).select("neighbor", "vector", "y", "b.*")
+    asked = queries.select("id", "features", F.explode(cuts.buckets(probes)("features")).alias("b")).select(
+        "id", "features", "b.*")
+    sizes = stable(held.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / train_block).alias("parts")).join(
+        asked.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / query_block).alias("slices")), bucket))
+    left = asked.join(sizes, bucket).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn(
+        "slice", F.pmod(F.xxhash64("id"), F.col("slices")))
+    right = held.join(sizes, bucket).withColumn("part", F.pmod(F.xxhash64("neighbor"), F.col("parts"))).withColumn(
+        "slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    found = _compared(left.drop("parts", "slices"), right.drop("parts", "slices"), [*bucket, "part", "slice"], k, metric)
+    # A neighbour is found in several tables, each time at the same distance.
+    return _ranked(found.distinct(), k)
+
+
+def recall(found, exact):
+    """One row: queries, pairs, and the share of the exact pairs that are found."""
+    both = exact.select("id", "neighbor").join(found.select("id", "neighbor", F.lit(1).alias("hit")), ["id", "neighbor"], "left")
+    return both.agg(F.countDistinct("id").alias("queries"), F.count(F.lit(1)).alias("pairs"),
+                    (F.count("hit") / F.count(F.lit(1))).alias("recall"))
 
 
 def vote_all(neighbors, sizes, kinds=WEIGHTS):

@@ -55,6 +55,15 @@ def _(t):
     return rounded(_near(t, 4, "manhattan", train_block=40, query_block=30))
 
 
+@query("m4_approximate_neighbors", f"""WITH {FITTED} SELECT count(*) FILTER (WHERE split = 'test') AS queries,
+5*count(*) FILTER (WHERE split = 'test') AS pairs, true AS recall_reached FROM sp""")
+def _(t):
+    """Queries and exact pairs of the test rows, and whether the bucket join finds nine in ten of the pairs."""
+    train, test = t.parts()
+    found = N.approximate_neighbors(test.select("id", "features"), train.select("id", "features", "y"), 5)
+    return N.recall(found, _near(t, 5)).select("queries", "pairs", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query("m4_knn_distance_vote", f"""{_EUCLID} SELECT id, round(CASE WHEN sum(CASE WHEN d = 0 THEN 1 ELSE 0 END) > 0
 THEN avg(ny) FILTER (WHERE d = 0) ELSE sum(ny/d)/sum(1/d) END, 6) AS prob FROM nn WHERE rank <= 5 GROUP BY id""")
 def _(t):

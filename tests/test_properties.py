@@ -92,6 +92,45 @@ def test_neighbors_brute_force(spark, metric):
         assert [got[i][k + 1][1] for k in range(7)] == pytest.approx(d[order].tolist())
 
 
+def test_neighbor_blocks_are_visited_only_where_asked(spark):
+    """On grouped rows few blocks are visited, and rows of a block are sent once however many queries ask elsewhere."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(0, 20, (20, 12))
+    t = np.vstack([c + rng.normal(0, 0.5, (60, 12)) for c in centres])
+    train = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(t)], "id bigint, features array<double>, y int")
+    q = np.vstack([centres[0] + rng.normal(0, 0.5, (400, 12)), centres[1:4] + 0.1])
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "id bigint, features array<double>")
+    assert N.visited_share(asked, train, 5, n_pivots=40) < 0.3
+    got = N.nearest_neighbors(asked, train, 5, n_pivots=40, train_block=30, query_block=50).collect()
+    assert len(got) == 5 * len(q)
+    for r in got:
+        d = np.sort(((t - q[r.id]) ** 2).sum(1))[:5]
+        assert r.distance == pytest.approx(d[r["rank"] - 1] ** 0.5)
+    blocks = N.Blocks(train, "euclidean", 40, 30)
+    sent = []
+    blocks_compared = N._compared
+    try:
+        N._compared = lambda left, right, keys, k, metric: sent.append(right) or blocks_compared(left, right, keys, k, metric)
+        home = asked.select("id", "features", F.explode(blocks.home(5)("features")).alias("cell"))
+        for part in (home.where("id >= 400"), home):
+            blocks.compared(part, 5, 50)
+    finally:
+        N._compared = blocks_compared
+    few, many = ({r.neighbor: r["count"] for r in s.groupBy("neighbor").count().collect()} for s in sent)
+    assert set(few.values()) == {1} and all(many[i] == 1 for i in few)
+    assert max(many.values()) > 1
+
+
+def test_approximate_neighbors(spark, signals):
+    rows = signals.withColumn("y", F.lit(1))
+    exact = N.nearest_neighbors(rows.select("id", "features"), rows, 5)
+    found = N.approximate_neighbors(rows.select("id", "features"), rows, 5, bits=2, train_block=60, query_block=70)
+    score = N.recall(found, exact).head()
+    assert score.queries == rows.count() and score.pairs == 5 * score.queries and score.recall >= 0.9
+    measured = {(r.id, r.neighbor): r.distance for r in exact.collect()}
+    assert all(measured.get((r.id, r.neighbor), r.distance) == pytest.approx(r.distance) for r in found.collect())
+
+
 def test_exact_match_neighbor_votes_alone(spark):
     train = spark.createDataFrame([(0, [0.0, 0.0], 1), (1, [0.1, 0.0], 0), (2, [0.0, 0.1], 0)],
                                   "id bigint, features array<double>, y int")
