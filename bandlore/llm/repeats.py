@@ -127,58 +127,68 @@ def digests(found):
     return out
 
 
-def runs(found, marks, run_words=RUN_WORDS):
-    """Spans (start, end) to remove. ``marks``: by digest number the (earlier text, place) of its first and last."""
-    gone = set()
-    for k, (a, b) in enumerate(found.spans):
-        if len(found) + k in marks:
-            gone.update(range(a, b + 1))
-    alone = {a for a, line in enumerate(found.lines) if (a == 0 or found.lines[a - 1] != line)
-             and (a + 1 == len(found) or found.lines[a + 1] != line)}
-    gone.update(k for k in alone if k in marks)
-    at = 0
-    while at < len(found):
-        if at not in marks:
-            at += 1
-            continue
-        end, common = at, {(text, place - at) for text, place in marks[at]}
-        while end + 1 < len(found) and end + 1 in marks:
+def runs(starts, ends, sizes, lines, marks, run_words=RUN_WORDS):
+    """Spans (start, end) to remove and the number of their units, from arrays that hold a number per unit.
+
+    ``marks``: by digest number the (earlier text, place) of its first and its last.
+    """
+    n = len(lines)
+    gone = np.zeros(n + 1, bool)
+    begins = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
+    wide = np.diff(np.append(begins, n))
+    several = np.flatnonzero(wide > 1)
+    for at in marks:
+        if at >= n:  # the digest of a whole line
+            line = several[at - n]
+            gone[begins[line]:begins[line] + wide[line]] = True
+    for k in begins[wide == 1].tolist():
+        if k in marks:
+            gone[k] = True
+    at, order = 0, sorted(a for a in marks if a < n)
+    while at < len(order):
+        begin = end = order[at]
+        common = {(text, place - begin) for text, place in marks[begin]}
+        while at + 1 < len(order) and order[at + 1] == end + 1:
             both = common & {(text, place - end - 1) for text, place in marks[end + 1]}
             if not both:
                 break
-            end, common = end + 1, both
-        if sum(found.sizes[at:end + 1]) >= run_words:
-            gone.update(range(at, end + 1))
-        at = end + 1
-    out = []
-    for k in sorted(gone):
-        if out and out[-1][1] == k - 1:
-            out[-1][1] = k
-        else:
-            out.append([k, k])
-    return [(found[a][0], found[b][1]) for a, b in out]
+            at, end, common = at + 1, end + 1, both
+        if sizes[begin:end + 1].sum() >= run_words:
+            gone[begin:end + 1] = True
+        at += 1
+    edges = np.flatnonzero(gone[1:] != gone[:-1]) + 1
+    edges = np.concatenate(([0], edges)) if gone[0] else edges
+    return [(int(starts[a]), int(ends[b - 1])) for a, b in zip(edges[::2], edges[1::2])], int(gone.sum())
 
 
 def _keys():
     return F.xxhash64("doc_id", "text").alias("row_hash"), F.hash("doc_id", "text").alias("row_check")
 
 
+UNIT = ["starts", "ends", "sizes", "lines"]
+
+
 def _digested(docs):
-    """Per document its keys and the digests, as two arrays of words."""
+    """Per document its keys, the digests as two arrays of words, and of every unit offsets, words and line."""
 
     def run(batches):
         for batch in batches:
             for low in range(0, batch.num_rows, 1000):
                 part = batch.slice(low, 1000)
-                found = [np.frombuffer(b"".join(digests(units((t.as_py() or b"").decode("utf-8", "replace")))), np.int64)
-                         for t in part.column("text")]
-                keys = [part.column(c) for c in ("doc_id", "row_hash", "row_check")]
-                words = [pa.array([f[k::2] for f in found], pa.list_(pa.int64())) for k in (0, 1)]
-                yield pa.record_batch([*keys, *words], ["doc_id", "row_hash", "row_check", "high", "low"])
+                found = [units((t.as_py() or b"").decode("utf-8", "replace")) for t in part.column("text")]
+                words = [np.frombuffer(b"".join(digests(f)), np.int64) for f in found]
+                columns = [part.column(c) for c in ("doc_id", "row_hash", "row_check")]
+                columns += [pa.array([w[k::2] for w in words], pa.list_(pa.int64())) for k in (0, 1)]
+                columns += [pa.array([np.array([u[k] for u in f], np.int32) for f in found], pa.list_(pa.int32())) for k in (0, 1)]
+                columns += [pa.array([np.array(x, np.int32) for x in own], pa.list_(pa.int32()))
+                            for own in ([f.sizes for f in found], [f.lines for f in found])]
+                yield pa.record_batch(columns, ["doc_id", "row_hash", "row_check", "high", "low", *UNIT])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return binary_text(docs, "doc_id", *_keys()).mapInArrow(
-        run, f"doc_id {kind}, row_hash long, row_check int, high array<long>, low array<long>")
+    arrays = ", ".join(f"{c} array<int>" for c in UNIT)
+    rows = binary_text(docs, "doc_id", *_keys()).mapInArrow(
+        run, f"doc_id {kind}, row_hash long, row_check int, high array<long>, low array<long>, {arrays}")
+    return written(rows, "digests")
 
 
 PLACE = ["row_hash", "row_check", "at"]
@@ -229,10 +239,9 @@ def _sorted_marks(units, order):
              "last_row long, last_at int, edge array<long>"), "sorted_marks")
 
 
-def marks(docs):
+def marks(rows):
     """Digests that stand earlier: per document (row_hash, row_check) their numbers ``at`` with the first and the last
-    earlier place."""
-    rows = written(_digested(docs), "digests")
+    earlier place. ``rows`` come from ``_digested``."""
     units = rows.select("doc_id", "row_hash", "row_check", F.posexplode(F.arrays_zip("high", "low")).alias("at", "d")).select(
         F.col("d.high").alias("d1"), F.col("d.low").alias("d2"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", *PLACE)
     found = _sorted_marks(units, ["d1", "d2", "unnamed", "doc_id", *PLACE])
@@ -243,7 +252,7 @@ def marks(docs):
             carried.append((r.part, *held[2:]))
         first = held[2:4] if goes_on and r.edge[:2] == r.edge[2:] else (r.first_row, r.first_at)
         held = (*r.edge[2:], *first, r.last_row, r.last_at)
-    before = docs.sparkSession.createDataFrame(carried, "part int, f_row long, f_at int, l_row long, l_at int")
+    before = rows.sparkSession.createDataFrame(carried, "part int, f_row long, f_at int, l_row long, l_at int")
     full = found.where("kind = 0").join(F.broadcast(before), "part", "left")
     goes_on = F.col("head") & F.col("f_row").isNotNull()
     full = full.select(
@@ -254,6 +263,37 @@ def marks(docs):
     return full.groupBy("row_hash", "row_check").agg(F.collect_set(F.struct(*MARK[2:])).alias("marked"))
 
 
+def _spans(rows, run_words):
+    """Per document (row_hash, row_check) n_units, n_removed, removed_chars and the spans to remove."""
+
+    def run(batches):
+        for batch in batches:
+            counts, gone, chars, spans = [], [], [], []
+            own = [batch.column(c) for c in UNIT]
+            marked = batch.column("marked")
+            for k in range(batch.num_rows):
+                starts, ends, sizes, lines = (c[k].values.to_numpy() for c in own)
+                cut, n = [], 0
+                if marked[k].is_valid:
+                    at, *places = (marked[k].values.field(c).to_pylist() for c in MARK[2:])
+                    cut, n = runs(starts, ends, sizes, lines,
+                                  {a: ((f, fa), (g, ga)) for a, f, fa, g, ga in zip(at, *places)}, run_words)
+                counts.append(len(lines))
+                gone.append(n)
+                chars.append(sum(b - a for a, b in cut))
+                spans.append([{"start": a, "end": b} for a, b in cut])
+            yield pa.record_batch(
+                [batch.column("row_hash"), batch.column("row_check"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()),
+                 pa.array(chars, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                ["row_hash", "row_check", "n_units", "n_removed", "removed_chars", "spans"])
+
+    joined = rows.select("row_hash", "row_check", *UNIT).join(marks(rows), ["row_hash", "row_check"], "left")
+    found = joined.mapInArrow(run, "row_hash long, row_check int, n_units long, n_removed long, removed_chars long, "
+                                   f"spans {SPANS}")
+    # Equal rows have equal spans.
+    return found.dropDuplicates(["row_hash", "row_check"])
+
+
 def without_repeats(docs, run_words=RUN_WORDS):
     """One row per document: doc_id, text without repeated lines and runs, n_units, n_removed (units), removed_chars, and spans
     (start, end) of what was removed, in code points of the original text.
@@ -266,30 +306,19 @@ def without_repeats(docs, run_words=RUN_WORDS):
 
     def run(batches):
         for batch in batches:
-            texts, counts, gone, chars, spans = [], [], [], [], []
-            for value, marked in zip(batch.column("text"), batch.column("marked").to_pylist()):
-                text = None if value.as_py() is None else value.as_py().decode("utf-8", "replace")
-                found = units(text or "")
-                cut = runs(found, {m["at"]: ((m["first_row"], m["first_at"]), (m["last_row"], m["last_at"]))
-                                   for m in marked or []}, run_words)
-                kept, at = [], 0
-                for start, end in cut:
-                    kept.append(text[at:start])
-                    at = end
-                texts.append(text if not cut else "".join([*kept, text[at:]]))
-                counts.append(len(found))
-                ends = np.array(cut, np.int64).reshape(-1, 2)
-                before = np.searchsorted([u[0] for u in found], ends)
-                gone.append(int((before[:, 1] - before[:, 0]).sum()))
-                chars.append(sum(b - a for a, b in cut))
-                spans.append([{"start": a, "end": b} for a, b in cut])
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()),
-                 pa.array(gone, pa.int64()), pa.array(chars, pa.int64()),
-                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
-                ["doc_id", "text", "n_units", "n_removed", "removed_chars", "spans"])
+            texts = []
+            for value, cut in zip(batch.column("text"), batch.column("spans")):
+                text = value.as_py()
+                if text is not None:
+                    text = text.decode("utf-8", "replace")
+                    ends = [0, *(x for s in cut.as_py() for x in (s["start"], s["end"])), len(text)]
+                    text = "".join(text[a:b] for a, b in zip(ends[::2], ends[1::2]))
+                texts.append(text)
+            names = ["doc_id", "text", "n_units", "n_removed", "removed_chars", "spans"]
+            yield pa.record_batch([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = binary_text(docs, "doc_id", *_keys()).join(marks(docs), ["row_hash", "row_check"], "left")
-    return rows.select("doc_id", "text", "marked").mapInArrow(
+    found = _spans(_digested(docs), run_words)
+    rows = binary_text(docs, "doc_id", *_keys()).join(found, ["row_hash", "row_check"])
+    return rows.drop("row_hash", "row_check").mapInArrow(
         run, f"doc_id {kind}, text string, n_units long, n_removed long, removed_chars long, spans {SPANS}")

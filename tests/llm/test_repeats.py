@@ -37,8 +37,11 @@ def earlier_check(rows):
                 lines.add(whole)
             for k in ks:
                 places.setdefault(own[k][0], []).append((number, k))
-        # Longest stretch from k on that follows an earlier place, this text's own included.
-        for k in range(len(own)):
+        gone = {k for k, u in enumerate(own) if any(a <= u[3] and u[4] <= b for a, b in spans)}
+        # Stretches that follow an earlier place, this text's own included, from where they begin to be removed.
+        for k in sorted(gone):
+            if k in may:
+                continue
             for other, place in places[own[k][0]]:
                 if (other, place) >= (number, k):
                     break
@@ -47,7 +50,6 @@ def earlier_check(rows):
                     n += 1
                 if sum(u[1] for u in own[k:k + n]) >= M.RUN_WORDS:
                     may.update(range(k, k + n))
-        gone = {k for k, u in enumerate(own) if any(a <= u[3] and u[4] <= b for a, b in spans)}
         assert must <= gone <= may | must, (i, sorted(gone - may - must), sorted(must - gone))
         assert all(any(own[k][3] == a for k in gone) and any(own[k][4] == b for k in gone) for a, b in spans)
 
