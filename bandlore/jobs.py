@@ -16,13 +16,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from bandlore.operators import evaluate as E
 from bandlore.operators.scaling import BandScalerModel
 from bandlore.operators.score import score_batch
 from bandlore.plans import modelling
 from bandlore.plans.preprocess import SignalPreprocessor
 from bandlore.plans.profiling import run_profiling
+from bandlore.sources import records, sinks
 from bandlore.sources import signals as G
-from bandlore.sources import sinks
 
 
 def ingest(spark, source, out, header=False):
@@ -60,21 +61,31 @@ def predict(spark, out, source, header=False, tau=None, model="trained/best"):
     """Score an unlabelled batch with a saved model; returns the summary row.
 
     ``model`` is a job's folder and a model's, as in ``tuned/best`` or ``ensemble/soft-voting-ensemble``. Without
-    ``tau`` the threshold that tuning stored is used, else the safe default.
+    ``tau`` the threshold of the model's own record is used, else the safe default. The batch is scored once: the summary
+    counts what was written.
     """
-    tau = sinks.stored_threshold(spark, f"{out}/tuned/threshold", tau)
     job, name = model.split("/", 1)
+    tau = records.resolve(spark, f"{out}/{job}/records", name, tau)
     rows = G.read_batch_csv(spark, source, header).withColumn("id", F.monotonically_increasing_id())
     # Ids are fixed by writing them; files are read and checked once.
     rows.write.mode("overwrite").parquet(f"{out}/predictions_input")
     good, bad = G.split_quarantine(spark.read.schema(rows.schema).parquet(f"{out}/predictions_input"))
     scaled = BandScalerModel.load(f"{out}/prepared/scaler").transform(good)
     scaled = scaled.withColumn("scaled_array", vector_to_array("scaled"))
-    scored, summary = score_batch(sinks.load_model(spark, f"{out}/{job}/models/{name}"), scaled, tau)
-    written = G.to_columns(scored, keep=("id", "Probability_Mine", "Probability_Rock", "Prediction"))
-    sinks.write_scored(written, f"{out}/predictions")
+    scored, _ = score_batch(sinks.load_model(spark, f"{out}/{job}/models/{name}"), scaled, tau)
+    output = G.to_columns(scored, keep=("id", "Probability_Mine", "Probability_Rock", "Prediction"))
+    sinks.write_scored(output, f"{out}/predictions")
     bad.select("id", "raw", "reason").write.mode("overwrite").parquet(f"{out}/predictions_quarantine")
-    return summary.head()
+    stored = spark.read.schema(output.schema).option("header", True).csv(f"{out}/predictions")
+    return E.batch_summary(stored.select(F.col("Probability_Mine").alias("prob")), tau).head()
+
+
+def explain(spark, out, repeats=15, background=40, permutations=100):
+    """Explain the tuned champion at its own threshold; the trained champion if nothing was tuned."""
+    job = "tuned" if records.read_records(spark, f"{out}/tuned/records").head() else "trained"
+    model = sinks.load_model(spark, f"{out}/{job}/models/best")
+    tau = records.resolve(spark, f"{out}/{job}/records", "best")
+    return modelling.run_explanation(prepared(spark, out), model, tau, repeats, background, permutations, f"{out}/explained")
 
 
 def main(argv=None):
@@ -103,8 +114,7 @@ def main(argv=None):
     elif args.job == "ensemble":
         modelling.run_ensemble(prepared(spark, out), path=f"{out}/ensemble")
     elif args.job == "explain":
-        model = sinks.load_model(spark, f"{out}/trained/models/best")
-        modelling.run_explanation(prepared(spark, out), model, path=f"{out}/explained")
+        explain(spark, out)
     else:
         print(predict(spark, out, args.input, args.header, args.tau, args.model).asDict())
 

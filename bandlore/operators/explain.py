@@ -13,6 +13,7 @@ from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
 from bandlore.operators.ordered import Ranged
 from bandlore.operators.sampling import order_key
+from bandlore.session import stable
 
 #: Rows that one task permutes together. The permutation itself spans the table; this only cuts the work.
 BLOCK_ROWS = 4_096
@@ -119,11 +120,37 @@ def permuted_pairs(df, n_repeats=15, seed=42, block_rows=BLOCK_ROWS):
     )
 
 
+def _block_cells(score, df, n_repeats, seed, block_rows, width):
+    """Counts per (band, repeat) of a batch scorer; repeat 0 is the unchanged table."""
+    blocked, rows = _in_blocks(df.select("id", "y", "features"), seed, n_repeats, block_rows)
+
+    def counts(pdf):
+        pdf = pdf.sort_values("_pos").reset_index(drop=True)
+        every = np.stack(pdf["features"].to_numpy()).astype(float)
+        own = ~pdf["_lent"].to_numpy()
+        x, y, out = every[own], pdf["y"].to_numpy()[own] == 1, []
+        for r in range(n_repeats + 1):
+            donor = every[_donor(pdf, r, rows)] if r else x
+            for band in range(width):
+                changed = x.copy()
+                changed[:, band] = donor[:, band]
+                hit = score(changed)[1]
+                out.append((r, band + 1, int((hit & y).sum()), int((hit & ~y).sum()), int((~hit & ~y).sum()), int((~hit & y).sum())))
+        return pd.DataFrame(out, columns=["repeat", "band", "tp", "fp", "tn", "fn"])
+
+    return blocked.groupBy("_block").applyInPandas(
+        counts, "repeat int, band int, tp bigint, fp bigint, tn bigint, fn bigint")
+
+
 def permutation_importance(model, df, n_repeats=15, seed=42, block_rows=BLOCK_ROWS, width=K.N_BANDS):
     """F1 drop of any fitted model. ``features`` must hold the model's scaled input.
 
-    The model scores rows x bands x repeats vectors as one stream; only counts are shuffled.
+    A model with a batch scorer is applied inside the blocks, which hand on four counts per (band, repeat). Any other
+    scores rows x bands x repeats vectors as one stream; only counts are shuffled.
     """
+    score = M.batch_scorer(model)
+    if score:
+        return _drops(_block_cells(score, df, n_repeats, seed, block_rows, width))
     pairs = permuted_pairs(df, n_repeats, seed, block_rows)
     swapped = pairs.withColumn("band", F.explode(F.sequence(F.lit(1), F.lit(width)))).select(
         "id", "y", "repeat", "band",
@@ -155,43 +182,54 @@ def linear_shapley(df, fitted, background):
 
 
 def background_rows(train, size=40, seed=42):
-    """A seeded sample of training rows with equal weights, kept on the driver (size rows)."""
-    rows = train.select("id", "features").orderBy(order_key(seed), "id").limit(size).collect()
-    return [(list(r["features"]), 1.0) for r in rows]
+    """A seeded sample of training rows with equal weights: ``size`` rows (values, weight)."""
+    return train.orderBy(order_key(seed), "id").limit(size).select(
+        F.col("features").alias("values"), F.lit(1.0).alias("weight"))
 
 
 def kmeans_background(train, centres=8, seed=42, features="features"):
-    """Cluster centres weighted by cluster size."""
+    """Cluster centres weighted by cluster size: rows (values, weight)."""
     vec = train.select(array_to_vector(features).alias("v"))
     model = KMeans(k=centres, seed=seed, featuresCol="v", maxIter=20).fit(vec)
-    sizes = model.summary.clusterSizes
-    return [([float(x) for x in c], float(n)) for c, n in zip(model.clusterCenters(), sizes) if n]
+    rows = [([float(x) for x in c], float(n)) for c, n in zip(model.clusterCenters(), model.summary.clusterSizes) if n]
+    return train.sparkSession.createDataFrame(rows, "values array<double>, weight double")
+
+
+def shapley_draws(background, permutations=4, seed=42, width=K.N_BANDS):
+    """A band order for every background row and permutation: (b, place, order, weight); the weights sum to 1.
+
+    Orders come in pairs, one the reverse of the other, which cancels much of the sampling error. They are sorted by a
+    hash of seed, row, pair and band, so nothing of them stands in the plan.
+    """
+    numbered = background.select("values", "weight", F.xxhash64("values", "weight").alias("row"))
+    drawn = numbered.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
+    every = F.sequence(F.lit(1), F.lit(width))
+    keyed = F.array_sort(F.transform(every, lambda band: F.struct(
+        F.xxhash64(F.lit(seed), "row", F.floor(F.col("turn") / 2), band).alias("key"), band.alias("band"))))
+    order = F.transform(keyed, lambda e: e["band"])
+    order = F.when(F.col("turn") % 2 == 1, F.reverse(order)).otherwise(order)
+    total = background.agg(F.sum("weight") * permutations).scalar()
+    drawn = drawn.select(F.col("values").alias("b"), order.alias("order"), (F.col("weight") / total).alias("weight"))
+    return drawn.withColumn("place", F.transform(
+        every, lambda band: (F.array_position("order", band) - 1).cast("int")))
 
 
 def shapley_sampling(model, df, background, permutations=4, seed=42, width=K.N_BANDS):
     """Sampled Shapley values of the probability of any fitted model.
 
     For each background row and random band order (Strumbelj and Kononenko 2014) bands
-    change over from the background to the row one at a time. All steps of a row are made,
-    scored and summed in the same task, so the shuffle carries one value per (row, band).
-    The values of a row add up to its score minus the mean background score.
+    change over from the background to the row one at a time. ``background`` is a table (values, weight) of stated size.
+    Its draws are one array that tasks read; all steps of a row are made, scored and summed in the same task, so the
+    shuffle carries one value per (row, band). The values of a row add up to its score minus the mean background score.
     """
-    rng = np.random.default_rng(seed)
-    total_weight = sum(w for _, w in background)
-    draws = []
-    for values, w in background:
-        for _ in range(permutations):
-            order = rng.permutation(width)
-            place = np.empty(width, dtype=int)
-            place[order] = np.arange(width)
-            draws.append(F.struct(
-                V.literal_array(values).alias("b"),
-                F.array(*[F.lit(int(v)) for v in place]).alias("place"),
-                F.array(*[F.lit(int(v) + 1) for v in order]).alias("order"),
-                F.lit(w / total_weight / permutations).alias("weight"),
-            ))
+    draws = stable(shapley_draws(background, permutations, seed, width))
+    score = M.batch_scorer(model)
+    if score:
+        return _scored_in_task(score, df, draws)
+    # Background rows x permutations entries.
+    draws = draws.agg(F.collect_list(F.struct("b", "place", "order", "weight")).alias("draws"))
     steps = (
-        df.select("id", "features", F.explode(F.array(*draws)).alias("d"))
+        df.select("id", "features", F.explode(draws.scalar()).alias("d"))
         .select("id", "features", "d.*", F.explode(F.sequence(F.lit(0), F.lit(width))).alias("step"))
         .select(
             "id", "order", "weight", "step",
@@ -211,6 +249,47 @@ def shapley_sampling(model, df, background, permutations=4, seed=42, width=K.N_B
     return signed.groupBy("id", F.col("s.band").alias("band")).agg(F.sum("s.v").alias("phi"))
 
 
+#: Changed rows that a task scores at once, in numbers.
+STEP_NUMBERS = 1 << 22
+
+
+def _scored_in_task(score, df, draws):
+    """Shapley values by a batch scorer: a task makes the steps of a row, scores them and sums the gains."""
+    held = draws.collect()  # background rows x permutations: the stated size of the background
+    base, weight = np.array([d["b"] for d in held], dtype=float), np.array([d["weight"] for d in held])
+    place, order = (np.array([d[c] for d in held]) for c in ("place", "order"))
+    width = base.shape[1]
+    shared = df.sparkSession.sparkContext.broadcast((base, place, order - 1, weight))
+
+    def run(batches):
+        base, place, order, weight = shared.value
+        size = max(1, STEP_NUMBERS // (width * (width + 1)))
+        steps = np.arange(width + 1)[None, :, None]
+        for pdf in batches:
+            for i, row in zip(pdf["id"], pdf["features"]):
+                phi, x = np.zeros(width), np.asarray(row, dtype=float)
+                for low in range(0, len(weight), size):
+                    part = slice(low, low + size)
+                    made = np.where(place[part, None, :] < steps, x, base[part, None, :])
+                    prob = score(made.reshape(-1, width))[0].reshape(-1, width + 1)
+                    np.add.at(phi, order[part], np.diff(prob, axis=1) * weight[part, None])
+                yield pd.DataFrame({"id": i, "band": np.arange(1, width + 1, dtype="int32"), "phi": phi})
+
+    return df.select("id", "features").mapInPandas(run, "id bigint, band int, phi double")
+
+
+def shapley_gap(model, df, background, attr):
+    """Per row what its Shapley values miss of score minus weighted mean background score: 0 but for rounding."""
+    def scores(rows):
+        return M.with_scores(model, rows.withColumn("scaled", array_to_vector("features")))
+
+    mean = scores(background.select("weight", F.col("values").alias("features"))).agg(
+        (F.sum(F.col("prob") * F.col("weight")) / F.sum("weight"))).scalar()
+    sums = attr.groupBy("id").agg(F.sum("phi").alias("phi"))
+    return scores(df).withColumn("mean", mean).join(sums, "id").select(
+        "id", (F.col("phi") - F.col("prob") + F.col("mean")).alias("gap"))
+
+
 def phi_arrays(attr):
     """Long (id, band, phi) to one array per row."""
     ordered = F.array_sort(F.collect_list(F.struct("band", "phi")))  # one entry per band

@@ -55,3 +55,39 @@ def score_zones(df, fitted, slope=SLOPE):
         .withColumn("_m", F.explode(members)).select(*df.columns, "_m.model", "_m.prob")
         .withColumn("pred_label", (F.col("prob") >= K.DEFAULT_TAU).cast("int"))
     )
+
+
+class MeanDifference:
+    """The closed-form scorer as an estimator like the others; bands outside ``first`` to ``last`` weigh nothing."""
+
+    def __init__(self, first=1, last=K.N_BANDS, slope=SLOPE):
+        self.first, self.last, self.slope = first, last, slope
+
+    def fit(self, train):
+        p = fit_mean_difference(train).head()["p"]  # two numbers per band
+        weight = [w if self.first <= band <= self.last else 0.0 for band, w in enumerate(p["weight"], 1)]
+        return MeanDifferenceModel(p["centre"], weight, self.slope)
+
+
+class MeanDifferenceModel:
+    def __init__(self, centre, weight, slope=SLOPE):
+        self.centre, self.weight, self.slope = list(centre), list(weight), slope
+
+    def transform(self, df):
+        """Adds prob and pred_label; a probability of one half counts as positive, as in ``score_mean_difference``."""
+        m = V.dot(V.subtract("features", V.literal_array(self.centre)), V.literal_array(self.weight))
+        return df.withColumn("prob", V.sigmoid(F.lit(float(self.slope)) * m)).withColumn(
+            "pred_label", (F.col("prob") >= K.DEFAULT_TAU).cast("int"))
+
+    def save(self, path):
+        from pyspark.sql import SparkSession
+
+        row = [(self.centre, self.weight, float(self.slope))]
+        frame = SparkSession.getActiveSession().createDataFrame(
+            row, "centre array<double>, weight array<double>, slope double")
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{path}/linear")
+        return path
+
+    @staticmethod
+    def load(spark, path):
+        return MeanDifferenceModel(*spark.read.parquet(f"{path}/linear").head())

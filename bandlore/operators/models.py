@@ -8,6 +8,7 @@ from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
+    LogisticRegressionModel,
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
@@ -234,6 +235,28 @@ def with_scores(model, df, name=None):
     return out.withColumn("model", F.lit(name)) if name else out
 
 
+def batch_scorer(model):
+    """A function from a matrix of inputs to (probabilities, hard labels) that runs inside a task, or None.
+
+    Linear models have one: a few numbers that tasks carry. ``explain`` then makes, scores and sums all its changed rows
+    where they are; other models score them as rows.
+    """
+    last = model.stages[-1] if isinstance(model, PipelineModel) and len(model.stages) == 1 else model
+    if isinstance(last, LogisticRegressionModel):
+        weights, intercept, slope, inclusive = last.coefficients.toArray(), last.intercept, 1.0, False
+    elif hasattr(last, "centre") and hasattr(last, "slope"):
+        weights, slope, inclusive = np.array(last.weight), last.slope, True
+        intercept = -float(np.dot(last.centre, weights))
+    else:
+        return None
+
+    def score(rows):
+        prob = 1.0 / (1.0 + np.exp(-slope * (rows @ weights + intercept)))
+        return prob, prob >= 0.5 if inclusive else prob > 0.5
+
+    return score
+
+
 def score_models(df, models):
     """Long scored relation over several fitted models; nothing is shared or switched."""
     parts = [with_scores(m, df, name) for name, m in models.items()]

@@ -42,26 +42,19 @@ def dataset_summary(df, width=None):
     )
 
 
-def column_kinds(df):
-    """Number of columns per type, from the schema alone."""
-    spark = df.sparkSession
-    counts = {}
-    for _, kind in df.dtypes:
-        counts[kind] = counts.get(kind, 0) + 1
-    return spark.createDataFrame(sorted(counts.items()), "kind string, columns bigint")
-
-
 def missing_audit(df, width=None):
     """Missing values per column, their total and whether there are any.
 
     Places that a row lacks against ``width``, or against the longest row, are missing too.
     """
-    rows = df.select("features")
-    longest = rows.agg(F.max(F.size("features")).alias("w")) if width is None else None
-    rows = rows.withColumn("_width", F.lit(width) if longest is None else longest.scalar())
-    per_band = bands(rows, width=F.col("_width")).groupBy("band").agg(
-        F.count_if(S.missing("x")).alias("missing")
-    ).select(F.concat(F.lit("freq_"), F.col("band").cast("string")).alias("column_name"), "missing")
+    shape = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size("features")), F.lit(0)).alias("longest"))
+    places = F.greatest(F.col("longest") if width is None else F.lit(width), F.lit(0))
+    every = shape.select("rows", F.explode(F.when(places > 0, F.sequence(F.lit(1), places))).alias("band"))
+    # Only values that are there are exploded; a long row adds its own places and none to the others.
+    present = present_values(bands(df.select("features"))).groupBy("band").agg(F.count(F.lit(1)).alias("present"))
+    per_band = every.join(present, "band", "left").select(
+        F.concat(F.lit("freq_"), F.col("band").cast("string")).alias("column_name"),
+        (F.col("rows") - F.coalesce("present", F.lit(0))).alias("missing"))
     label = df.agg(F.count_if(F.col("label").isNull()).alias("missing")).select(
         F.lit("label").alias("column_name"), "missing"
     )

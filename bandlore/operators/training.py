@@ -92,6 +92,19 @@ def settings(grid):
     return [dict(zip(names, values)) for values in product(*grid.values())]
 
 
+def fits(name, grid):
+    """The settings that are fitted: those of the grid, once where they differ in what Spark cannot set.
+
+    A forest's minimum to split is none of its parameters, and both names of the logistic solver are one.
+    """
+    out = []
+    for s in settings(grid):
+        key = {k: ("lbfgs" if k == "solver" else v) for k, v in s.items() if k != "min_split"}
+        if key not in out:
+            out.append(key)
+    return out
+
+
 def search(train, name, grid, k=5, parallelism=2, seed=42):
     """Grid search on F1 over the ``fold`` column: (best settings, best F1, refitted model).
 
@@ -104,21 +117,16 @@ def search(train, name, grid, k=5, parallelism=2, seed=42):
     n = train.count()
     if name == M.LOGISTIC:
         estimator = M.logistic(n)
-        values = sorted(set(grid["c"]), key=grid["c"].index)
+        chosen = fits(name, grid)
+        values = [s["c"] for s in chosen]
         # folds hold n (k-1)/k rows; the penalty follows the rows of the fit
         share = (k - 1) / k
         params = ParamGridBuilder().addGrid(estimator.regParam, [1.0 / (c * n * share) for c in values]).build()
-        chosen = [{"c": c, "solver": "lbfgs"} for c in values]
         refit = lambda best: M.logistic(n, best["c"])
     else:
         estimator = M.forest(seed=seed)
-        chosen, params = [], []
-        for s in settings(grid):
-            # a leaf minimum also keeps nodes below twice that size whole
-            key = {k_: v for k_, v in s.items() if k_ != "min_split"}
-            if key in chosen:
-                continue
-            chosen.append(key)
+        chosen, params = fits(name, grid), []
+        for s in chosen:
             params.append({
                 estimator.numTrees: s["trees"], estimator.maxDepth: 30 if s["depth"] is None else s["depth"],
                 estimator.minInstancesPerNode: s["min_leaf"], estimator.featureSubsetStrategy: s["subset"],

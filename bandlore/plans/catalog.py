@@ -2,6 +2,7 @@
 
 from bandlore.plans import (  # noqa: F401
     queries_evaluate,
+    queries_fitted,
     queries_models,
     queries_profile,
     queries_score,

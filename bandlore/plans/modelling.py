@@ -15,7 +15,7 @@ from bandlore.operators import models as M
 from bandlore.operators import training as T
 from bandlore.operators.sampling import stratified_folds
 from bandlore.session import stable
-from bandlore.sources import sinks
+from bandlore.sources import records, sinks
 
 
 def folds_of(prepared, k=5, seed=42):
@@ -40,11 +40,13 @@ def run_training(prepared, makers=None, k=5, path=None, choose_on="validation"):
         rows, judge = folded.where("fold <> 0"), folded.where("fold = 0")
     else:
         rows, judge = folded, test
-    _, table, best = T.train_and_compare(rows, judge, makers)
+    chosen_from, table, best = T.train_and_compare(rows, judge, makers)
     fitted = {name: T._fit(make, folded) for name, make in makers.items()}
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/model_metrics")
         sinks.save_models(fitted, f"{path}/models", best)
+        judged = M.score_models(judge, chosen_from)
+        records.write_records(E.operating_points(E.threshold_sweep(judged)), f"{path}/records", best)
     return {"models": fitted, "metrics": table, "champion": best,
             "test": E.model_benchmark(M.score_models(test, fitted))}
 
@@ -78,13 +80,15 @@ def run_tuning(prepared, baseline=None, size="full", k=5, names=None, path=None)
     gain = E.compare_to_baseline(metrics, baseline)
     judged = E.classification_metrics(unseen).join(cv.select("model", "listing"), "model")
     best = E.champion(judged, ["recall", "f1", "accuracy"]).head()["model"]
-    sweep = E.threshold_sweep(unseen.where(F.col("model") == best))
-    points = E.operating_points(sweep)
+    every = E.threshold_sweep(unseen)
+    all_points = E.operating_points(every)
+    sweep, points = (table.where(F.col("model") == best) for table in (every, all_points))
     if path:
         sinks.write_table_csv(sinks.rounded(table), f"{path}/tuning_metrics")
         sinks.write_table_csv(sweep, f"{path}/threshold_analysis")
         sinks.write_table_csv(points, f"{path}/operating_points")
         sinks.write_threshold(points, f"{path}/threshold")
+        records.write_records(all_points, f"{path}/records", best)
         sinks.save_models(fitted, f"{path}/models", best)
     return {"models": fitted, "metrics": table, "gain": gain, "champion": best, "sweep": sweep,
             "operating_points": points, "calibration": E.calibration_curve(scored), "brier": E.brier(scored)}

@@ -39,10 +39,23 @@ def read_signal_csv(spark, path, named=True, header=False, label=True):
     return _csv(reader.option("enforceSchema", True), path)
 
 
+#: A value of a CSV line behind its comma: quoted, with doubled quotes inside, or anything up to the next comma.
+_VALUE = r',("[^"]*+(?:""[^"]*+)*+"[^,]*+|[^,]*+)'
+
+
+def _unquoted(value):
+    inner = F.regexp_replace(F.substring(value, F.lit(2), F.length(value) - 2), '""', '"')
+    return F.when(value.rlike('^"[^"]*+(?:""[^"]*+)*+"$'), inner).otherwise(value)
+
+
 def _lines(spark, path, header):
-    """Every line of CSV files as its values, all as text: a line of any width stays visible."""
+    """Every line of CSV files as its values, all as text: a line of any width stays visible. Quoted values lose their
+    quotes; a quote that is not closed stays, and its value is no number."""
     reader = spark.read.schema("raw string").option("header", header).option("sep", "\u0001").option("quote", "")
-    return _csv(reader.option("enforceSchema", True), path).select("raw", F.split("raw", ",").alias("values"))
+    values = F.regexp_extract_all(F.concat(F.lit(","), F.col("raw")), F.lit(_VALUE), F.lit(1))
+    quoted = F.transform(values, lambda v: _unquoted(F.trim(v)))
+    values = F.when(F.contains("raw", F.lit('"')), quoted).otherwise(F.split("raw", ","))
+    return _csv(reader.option("enforceSchema", True), path).select("raw", values.alias("values"))
 
 
 def _place(values, i):

@@ -72,8 +72,8 @@ def save_models(models, path, champion=None):
 
 
 def load_model(spark, path):
-    """Any saved model. Saved metadata names an ML model's class, a table of names marks an ensemble; the neighbour
-    model is a plain table."""
+    """Any saved model. Saved metadata names an ML model's class, a table of names marks an ensemble, one of weights the
+    closed-form scorer; the neighbour model is a plain table."""
     def there(name):
         at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
@@ -84,6 +84,10 @@ def load_model(spark, path):
         from bandlore.operators.ensemble import load_ensemble
 
         return load_ensemble(spark, path)
+    if there("linear"):
+        from bandlore.operators.linear import MeanDifferenceModel
+
+        return MeanDifferenceModel.load(spark, path)
     return KnnModel.load(spark, path)
 
 

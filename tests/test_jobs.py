@@ -6,8 +6,8 @@ from bandlore import jobs
 from bandlore.operators import ensemble as EN
 from bandlore.operators import models as M
 from bandlore.plans import modelling
+from bandlore.sources import records, sinks
 from bandlore.sources import signals as G
-from bandlore.sources import sinks
 
 
 def test_jobs_in_order(spark, signals, tmp_path):
@@ -29,7 +29,9 @@ def test_jobs_in_order(spark, signals, tmp_path):
     assert summary.total_signals == 40 == summary.threats_detected + summary.benign_detected
     scored = spark.read.option("header", True).csv(f"{out}/predictions")
     assert scored.count() == 40 and {"Probability_Mine", "Probability_Rock", "Prediction", "freq_60"} <= set(scored.columns)
-    assert scored.where((F.col("Probability_Mine") >= 0.43) != (F.col("Prediction") == "Mine")).count() == 0
+    tau = records.resolve(spark, f"{out}/trained/records", "best")
+    assert scored.where((F.col("Probability_Mine") >= tau) != (F.col("Prediction") == "Mine")).count() == 0
+    assert records.resolve(spark, f"{out}/trained/records", "never-saved") == 0.43
 
     modelling.run_tuning(rows, size="coarse", names=[M.LOGISTIC], path=f"{out}/tuned")
     voting = EN.VotingModel({"a": M.logistic, "b": lambda n: M.logistic(n, 0.1)}).fit(rows.where("split = 'train'"))
@@ -44,12 +46,22 @@ def test_jobs_in_order(spark, signals, tmp_path):
     for name in ("tuned/best", "tuned/logistic-regression", "ensemble/soft-voting-ensemble"):
         assert jobs.predict(spark, out, batch, header=True, model=name).total_signals == 40
     hits = []
-    for tau in (0.05, 0.95):  # the stored threshold decides
+    for tau in (0.05, 0.95):  # a new version of the model's record decides, that of another model does not
         point = spark.createDataFrame([("m", "high_recall_safe", tau)], "model string, point string, threshold double")
-        sinks.write_threshold(point, f"{out}/tuned/threshold")
+        records.write_records(point, f"{out}/trained/records", champion="m")
+        records.write_records(point.withColumn("threshold", F.lit(0.5)), f"{out}/trained/records")
         hits.append(jobs.predict(spark, out, batch, header=True).threats_detected)
     assert hits[0] > hits[1]
     assert jobs.predict(spark, out, batch, header=True, tau=0.95).threats_detected == hits[1]
+    tuned = records.newest(records.read_records(spark, f"{out}/tuned/records"))
+    assert tuned.count() == 8 and tuned.where("size(features) <> 60").count() == 0
+    jobs.predict(spark, out, batch, header=True, model="tuned/best")
+    tau = tuned.where("model = 'best' and point = 'high_recall_safe'").head().threshold
+    scored = spark.read.option("header", True).csv(f"{out}/predictions")
+    assert scored.where((F.col("Probability_Mine") >= tau) != (F.col("Prediction") == "Mine")).count() == 0
+    made = jobs.explain(spark, out, 2, 3, 2)
+    assert made["shapley"].count() == 15
+    assert spark.read.json(f"{out}/explained/report").head().threshold == tau
 
 
 def test_command_line(spark, signals, tmp_path):

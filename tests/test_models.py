@@ -171,15 +171,44 @@ def test_sampled_shapley_adds_up(sides):
     rows = test.select("id", "y", F.col("scaled_array").alias("features"))
     back = X.background_rows(folded.select("id", F.col("scaled_array").alias("features")), 6)
     attr = X.shapley_sampling(model, rows, back, 2)
-    spark = rows.sparkSession
-    from pyspark.ml.functions import array_to_vector
-
-    bg = spark.createDataFrame([(v,) for v, _ in back], "features array<double>").withColumn("scaled", array_to_vector("features"))
-    base = M.with_scores(model, bg).agg(F.avg("prob")).head()[0]
-    scored = M.with_scores(model, test).select("id", "prob")
-    gap = attr.groupBy("id").agg(F.sum("phi").alias("t"), F.count("phi").alias("n")).join(scored, "id")
-    assert gap.where("n <> 60").count() == 0
-    assert gap.agg(F.max(F.abs(F.col("t") - (F.col("prob") - base)))).head()[0] < 1e-9
+    assert attr.groupBy("id").count().where("count <> 60").count() == 0
+    assert X.shapley_gap(model, rows, back, attr).agg(F.max(F.abs("gap"))).head()[0] < 1e-9
+
+
+def test_shapley_plan_does_not_grow_with_draws(sides):
+    """Orders are permutations in reversed pairs, and the plan is the same for 4 and 4,000 draws."""
+    folded, test = sides
+    model = M.logistic(folded.count()).fit(folded)
+    rows = test.select("id", "y", F.col("scaled_array").alias("features"))
+    held = folded.select("id", F.col("scaled_array").alias("features"))
+    draws = X.shapley_draws(X.background_rows(held, 3), 4).collect()
+    assert len(draws) == 12 and abs(sum(d.weight for d in draws) - 1) < 1e-12
+    assert all(sorted(d.order) == list(range(1, 61)) and d.order[d.place[7]] == 8 for d in draws)
+    orders = [d.order for d in draws]
+    assert all(order[::-1] in orders for order in orders) and len(set(map(tuple, orders))) == 12
+    forest = M.forest(trees=2, depth=2).fit(folded)
+    sizes = [len(X.shapley_sampling(forest, rows, X.background_rows(held, n), p)._jdf.queryExecution().analyzed().toString())
+             for n, p in ((2, 2), (40, 100))]
+    assert abs(sizes[0] - sizes[1]) < 500
+
+
+def test_batch_scorers_give_what_rows_give(sides, monkeypatch):
+    """Shapley values and importances inside tasks, and by scored rows."""
+    folded, test = sides
+    model = M.logistic(folded.count()).fit(folded)
+    rows = test.select("id", "y", F.col("scaled_array").alias("features"))
+    back = X.background_rows(folded.select("id", F.col("scaled_array").alias("features")), 3)
+
+    def both():
+        phi = {(r.id, r.band): r.phi for r in X.shapley_sampling(model, rows, back, 2).collect()}
+        drop = {r.band: (r.mean_importance, r.std_importance) for r in X.permutation_importance(model, rows, 3).collect()}
+        return phi, drop
+
+    inside = both()
+    monkeypatch.setattr(M, "batch_scorer", lambda model: None)
+    outside = both()
+    for a, b in zip(inside, outside):
+        assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)
 
 
 def test_model_permutation_finds_the_label_bands(sides):
