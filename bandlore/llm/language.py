@@ -1,21 +1,26 @@
 """Language of whole texts: words first, shorter and shorter letter runs for unseen words.
 
 A word that the model knows scores its log frequency in every language. An unseen word is read from left to right by
-letter runs: at each place the longest known run of four letters or fewer scores, with marks for the word's ends. All
-counts come from one grouping of the training documents' words; the model is a bounded table sent to the workers.
+letter runs: at each place the longest known run of four letters or fewer scores, with marks for the word's ends. A word
+of more than LONG letters, as a clause in a script without spaces, is read whole and counts as the several words that its
+length makes. All counts come from one grouping of the training documents' words; the model is a bounded table sent to the
+workers. Training texts and terms are shared out by language, so that a language with many texts takes none of the others'.
 """
 
 import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bandlore.llm.common import rows_read, sampled, written
 
-#: Most training documents, chosen by the hash of doc_id, and most words and letter runs of a model.
-TRAINING, WORDS, RUNS = 20_000, 60_000, 60_000
-LONGEST = 4
+#: Most training documents, chosen by the hash of doc_id, and most words and letter runs of a model. Languages share them
+#: equally, but each has LEAST words and runs and EACH documents if there are so many.
+TRAINING, WORDS, RUNS, LEAST, EACH = 20_000, 60_000, 60_000, 2_000, 500
+#: Longest letter run; letters of a word from which on it counts as several.
+LONGEST, LONG = 4, 24
 #: Words whose scores a worker remembers; it changes speed only.
 REMEMBERED = 200_000
 #: Share of a language's mass kept for words that it lacks.
@@ -54,6 +59,11 @@ def _counted(docs):
     return counted.groupBy("lang", "kind", "term").agg(F.sum("n").alias("n"))
 
 
+def _words(word):
+    """As how many words a run of letters counts."""
+    return max(1.0, len(word) / LONG)
+
+
 class Model:
     """Log frequencies by language of known words and letter runs."""
 
@@ -73,7 +83,7 @@ class Model:
         found = self.words.get(word)
         if found is not None:
             return found
-        marked, total, runs = f"^{word[:40]}$", [0.0] * len(self.langs), 0
+        marked, total, runs = f"^{word}$", [0.0] * len(self.langs), 0
         for at in range(len(marked)):
             for n in range(LONGEST, 0, -1):
                 found = self.runs.get(marked[at:at + n]) if at + n <= len(marked) else None
@@ -84,7 +94,7 @@ class Model:
                 total = [a + self.floor for a in total]
             runs += 1
         # The runs overlap; a word counts as much as two of them.
-        return [2 * a / runs for a in total]
+        return [2 * a / runs * _words(word) for a in total]
 
     def predict(self, text):
         """Language and its share of the evidence, 0 to 1."""
@@ -100,26 +110,40 @@ class Model:
                 if at == len(self.rows):
                     self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
                 self.rows[at] = self.word(w)
-        total = self.rows[[known[w] for w in words]].sum(axis=0) / np.sqrt(len(words))
+        total = self.rows[[known[w] for w in words]].sum(axis=0) / np.sqrt(sum(map(_words, words)))
         share = np.exp(total - total.max())
         best = int(share.argmax())
         return self.langs[best], float(share[best] / share.sum())
 
 
+def _training(docs, limit):
+    """Labelled rows, about ``limit``: of every language the same number if it has so many, chosen by the hash of doc_id."""
+    rows = docs.where("text is not null and lang is not null").select("doc_id", "lang", "text")
+    totals = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    known = totals.count()
+    if not 0 < known <= limit // EACH:  # a column of many values names no languages
+        return sampled(rows, limit)
+    shares = [v for r in totals.collect() for v in (F.lit(r.lang), F.lit(min(1.0, limit / known / r.n)))]
+    key = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_003))
+    return rows.where(key < 1_000_003 * F.element_at(F.create_map(*shares), F.col("lang")))
+
+
 def train(docs, limit=TRAINING, words=WORDS, runs=RUNS):
     """A model from the texts and languages of ``docs``; rows without text or language teach nothing.
 
-    The most frequent ``words`` words and ``runs`` letter runs are kept. Without any language the model has none.
+    Of every language its most frequent terms are kept: an equal share of ``words`` words and ``runs`` letter runs, and
+    LEAST at least. Without any language the model has none.
     """
-    rows = sampled(docs.where("text is not null and lang is not null").select("doc_id", "lang", "text"), limit)
-    counts = written(_counted(rows), "language-counts")
-    totals = F.struct("lang", "n")
-    kept = {}
+    counts = written(_counted(_training(docs, limit)), "language-counts")
+    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    kept, rank = {}, Window.partitionBy("lang").orderBy(F.desc("n"), "term")
     for kind, most in (("word", words), ("run", runs)):
-        terms = counts.where(F.col("kind") == kind).groupBy("term").agg(
-            F.sum("n").alias("all"), F.collect_list(totals).alias("by")).where("all > 1")
-        kept[kind] = terms.orderBy(F.desc("all"), "term").limit(most).collect()
-    langs = sorted({b.lang for kind in kept.values() for r in kind for b in r.by})
+        terms = counts.where(F.col("kind") == kind)
+        # Counts of a bounded sample: a language's terms fit into a task.
+        often = terms.withColumn("rank", F.row_number().over(rank)).where(
+            F.col("rank") <= max(LEAST, most // max(1, len(langs)))).select("term").distinct()
+        kept[kind] = terms.join(often, "term").groupBy("term").agg(
+            F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by")).where("all > 1").collect()
 
     def scored(found):
         mass = dict.fromkeys(langs, 0)
@@ -139,7 +163,7 @@ def identify(docs, model, *keep):
     """doc_id, the ``keep`` columns, lang_pred and score of every document; only the text is read for a prediction.
 
     ``und`` and 0 for null texts and texts without a letter, or if the model knows no language. Ties go to the language
-    that sorts first. Repeated rows are judged alike, one by one.
+    that sorts first. Repeated rows are judged alike, one by one; texts and words of any length are read whole.
     """
 
     def run(batches):

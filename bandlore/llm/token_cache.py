@@ -109,20 +109,29 @@ def _digests(docs):
 
 
 def _encoded(rows, vocabulary):
+    """digest and n_tokens of the texts of ``rows``: a task passes over digests that it has had, and one row of each stays."""
+
     def run(batches):
-        own = _counter(vocabulary)
+        own, seen = _counter(vocabulary), set()
         for batch in batches:
+            fresh = []
+            for digest in batch.column("digest").to_pylist():
+                fresh.append(digest not in seen)
+                seen.add(digest)
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             counts = own.counts([t.as_py() for t in batch.column("text")])
             yield pa.record_batch([batch.column("digest"), pa.array(counts, pa.int64())], ["digest", "n_tokens"])
 
-    return rows.mapInArrow(run, "digest binary, n_tokens long")
+    return rows.mapInArrow(run, "digest binary, n_tokens long").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def token_counts(docs, cache=None, path=None, limit=2048):
     """doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens) of every whole text; null counts as empty.
 
     ``cache`` is the folder of a cache kept between runs; without it the run starts a new one in the shared folder.
-    ``path`` is the vocabulary file. One row for each row of ``docs``, in any order, repeated rows and ids included.
+    ``path`` is the vocabulary file. One row for each row of ``docs``, in any order, repeated rows and ids included; of
+    rows that share doc_id (null too) and text one is encoded. Texts of any length count whole. Columns other than doc_id
+    and text are not returned. An empty table gives no rows.
     Counts missing from the cache are appended in one atomic write; a run that dies before leaves the cache as it was.
     """
     spark = docs.sparkSession

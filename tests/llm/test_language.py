@@ -1,6 +1,7 @@
 """Language ID: held-out accuracy, the word-first rule by hand, edge cases."""
 
 import math
+import random
 import zlib
 
 import pytest
@@ -66,3 +67,27 @@ def test_edges(spark, rows):
     assert {r.lang_pred for r in M.identify(docs, M.train(empty)).collect()} == {"und"}
     unlabelled = spark.createDataFrame([(1, None, "a b"), (2, "xx", None)], rows.schema)
     assert M.train(unlabelled).langs == []
+
+
+def test_long_words_are_read_whole(spark):
+    """A word is judged by all its letters, and a clause without spaces outweighs a short word."""
+    rng = random.Random(3)
+    make = lambda letters, n, m: " ".join("".join(rng.choice(letters) for _ in range(m)) for _ in range(n))
+    rows = [(i, "aa" if i % 2 else "bb", make("abcd" if i % 2 else "wxyz", 40, 5)) for i in range(60)]
+    model = M.train(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert model.predict("abcd" * 10 + "wxyz" * 250)[0] == "bb"
+    assert model.predict("wxyz" * 10 + "abcd" * 250)[0] == "aa"
+    assert model.predict("wxyzwx " * 3 + "abcd" * 200)[0] == "aa"
+
+
+def test_small_language_beside_a_hot_one(spark):
+    """A language with few texts keeps its terms whatever another has."""
+    rng = random.Random(4)
+    make = lambda letters, n: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(n))
+    rows = [(i, "hot", make("abcdefghijkl", 300)) for i in range(300)]
+    rows += [(1000 + i, "rare", make("αβγδεζηθ", 60)) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    model = M.train(docs, limit=2_000, words=500, runs=500)
+    for text, lang in ((make("αβγδεζηθ", 20), "rare"), (make("abcdefghijkl", 20), "hot")):
+        got, score = model.predict(text)
+        assert got == lang and score > 0.9

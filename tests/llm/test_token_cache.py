@@ -53,5 +53,13 @@ def test_cache_is_read_and_only_misses_are_added(spark, tmp_path):
     assert {r.doc_id: r.n_tokens for r in M.token_counts(docs, other).collect()}[2] == 77
 
 
+def test_equal_rows_are_encoded_once(spark, tmp_path):
+    rows = [(None, "the same text")] * 50 + [(4, "the same text")] * 7 + [(None, "another")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert {r.n_tokens for r in M.token_counts(docs, str(tmp_path)).collect()} == {3, 1}
+    assert spark.read.parquet(f"{tmp_path}/*").count() == 2
+    assert M.token_counts(docs, str(tmp_path)).count() == 58
+
+
 def test_empty_table(spark):
     assert M.token_counts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
