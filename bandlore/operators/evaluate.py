@@ -111,10 +111,8 @@ def roc_curve(scored, by=("model",), ranges=None):
     straight line between its neighbours. First and last score always stay.
     """
     by = list(by)
-    ranged = _score_groups(scored, by, ranges)
-    totals = ranged.rows.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    ranged = ranged.add_next(["pos", "neg"])
-    run = ranged.running({"tp": "pos", "fp": "neg"})
+    run = _score_groups(scored, by, ranges).add_next(["pos", "neg"]).running({"tp": "pos", "fp": "neg"})
+    totals = run.groupBy(*by).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
     last = F.col("next_pos").isNull()
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     bends = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))

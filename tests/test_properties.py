@@ -60,6 +60,28 @@ def test_running_sums_and_next(spark, bound):
     assert sorted(r.position for r in place.where("g = 'b'").collect()) == list(range(int((g == "b").sum())))
 
 
+def test_running_sums_have_no_second_exchange(spark):
+    """Many groups and none, small batches, nulls, and a plan that reads the written ranges without shuffling them."""
+    rows = [(i % 3 if i % 7 else None, i % 50, float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g int, v int, w double").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        for by, ranges in (([], 8), (["g"], 8), (["g"], None), (["w"], 6)):
+            ranged = Ranged(df, by, [F.col("w")], ranges).add_next(["v"]).running({"s": "v", "t": "w"})
+            assert "Exchange hashpartitioning" not in ranged._jdf.queryExecution().executedPlan().toString()
+            groups = {}
+            for r in sorted(ranged.collect(), key=lambda r: r.w):
+                groups.setdefault(tuple(r[c] for c in by), []).append(r)
+            assert sum(map(len, groups.values())) == 900
+            for found in groups.values():
+                assert [r.s for r in found] == np.cumsum([r.v for r in found]).tolist()
+                assert [r.t for r in found] == pytest.approx(np.cumsum([r.w for r in found]).tolist())
+                assert [r.next_v for r in found] == [r.v for r in found[1:]] + [None]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert Ranged(df.where("false"), ["g"], [F.col("w")]).running({"s": "v"}).count() == 0
+
+
 @pytest.mark.parametrize("bound", [None, 6])
 def test_auc_brute_force(spark, bound):
     rng = np.random.default_rng(3)
