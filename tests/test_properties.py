@@ -15,6 +15,24 @@ from bandlore.operators.ordered import Ranged
 from bandlore.operators.quantiles import exact_quantiles
 
 
+def test_density_brute_force(spark):
+    """Two classes, one far outlier, a class of one value."""
+    rng = np.random.default_rng(11)
+    rows = [("M", float(v)) for v in (*rng.normal(0, 1, 700), 60.0)] + [("R", float(v)) for v in rng.exponential(2, 300)]
+    rows += [("S", 1.0)] * 5
+    df = spark.createDataFrame([([v], label) for label, v in rows], "features array<double>, label string")
+    got = {(r.label, r.point): (r.value, r.density) for r in P.class_density(df, [1]).collect()}
+    every = np.array([v for _, v in rows])
+    assert len(got) == 400
+    for label in "MR":
+        x = np.array([v for other, v in rows if other == label])
+        h = x.std(ddof=1) * len(x) ** -0.2
+        for point, t in enumerate(np.linspace(every.min(), every.max(), 200)):
+            want = np.exp(-0.5 * ((t - x) / h) ** 2).sum() / (len(x) * h * np.sqrt(2 * np.pi))
+            value, density = got[label, point]
+            assert value == pytest.approx(t) and density == pytest.approx(want, abs=1e-10)
+
+
 def _values(spark, n=4000, seed=1):
     rng = np.random.default_rng(seed)
     # a third of the rows share one value
