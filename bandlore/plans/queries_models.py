@@ -228,5 +228,5 @@ def _(t):
     path = scratch_path(t.spark, "arrivals")
     t.signals().select("id", "features").repartition(4).write.parquet(path)
     source = ST.read_vector_stream(t.spark, path, "id bigint, features array<double>")
-    scored, bad = ST.score_stream(source, ST.model_scorer(PipelineModel([scaler, model])), K.SAFE_TAU)
-    return t.spark.read.parquet(ST.run_available(scored, bad, scratch_path(t.spark, "stream"))[0])
+    scorer = ST.model_scorer(PipelineModel([scaler, model]))
+    return t.spark.read.parquet(ST.run_available(source, scorer, K.SAFE_TAU, scratch_path(t.spark, "stream"))[0]).drop("batch")

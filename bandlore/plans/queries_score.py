@@ -317,8 +317,7 @@ def _streamed(t):
     short = F.when(F.col("id") % 9 == 0, F.slice("features", 1, 40)).otherwise(F.col("features"))
     rows.withColumn("features", short).repartition(4).write.parquet(path)
     source = ST.read_vector_stream(t.spark, path, "id bigint, features array<double>", files_per_trigger=2)
-    scored, bad = ST.score_stream(source, ST.linear_scorer(t.fitted(), L.SLOPE), K.SAFE_TAU)
-    return ST.run_available(scored, bad, scratch_path(t.spark, "stream"))
+    return ST.run_available(source, ST.linear_scorer(t.fitted(), L.SLOPE), K.SAFE_TAU, scratch_path(t.spark, "stream"))
 
 
 _STREAM = f"""WITH {FITTED}, mg AS (SELECT id, sum((x - (mm + mr)/2)*(mm - mr)) AS m FROM slong JOIN mu USING (band) WHERE id % 9 <> 0 GROUP BY id),
@@ -333,7 +332,19 @@ def _(t):
 
 @query("k3_stream_quarantine", f"WITH {SIGNALS} SELECT id, 'expected 60 features, got 40' AS reason FROM sig WHERE id % 9 = 0")
 def _(t):
-    return t.spark.read.parquet(_streamed(t)[1])
+    return t.spark.read.parquet(_streamed(t)[1]).select("id", "reason")
+
+
+@query("k3_stream_rows_read", f"""WITH {SIGNALS} SELECT count(*) AS rows_read, count(*) FILTER (WHERE id % 9 <> 0) AS scored,
+count(*) FILTER (WHERE id % 9 = 0) AS quarantined, true AS more_batches FROM sig""")
+def _(t):
+    """Rows that the stream read by its progress metrics, and where they went: each file is read once."""
+    scored, bad, read = _streamed(t)
+    both = [t.spark.read.parquet(p).groupBy("batch").agg(F.count(F.lit(1)).alias("n")) for p in (scored, bad)]
+    sums = [b.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("batches")) for b in both]
+    return sums[0].join(sums[1].select(F.col("n").alias("bad"))).select(
+        F.lit(read).cast("bigint").alias("rows_read"), F.col("n").alias("scored"), F.col("bad").alias("quarantined"),
+        (F.col("batches") > 1).alias("more_batches"))
 
 
 _PHI = f"""{SCORED}, bm AS (SELECT band, avg(x) AS m0 FROM slong WHERE split = 'train' GROUP BY band),

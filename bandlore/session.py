@@ -20,6 +20,7 @@ def build_session(cores=None, app="bandlore", **extra):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.compress", "true")
     )
     if cores is not None:
         builder = builder.master(f"local[{cores}]").config("spark.sql.shuffle.partitions", "8").config(

@@ -1,4 +1,4 @@
-"""Continuous scoring: validate, set bad rows aside, score, decide. Stateless, append only."""
+"""Continuous scoring: validate, set bad rows aside, score, decide. Stateless; one stream for both sides."""
 
 from pyspark.sql import functions as F
 
@@ -30,21 +30,36 @@ def model_scorer(model, keep=("id", "features")):
 
 
 def score_stream(source, scorer, tau):
-    """(decided rows, quarantined rows) of a stream with (id, features)."""
+    """(decided rows, quarantined rows) of a stream or a batch with (id, features)."""
     tau = S.check_tau(tau)
     good, bad = split_quarantine(validate(source))
     return decide(scorer(good), tau), bad.select("id", "reason")
 
 
-def run_available(scored, quarantine, out):
-    """Process everything that has arrived, then stop. Run again with the same ``out`` it goes on
-    from its own log, which lies beside the output on the shared storage."""
-    queries = [
-        frame.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", f"{out}/log/{name}")
-        .trigger(availableNow=True).start(f"{out}/{name}")
-        for name, frame in (("scored", scored), ("quarantine", quarantine))
-    ]
-    for q in queries:
-        q.awaitTermination()
-    return f"{out}/scored", f"{out}/quarantine"
+def batch_writer(scorer, tau, out):
+    """A function that splits, scores and writes a batch of (id, features) under its number.
+
+    Both sides come from one reading of the batch. A batch that is played again, after a failure between writing and
+    logging, replaces what it wrote before.
+    """
+
+    def write(batch, number):
+        held = batch.persist()
+        try:
+            for name, frame in zip(("scored", "quarantine"), score_stream(held, scorer, tau)):
+                frame.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        finally:
+            held.unpersist()
+
+    return write
+
+
+def run_available(source, scorer, tau, out):
+    """Process everything that has arrived by one stream, then stop: the folders of scored and quarantined rows (with the
+    column ``batch``) and the number of rows read. Run again with the same ``out`` it goes on from its own log, which lies
+    beside the output on the shared storage."""
+    query = source.writeStream.foreachBatch(batch_writer(scorer, tau, out)).option(
+        "checkpointLocation", f"{out}/log").trigger(availableNow=True).start()
+    query.awaitTermination()
+    read = sum(p["numInputRows"] for p in query.recentProgress)
+    return f"{out}/scored", f"{out}/quarantine", read

@@ -223,18 +223,31 @@ def test_stream_equals_batch_and_resumes(spark, signals, tmp_path):
 
     def run():
         stream = ST.read_vector_stream(spark, src, "id bigint, features array<double>", 1)
-        return ST.run_available(*ST.score_stream(stream, scorer, 0.43), out)
+        return ST.run_available(stream, scorer, 0.43, out)
 
-    done, _ = run()
-    assert spark.read.parquet(done).count() == 300
+    done, _, read = run()
+    assert spark.read.parquet(done).count() == 300 == read
     rows.where("id >= 300").write.mode("append").parquet(src)
-    run()
+    assert run()[2] == signals.count() - 300 and run()[2] == 0
     batch = SCO.decide(scorer(rows), 0.43).select("id", "prob", "is_threat", "threat")
     streamed = spark.read.parquet(done).select("id", "prob", "is_threat", "threat")
     assert streamed.count() == signals.count()
     assert batch.exceptAll(streamed).count() == 0 == streamed.exceptAll(batch).count()
 
 
+def test_replayed_batch_changes_nothing(spark, signals, tmp_path):
+    from bandlore.operators import linear as L
+
+    out = str(tmp_path / "out")
+    rows = signals.select("id", F.when(F.col("id") % 10 != 0, F.col("features")).alias("features"))
+    write = ST.batch_writer(ST.linear_scorer(L.fit_mean_difference(signals), L.SLOPE), 0.43, out)
+    for number, part in ((0, "id < 200"), (1, "id >= 200"), (1, "id >= 200"), (0, "id < 200")):
+        write(rows.where(part), number)
+    good, bad = (spark.read.parquet(f"{out}/{name}") for name in ("scored", "quarantine"))
+    assert good.select("id").distinct().count() == good.count() and bad.count() == signals.where("id % 10 = 0").count()
+    assert good.count() == signals.count() - bad.count() and sorted(r.batch for r in bad.select("batch").distinct().collect()) == [0, 1]
+
+
 def test_checked_csv(spark, tmp_path):
     path = str(tmp_path / "lines")
     good = ",".join(["0.5"] * 60)
