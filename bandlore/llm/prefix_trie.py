@@ -40,7 +40,7 @@ def _running(rows, order, sums, name):
 
     def local(batches):
         part = pyspark.TaskContext.get().partitionId()
-        last, held = None, np.zeros(len(sums), np.uint64)
+        last, held, line = None, np.zeros(len(sums), np.uint64), 0
         for batch in batches:
             conv = batch.column("conv_id").to_numpy(zero_copy_only=False)
             if not len(conv):
@@ -58,15 +58,16 @@ def _running(rows, order, sums, name):
             last, held = conv[-1], np.array([r[-1] for r in out], np.uint64)
             yield pa.record_batch(
                 [*(batch.column(c) for c in columns), *(pa.array(r.view(np.int64)) for r in out),
-                 pa.array(np.full(len(conv), part, np.int32))], [*columns, *own, "part"])
+                 pa.array(np.full(len(conv), part, np.int32)), pa.array(np.arange(line, line + len(conv)))],
+                [*columns, *own, "part", "line"])
+            line += len(conv)
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    kinds += "".join(f", {c} long" for c in own) + ", part int"
+    kinds += "".join(f", {c} long" for c in own)
     ordered = rows.repartitionByRange("conv_id", *order).sortWithinPartitions("conv_id", *order)
-    summed = written(ordered.mapInArrow(local, kinds), name)
+    summed = written(ordered.mapInArrow(local, f"{kinds}, part int, line long"), name)
     # A range has two conversations at most that go on elsewhere.
-    ends = summed.groupBy("conv_id", "part").agg(
-        *[F.max_by(c, F.struct(*order) if len(order) > 1 else order[0]).alias(c) for c in own])
+    ends = summed.groupBy("conv_id", "part").agg(*[F.max_by(c, "line").alias(c) for c in own])
     several = ends.groupBy("conv_id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     before, carried = {}, {}
     for row in ends.join(several, "conv_id").orderBy("conv_id", "part").collect():
@@ -89,7 +90,7 @@ def _running(rows, order, sums, name):
             yield pa.record_batch([*(batch.column(c) for c in columns), *(pa.array(r.view(np.int64)) for r in runs)],
                                   [*columns, *own])
 
-    return summed.mapInArrow(moved, kinds.rsplit(",", 1)[0])
+    return summed.mapInArrow(moved, kinds)
 
 
 def turns(conversations):

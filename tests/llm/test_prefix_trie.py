@@ -77,6 +77,22 @@ def test_edges(spark):
     assert M.prefix_trie(docs.where("false"), M.rebuilt).count() == 0
 
 
+def test_repeated_turns_over_many_ranges(spark):
+    """A conversation of few distinct rows that goes on over most ranges."""
+    rng = random.Random(5)
+    rows = [(7, k // 9, "u", rng.choice(("same", "same", "other"))) for k in range(500)] + [(8, k, "u", "same") for k in range(20)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    try:
+        ranked = M.turns(docs)
+        places = [r.place for r in ranked.where("conv_id = 7").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(places) == list(range(1, 501))
+
+
 def test_contraction(spark):
     """Chains, stars and random trees."""
     rng, nodes, value = random.Random(8), [], {}
