@@ -14,7 +14,7 @@ from bandlore.operators import training as T
 from bandlore.plans.modelling import run_explanation
 from bandlore.plans.queries_models import _inputs, _prepared
 from bandlore.plans.queries_profile import _FOLDS
-from bandlore.plans.registry import FITTED, METRICS, SCORED, SIGNALS, SPLIT, ZONES, query, rounded
+from bandlore.plans.registry import METRICS, SCORED, SIGNALS, SPLIT, ZONES, query, rounded
 from bandlore.session import scratch_path, stable
 from bandlore.sources import records, sinks
 from bandlore.sources import signals as G
