@@ -1,9 +1,9 @@
 """Toxicity of whole texts by a learned lexicon, misspellings included, and the context of each hit.
 
-The lexicon is a trie of words and word beginnings that labelled toxic documents hold far more often than others. It is
-intersected with the Levenshtein automata of its words: a state is a set of (trie node, edits so far), and the sets met
-are numbered once, which gives one deterministic table for the whole lexicon. All words of a batch run through the table
-letter by letter, together.
+The lexicon is a trie of words and word beginnings that labelled toxic documents hold far more often than others, by a
+test that is corrected for the number of terms tried. It is intersected with the Levenshtein automata of its words: a
+state is a set of (trie node, edits so far), and the sets met are numbered once, as they are met, which gives one
+deterministic table for the whole lexicon. All words of a batch run through the table letter by letter, together.
 
 A hit counts by how strongly its term speaks for the label, less if misspelled, and less inside a quotation or after a reporting word. The sum of a document
 and its densest window of words go into a logistic regression fitted on the labels.
@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from bandlore.llm.common import rows_read, sampled, written
 
-#: Most labelled training documents (by hash of doc_id) and most lexicon terms.
-TRAINING, TERMS = 20_000, 300
-#: A term is taken from this many toxic documents and this share of them on, if it is this much likelier there.
-SUPPORT, SHARE, RATIO = 3, 0.02, 10.0
+#: Most labelled training documents (by hash of doc_id).
+TRAINING = 20_000
+#: A term stands in this many distinct toxic texts at least, is this much likelier there, and the chance that any of
+#: the terms tried looks as strong without being so is at most this.
+SUPPORT, RATIO, CHANCE = 3, 10.0, 0.05
 #: How much likelier a term is that counts in full; others count by their logarithm.
 FULL = 200.0
+#: Five-word shingles, and bands of two smallest hashes of them, by which near copies in the training texts are found.
+SHINGLE, BANDS = 5, 4
 #: Lengths of word beginnings; shortest word that may be misspelled by one edit.
 STEMS, FUZZY = (3, 4, 5, 6, 7, 8), 5
 #: Words in a window; what a misspelled, a quoted and a reported hit counts.
@@ -31,7 +34,10 @@ WINDOW, MISSPELLED, QUOTED, REPORTED = 40, 0.6, 0.3, 0.5
 NEAR = 4
 REPORTING = frozenset(
     "said says called wrote quoted quote quotes word term sagte nannte schrieb zitat dit appelle mot dijo llama palabra".split())
-QUOTES = "\"“”„«»"
+#: Quotation marks, and the marks that each of them can end a quotation of.
+CLOSES = {'"': '"', "”": "“„”", "“": "„", "»": "«", "«": "»", "„": ""}
+#: Marks that open only in front of a word and close only behind one.
+BOTH_WAYS = '"”'
 
 
 def _log(x):
@@ -42,6 +48,9 @@ def _words(text):
     """Words of a lower-cased text as (codes, starts, lengths); a word is a run of letters and digits."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     inside = _letter_table()[np.minimum(codes, 0xFFFF)]
+    high = codes > 0xFFFF
+    if high.any():
+        inside[high] = [chr(c).isalnum() for c in codes[high].tolist()]
     edge = np.flatnonzero(np.diff(np.concatenate(([0], inside, [0]))))
     return codes, edge[::2], edge[1::2] - edge[::2]
 
@@ -51,108 +60,113 @@ _letters = []
 
 def _letter_table():
     if not _letters:
-        _letters.append(np.array([chr(c).isalnum() for c in range(0xFFFF)] + [True], np.int8))
+        _letters.append(np.array([chr(c).isalnum() for c in range(0x10000)], np.int8))
     return _letters[0]
 
 
 class Automaton:
     """The lexicon trie crossed with one-edit Levenshtein automata, as a table of numbered state sets.
 
-    ``terms``: words, or word beginnings written with a final ``*``, and what a hit of each counts (else 1). A beginning must match exactly; a word of FUZZY
-    letters or more also matches with one letter changed, added or left out, unless it is among ``strict``.
+    ``terms``: words, or word beginnings written with a final ``*``, and what a hit of each counts (else 1). A beginning
+    must match exactly; a word of FUZZY letters or more also matches with one letter changed, added or left out, unless
+    it is among ``strict``. States are made when a word first needs them, so that a large lexicon costs what its texts use.
     """
 
     def __init__(self, terms, strict=(), fuzzy=FUZZY):
         self.terms = sorted(terms)
         self.worth = np.array([terms[t] if isinstance(terms, dict) else 1.0 for t in self.terms])
-        may_fail = {t for t in self.terms if len(t) >= fuzzy and t not in strict}
-        children, ends, stems, may_err = [{}], {}, {}, {}
+        may_fail = {t for t in self.terms if not t.endswith("*") and len(t) >= fuzzy and t not in strict}
+        # Of every trie node: its children, the term that ends there, the beginning, and whether edits lead on from it.
+        self.children, self.ends, self.stems, self.may_err = [{}], {}, {}, set()
         for i, term in enumerate(self.terms):
             word, node = term.removesuffix("*"), 0
             path = [0]
             for letter in word:
-                if letter not in children[node]:
-                    children.append({})
-                    children[node][letter] = len(children) - 1
-                node = children[node][letter]
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                node = self.children[node][letter]
                 path.append(node)
-            if term.endswith("*"):
-                stems[node] = i
-            else:
-                ends[node] = i
-                if word in may_fail:
-                    may_err.update(dict.fromkeys(path, True))
-        fuzzy_end = {n for n, i in ends.items() if self.terms[i] in may_fail}
-        letters = sorted({c for term in self.terms for c in term.removesuffix("*")})
-        self.letters = {c: k + 1 for k, c in enumerate(letters)}
-
-        def closed(states):
-            """With letters of the term left out; of one node only the fewest edits matter."""
-            least = {}
-            for node, edits in states:
-                if edits < least.get(node, 2):
-                    least[node] = edits
-            for node, edits in list(least.items()):
-                if edits == 0 and may_err.get(node):
-                    for child in children[node].values():
-                        if may_err.get(child):
-                            least.setdefault(child, 1)
-            return frozenset(least.items())
-
-        def step(states, letter):
-            after = []
-            for node, edits in states:
-                child = children[node].get(letter)
-                if child is not None and (edits == 0 or may_err.get(child)):
-                    after.append((child, edits))
-                if edits == 0 and may_err.get(node):
-                    after.append((node, 1))
-                    after += [(c, 1) for c in children[node].values() if may_err.get(c)]
-            return closed(after)
-
-        # State 0 is dead, state 1 the start.
-        number, order, table = {frozenset(): 0}, [frozenset()], []
-        start = closed([(0, 0)])
-        number[start] = 1
-        order.append(start)
-        at = 0
-        while at < len(order):
-            row = []
-            for letter in ["", *letters]:
-                after = step(order[at], letter)
-                if after not in number:
-                    number[after] = len(order)
-                    order.append(after)
-                row.append(number[after])
-            table.append(row)
-            at += 1
-        self.table = np.array(table, np.int32)
-        # What a word that ends in a state has matched: exact before misspelled; -1 for nothing.
-        self.exact = np.full(len(order), -1, np.int32)
-        self.near = np.full(len(order), -1, np.int32)
-        self.stem = np.full(len(order), -1, np.int32)
-        for i, states in enumerate(order):
-            for node, edits in sorted(states):
-                if node in ends and edits == 0:
-                    self.exact[i] = ends[node]
-                elif node in fuzzy_end and edits == 1:
-                    self.near[i] = max(self.near[i], ends[node])
-                if node in stems and edits == 0:
-                    self.stem[i] = stems[node]
-        self.classes = None
+            (self.stems if term.endswith("*") else self.ends)[node] = i
+            if term in may_fail:
+                self.may_err.update(path)
+        self.fuzzy_end = {n for n, i in self.ends.items() if self.terms[i] in may_fail}
+        self.letters = ["", *sorted({c for term in self.terms for c in term.removesuffix("*") if ord(c) < 0xFFFF})]
+        self.classes = np.zeros(0x10000, np.int32)
+        for k, letter in enumerate(self.letters[1:], 1):
+            self.classes[ord(letter)] = k
+        # By state: where each letter leads (-1: not made yet), and what a word that ends there has matched: exactly,
+        # with one edit, by its beginning; -1 for nothing. State 0 is dead, state 1 the start.
+        self.table = np.full((64, len(self.letters)), -1, np.int32)
+        self.exact, self.near, self.stem = (np.full(64, -1, np.int32) for _ in range(3))
+        self.number, self.order = {}, []
+        self._state(frozenset())
+        self.table[0] = 0
+        self._state(self._closed([(0, 0)]))
+
+    def _closed(self, states):
+        """With letters of the term left out; of one node only the fewest edits matter."""
+        least = {}
+        for node, edits in states:
+            if edits < least.get(node, 2):
+                least[node] = edits
+        for node, edits in list(least.items()):
+            if edits == 0 and node in self.may_err:
+                for child in self.children[node].values():
+                    if child in self.may_err:
+                        least.setdefault(child, 1)
+        return frozenset(least.items())
+
+    def _step(self, states, letter):
+        after = []
+        for node, edits in states:
+            child = self.children[node].get(letter)
+            if child is not None and (edits == 0 or child in self.may_err):
+                after.append((child, edits))
+            if edits == 0 and node in self.may_err:
+                after.append((node, 1))
+                after += [(c, 1) for c in self.children[node].values() if c in self.may_err]
+        return self._closed(after)
+
+    def _state(self, states):
+        """The number of a state set, which is added if it is new."""
+        at = self.number.setdefault(states, len(self.order))
+        if at < len(self.order):
+            return at
+        self.order.append(states)
+        if at == len(self.table):
+            self.table = np.concatenate((self.table, np.full_like(self.table, -1)))
+            self.exact, self.near, self.stem = (
+                np.concatenate((x, np.full_like(x, -1))) for x in (self.exact, self.near, self.stem))
+        for node, edits in sorted(states):
+            if node in self.ends and edits == 0:
+                self.exact[at] = self.ends[node]
+            elif node in self.fuzzy_end and edits == 1:
+                self.near[at] = max(self.near[at], self.ends[node])
+            if node in self.stems and edits == 0:
+                self.stem[at] = self.stems[node]
+        return at
+
+    def _next(self, state, letter):
+        """Where letters lead from states, both as numbers; steps not made yet are made once each."""
+        to = self.table[state, letter]
+        new = to < 0
+        if not new.any():
+            return to
+        width = len(self.letters)
+        for pair in np.unique(state[new].astype(np.int64) * width + letter[new]).tolist():
+            at, k = divmod(pair, width)
+            after = self._state(self._step(self.order[at], self.letters[k]))
+            self.table[at, k] = after
+        return self.table[state, letter]
 
     def match(self, codes, starts, lengths):
         """For the words that match: (word index, term, misspelled). Beginnings win over misspelled whole words."""
-        if self.classes is None:
-            self.classes = np.zeros(0x10000, np.int32)
-            for letter, k in self.letters.items():
-                if ord(letter) < 0x10000:
-                    self.classes[ord(letter)] = k
         term = np.full(len(starts), -1, np.int32)
         wrong = np.zeros(len(starts), bool)
         alive, state, depth = np.arange(len(starts)), np.ones(len(starts), np.int32), 0
         while len(alive):
-            state = self.table[state, self.classes[np.minimum(codes[starts[alive] + depth], 0xFFFF)]]
+            state = self._next(state, self.classes[np.minimum(codes[starts[alive] + depth], 0xFFFF)])
             depth += 1
             stem = self.stem[state]
             found = (stem >= 0) & (term[alive] < 0)
@@ -170,17 +184,41 @@ class Automaton:
         return hit, term[hit], wrong[hit]
 
 
+def _quoted(text, marks):
+    """Spans (from, to) between paired quotation marks of one line; ``marks``: the positions of all marks of a text.
+
+    A mark that nothing on its line closes opens nothing, and a mark that points both ways opens only in front of a
+    word and not behind a letter or digit, so that signs for inches are none.
+    """
+    spans, opened, line = [], {}, 0
+    for at in marks:
+        mark, before = text[at], text[at - 1:at]
+        if text.find("\n", line, at) >= 0:
+            opened.clear()
+        line = at
+        behind = bool(before) and not before.isspace()
+        ends = [o for o in CLOSES[mark] if o in opened] if mark not in BOTH_WAYS or behind else []
+        if ends:
+            start = max(opened[o] for o in ends)
+            spans.append((start, at))
+            opened = {o: p for o, p in opened.items() if p < start}
+        elif mark not in BOTH_WAYS or (not before.isalnum() and text[at + 1:at + 2].strip()):
+            opened[mark] = at
+    return spans
+
+
 def _context(text, codes, starts, lengths, hits, wrong, worth):
-    """What each hit counts, from its term, its spelling and the text before it."""
-    marks = np.isin(codes, [ord(q) for q in QUOTES])
-    before = np.concatenate(([0], np.cumsum(marks)))
-    lines = np.concatenate(([0], np.flatnonzero(codes == 10) + 1))
+    """What each hit counts, from its term, its spelling and the text around it."""
+    marks = np.flatnonzero(np.isin(codes, [ord(q) for q in CLOSES])).tolist()
+    inside = np.zeros(len(codes) + 1, np.int32)
+    for start, end in _quoted(text, marks):
+        inside[start] += 1
+        inside[end] -= 1
+    inside = np.cumsum(inside)
     out = []
     for hit, bad, full in zip(hits.tolist(), wrong.tolist(), worth.tolist()):
-        at = starts[hit]
-        line = lines[np.searchsorted(lines, at, "right") - 1]
         weight = MISSPELLED * full if bad else full
-        if (before[at] - before[line]) % 2:
+        if inside[starts[hit]]:
             weight *= QUOTED
         elif any(text[starts[w]:starts[w] + lengths[w]] in REPORTING for w in range(max(0, hit - NEAR), hit)):
             weight *= REPORTED
@@ -221,33 +259,88 @@ def _terms(docs):
     return docs.mapInArrow(run, "term string, toxic int, n long").groupBy("term", "toxic").agg(F.sum("n").alias("n"))
 
 
-def lexicon(rows, most=TERMS):
+def _once(rows):
+    """One text of each label and group of near copies: what a thousand copies say is said once.
+
+    Texts are linked by equal bands of smallest shingle hashes; a text follows the smallest of its bands, twice. This
+    only weighs evidence: no text is left out of a score or of the fit of the curve.
+    """
+    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
+    last = F.greatest(F.size("words") - SHINGLE + 1, F.lit(1))
+    marks = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.array_join(F.slice("words", i, SHINGLE), " ")))
+    least = lambda k: F.array_min(F.transform("marks", lambda m: F.xxhash64(F.lit(k), m)))
+    bands = F.array(*[F.xxhash64(F.lit(k), least(2 * k), least(2 * k + 1), "toxic") for k in range(BANDS)])
+    texts = rows.dropDuplicates(["toxic", "text"]).withColumn("id", F.xxhash64("toxic", "text"))
+    links = written(texts.withColumn("words", words).withColumn("marks", marks).select("id", F.explode(bands).alias("band")),
+                    "toxicity-copies")
+    heads = links.groupBy("band").agg(F.min("id").alias("head"))
+    for _ in range(2):
+        first = links.join(heads, "band").groupBy("id").agg(F.min("head").alias("head"))
+        heads = links.join(first, "id").groupBy("band").agg(F.min("head").alias("head"))
+    return written(texts.join(first.where("id = head"), "id", "left_semi").select("toxic", "text"), "toxicity-once")
+
+
+def _surprise(a, b, share):
+    """Columns: how unlikely it is that ``a`` or more of a + b texts are toxic where a ``share`` is, as -log of a bound.
+
+    The bound is Chernoff's: (a + b) times the divergence of the share found from the share of all.
+    """
+    n = a + b
+    rest = F.when(b > 0, b * F.log(b / (n * F.lit(1 - share)))).otherwise(0.0)
+    return F.when(a > n * share, a * F.log(a / (n * F.lit(share))) + rest).otherwise(0.0)
+
+
+def _threshold(sizes, share):
+    """The least surprise that a term needs, from the numbers of terms (``count``) in ``n`` texts.
+
+    Tarone's correction: a term in so few texts that it stays below the threshold even if all of them are toxic is
+    never taken, so it is not among the terms tried.
+    """
+    above, least = 0, 0.0
+    for r in sorted(sizes, key=lambda r: -r.n):
+        reach, tried = r.n * -math.log(share), above + r["count"]
+        if reach < math.log(tried / CHANCE):
+            return max(least, math.nextafter(reach, math.inf))
+        above, least = tried, math.log(tried / CHANCE)
+    return least
+
+
+def lexicon(rows):
     """Terms for the automaton and what a hit of each counts, from labelled ``rows`` (toxic, text).
 
-    A beginning stands for the words that share it. Of terms that begin alike the one with the strongest evidence, its
-    toxic documents times the logarithm of the ratio, is taken; of equals the longer one.
+    Near copies of one label count once. A term is taken if its ratio is RATIO or more and its bound of chance, times the
+    number of terms that could reach it, is at most CHANCE: frequency does not matter otherwise, and nothing limits how
+    many are taken. Beginnings are taken by evidence (toxic texts times the logarithm of the ratio, of
+    equals the longer term first), none within another and none that a stronger word begins with; whole words of FUZZY
+    letters or more stay beside a beginning of theirs, for their misspellings.
     """
+    rows = _once(rows)
     of_label = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = of_label.get(1, 0), of_label.get(0, 0)
     if not toxic:
         return {}
-    counts = _terms(rows).groupBy("term").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
+    a, b = (F.sum(F.when(F.col("toxic") == label, F.col("n")).otherwise(0)) for label in (1, 0))
+    counts = written(_terms(rows).groupBy("term").agg(a.alias("a"), b.alias("b")).where(F.col("a") + F.col("b") >= SUPPORT),
+                     "toxicity-terms")
+    share = toxic / (toxic + clean)
+    bound = _threshold(counts.groupBy((F.col("a") + F.col("b")).alias("n")).count().collect(), share)
     ratio = (F.col("a") / toxic) / ((F.col("b") + 0.5) / max(clean, 1))
-    strong = counts.withColumn("ratio", ratio).where((F.col("a") >= max(SUPPORT, SHARE * toxic)) & (ratio >= RATIO))
-    strong = strong.withColumn("evidence", F.col("a") * F.log("ratio"))
-    found = strong.orderBy(F.desc("evidence"), F.desc(F.length("term")), "term").limit(20 * most).collect()
+    strong = counts.withColumn("ratio", ratio).where((F.col("a") >= SUPPORT) & (ratio >= RATIO))
+    # Without a clean text nothing can be told by chance; the ratio alone decides then.
+    if clean:
+        strong = strong.where(_surprise(F.col("a"), F.col("b"), share) >= bound)
+    found = strong.withColumn("evidence", F.col("a") * F.log("ratio")).collect()
     found.sort(key=lambda r: (-r.evidence, -len(r.term.removesuffix("*")), r.term.endswith("*"), r.term))
     chosen, stems, begun = {}, set(), set()
     for r in found:
-        word = r.term.removesuffix("*")
+        word, whole = r.term.removesuffix("*"), not r.term.endswith("*")
         beginnings = {word[:n] for n in range(1, len(word) + 1)}
-        if len(chosen) < most and not stems & beginnings and not (r.term.endswith("*") and word in begun):
-            chosen[r.term] = min(1.0, math.log(r.ratio) / math.log(FULL))
-            begun |= beginnings
-            if r.term.endswith("*"):
-                stems.add(word)
+        if stems & beginnings and not (whole and len(word) >= FUZZY) or not whole and word in begun:
+            continue
+        chosen[r.term] = min(1.0, math.log(r.ratio) / math.log(FULL))
+        begun |= beginnings
+        if not whole:
+            stems.add(word)
     return chosen
 
 
@@ -287,7 +380,7 @@ class Model:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
 
 
-def train(docs, labels, limit=TRAINING, most=TERMS):
+def train(docs, labels, limit=TRAINING):
     """A model from the texts whose doc_id has a label ``toxic`` of 0 or 1. At most about ``limit`` of them are read.
 
     Without a toxic label the lexicon is empty and every score is next to 0.
@@ -300,7 +393,7 @@ def train(docs, labels, limit=TRAINING, most=TERMS):
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(marked), "doc_id").select(
         F.col("toxic").cast("int").alias("toxic"), "text")
     rows = written(rows, "toxicity-sample")
-    terms = lexicon(rows, most)
+    terms = lexicon(rows)
     if not terms:
         return Model(Automaton({}), [0.0, 0.0], -60.0)
     automaton = Automaton(terms)
@@ -323,7 +416,8 @@ def train(docs, labels, limit=TRAINING, most=TERMS):
 def scored(docs, model, *keep, threshold=0.7):
     """doc_id, the ``keep`` columns, score (0 to 1) and predicted (1 from ``threshold`` on) of every whole text.
 
-    Null and empty texts have no hits. Only the text is read for a score; repeated rows are scored one by one.
+    Null and empty texts have no hits. Only the text is read for a score, to its end however long; repeated rows are
+    scored one by one, and further columns, of whatever name, are not read. An empty table gives an empty table.
     """
 
     def run(batches):

@@ -119,3 +119,140 @@ def test_edges(spark, tables):
     assert M.train(docs.where("false"), labels).terms == []
     nulls = labels.unionByName(spark.createDataFrame([(None, 1), (1, None), (7, 5)], labels.schema))
     assert M.train(docs, nulls).terms == model.terms
+
+
+def hits(terms, text):
+    lowered = text.lower()
+    automaton = M.Automaton(terms)
+    codes, starts, lengths = M._words(lowered)
+    hit, term, wrong = automaton.match(codes, starts, lengths)
+    return M._context(lowered, codes, starts, lengths, hit, wrong, automaton.worth[term])
+
+
+def test_signs_beside_words():
+    assert hits(["scum", "idiot"], "scum😀 idiot😀😀 you 😀scum") == [1.0] * 3
+    assert hits(["scum"], "𝔄scum scum𝔄") == []  # letters beyond the basic plane are letters
+
+
+def test_quotations_are_pairs():
+    full, quoted = [1.0, 1.0], [M.QUOTED, M.QUOTED]
+    terms = ["idiot", "scum"]
+    for text in ('5" idiot scum', 'a 5" nail, you idiot, 6" scum', '"idiot scum', "“ idiot scum", "idiot » scum",
+                 'x "y\nidiot scum" z', '"" idiot scum', 'idiot scum "'):
+        assert hits(terms, text) == full, text
+    for text in ('"idiot scum"', 'then ("idiot scum").', "„idiot scum“ x", "„idiot scum” x", "“idiot scum” x",
+                 "« idiot scum »", "»idiot scum«", "”idiot scum”", '"a “b” idiot scum"', '5" and "idiot scum"'):
+        assert hits(terms, text) == quoted, text
+    assert hits(terms, 'a "b" idiot "c" scum') == full
+    assert hits(terms, '"idiot" scum') == [M.QUOTED, 1.0]
+    assert len(hits(terms, '"a ' * 100_000 + "idiot")) == 1  # many open marks cost no more than few
+
+
+def made(spark, texts):
+    docs = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, toxic int")
+    return docs.select("doc_id", "text"), docs.select("doc_id", "toxic")
+
+
+def spelled(rng, letters="aeioubdfgklmnprst", n=8):
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+def test_many_rare_terms(spark):
+    """Each of 300 slurs stands in about 15 of 1,500 toxic texts; chance finds no term among the clean words."""
+    rng = random.Random(17)
+    slurs = sorted({spelled(rng, "bcdfghjklmnpqrtvwxz") for _ in range(300)})
+    words = sorted({spelled(rng) for _ in range(4000)})
+    texts = [(" ".join(rng.sample(words, 30) + (rng.sample(slurs, 3) if i < 1500 else [])), int(i < 1500))
+             for i in range(12_000)]
+    docs, labels = made(spark, texts)
+    model = M.train(docs, labels)
+    assert sum(s in model.terms for s in slurs) >= 0.98 * len(slurs)
+    assert not set(model.terms) & set(words)
+    clean = " ".join(words[:30])
+    known = [s for s in slurs if s in model.terms]
+    assert min(model.score(f"{clean} {a} {b} {clean}") for a, b in zip(known, reversed(known))) >= 0.7
+    assert model.score(clean) < 0.1
+
+
+def test_repeated_texts_are_one(spark):
+    """A word in one toxic text, a hundred times over, is no term; one in many texts is."""
+    rng = random.Random(4)
+    words = [spelled(rng) for _ in range(500)]
+    once = " ".join(rng.sample(words, 40)) + " solitary"
+    near = once.split()
+    texts = [(once, 1)] * 100 + [(" ".join([*near[:i], "changed", *near[i + 1:]]), 1) for i in range(40)]
+    texts += [(" ".join(rng.sample(words, 40)) + " awfulness", 1) for _ in range(30)]
+    texts += [(" ".join(rng.sample(words, 40)), 0) for _ in range(400)]
+    docs, labels = made(spark, texts)
+    terms = M.train(docs, labels).terms
+    assert "awfulness" in terms and not {"solitary", *near} & set(terms)
+    assert {t.removesuffix("*") for t in terms} <= {"awfulness"[:n] for n in (8, 9)}
+
+
+def test_misspelled_inflections(spark):
+    """A beginning is taken for its inflections, and their misspellings are found all the same."""
+    rng = random.Random(8)
+    words = [spelled(rng) for _ in range(500)]
+    forms = ["idiot", "idiots", "idiotic", "idiocy"]
+    texts = [(" ".join(rng.sample(words, 40)) + " " + forms[i % 4], 1) for i in range(80)]
+    texts += [(" ".join(rng.sample(words, 40)), 0) for _ in range(400)]
+    model = M.train(*made(spark, texts))
+    assert {"idio*", "idiot", "idiots", "idiotic", "idiocy"} <= set(model.terms)
+    for word in ("idiots", "idiotisch", "1diots", "idxots", "idiottic", "idocy"):
+        assert M.evidence(model.automaton, f"you {word} there")[2] == 1, word
+    for word in ("radio", "ideology", "video", "idxo"):
+        assert M.evidence(model.automaton, f"you {word} there")[2] == 0, word
+
+
+def test_lexicon_and_scores_by_brute_force(spark, tables):
+    """Terms counted one by one, hits by edit distance to every term, windows by trying all of them."""
+    docs, labels, _ = tables
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    with_stem = {i: t.replace("garbage", "garbageman") if i % 4 == 0 else t for i, t in texts.items()}
+    docs = spark.createDataFrame(list(with_stem.items()), "doc_id long, text string")
+    model = M.train(docs, labels)
+
+    stands = {}
+    for i, text in with_stem.items():
+        for w in set(text.split()):
+            for t in {w} | {w[:n] + "*" for n in M.STEMS if n < len(w)}:
+                stands.setdefault(t, set()).add(i)
+    stands = {t: ids for t, ids in stands.items() if len(ids) >= M.SUPPORT}
+    toxic = sum(truth.values())
+    share = toxic / len(truth)
+    strong = {}
+    reach = np.array([len(ids) for ids in stands.values()]) * -np.log(share)
+    least = min(x for x in [*np.log(np.arange(1, len(reach) + 1) / M.CHANCE), *np.nextafter(reach, np.inf)]
+                if (reach >= x).sum() * np.exp(-x) <= M.CHANCE * (1 + 1e-9))
+    for t, ids in stands.items():
+        a = sum(truth[i] for i in ids)
+        b, n = len(ids) - a, len(ids)
+        ratio = (a / toxic) / ((b + 0.5) / (len(truth) - toxic))
+        if a >= M.SUPPORT and ratio >= M.RATIO:
+            bound = (a / n / share) ** -a * (b / n / (1 - share)) ** -b if b else share ** a
+            if -np.log(bound) >= least:
+                strong[t] = a * np.log(ratio)
+    assert set(model.terms) <= set(strong)
+    for t in strong:  # what is not taken stands beside a term that begins alike and is at least as strong
+        word = t.removesuffix("*")
+        assert t in model.terms or any(
+            strong[u] >= strong[t] - 1e-9 and (u.startswith(word) or u.endswith("*") and word.startswith(u[:-1]))
+            for u in model.terms), t
+
+    worth = dict(zip(model.terms, model.automaton.worth.tolist()))
+    rng = random.Random(2)
+    strange = ["stup1d", "stupidd", "moronicx", "garbag", "garbagemen", "garbagetruck", "mronic", "xstupidx"]
+    for text in [*list(with_stem.values())[:40], *(" ".join(rng.choices(strange, k=9)) for _ in range(20))]:
+        got = []
+        for w in text.split():
+            stems = [t for t in worth if t.endswith("*") and w.startswith(t[:-1])]
+            near = [t for t in worth if not t.endswith("*") and len(t) >= M.FUZZY and distance(w, t) == 1]
+            got.append([worth[w]] if w in worth else [worth[t] for t in stems]
+                       or [M.MISSPELLED * worth[t] for t in near] or [0.0])
+        if any(len(set(g)) > 1 for g in got):
+            continue  # two terms one edit away: either is right
+        flat = [g[0] for g in got]
+        total, peak, _ = M.evidence(model.automaton, text)
+        assert total == pytest.approx(sum(flat))
+        assert peak == pytest.approx(max(sum(flat[i:i + M.WINDOW]) for i in range(len(flat))))
