@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import vectors as V
+from bandlore.operators.forests import BoundedForest
 from bandlore.operators.neighbors import KnnClassifier
 from bandlore.operators.sampling import class_counts, order_key, stratified_folds
 
@@ -37,13 +38,15 @@ def logistic(n_rows, c=1.0, features="scaled", label="y"):
     )
 
 
-def forest(trees=100, depth=None, min_leaf=1, subset="sqrt", seed=42, features="scaled", label="y"):
+def forest(trees=100, depth=None, min_leaf=1, subset="sqrt", seed=42, features="scaled", label="y", min_split=2,
+           bootstrap=True):
     """Gini forest. No depth limit means the deepest trees Spark builds, 30 levels."""
-    return RandomForestClassifier(
+    settings = dict(
         featuresCol=features, labelCol=label, numTrees=trees, impurity="gini",
         maxDepth=30 if depth is None else depth, minInstancesPerNode=min_leaf,
-        featureSubsetStrategy=subset, seed=seed, maxMemoryInMB=1024,
+        featureSubsetStrategy=subset, seed=seed, maxMemoryInMB=1024, bootstrap=bootstrap,
     )
+    return RandomForestClassifier(**settings) if min_split <= 2 else BoundedForest(min_split, **settings)
 
 
 def perceptron(layers=(K.N_BANDS, 64, 32, 2), iterations=600, seed=42, features="scaled", label="y"):

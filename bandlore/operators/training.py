@@ -1,13 +1,16 @@
 """Cross-validation, grid search, learning curves and the compare-and-pick job."""
 
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from bandlore.operators import evaluate as E
 from bandlore.operators import models as M
+from bandlore.operators.forests import with_minimum_to_split
 from bandlore.operators.neighbors import KnnClassifier, nearest_neighbors, vote_all
 from bandlore.operators.sampling import class_counts, learning_prefixes
 
@@ -50,7 +53,7 @@ def grids(size="coarse"):
     """Parameter values searched per model.
 
     ``full`` is the whole search: 30 SVM, 128 forest, 60 neighbour and 16 logistic settings
-    (one solver stands for both names of the logistic solver, so 8 distinct fits).
+    (one solver stands for both names of the logistic solver, so 8 distinct fits; 64 grown forests serve the 128).
     """
     if size == "full":
         return {
@@ -93,13 +96,10 @@ def settings(grid):
 
 
 def fits(name, grid):
-    """The settings that are fitted: those of the grid, once where they differ in what Spark cannot set.
-
-    A forest's minimum to split is none of its parameters, and both names of the logistic solver are one.
-    """
+    """The settings that are fitted: those of the grid, both names of the logistic solver as one."""
     out = []
     for s in settings(grid):
-        key = {k: ("lbfgs" if k == "solver" else v) for k, v in s.items() if k != "min_split"}
+        key = {k: ("lbfgs" if k == "solver" else v) for k, v in s.items()}
         if key not in out:
             out.append(key)
     return out
@@ -114,31 +114,21 @@ def search(train, name, grid, k=5, parallelism=2, seed=42):
         return _search_neighbors(train, grid, k)
     if name == M.SVM:
         return _search_svm(train, grid)
+    if name == M.FOREST:
+        return _search_forest(train, grid, parallelism, seed)
     n = train.count()
-    if name == M.LOGISTIC:
-        estimator = M.logistic(n)
-        chosen = fits(name, grid)
-        values = [s["c"] for s in chosen]
-        # folds hold n (k-1)/k rows; the penalty follows the rows of the fit
-        share = (k - 1) / k
-        params = ParamGridBuilder().addGrid(estimator.regParam, [1.0 / (c * n * share) for c in values]).build()
-        refit = lambda best: M.logistic(n, best["c"])
-    else:
-        estimator = M.forest(seed=seed)
-        chosen, params = fits(name, grid), []
-        for s in chosen:
-            params.append({
-                estimator.numTrees: s["trees"], estimator.maxDepth: 30 if s["depth"] is None else s["depth"],
-                estimator.minInstancesPerNode: s["min_leaf"], estimator.featureSubsetStrategy: s["subset"],
-            })
-        refit = lambda best: M.forest(seed=seed, **best)
+    estimator = M.logistic(n)
+    chosen = fits(name, grid)
+    # folds hold n (k-1)/k rows; the penalty follows the rows of the fit
+    share = (k - 1) / k
+    params = ParamGridBuilder().addGrid(estimator.regParam, [1.0 / (s["c"] * n * share) for s in chosen]).build()
     f1 = MulticlassClassificationEvaluator(labelCol="y", metricName="fMeasureByLabel", metricLabel=1.0)
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=params, evaluator=f1, numFolds=k, foldCol="fold",
         parallelism=parallelism, collectSubModels=False,
     ).fit(train)
     best = max(range(len(chosen)), key=lambda i: (cv.avgMetrics[i], -i))
-    return chosen[best], float(cv.avgMetrics[best]), refit(chosen[best]).fit(train)
+    return chosen[best], float(cv.avgMetrics[best]), M.logistic(n, chosen[best]["c"]).fit(train)
 
 
 def _best(rows):
@@ -161,6 +151,32 @@ def _search_svm(train, grid):
     return best[0], best[1], M.KernelSvm(**best[0]).fit(train)
 
 
+def _search_forest(train, grid, parallelism, seed):
+    """A forest per fold serves every minimum to split: its trees are cut, and all cuts are judged together."""
+    listed = settings(grid)
+    grown = {}
+    for i, s in enumerate(listed):
+        grown.setdefault(tuple((k, v) for k, v in s.items() if k != "min_split"), []).append(i)
+    spark, folds = train.sparkSession, list(class_counts(train, "fold"))
+
+    def judge(key):
+        parts = None
+        for f in folds:
+            whole = M.forest(seed=seed, **dict(key)).fit(train.where(F.col("fold") != f))
+            held = train.where(F.col("fold") == f)
+            for i in grown[key]:
+                cut = with_minimum_to_split(spark, whole, listed[i].get("min_split", 2))
+                part = M.with_scores(cut, held, str(i))
+                parts = part if parts is None else parts.unionByName(part)
+        return _mean_fold_f1(parts)
+
+    with ThreadPool(parallelism) as pool:
+        found = pool.map(inheritable_thread_target(spark)(judge), list(grown))
+    scores = {int(i): f1 for r in found for i, f1 in r.items()}
+    best = _best([(s, scores[i], i) for i, s in enumerate(listed)])
+    return best[0], best[1], M.forest(seed=seed, **best[0]).fit(train)
+
+
 def _search_neighbors(train, grid, k):
     """One neighbour join per (metric, fold), and one pass over it, serve every k and both votes."""
     largest, counts = max(grid["k"]), None

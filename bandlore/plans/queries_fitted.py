@@ -11,6 +11,7 @@ from bandlore.operators import linear as L
 from bandlore.operators import models as M
 from bandlore.operators import profile as P
 from bandlore.operators import training as T
+from bandlore.operators.forests import node_table, with_minimum_to_split
 from bandlore.plans.modelling import run_explanation
 from bandlore.plans.queries_models import _inputs, _prepared
 from bandlore.plans.queries_profile import _FOLDS
@@ -128,7 +129,7 @@ def _(t):
 
 
 @query("j5_distinct_fits", f"""WITH {SPLIT} SELECT model, listed, fitted, listed*rows AS row_scores FROM (VALUES ('{M.SVM}', 30, 30),
-('{M.FOREST}', 128, 64), ('{M.NEIGHBORS}', 60, 60), ('{M.LOGISTIC}', 16, 8)) v(model, listed, fitted),
+('{M.FOREST}', 128, 128), ('{M.NEIGHBORS}', 60, 60), ('{M.LOGISTIC}', 16, 8)) v(model, listed, fitted),
 (SELECT count(*) AS rows FROM sp WHERE split = 'train')""")
 def _(t):
     """Settings listed per model, settings that are fitted, and the held-out scores the whole search makes."""
@@ -166,6 +167,25 @@ def _(t):
                        F.abs(F.round(F.col("prob") - total / len(model.trees), 6)).alias("gap"))
 
 
+@query("m7_minimum_to_split", f"""WITH {SPLIT} SELECT bound, count(*) AS leaf_rows, count(*) FILTER (WHERE y = 1) AS positives,
+0::BIGINT AS small_splits FROM sp, (VALUES (2), (5), (40), (100000)) b(bound) WHERE split = 'train' GROUP BY bound""")
+def _(t):
+    """Of one tree over all training rows, cut at several bounds: rows and positives of its leaves, splits below the bound."""
+    train, _ = _prepared(t)
+    whole = M.forest(trees=1, subset="all", bootstrap=False).fit(train)
+    parts = None
+    for bound in (2, 5, 40, 100_000):
+        path = scratch_path(t.spark, "cut")
+        with_minimum_to_split(t.spark, whole, bound).write().save(path)
+        nodes, leaf = node_table(t.spark, path), F.col("leftChild") < 0
+        part = nodes.agg(F.sum(F.when(leaf, F.col("rawCount"))).alias("leaf_rows"),
+                         F.sum(F.when(leaf, F.col("impurityStats")[1])).cast("long").alias("positives"),
+                         F.sum((~leaf & (F.col("rawCount") < bound)).cast("long")).alias("small_splits"))
+        part = part.select(F.lit(bound).alias("bound"), "*")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 @query("x1_importance_total", "SELECT 60 AS bands, 1.0::DOUBLE AS total, true AS falling")
 def _(t):
     """Importances of the full forest: one per band, none negative, together 1, listed from high to low."""

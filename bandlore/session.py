@@ -54,6 +54,12 @@ def scratch_path(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def removed(spark, path):
+    """Delete a path below the shared folder, whatever file system that is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stable(df):
     """Cut the lineage of ``df`` into the shared folder (survives executor loss)."""
     spark = df.sparkSession

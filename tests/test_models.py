@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from bandlore.operators import ensemble as EN
 from bandlore.operators import evaluate as E
 from bandlore.operators import explain as X
+from bandlore.operators import forests as FO
 from bandlore.operators import models as M
 from bandlore.operators import neighbors as N
 from bandlore.operators import training as T
 from bandlore.plans import modelling as J
 from bandlore.plans.preprocess import SignalPreprocessor
+from bandlore.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -128,7 +130,73 @@ def test_search(sides):
     best, f1, model = T.search(folded, M.SVM, {"c": [1.0], "gamma": ["scale"]}, 5)
     assert best == {"c": 1.0, "gamma": "scale"} and f1 > 0.6
     best, f1, model = T.search(folded, M.FOREST, {"trees": [10], "depth": [3], "min_split": [2, 5], "min_leaf": [1], "subset": ["sqrt"]}, 5)
-    assert "min_split" not in best and _auc(model, test) > 0.6
+    assert best["min_split"] in (2, 5) and _auc(model, test) > 0.6
+    assert len(T.fits(M.FOREST, T.grids("full")[M.FOREST])) == 128
+
+
+def _leaf(nodes, x, bound):
+    """The first node on the way of ``x`` that has no split or fewer rows than ``bound``."""
+    at = 0
+    while nodes[at].leftChild >= 0 and nodes[at].rawCount >= bound:
+        goes = x[nodes[at].split.featureIndex] <= nodes[at].split.leftCategoriesOrThreshold[0]
+        at = nodes[at].leftChild if goes else nodes[at].rightChild
+    return nodes[at]
+
+
+def test_minimum_to_split_walks_the_whole_forest(sides):
+    """A row's probability in the cut forest is that of the walks down the whole forest which stop at small nodes."""
+    folded, test = sides
+    spark = folded.sparkSession
+    whole = M.forest(trees=7).fit(folded)
+    path = scratch_path(spark, "whole")
+    whole.write().save(path)
+    trees = {}
+    for r in FO.node_table(spark, path).collect():
+        trees.setdefault(r.treeID, {})[r.id] = r
+    for bound in (5, 60, 10_000):
+        cut = FO.with_minimum_to_split(spark, whole, bound)
+        assert cut.totalNumNodes < whole.totalNumNodes and cut.getNumTrees == 7
+        for r in M.with_scores(cut, test).select("scaled", "prob").limit(60).collect():
+            shares = [s[1] / sum(s) for s in (_leaf(t, r.scaled, bound).impurityStats for t in trees.values())]
+            assert r.prob == pytest.approx(sum(shares) / 7, abs=1e-9)
+    fitted = M.forest(trees=7, min_split=60).fit(folded)
+    assert fitted.totalNumNodes == FO.with_minimum_to_split(spark, whole, 60).totalNumNodes
+
+
+def _grown(rows, bound):
+    """Label by (x0, x1) of the greedy Gini tree over ``rows`` (x0, x1, y); None where the best split is not unique."""
+    def gini(part):
+        p = sum(y for *_, y in part) / len(part)
+        return 2 * p * (1 - p) * len(part)
+
+    tried = []
+    for axis in (0, 1):
+        for value in sorted({r[axis] for r in rows})[:-1]:
+            sides = [r for r in rows if r[axis] <= value], [r for r in rows if r[axis] > value]
+            tried.append((round(gini(rows) - sum(map(gini, sides)), 9), sides))
+    tried.sort(key=lambda x: -x[0])
+    if len(rows) < bound or not tried or tried[0][0] <= 0:
+        label = float(2 * sum(y for *_, y in rows) > len(rows))
+        return {r[:2]: label for r in rows}
+    if len(tried) > 1 and tried[0][0] == tried[1][0]:
+        return {r[:2]: None for r in rows}
+    return _grown(tried[0][1][0], bound) | _grown(tried[0][1][1], bound)
+
+
+@pytest.mark.parametrize("bound", [2, 6, 15, 31])
+def test_small_trees_agree_with_a_brute_force_split(spark, bound):
+    import random
+
+    rng = random.Random(5)
+    rows = [(rng.randrange(12), rng.randrange(12)) for _ in range(60)]
+    rows = [(a, b, int((a > 5) != (b > 7) if rng.random() < 0.8 else rng.random() < 0.5)) for a, b in rows]
+    table = spark.createDataFrame([([float(a), float(b)], float(y)) for a, b, y in rows], "v array<double>, y double")
+    table = M.ArrayToVector("v", "scaled").transform(table)
+    model = M.forest(trees=1, subset="all", bootstrap=False, min_split=bound).fit(table)
+    got = {tuple(map(int, r.v)): r.prediction for r in model.transform(table).collect()}
+    want = _grown(rows, bound)
+    known = {x: label for x, label in want.items() if label is not None}
+    assert len(known) >= 0.6 * len(want) and {x: got[x] for x in known} == known
 
 
 def test_learning_curve(sides):
