@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from bandlore import constants as K
 from bandlore.functions import vectors as V
+from bandlore.operators.deep_forests import DeepForestModel
 from bandlore.operators.forests import BoundedForest
 from bandlore.operators.neighbors import KnnClassifier
 from bandlore.operators.sampling import class_counts, order_key, stratified_folds
@@ -271,6 +272,9 @@ def score_models(df, models):
 
 def tree_importance(model, k=None):
     """(band, importance) of a fitted forest, highest first."""
+    if isinstance(model, DeepForestModel):
+        out = model.importances().orderBy(F.desc("importance"), "band")
+        return out.limit(k) if k else out
     last = model.stages[-1] if isinstance(model, PipelineModel) else model
     rows = [(i + 1, float(v)) for i, v in enumerate(last.featureImportances.toArray())]
     out = _spark().createDataFrame(rows, "band int, importance double").orderBy(F.desc("importance"), "band")
