@@ -26,8 +26,9 @@ from bandlore.session import stable
 
 METRICS = ("euclidean", "manhattan")
 WEIGHTS = ("uniform", "distance")
-#: Fewest and most blocks of the exact join; between, one for TRAIN_BLOCK rows.
-N_PIVOTS, MOST_PIVOTS = 32, 1_024
+#: Fewest and most blocks of the exact join; between, one for TRAIN_BLOCK rows. Every row of a query is sent to each block
+#: it asks, so small pieces are merged until no more than MOST_PIECES are made or they have the sizes below.
+N_PIVOTS, MOST_PIVOTS, MOST_PIECES = 32, 1_024, 512
 TRAIN_BLOCK = 20_000
 QUERY_BLOCK = 20_000
 #: Tables of the approximate join, buckets probed beside the own in each, rows of a bucket, rows sampled for the cuts.
@@ -48,6 +49,23 @@ def _distances(a, b, metric):
     return out
 
 
+def _city(a, columns, rows=16, width=4_096):
+    """City-block distances between rows and a transposed block in its own precision, in pieces that stay in the cache."""
+    out = np.empty((len(a), columns.shape[1]), columns.dtype)
+    a = a.astype(columns.dtype)
+    for j in range(0, out.shape[1], width):
+        part = np.ascontiguousarray(columns[:, j:j + width])
+        for i in range(0, len(a), rows):
+            total = np.zeros((min(rows, len(a) - i), part.shape[1]), columns.dtype)
+            diff = np.empty_like(total)
+            for x, values in zip(a[i:i + rows].T, part):
+                np.subtract(x[:, None], values, out=diff)
+                np.abs(diff, out=diff)
+                total += diff
+            out[i:i + rows, j:j + width] = total
+    return out
+
+
 def _pair_distances(a, b, i, j, metric, step=200_000):
     """Distances of the listed row pairs, in bounded pieces."""
     out = np.empty(len(i))
@@ -62,12 +80,15 @@ def _pair_distances(a, b, i, j, metric, step=200_000):
 def _block_top_k(q, t, ids, k, metric, step=256):
     """(query row, training row, distance) of the k nearest rows of the block per query.
 
-    A matrix product screens the euclidean case. Its rounding error is far below the slack,
-    so every row that could be among the k nearest is measured again exactly.
+    A matrix product screens the euclidean case, sums in single precision the other. Their rounding error is below the
+    slack, so every row that could be among the k nearest is measured again exactly.
     """
     k = min(k, len(t))
     t_sq = np.einsum("td,td->t", t, t)
     found = []
+    size = np.abs(t).sum(axis=1).max()
+    light = max(np.abs(q).max(initial=0.0), np.abs(t).max(initial=0.0)) < 1e30
+    columns = np.ascontiguousarray(t.T, dtype=np.float32 if light else float)
     for s in range(0, len(q), step):
         part = q[s:s + step]
         if metric == "euclidean":
@@ -75,8 +96,9 @@ def _block_top_k(q, t, ids, k, metric, step=256):
             rough = q_sq[:, None] + t_sq[None, :] - 2.0 * (part @ t.T)
             slack = 1e-9 * (q_sq + t_sq.max())
         else:
-            rough = _distances(part, t, metric)
-            slack = 1e-9 * (1.0 + rough.max(axis=1))
+            rough = _city(part, columns)
+            eps = np.finfo(columns.dtype).eps
+            slack = 4 * eps * len(columns) * (np.abs(part).sum(axis=1) + size) + 1e-36
         kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
         i, j = np.nonzero(rough <= (kth + slack)[:, None])
         d = _pair_distances(part, t, i, j, metric)
@@ -112,7 +134,7 @@ class Blocks:
         if metric not in METRICS:
             raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
         if n_pivots is None:
-            n_pivots = min(MOST_PIVOTS, max(N_PIVOTS, train.count() // train_block))
+            n_pivots = min(MOST_PIVOTS, max(N_PIVOTS, train.count() // max(train_block, TRAIN_BLOCK)))
         sample = train.select("id", "features").orderBy(order_key(7), "id").limit(n_pivots).collect()
         if not sample:
             raise ValueError("no training rows")
@@ -177,7 +199,8 @@ class Blocks:
         """The k nearest rows of every piece of the cells asked: ``asked`` has id, features, cell."""
         wanted = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
         sizes = dict(zip(self.cells.tolist(), self.sizes.tolist()))
-        pieces = [(c, -(-sizes[c] // self.train_block), -(-n // query_block)) for c, n in sorted(wanted.items())]
+        train_block, query_block = _block_sizes(sizes, wanted, self.train_block, query_block)
+        pieces = [(c, -(-sizes[c] // train_block), -(-n // query_block)) for c, n in sorted(wanted.items())]
         if not pieces:
             return self.rows.sparkSession.createDataFrame([], FOUND)
         parts, slices = (F.create_map(*[F.lit(v) for row in pieces for v in (row[0], row[i])]) for i in (1, 2))
@@ -194,6 +217,17 @@ class Blocks:
         return _compared(left, right, ["cell", "part", "slice"], k, self.metric)
 
 
+def _block_sizes(sizes, wanted, train_block, query_block):
+    """Rows of a piece on both sides, raised where more than MOST_PIECES would be made, but not above the defaults."""
+    def count():
+        return sum(-(-sizes[c] // train_block) * -(-n // query_block) for c, n in wanted.items())
+
+    while count() > MOST_PIECES and (train_block < TRAIN_BLOCK or query_block < QUERY_BLOCK):
+        train_block, query_block = (max(b, min(2 * b, most)) for b, most in (
+            (train_block, TRAIN_BLOCK), (query_block, QUERY_BLOCK)))
+    return train_block, query_block
+
+
 def _compared(asked, held, keys, k, metric):
     """Per group of ``keys`` the k nearest of its rows ``held`` for every row ``asked``."""
 
