@@ -14,6 +14,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Window
@@ -31,6 +32,8 @@ WEIGHTS = ("uniform", "distance")
 N_PIVOTS, MOST_PIVOTS, MOST_PIECES = 32, 1_024, 512
 TRAIN_BLOCK = 20_000
 QUERY_BLOCK = 20_000
+#: Pairs screened at once.
+SCREENED = 1 << 20
 #: Tables of the approximate join, buckets probed beside the own in each, rows of a bucket, rows sampled for the cuts.
 TABLES, PROBES, BUCKET, SAMPLE = 16, 2, 400, 10_000
 FOUND = "id bigint, neighbor bigint, y int, distance double"
@@ -66,7 +69,7 @@ def _city(a, columns, rows=16, width=4_096):
     return out
 
 
-def _pair_distances(a, b, i, j, metric, step=200_000):
+def _pair_distances(a, b, i, j, metric, step=20_000):
     """Distances of the listed row pairs, in bounded pieces."""
     out = np.empty(len(i))
     for s in range(0, len(i), step):
@@ -77,7 +80,7 @@ def _pair_distances(a, b, i, j, metric, step=200_000):
     return out
 
 
-def _block_top_k(q, t, ids, k, metric, step=256):
+def _block_top_k(q, t, ids, k, metric):
     """(query row, training row, distance) of the k nearest rows of the block per query.
 
     A matrix product screens the euclidean case, sums in single precision the other. Their rounding error is below the
@@ -85,7 +88,7 @@ def _block_top_k(q, t, ids, k, metric, step=256):
     """
     k = min(k, len(t))
     t_sq = np.einsum("td,td->t", t, t)
-    found = []
+    found, step = [], max(1, min(256, SCREENED // len(t)))
     size = np.abs(t).sum(axis=1).max()
     light = max(np.abs(q).max(initial=0.0), np.abs(t).max(initial=0.0)) < 1e30
     columns = np.ascontiguousarray(t.T, dtype=np.float32 if light else float)
@@ -231,14 +234,21 @@ def _block_sizes(sizes, wanted, train_block, query_block):
 def _compared(asked, held, keys, k, metric):
     """Per group of ``keys`` the k nearest of its rows ``held`` for every row ``asked``."""
 
-    def block(q, t):
-        if q.empty or t.empty:
-            return pd.DataFrame({"id": [], "neighbor": [], "y": [], "distance": []})
-        ids, ys = t["neighbor"].to_numpy(), t["y"].to_numpy()
-        i, j, d = _block_top_k(_matrix(q["features"]), _matrix(t["vector"]), ids, k, metric)
-        return pd.DataFrame({"id": q["id"].to_numpy()[i], "neighbor": ids[j], "y": ys[j], "distance": d})
+    names, kinds = ["id", "neighbor", "y", "distance"], [pa.int64(), pa.int64(), pa.int32(), pa.float64()]
+
+    def rows(table, column):
+        values = table.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return values.astype(float, copy=False).reshape(table.num_rows, -1)
 
-    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(block, FOUND)
+    def block(q, t):
+        if not q.num_rows or not t.num_rows:
+            return pa.table([pa.array([], kind) for kind in kinds], names)
+        ids = t.column("neighbor").to_numpy()
+        i, j, d = _block_top_k(rows(q, "features"), rows(t, "vector"), ids, k, metric)
+        taken = q.column("id").take(pa.array(i)), pa.array(ids[j]), t.column("y").take(pa.array(j)), pa.array(d)
+        return pa.table([c.cast(kind) for c, kind in zip(taken, kinds)], names)
+
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(block, FOUND)
 
 
 def _ranked(found, k):

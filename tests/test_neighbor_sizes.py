@@ -1,5 +1,7 @@
 """Neighbour joins: work units bounded in number and memory."""
 
+import tracemalloc
+
 import numpy as np
 
 from bandlore.operators import neighbors as N
@@ -27,3 +29,15 @@ def test_city_block_screen_is_exact():
         want = np.take_along_axis(every, np.argsort(every, axis=1, kind="stable")[:, :6], 1)
         assert (i == np.repeat(np.arange(40), 6)).all()
         np.testing.assert_allclose(d.reshape(40, 6), want, rtol=1e-12)
+
+
+def test_memory_of_a_piece():
+    """A piece's work space does not follow the product of its sides."""
+    rng = np.random.default_rng(5)
+    q, t = rng.normal(size=(600, 60)), rng.normal(size=(20_000, 60))
+    tracemalloc.start()
+    try:
+        N._block_top_k(q, t, np.arange(len(t)), 5, "euclidean")
+        assert tracemalloc.get_traced_memory()[1] < 80e6
+    finally:
+        tracemalloc.stop()
