@@ -7,7 +7,8 @@ are cut into pieces of bounded size; a training row is sent to as many pieces as
 other blocks are asked. A piece hands on k rows per query, never its pairs.
 
 The approximate join compares rows that fall into one bucket of a few random projections, in several tables, and in the
-buckets next to the query's own. Distances are exact, so only neighbours can be missed; ``recall`` measures how many.
+buckets next to the query's own. Distances are exact, so only neighbours can be missed; ``recall`` measures how many. How
+coarse the buckets are and how many are probed is chosen by the neighbours of a sample of queries, found against all rows.
 """
 
 import math
@@ -34,8 +35,9 @@ TRAIN_BLOCK = 20_000
 QUERY_BLOCK = 20_000
 #: Pairs screened at once.
 SCREENED = 1 << 20
-#: Tables of the approximate join, buckets probed beside the own in each, rows of a bucket, rows sampled for the cuts.
-TABLES, PROBES, BUCKET, SAMPLE = 16, 2, 400, 10_000
+#: Tables of the approximate join, rows of its smallest buckets, rows sampled for the cuts, queries sampled to choose bits
+#: and probes, the share of their neighbours to be found, and the pairs that cost as much as a copy of a row.
+TABLES, BUCKET, SAMPLE, TUNED, REACHED, COPY = 16, 400, 10_000, 400, 0.95, 500
 FOUND = "id bigint, neighbor bigint, y int, distance double"
 
 
@@ -292,41 +294,75 @@ def visited_share(queries, train, k, metric="euclidean", n_pivots=None, train_bl
 class Projections:
     """``bits`` random projections in each of ``tables`` tables, every one cut at the median of a bounded sample."""
 
-    def __init__(self, train, tables, bits, seed=42):
-        rows = train.select("id", "features").orderBy(order_key(seed), "id").limit(SAMPLE).collect()
-        if not rows:
-            raise ValueError("no training rows")
-        rows = np.array([r["features"] for r in rows], dtype=float)
-        axes = np.random.default_rng(seed).normal(size=(rows.shape[1], tables * bits))
-        self.axes, self.cuts, self.shape = axes, np.median(rows @ axes, axis=0), (tables, bits)
+    def __init__(self, sample, tables, bits, seed=42):
+        axes = np.random.default_rng(seed).normal(size=(sample.shape[1], tables * bits))
+        self.axes, self.cuts, self.shape = axes, np.median(sample @ axes, axis=0), (tables, bits)
 
-    def buckets(self, probes=0):
-        """Per row the (table, key) buckets: its own, and in each table those across the ``probes`` nearest cuts."""
-        axes, cuts, (tables, bits) = self.axes, self.cuts, self.shape
+    def keys(self, rows, probes=0):
+        """Per row and table the keys of its own bucket and of those across the ``probes`` nearest cuts."""
+        margins = (rows @ self.axes - self.cuts).reshape(-1, *self.shape)
+        powers = np.int64(1) << np.arange(self.shape[1])
+        own = ((margins > 0) * powers).sum(axis=2)[:, :, None]
+        nearest = np.argsort(np.abs(margins), axis=2)[:, :, :probes]
+        return np.concatenate((own, own ^ powers[nearest]), axis=2)
 
+    def buckets(self, probes=0):
+        """The same as an array of (table, key) per row."""
         @F.pandas_udf("array<struct<table:int,key:bigint>>")
         def of(features: pd.Series) -> pd.Series:
-            margins = (_matrix(features) @ axes - cuts).reshape(-1, tables, bits)
-            powers = np.int64(1) << np.arange(bits)
-            keys = ((margins > 0) * powers).sum(axis=2)
-            nearest = np.argsort(np.abs(margins), axis=2)[:, :, :probes]
-            every = np.concatenate((keys[:, :, None], keys[:, :, None] ^ powers[nearest]), axis=2)
-            return pd.Series([[{"table": t, "key": int(key)} for t in range(tables) for key in row[t]] for row in every])
+            every = self.keys(_matrix(features), probes)
+            return pd.Series([[{"table": t, "key": int(key)} for t, keys in enumerate(row) for key in keys] for row in every])
 
         return of
 
 
-def approximate_neighbors(queries, train, k, metric="euclidean", tables=TABLES, bits=None, probes=PROBES, seed=42,
+def _sampled(train, seed):
+    rows = train.select("id", "features").orderBy(order_key(seed), "id").limit(SAMPLE).collect()
+    if not rows:
+        raise ValueError("no training rows")
+    return np.array([r["features"] for r in rows], dtype=float)
+
+
+def _tuned(queries, train, k, metric, sample, tables, bits, probes, seed):
+    """The cheapest (tables, bits, probes) by which the sampled queries meet REACHED of their neighbours in a bucket.
+
+    ``bits`` or ``probes`` is kept if given. One bit with one probe meets every row, so there always is a setting.
+    """
+    rows, asked = train.count(), queries.count()
+    chosen = stable(queries.select("id", "features").orderBy(order_key(seed + 2), "id").limit(TUNED))
+    exact = nearest_neighbors(chosen, train, k, metric).select("id", "neighbor")
+    pairs = exact.join(chosen.select("id", F.col("features").alias("q")), "id").join(
+        train.select(F.col("id").alias("neighbor"), F.col("features").alias("t")), "neighbor").collect()  # TUNED x k at most
+    most = max(1, math.ceil(math.log2(max(2, rows / BUCKET))))
+    if not pairs:
+        return tables, bits or most, probes or 0
+    q, t = (np.array([r[c] for r in pairs], dtype=float) for c in ("q", "t"))
+    found = []
+    for b in [bits] if bits else range(1, most + 1):
+        cuts = Projections(sample, tables, b, seed)
+        held = cuts.keys(t)[:, :, :1]
+        for p in [probes] if probes is not None else range(b + 1):
+            met = (cuts.keys(q, p) == held).any(axis=2)
+            for n in sorted({tables, *(x for x in (1, 2, 4, 8) if x < tables)}):
+                share = met[:, :n].any(axis=1).mean()
+                cost = asked * n * (1 + p) * (rows / 2 ** b + COPY) + rows * n * COPY
+                found.append((max(0.0, REACHED - share), cost, n, b, p))
+    return min(found)[2:]
+
+
+def approximate_neighbors(queries, train, k, metric="euclidean", tables=TABLES, bits=None, probes=None, seed=42,
                           train_block=TRAIN_BLOCK, query_block=QUERY_BLOCK):
     """About the k nearest training rows of every query row, like ``nearest_neighbors``; fewer if its buckets hold fewer.
 
-    ``bits`` is chosen so that a bucket holds some BUCKET rows if left out. Hot buckets are cut by id on both sides.
+    ``bits`` and ``probes`` are chosen by ``_tuned`` if left out, and then no more than ``tables`` are used. Hot buckets are
+    cut by id on both sides.
     """
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; use one of {METRICS}")
-    if bits is None:
-        bits = max(1, math.ceil(math.log2(max(2, train.count() / BUCKET))))
-    cuts = Projections(train, tables, bits, seed)
+    sample = _sampled(train, seed)
+    if bits is None or probes is None:
+        tables, bits, probes = _tuned(queries, train, k, metric, sample, tables, bits, probes, seed)
+    cuts = Projections(sample, tables, bits, seed)
     bucket = ["table", "key"]
     held = train.select(
         F.col("id").alias("neighbor"), F.col("features").alias("vector"), F.col("y").cast("int").alias("y"),

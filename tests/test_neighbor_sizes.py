@@ -41,3 +41,16 @@ def test_memory_of_a_piece():
         assert tracemalloc.get_traced_memory()[1] < 80e6
     finally:
         tracemalloc.stop()
+
+
+def test_bits_and_probes_follow_the_rows(spark, monkeypatch):
+    """On rows without structure small buckets miss neighbours; the choice by a sample still finds nine in ten."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(3_000, 40))
+    train = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(rows[:2_700])], "id bigint, features array<double>, y int")
+    asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows[2_700:])], "id bigint, features array<double>")
+    exact = N.nearest_neighbors(asked, train, 5).cache()
+    monkeypatch.setattr(N, "BUCKET", 5)
+    small = N.approximate_neighbors(asked, train, 5, bits=10, probes=2)
+    assert N.recall(small, exact).head().recall < 0.9
+    assert N.recall(N.approximate_neighbors(asked, train, 5), exact).head().recall >= 0.9
