@@ -250,30 +250,38 @@ def shapley_sampling(model, df, background, permutations=4, seed=42, width=K.N_B
 
 
 #: Changed rows that a task scores at once, in numbers.
-STEP_NUMBERS = 1 << 22
+STEP_NUMBERS = 1 << 16
 
 
 def _scored_in_task(score, df, draws):
-    """Shapley values by a batch scorer: a task makes the steps of a row, scores them and sums the gains."""
+    """Shapley values by a linear batch scorer: a step moves one band, so the margins of a draw are running sums along its
+    order, and a task sums the gains of a row band by band."""
     held = draws.collect()  # background rows x permutations: the stated size of the background
     base, weight = np.array([d["b"] for d in held], dtype=float), np.array([d["weight"] for d in held])
-    place, order = (np.array([d[c] for d in held]) for c in ("place", "order"))
+    order = np.array([d["order"] for d in held])
     width = base.shape[1]
-    shared = df.sparkSession.sparkContext.broadcast((base, place, order - 1, weight))
+    shared = df.sparkSession.sparkContext.broadcast((base, order - 1, weight))
 
     def run(batches):
-        base, place, order, weight = shared.value
-        size = max(1, STEP_NUMBERS // (width * (width + 1)))
-        steps = np.arange(width + 1)[None, :, None]
+        base, order, weight = shared.value
+        weights, size = score.weights, max(1, STEP_NUMBERS // (width + 1))
+        start, entering = base @ weights + score.intercept, np.take_along_axis(base * weights, order, axis=1)
+        draws = [(order[i:i + size], start[i:i + size], entering[i:i + size], order[i:i + size].ravel(),
+                  weight[i:i + size, None]) for i in range(0, len(weight), size)]
         for pdf in batches:
-            for i, row in zip(pdf["id"], pdf["features"]):
-                phi, x = np.zeros(width), np.asarray(row, dtype=float)
-                for low in range(0, len(weight), size):
-                    part = slice(low, low + size)
-                    made = np.where(place[part, None, :] < steps, x, base[part, None, :])
-                    prob = score(made.reshape(-1, width))[0].reshape(-1, width + 1)
-                    np.add.at(phi, order[part], np.diff(prob, axis=1) * weight[part, None])
-                yield pd.DataFrame({"id": i, "band": np.arange(1, width + 1, dtype="int32"), "phi": phi})
+            rows, phi = np.stack(pdf["features"].to_numpy()).astype(float) if len(pdf) else [], np.zeros((len(pdf), width))
+            for out, x in zip(phi, rows):
+                change = x * weights
+                for part, start, entering, cells, share in draws:
+                    margin = np.empty((len(start), width + 1))
+                    margin[:, 0] = start
+                    np.subtract(change[part], entering, out=margin[:, 1:])
+                    prob = score.of_margin(np.cumsum(margin, axis=1, out=margin))[0]
+                    gain = prob[:, 1:] - prob[:, :-1]
+                    gain *= share
+                    out += np.bincount(cells, gain.ravel(), width)
+            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(), width), "phi": phi.ravel(),
+                                "band": np.tile(np.arange(1, width + 1, dtype="int32"), len(pdf))})
 
     return df.select("id", "features").mapInPandas(run, "id bigint, band int, phi double")
 

@@ -254,10 +254,15 @@ def batch_scorer(model):
     else:
         return None
 
-    def score(rows):
-        prob = 1.0 / (1.0 + np.exp(-slope * (rows @ weights + intercept)))
+    def of_margin(margin):
+        prob = 1.0 / (1.0 + np.exp(-slope * margin))
         return prob, prob >= 0.5 if inclusive else prob > 0.5
 
+    def score(rows):
+        return of_margin(rows @ weights + intercept)
+
+    # A changed band moves the margin by its weight times the change.
+    score.weights, score.intercept, score.of_margin = weights, intercept, of_margin
     return score
 
 

@@ -279,6 +279,24 @@ def test_batch_scorers_give_what_rows_give(sides, monkeypatch):
         assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-9) for k in a)
 
 
+def test_linear_models_score_no_changed_rows(sides, monkeypatch):
+    """Margins of linear models move by one band at a time; no step is scored as a whole row."""
+    folded, test = sides
+    model = M.logistic(folded.count()).fit(folded)
+    rows = test.select("id", "y", F.col("scaled_array").alias("features"))
+    back = X.background_rows(folded.select("id", F.col("scaled_array").alias("features")), 3)
+    linear = M.batch_scorer(model)
+
+    def whole(rows):
+        raise AssertionError("rows are made for every step")
+
+    whole.weights, whole.intercept, whole.of_margin = linear.weights, linear.intercept, linear.of_margin
+    monkeypatch.setattr(M, "batch_scorer", lambda model: whole)
+    attr = X.shapley_sampling(model, rows, back, 2)
+    assert attr.count() == 60 * rows.count()
+    assert X.shapley_gap(model, rows, back, attr).agg(F.max(F.abs("gap"))).head()[0] < 1e-9
+
+
 def test_model_permutation_finds_the_label_bands(sides):
     folded, test = sides
     model = M.logistic(folded.count()).fit(folded)
