@@ -129,14 +129,15 @@ def _block_cells(score, df, n_repeats, seed, block_rows, width):
         every = np.stack(pdf["features"].to_numpy()).astype(float)
         own = ~pdf["_lent"].to_numpy()
         x, y, out = every[own], pdf["y"].to_numpy()[own] == 1, []
+        margin = x @ score.weights + score.intercept
         for r in range(n_repeats + 1):
             donor = every[_donor(pdf, r, rows)] if r else x
-            for band in range(width):
-                changed = x.copy()
-                changed[:, band] = donor[:, band]
-                hit = score(changed)[1]
-                out.append((r, band + 1, int((hit & y).sum()), int((hit & ~y).sum()), int((~hit & ~y).sum()), int((~hit & y).sum())))
-        return pd.DataFrame(out, columns=["repeat", "band", "tp", "fp", "tn", "fn"])
+            hit = score.of_margin(margin[:, None] + (donor - x) * score.weights)[1]
+            out.append(pd.DataFrame({
+                "repeat": r, "band": np.arange(1, width + 1),
+                "tp": (hit & y[:, None]).sum(0), "fp": (hit & ~y[:, None]).sum(0),
+                "tn": (~hit & ~y[:, None]).sum(0), "fn": (~hit & y[:, None]).sum(0)}))
+        return pd.concat(out)
 
     return blocked.groupBy("_block").applyInPandas(
         counts, "repeat int, band int, tp bigint, fp bigint, tn bigint, fn bigint")

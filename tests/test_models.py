@@ -295,6 +295,7 @@ def test_linear_models_score_no_changed_rows(sides, monkeypatch):
     attr = X.shapley_sampling(model, rows, back, 2)
     assert attr.count() == 60 * rows.count()
     assert X.shapley_gap(model, rows, back, attr).agg(F.max(F.abs("gap"))).head()[0] < 1e-9
+    assert X.permutation_importance(model, rows, 2).count() == 60
 
 
 def test_model_permutation_finds_the_label_bands(sides):
