@@ -194,7 +194,7 @@ def class_histogram(df, wanted=None, bins=K.HISTOGRAM_BINS):
     ranges = long.groupBy("band").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
         "band", "lo", ((F.col("hi") - F.col("lo")) / bins).alias("w")
     )
-    binned = long.join(ranges, "band").select(
+    binned = long.join(F.broadcast(ranges), "band").select(  # one row per band
         "band", "label", "lo", "w",
         F.when(F.col("w") > 0, F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")), F.lit(bins - 1)))
         .otherwise(F.lit(0)).alias("bin"),
@@ -239,7 +239,7 @@ def class_density(df, wanted=None, points=K.KDE_GRID):
         *by, "n", (F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).alias("h")).join(span, "band").withColumn(
         "step", (F.col("hi") - F.col("lo")) / (points - 1))
     middle = F.col("lo") + (F.col("cell") + 0.5) * F.col("h") / CELLS
-    placed = long.join(scale, by).withColumn("cell", F.floor((F.col("x") - F.col("lo")) / F.col("h") * CELLS))
+    placed = long.join(F.broadcast(scale), by).withColumn("cell", F.floor((F.col("x") - F.col("lo")) / F.col("h") * CELLS))
     offset = placed.select(*by, "cell", ((F.col("x") - middle) / F.col("h")).alias("z"))
     power, moments = F.lit(1.0), []
     for j in range(KERNEL_TERMS):
