@@ -26,7 +26,8 @@ def exact_quantiles(df, by, value, probs, extra=(), ranges=None):
     ranks = F.array_distinct(F.flatten(F.transform(places, lambda a: F.array(F.floor(a), F.ceil(a)))))
     wanted = groups.select(*by, ranks.alias("ranks"))
     here = F.filter("ranks", lambda r: (r < F.col("end")) & (r >= F.col("end") - F.col("c")))
-    at = counted.join(wanted, by).withColumn("here", here).where(F.size("here") > 0)
+    # one row per group; dealt by group, all values of a group would meet in one task
+    at = counted.join(F.broadcast(wanted), by).withColumn("here", here).where(F.size("here") > 0)
     found = at.select(*by, "x", F.explode("here").alias("rank")).groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("at"))  # two ranks per quantile
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bandlore.operators import profile as P
+from bandlore.operators.quantiles import exact_quantiles
 
 
 @pytest.fixture
@@ -26,3 +27,10 @@ def test_histogram_and_density(unhinted, signals):
     assert "BroadcastHashJoin" in _plan(P.class_density(signals))
     counts = P.class_histogram(signals, [10]).groupBy("band").agg(F.sum("count").alias("n")).head()
     assert counts.n == signals.count()
+
+
+def test_boxes_and_quantiles(unhinted, signals):
+    """Only tables of one row per group are merged: the quantiles with their groups."""
+    quantiles = _plan(exact_quantiles(signals.select("label", F.col("features")[0].alias("x")), ["label"], "x", [0.5]))
+    boxes, outliers = _plan(P.box_stats(signals)), _plan(P.box_outliers(signals))
+    assert quantiles.count("SortMergeJoin") == boxes.count("SortMergeJoin") == outliers.count("SortMergeJoin") == 1
