@@ -1,5 +1,6 @@
 """Classifiers as ML pipelines with one common output: prob and pred_label."""
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from bandlore.operators.deep_forests import DeepForestModel
 from bandlore.operators.forests import BoundedForest
 from bandlore.operators.neighbors import KnnClassifier
 from bandlore.operators.sampling import class_counts, order_key, stratified_folds
+from bandlore.session import removed, scratch_path
 
 LOGISTIC = "Logistic Regression"
 NEIGHBORS = "K-Nearest Neighbors"
@@ -30,6 +32,9 @@ SVM = "Support Vector Machine"
 FOREST = "Random Forest"
 MLP = "Deep Neural Network (MLP)"
 
+#: Rows that one task maps to kernel values.
+MAPPED_ROWS = 4096
+
 
 def logistic(n_rows, c=1.0, features="scaled", label="y"):
     """L2 logistic regression; the penalty follows from C and the rows of this very fit."""
@@ -168,23 +173,35 @@ class KernelSvm(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         )
 
     def _fit(self, dataset):
-        folds, seed = self.getOrDefault("folds"), self.getOrDefault("seed")
-        slim = dataset.select("id", "y", "scaled")
-        mapped = KernelMap(
-            landmark_rows(slim, self.getOrDefault("landmarks"), seed + 1),
-            kernel_gamma(slim, self.getOrDefault("gamma")),
-        )
-        platt = PlattScaling()
-        if folds:
-            # the narrow rows are kept; the SVM keeps its own blocks of the wide ones while it runs
-            folded = stratified_folds(slim, folds, seed).persist()
-            try:
-                platt = self._probability(mapped.transform(folded), class_counts(folded, "fold"))
-            finally:
-                folded.unpersist()
-        svm = self._svm(dataset.count()).fit(mapped.transform(slim))
+        path = scratch_path(dataset.sparkSession, "kernel")
+        try:
+            mapped, rows = self._written(dataset, path)
+            folds = self.getOrDefault("folds")
+            platt = self._probability(rows, class_counts(rows, "fold")) if folds else PlattScaling()
+            svm = self._svm(rows.count()).fit(rows)
+        finally:
+            removed(dataset.sparkSession, path)
         return PipelineModel([mapped, svm, platt])
 
+    def _written(self, dataset, path):
+        """The kernel map and its rows, which are made once for all fits; a fit keeps its own blocks of them while it runs.
+
+        The narrow rows are dealt to tasks before, as a table may come in one large piece.
+        """
+        folds, seed = self.getOrDefault("folds"), self.getOrDefault("seed")
+        tasks = max(1, math.ceil(dataset.count() / MAPPED_ROWS))
+        slim = dataset.select("id", "y", "scaled").repartition(tasks, "id").persist()
+        try:
+            mapped = KernelMap(
+                landmark_rows(slim, self.getOrDefault("landmarks"), seed + 1),
+                kernel_gamma(slim, self.getOrDefault("gamma")),
+            )
+            wide = mapped.transform(stratified_folds(slim, folds, seed) if folds else slim).drop("id", "scaled")
+            wide.write.parquet(path)
+        finally:
+            slim.unpersist()
+        return mapped, dataset.sparkSession.read.schema(wide.schema).parquet(path)
+
     def _probability(self, rows, sizes):
         held_out = None
         for f, size in sizes.items():

@@ -83,6 +83,41 @@ def test_kernel_svm_saves_and_loads(sides, tmp_path):
     assert first.join(again, "id").where(F.abs(F.col("p") - F.col("prob")) > 1e-12).count() == 0
 
 
+@pytest.mark.parametrize("folds", [0, 2])
+def test_kernel_svm_maps_a_row_once_in_dealt_tasks(sides, folds, monkeypatch):
+    """All fits read the same mapped rows; a table of one piece is mapped in several, and nothing stays in the folder."""
+    import os
+
+    from pyspark import TaskContext
+    from pyspark.accumulators import AccumulatorParam
+    from pyspark.ml.linalg import VectorUDT
+
+    from bandlore.session import shared_dir
+
+    class Union(AccumulatorParam):
+        def zero(self, value):
+            return []
+
+        def addInPlace(self, a, b):
+            return a + b
+
+    folded = sides[0].coalesce(1)
+    spark = folded.sparkSession
+    seen = spark.sparkContext.accumulator([], Union())
+
+    @F.udf(VectorUDT())
+    def noted(v):
+        seen.add([TaskContext.get().partitionId()])
+        return v
+
+    whole = M.KernelMap._transform
+    monkeypatch.setattr(M.KernelMap, "_transform", lambda self, df: whole(self, df.withColumn("scaled", noted("scaled"))))
+    monkeypatch.setattr(M, "MAPPED_ROWS", 100, raising=False)
+    M.KernelSvm(folds=folds, landmarks=50, iterations=3).fit(folded)
+    assert len(seen.value) == folded.count() and len(set(seen.value)) == 4
+    assert not [name for name in os.listdir(shared_dir(spark)) if name.startswith("kernel-")]
+
+
 def test_kernel_map_is_exact_on_its_landmarks(spark):
     import numpy as np
     from pyspark.ml.functions import array_to_vector, vector_to_array
